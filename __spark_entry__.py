@@ -49,9 +49,15 @@ MODEL_QUERIES = {
 }
 
 
+_MODELS: dict = {}
+
+
 def fixture_models(spark: SparkSession, sf_dir: str):
-    """All models, lazily, over the fixture views of ``sf_dir``."""
-    return models(raw_inputs(spark, sf_dir), FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
+    """All models, lazily, over the fixture views of ``sf_dir`` (one graph per application)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = models(raw_inputs(spark, sf_dir), FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
+    return _MODELS[key]
 
 
 def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -68,8 +74,8 @@ def _all_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def b04_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lic = fixture_models(spark, sf_dir)["stg_licenses"]
-    return intermediate.latest_licences(lic).select("company", "addon_name", "license_id",
-                                                    "last_updated", "status")
+    cols = ["company", "addon_name", "license_id", "last_updated", "status"]
+    return intermediate.latest_licences(lic, cols).select(*cols)
 
 
 def b07_month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:

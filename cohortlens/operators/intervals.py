@@ -32,6 +32,18 @@ def spine_horizon(df: DataFrame, date_col: str) -> _dt.date | None:
     return df.agg(F.max(month_of(date_col))).first()[0]
 
 
+def month_index(c: Column | str) -> Column:
+    """Months since year 0 (year * 12 + month - 1) as int: a cheap integer form of a month."""
+    d = F.to_date(col_of(c))
+    return F.year(d) * 12 + F.month(d) - 1
+
+
+def month_from_index(c: Column | str) -> Column:
+    """Inverse of :func:`month_index`: the first day of that month."""
+    i = col_of(c)
+    return F.make_date(F.floor(i / 12).cast("int"), (i % 12 + 1).cast("int"), F.lit(1))
+
+
 def active_by_month(intervals: DataFrame, spine: DataFrame, group: Sequence[str], entity: str,
                     start: str, end: str, horizon: _dt.date | None, out: str = "active_count",
                     month: str = "month", open_end: _dt.date = OPEN_END_DATE) -> DataFrame:
@@ -41,26 +53,28 @@ def active_by_month(intervals: DataFrame, spine: DataFrame, group: Sequence[str]
     Filter the interval rows you want counted (e.g. by status) before calling.
 
     Instead of a theta join of every interval with every spine month (a nested-loop join, rows x
-    months), each interval is expanded to the months it covers with ``sequence``, clipped to
-    ``horizon`` (the last spine month) so open intervals stay finite, and kept when the month is in
-    the spine (left-semi on a broadcast of the calendar-bounded spine). Cost is proportional to
-    covered months only. The count then aggregates on (month, group, entity) before shuffling.
+    months), each interval is expanded to the months it covers, as integer month indexes with
+    ``sequence``, clipped to ``horizon`` (the last spine month) so open intervals stay finite, and
+    kept when the month is in the spine (left-semi on a broadcast of the spine, whose size is
+    bounded by the calendar). Cost is proportional to covered months only. The distinct count
+    aggregates on (month, group, entity) before the final shuffle on (month, group).
     """
     eff_end = F.coalesce(F.col(end), F.lit(open_end))
-    lo = month_of(start)
+    lo = month_index(start)
     # Last month whose last day is still covered.
-    hi = F.when(F.last_day(eff_end) == eff_end, month_of(eff_end)).otherwise(
-        F.add_months(month_of(eff_end), -1))
+    hi = month_index(eff_end) - F.when(F.last_day(eff_end) == eff_end, F.lit(0)).otherwise(F.lit(1))
     if horizon is not None:
-        hi = F.least(hi, F.lit(horizon))
+        hi = F.least(hi, month_index(F.lit(horizon)))
+    idx = "_month_idx"
     months = (intervals
               .filter(F.col(start).isNotNull())
               .select(*group, entity, lo.alias("_lo"), hi.alias("_hi"))
               .filter(F.col("_hi") >= F.col("_lo"))
-              .select(*group, entity, F.explode(
-                  F.sequence(F.col("_lo"), F.col("_hi"), F.expr("interval 1 month"))).alias(month)))
-    months = months.join(F.broadcast(spine.select(month)), month, "left_semi")
-    return months.groupBy(month, *group).agg(F.count_distinct(entity).alias(out))
+              .select(*group, entity, F.explode(F.sequence("_lo", "_hi")).alias(idx)))
+    spine_idx = spine.select(month_index(month).alias(idx))
+    months = months.join(F.broadcast(spine_idx), idx, "left_semi")
+    counts = months.groupBy(idx, *group).agg(F.count_distinct(entity).alias(out))
+    return counts.select(month_from_index(idx).alias(month), *group, out)
 
 
 def first_period(df: DataFrame, keys: Sequence[str], date_col: str, group: Sequence[str],

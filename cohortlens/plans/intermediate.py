@@ -57,9 +57,15 @@ def licence_keys(licenses: DataFrame) -> DataFrame:
             .filter(F.col("company").isNotNull()))
 
 
-def latest_licences(licenses: DataFrame) -> DataFrame:
-    """B04 applied to licences: newest ``last_updated``, then highest ``license_id`` (as text)."""
+def latest_licences(licenses: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """B04 applied to licences: newest ``last_updated``, then highest ``license_id`` (as text).
+
+    Only ``columns`` (default: all) are kept; a full tie is broken on them, so the result is
+    deterministic and the scan reads just those columns.
+    """
     lk = licence_keys(licenses)
+    if columns is not None:
+        lk = lk.select(*dict.fromkeys(KEY + ["last_updated", "license_id"] + list(columns)))
     return latest_per_key(lk, KEY, [F.col("last_updated").desc_nulls_last(),
                                     F.col("license_id").desc_nulls_last()])
 
@@ -78,11 +84,11 @@ def customer_entity(licenses: DataFrame, events: DataFrame) -> DataFrame:
     aggregated on the key; the two joins are key-grain on both sides and the activity aggregate is
     computed once and reused by both branches (exchange reuse).
     """
-    latest = latest_licences(licenses).select(*ENTITY_LICENCE_COLS)
+    latest = latest_licences(licenses, ENTITY_LICENCE_COLS).select(*ENTITY_LICENCE_COLS)
     usage = usage_by_key(events)
-    keys = licence_keys(licenses).select(*KEY)
+    # The latest licence per key is exactly one row per licence key: reuse it as the key set.
     out = resolve_entities(latest, usage, KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED),
-                           right_keys=keys)
+                           right_keys=latest.select(*KEY))
     return out.select(*ENTITY_COLS)
 
 

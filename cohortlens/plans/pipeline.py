@@ -61,12 +61,13 @@ class Models(dict):
     """Lazily built models: ``models['fct_churn_and_nrr']`` builds it and what it depends on."""
 
     def __init__(self, inputs: Mapping[str, DataFrame], cfg: Config, as_of=None):
-        super().__init__(inputs)
+        super().__init__()
+        self._inputs = inputs
         self._builders = model_builders(cfg, as_of)
 
     def __missing__(self, name: str) -> DataFrame:
         if name not in self._builders:
-            raise KeyError(name)
+            return self._inputs[name]
         df = self._builders[name](self)
         self[name] = df
         return df

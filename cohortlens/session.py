@@ -49,6 +49,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", memory)
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.session.timeZone", "UTC")
