@@ -81,14 +81,13 @@ def customer_entity(licenses: DataFrame, events: DataFrame) -> DataFrame:
     (matched_on_company / marketplace_only), plus activity keys no licence has (unresolved).
 
     Shuffles: licences on the key (window, map-side limited to one row per key per task), events
-    aggregated on the key; the two joins are key-grain on both sides and the activity aggregate is
-    computed once and reused by both branches (exchange reuse).
+    aggregated on the key, then one full outer join of the two key-grain sides.
     """
     latest = latest_licences(licenses, ENTITY_LICENCE_COLS).select(*ENTITY_LICENCE_COLS)
     usage = usage_by_key(events)
-    # The latest licence per key is exactly one row per licence key: reuse it as the key set.
-    out = resolve_entities(latest, usage, KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED),
-                           right_keys=latest.select(*KEY))
+    # The latest licence per key is exactly one row per licence key, so "activity keys no licence
+    # has" are the activity keys missing from ``latest``: one full outer join resolves all three.
+    out = resolve_entities(latest, usage, KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED))
     return out.select(*ENTITY_COLS)
 
 

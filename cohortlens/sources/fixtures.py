@@ -76,21 +76,24 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _CACHE[key]
 
 
-def spread(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks when its scan yields fewer splits.
+def spread(df: DataFrame, min_partitions: int, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` over ``min_partitions`` tasks when its scan yields fewer
+    splits.
 
-    A parquet file with a single row group cannot be split, so a whole table would be processed
-    by one task. On cluster-sized inputs a scan has far more splits than cores and this is a no-op.
+    A parquet file with a single row group cannot be split, so a whole table would be processed by
+    one task. Hash partitioning (unlike round-robin) needs no sort to stay deterministic on retry.
+    On cluster-sized inputs a scan has far more splits than cores and this is a no-op.
     """
     n = df.rdd.getNumPartitions()
-    return df.repartition(min_partitions) if n < min_partitions else df
+    return df.repartition(min_partitions, key) if n < min_partitions else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None,
+          key: str | None = None) -> DataFrame:
     def build() -> DataFrame:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if min_partitions:
-            df = spread(df, min_partitions)
+        if min_partitions and key:
+            df = spread(df, min_partitions, key)
         return df
     return _memo(spark, sf_dir, f"table:{name}:{min_partitions}", build)
 
@@ -101,7 +104,7 @@ def _parallelism(spark: SparkSession) -> int:
 
 def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw licences: one per order, company and tier from the ordering customer."""
-    o = table(spark, sf_dir, "orders", _parallelism(spark)).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = table(spark, sf_dir, "orders", _parallelism(spark), "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k = F.col("o_orderkey")
@@ -138,7 +141,7 @@ def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product events: January-2024 clicks spread back over the order years, users -> customers."""
-    e = table(spark, sf_dir, "events", _parallelism(spark)).select("event_id", "ts", "user_id", "props")
+    e = table(spark, sf_dir, "events", _parallelism(spark), "event_id").select("event_id", "ts", "user_id", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     j = e.join(c, c.c_custkey == F.floor(e.user_id / F.lit(3)), "left")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -161,7 +164,7 @@ def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions: one per line item, on the licence of its order."""
-    li = table(spark, sf_dir, "lineitem", _parallelism(spark)).select(
+    li = table(spark, sf_dir, "lineitem", _parallelism(spark), "l_orderkey").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag",
         "l_linestatus", "l_shipdate")
     ok, rf, ls = F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_linestatus")
