@@ -87,10 +87,9 @@ def build_all(spark: SparkSession, inputs: Mapping[str, DataFrame], out_dir: str
     built: dict[str, DataFrame] = dict(inputs)
     paths: dict[str, str] = {}
     for _layer, names in LAYERS:
-        for name in names:
+        for name in names:  # in dependency order; later models read the written tables
             path = f"{out_dir.rstrip('/')}/{name}"
             write_table(builders[name](built), path=path, fmt=fmt)
             paths[name] = path
-        for name in names:
-            built[name] = spark.read.format(fmt).load(paths[name])
+            built[name] = spark.read.format(fmt).load(path)
     return paths
