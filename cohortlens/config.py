@@ -1,36 +1,37 @@
 """Business configuration: products, events, tiers, sale types, money type.
 
-Everything a deployment may want to change lives in :class:`Config`; the library never hard-codes a
-product or event name. ``Config()`` reproduces the original model's vocabulary.
+Everything a deployment may want to change lives in :class:`Config`. ``Config()`` carries the
+original model's event vocabulary and scoring rules; product names are deployment data, set with
+:meth:`Config.with_products`.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- Fixed values that must equal the original model's for the same results ---------------------
-# Short product names used by the event tracker, mapped to the canonical marketplace names.
-DEFAULT_PRODUCT_ALIASES = (
-    ("CHECKLIST", "CHECKLIST FOR JIRA"),
-    ("CLOCKWORK", "CLOCKWORK FOR JIRA"),
-    ("TIMESHEET", "TIMESHEET FOR JIRA"),
-)
+# Short product names used by the event tracker, mapped to canonical licence product names.
+# Product names are deployment data: none are built in (see Config.with_products).
+DEFAULT_PRODUCT_ALIASES: tuple[tuple[str, str], ...] = ()
 # Automated / QA events that are not user activity.
 DEFAULT_SYSTEM_EVENTS = ("automated_test_run", "api_health_check")
-# Product-scoped feature counters: (output column, product, event_type).
-DEFAULT_FEATURE_COUNTERS = (
-    ("checklist_items_created", "CHECKLIST FOR JIRA", "checklist_item_created"),
-    ("checklist_items_completed", "CHECKLIST FOR JIRA", "checklist_item_completed"),
-    ("templates_applied", "CHECKLIST FOR JIRA", "checklist_template_applied"),
-    ("checklists_exported", "CHECKLIST FOR JIRA", "checklist_exported"),
-    ("checklists_shared", "CHECKLIST FOR JIRA", "checklist_shared"),
-    ("timesheets_submitted", "CLOCKWORK FOR JIRA", "timesheet_submitted"),
-    ("timesheets_approved", "CLOCKWORK FOR JIRA", "timesheets_approved"),
-    ("time_logged", "CLOCKWORK FOR JIRA", "time_logged"),
-    ("timers_started", "CLOCKWORK FOR JIRA", "timer_started"),
-    ("reports_generated", "CLOCKWORK FOR JIRA", "report_generated"),
+# Product slots of the feature counters; Config.with_products puts real product names in them.
+CHECKLIST_PRODUCT, TIME_PRODUCT = "CHECKLIST PRODUCT", "TIME TRACKING PRODUCT"
+# Product-scoped feature counters: (output column, product slot, event_type).
+FEATURE_EVENTS = (
+    ("checklist_items_created", CHECKLIST_PRODUCT, "checklist_item_created"),
+    ("checklist_items_completed", CHECKLIST_PRODUCT, "checklist_item_completed"),
+    ("templates_applied", CHECKLIST_PRODUCT, "checklist_template_applied"),
+    ("checklists_exported", CHECKLIST_PRODUCT, "checklist_exported"),
+    ("checklists_shared", CHECKLIST_PRODUCT, "checklist_shared"),
+    ("timesheets_submitted", TIME_PRODUCT, "timesheet_submitted"),
+    ("timesheets_approved", TIME_PRODUCT, "timesheets_approved"),
+    ("time_logged", TIME_PRODUCT, "time_logged"),
+    ("timers_started", TIME_PRODUCT, "timer_started"),
+    ("reports_generated", TIME_PRODUCT, "report_generated"),
 )
+DEFAULT_FEATURE_COUNTERS = FEATURE_EVENTS
 # Lifecycle counters over any product: (output column, event_type).
 DEFAULT_LIFECYCLE_COUNTERS = (
     ("onboarding_completed", "onboarding_completed"),
@@ -102,16 +103,24 @@ class Config:
     refund_sign: str = ">"
     # Date the health score is computed for; None means current_date() at run time.
     as_of: _dt.date | None = None
-    # Licence end used by the health score: the latest trial end (original rule).
+    # End date given to open-ended maintenance intervals.
     open_end_date: _dt.date = OPEN_END_DATE
     feature_score_cap: int = 5
     feature_score_points: int = 5
     engagement_cap: int = 25
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **changes) -> "Config":
         return replace(self, **changes)
 
+    def with_products(self, checklist: str, time_tracking: str,
+                      aliases: tuple[tuple[str, str], ...] = ()) -> "Config":
+        """Name the canonical products (key form) whose feature events are counted, and the short
+        names the event tracker uses for products (short -> canonical)."""
+        slots = {CHECKLIST_PRODUCT: checklist.upper(), TIME_PRODUCT: time_tracking.upper()}
+        counters = tuple((name, slots.get(prod, prod), evt) for name, prod, evt in FEATURE_EVENTS)
+        return replace(self, feature_counters=counters,
+                       product_aliases=tuple((a.upper(), b.upper()) for a, b in aliases))
+
     @property
     def feature_columns(self) -> list[str]:
         return [name for name, _, _ in self.feature_counters]

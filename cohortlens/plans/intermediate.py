@@ -78,7 +78,8 @@ ENTITY_COLS = ENTITY_LICENCE_COLS + ["distinct_users", "total_events", "first_se
 
 def customer_entity(licenses: DataFrame, events: DataFrame) -> DataFrame:
     """One row per (company, product): the latest licence with its activity
-    (matched_on_company / marketplace_only), plus activity keys no licence has (unresolved).
+    (labels 'matched_on_company' / 'marketplace_only'), plus activity keys no licence has
+    ('unresolved').
 
     Shuffles: licences on the key (window, map-side limited to one row per key per task), events
     aggregated on the key, then one full outer join of the two key-grain sides.

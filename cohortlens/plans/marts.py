@@ -83,7 +83,8 @@ def churned_by_month(intervals: DataFrame, month: str = "month",
     return churned.groupBy(month, "addon_name").agg(F.count(F.lit(1)).alias("churned_customers"))
 
 
-def active_customers(licenses: DataFrame, dim: DataFrame, horizon: _dt.date | None = None) -> DataFrame:
+def active_customers(licenses: DataFrame, dim: DataFrame, horizon: _dt.date | None = None,
+                     cfg: Config = Config()) -> DataFrame:
     """Per (month, product): active customers (ACTIVE and covered through month end), new
     customers (first start in the month), churned customers (ended, no later ACTIVE start), and the
     change in active count from the previous present month.
@@ -98,9 +99,9 @@ def active_customers(licenses: DataFrame, dim: DataFrame, horizon: _dt.date | No
         horizon = spine_horizon(licenses, "maintenance_start_date")
     active = active_by_month(iv.filter(_active_status()), spine, ["addon_name"], "company",
                              "maintenance_start_date", "maintenance_end_date", horizon,
-                             out="active_customer_count")
+                             out="active_customer_count", open_end=cfg.open_end_date)
     new = first_period(iv, KEY, "maintenance_start_date", ["addon_name"], out="new_customers")
-    churned = churned_by_month(iv)
+    churned = churned_by_month(iv, open_end=cfg.open_end_date)
     combined = (active.join(new, ["month", "addon_name"], "left")
                 .join(churned, ["month", "addon_name"], "left")
                 .select("month", "addon_name", "active_customer_count",

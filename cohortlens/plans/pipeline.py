@@ -39,7 +39,7 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
         "int_trial_lifecycle": lambda m: intermediate.trial_lifecycle(m["stg_licenses"], cfg),
         "dim_customers": lambda m: marts.dim_customers(m["int_customer_entity"]),
         "fct_active_customers": lambda m: marts.active_customers(m["stg_licenses"],
-                                                                 m["dim_customers"]),
+                                                                 m["dim_customers"], cfg=cfg),
         "fct_trial_conversion": lambda m: marts.trial_conversion(m["int_trial_lifecycle"]),
         "fct_churn_and_nrr": lambda m: marts.churn_and_nrr(m["stg_transactions"], m["stg_licenses"],
                                                            m["dim_customers"], m["stg_events"], cfg),

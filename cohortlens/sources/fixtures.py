@@ -31,21 +31,9 @@ FIXTURE_TIERS = (("HOUSEHOLD", "Free"), ("MACHINERY", "Standard"), ("FURNITURE",
 FIXTURE_AS_OF = "2001-08-01"
 # Product vocabulary of the fixtures: short names map to the licence names; checklist features
 # belong to ALPHA SUITE, timesheet/time/timer/report features to BETA SUITE.
-FIXTURE_CONFIG = Config(
-    product_aliases=(("ALPHA", "ALPHA SUITE"), ("BETA", "BETA SUITE"), ("GAMMA", "GAMMA SUITE")),
-    feature_counters=(
-        ("checklist_items_created", "ALPHA SUITE", "checklist_item_created"),
-        ("checklist_items_completed", "ALPHA SUITE", "checklist_item_completed"),
-        ("templates_applied", "ALPHA SUITE", "checklist_template_applied"),
-        ("checklists_exported", "ALPHA SUITE", "checklist_exported"),
-        ("checklists_shared", "ALPHA SUITE", "checklist_shared"),
-        ("timesheets_submitted", "BETA SUITE", "timesheet_submitted"),
-        ("timesheets_approved", "BETA SUITE", "timesheets_approved"),
-        ("time_logged", "BETA SUITE", "time_logged"),
-        ("timers_started", "BETA SUITE", "timer_started"),
-        ("reports_generated", "BETA SUITE", "report_generated"),
-    ),
-)
+FIXTURE_CONFIG = Config().with_products(
+    checklist="ALPHA SUITE", time_tracking="BETA SUITE",
+    aliases=(("ALPHA", "ALPHA SUITE"), ("BETA", "BETA SUITE"), ("GAMMA", "GAMMA SUITE")))
 # -----------------------------------------------------------------------------------------------
 
 

@@ -38,11 +38,13 @@ def test_normalize_key(spark):
         "ACME CORP", "ACME CORP", None, None]
 
 
-def test_alias_map_default_vocabulary(spark):
-    df = one_col(spark, ["checklist", " Clockwork ", "TIMESHEET", "other thing", " ", None])
-    got = [r[0] for r in df.select(alias_map("x", DEFAULT_PRODUCT_ALIASES)).collect()]
-    assert got == ["CHECKLIST FOR JIRA", "CLOCKWORK FOR JIRA", "TIMESHEET FOR JIRA", "OTHER THING",
-                   None, None]
+def test_alias_map(spark):
+    aliases = (("ALPHA", "ALPHA SUITE"), ("BETA", "BETA SUITE"))
+    df = one_col(spark, ["alpha", " Beta ", "ALPHA SUITE", "other thing", " ", None])
+    got = [r[0] for r in df.select(alias_map("x", aliases)).collect()]
+    assert got == ["ALPHA SUITE", "BETA SUITE", "ALPHA SUITE", "OTHER THING", None, None]
+    assert [r[0] for r in df.select(alias_map("x", DEFAULT_PRODUCT_ALIASES)).collect()][:2] == [
+        "ALPHA", "BETA"]
 
 
 def test_money_cast_rounds_half_up(spark):

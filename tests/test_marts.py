@@ -6,12 +6,12 @@ from decimal import Decimal
 
 import pytest
 
-from cohortlens.config import Config
+from cohortlens.sources import FIXTURE_CONFIG
 from cohortlens.plans import models
 from tests import frames as fr
 from tests.frames import d, ts
 
-CFG = Config()
+CFG = FIXTURE_CONFIG
 
 
 def build(spark, lic=(), ev=(), tx=(), cfg=CFG, as_of="2021-01-01"):
@@ -35,21 +35,21 @@ def ev(company, product, etype, when="2020-12-20 10:00:00", user="u1", session=1
 
 def test_product_counters_use_canonical_names(spark):
     # Product-scoped counters compare to the canonical (upper-case) product name.
-    m = build(spark, ev=[ev("Acme", "checklist", "checklist_item_created"),
-                         ev("Acme", "clockwork", "time_logged"),
-                         ev("Acme", "checklist", "time_logged")])
+    m = build(spark, ev=[ev("Acme", "alpha", "checklist_item_created"),
+                         ev("Acme", "beta", "time_logged"),
+                         ev("Acme", "alpha", "time_logged")])
     rows = {r.product: r for r in m["int_feature_usage"].collect()}
-    assert rows["CHECKLIST FOR JIRA"].checklist_items_created == 1
-    assert rows["CLOCKWORK FOR JIRA"].time_logged == 1
-    assert rows["CHECKLIST FOR JIRA"].time_logged == 0
+    assert rows["ALPHA SUITE"].checklist_items_created == 1
+    assert rows["BETA SUITE"].time_logged == 1
+    assert rows["ALPHA SUITE"].time_logged == 0
 
 
 def test_system_events_excluded_from_usage_but_not_entity(spark):
     # Entity activity counts system events; feature usage does not.
-    m = build(spark, lic=[lic("Acme", "Checklist for Jira", "L1")],
-              ev=[ev("acme ", "checklist", "api_health_check", user="bot"),
-                  ev("ACME", "checklist", "checklist_shared", user="u1"),
-                  ev("ACME", "checklist", None, user="u2")])
+    m = build(spark, lic=[lic("Acme", "Alpha Suite", "L1")],
+              ev=[ev("acme ", "alpha", "api_health_check", user="bot"),
+                  ev("ACME", "alpha", "checklist_shared", user="u1"),
+                  ev("ACME", "alpha", None, user="u2")])
     fu = m["int_feature_usage"].collect()
     assert len(fu) == 1 and fu[0].total_events == 1 and fu[0].distinct_users == 1
     ent = m["int_customer_entity"].collect()
@@ -58,23 +58,23 @@ def test_system_events_excluded_from_usage_but_not_entity(spark):
 
 
 def test_entity_three_way_and_null_company(spark):
-    m = build(spark, lic=[lic("Acme", "Checklist for Jira", "L1"),
-                          lic("  acme ", "checklist for jira", "L2", last_updated=d("2020-05-01")),
-                          lic("Beta", "Checklist for Jira", "L3"),
-                          lic("   ", "Checklist for Jira", "L4")],
-              ev=[ev("ACME", "checklist", "x"), ev(" ", "checklist", "x"), ev("Gamma", "clockwork", "x")])
+    m = build(spark, lic=[lic("Acme", "Alpha Suite", "L1"),
+                          lic("  acme ", "alpha suite", "L2", last_updated=d("2020-05-01")),
+                          lic("Beta", "Alpha Suite", "L3"),
+                          lic("   ", "Alpha Suite", "L4")],
+              ev=[ev("ACME", "alpha", "x"), ev(" ", "alpha", "x"), ev("Gamma", "beta", "x")])
     rows = {(r.company, r.addon_name): r for r in m["dim_customers"].collect()}
-    assert rows[("ACME", "CHECKLIST FOR JIRA")].match_type == "matched_on_company"
-    assert rows[("BETA", "CHECKLIST FOR JIRA")].match_type == "marketplace_only"
-    assert rows[(None, "CHECKLIST FOR JIRA")].match_type == "unresolved"
-    assert rows[("GAMMA", "CLOCKWORK FOR JIRA")].match_type == "unresolved"
+    assert rows[("ACME", "ALPHA SUITE")].match_type == "matched_on_company"
+    assert rows[("BETA", "ALPHA SUITE")].match_type == "marketplace_only"
+    assert rows[(None, "ALPHA SUITE")].match_type == "unresolved"
+    assert rows[("GAMMA", "BETA SUITE")].match_type == "unresolved"
     assert len(rows) == 4
 
 
 def test_transaction_product_case_joins_licences(spark):
     # Mixed-case transaction product names still join the licences' upper-case names.
-    m = build(spark, lic=[lic("Acme", "Checklist for Jira", "L1")],
-              tx=[dict(transaction_id="t1", license_id="L1", addon_name="Checklist for Jira",
+    m = build(spark, lic=[lic("Acme", "Alpha Suite", "L1")],
+              tx=[dict(transaction_id="t1", license_id="L1", addon_name="Alpha Suite",
                        sale_date=d("2020-02-10"), sale_type="New", vendor_amount=Decimal(100))])
     rows = m["fct_churn_and_nrr"].collect()
     assert len(rows) == 1 and rows[0].mrr == Decimal(100)
@@ -82,21 +82,21 @@ def test_transaction_product_case_joins_licences(spark):
 
 def test_repeated_licence_rows_do_not_multiply(spark):
     # A licence repeated in the licence table must not multiply the sale.
-    m = build(spark, lic=[lic("Acme", "Checklist for Jira", "L1"),
-                          lic("Acme", "Checklist for Jira", "L1", last_updated=d("2020-03-01"))],
-              tx=[dict(transaction_id="t1", license_id="L1", addon_name="CHECKLIST FOR JIRA",
+    m = build(spark, lic=[lic("Acme", "Alpha Suite", "L1"),
+                          lic("Acme", "Alpha Suite", "L1", last_updated=d("2020-03-01"))],
+              tx=[dict(transaction_id="t1", license_id="L1", addon_name="ALPHA SUITE",
                        sale_date=d("2020-02-10"), sale_type="Renewal", vendor_amount=Decimal(100))])
     assert m["fct_churn_and_nrr"].collect()[0].mrr == Decimal(100)
 
 
 def _tx(amount, stype, date="2020-02-10"):
-    return dict(transaction_id="t", license_id="L1", addon_name="CHECKLIST FOR JIRA",
+    return dict(transaction_id="t", license_id="L1", addon_name="ALPHA SUITE",
                 sale_date=d(date), sale_type=stype, vendor_amount=Decimal(amount))
 
 
 def test_refund_sign_and_nrr(spark):
     # Refunds trigger churn only when positive (configurable); churn takes the whole month.
-    l1 = [lic("Acme", "Checklist for Jira", "L1")]
+    l1 = [lic("Acme", "Alpha Suite", "L1")]
     txs = [_tx(100, "New", "2020-01-05"), _tx(200, "Renewal", "2020-02-05"),
            _tx(50, "Upgrade", "2020-02-06"), _tx(-30, "Refund", "2020-02-07"),
            _tx(20, "Downgrade", "2020-02-08")]
@@ -112,20 +112,20 @@ def test_refund_sign_and_nrr(spark):
 
 
 def test_cancel_event_churns_customer_month(spark):
-    l1 = [lic("Acme", "Checklist for Jira", "L1")]
+    l1 = [lic("Acme", "Alpha Suite", "L1")]
     txs = [_tx(100, "New", "2020-01-05"), _tx(80, "Renewal", "2020-02-05")]
-    evs = [ev("acme", "checklist", "subscription_cancelled", when="2020-02-20 00:00:00")]
+    evs = [ev("acme", "alpha", "subscription_cancelled", when="2020-02-20 00:00:00")]
     rows = {r.month.isoformat(): r for r in build(spark, l1, evs, txs)["fct_churn_and_nrr"].collect()}
     assert rows["2020-02-01"].churned_mrr == Decimal(80) and rows["2020-01-01"].churned_mrr == 0
 
 
 def test_active_customers_month_rules(spark):
     # Months without an active customer vanish; T11/T12 follow the original.
-    ls = [lic("Acme", "Checklist for Jira", "L1", maintenance_start_date=d("2020-01-15"),
+    ls = [lic("Acme", "Alpha Suite", "L1", maintenance_start_date=d("2020-01-15"),
               maintenance_end_date=d("2020-03-31")),
-          lic("Beta", "Checklist for Jira", "L2", status="inactive",
+          lic("Beta", "Alpha Suite", "L2", status="inactive",
               maintenance_start_date=d("2020-06-01"), maintenance_end_date=d("2020-06-30")),
-          lic("Gamma", "Checklist for Jira", "L3", maintenance_start_date=d("2020-02-01"),
+          lic("Gamma", "Alpha Suite", "L3", maintenance_start_date=d("2020-02-01"),
               maintenance_end_date=None)]
     rows = {r.month.isoformat(): r for r in build(spark, ls)["fct_active_customers"].collect()}
     # spine = start months Jan, Feb, Jun; Acme active Jan-Mar (end is a month end), Gamma open.
@@ -139,13 +139,13 @@ def test_active_customers_month_rules(spark):
 
 def test_health_score_rules(spark):
     # T18 horizon is the latest trial end; T19 max(status) is alphabetical; T20 NULL tier -> 10.
-    ls = [lic("Acme", "Checklist for Jira", "L1", tier="Standard", license_type="Evaluation",
+    ls = [lic("Acme", "Alpha Suite", "L1", tier="Standard", license_type="Evaluation",
               evaluation_start_date=d("2020-11-01"), evaluation_end_date=d("2021-03-01")),
-          lic("Beta", "Checklist for Jira", "L2", tier=None, status=None),
-          lic("Beta", "Checklist for Jira", "L3", tier=None, status="inactive",
+          lic("Beta", "Alpha Suite", "L2", tier=None, status=None),
+          lic("Beta", "Alpha Suite", "L3", tier=None, status="inactive",
               last_updated=d("2019-01-01")),
           ]
-    evs = [ev("acme", "checklist", "checklist_item_created", when="2020-12-20 00:00:00", user=f"u{i}")
+    evs = [ev("acme", "alpha", "checklist_item_created", when="2020-12-20 00:00:00", user=f"u{i}")
            for i in range(5)]
     rows = {r.company: r for r in build(spark, ls, evs, as_of="2021-01-01")["fct_customer_health"].collect()}
     a = rows["ACME"]
@@ -159,11 +159,11 @@ def test_health_score_rules(spark):
 
 def test_feature_adoption_outcomes(spark):
     # active_trial is "everything else", including NULL companies.
-    ls = [lic("Acme", "Checklist for Jira", "L1", evaluation_sale_date=d("2020-02-01")),
-          lic("Beta", "Checklist for Jira", "L2", status="INACTIVE")]
-    evs = [ev("acme", "checklist", "x", user="a"), ev("beta", "checklist", "x", user="b"),
-           ev("Gamma", "checklist", "app_uninstalled", user="c"), ev(None, "checklist", "x", user="d"),
-           ev("Delta", "checklist", "x", user="e")]
+    ls = [lic("Acme", "Alpha Suite", "L1", evaluation_sale_date=d("2020-02-01")),
+          lic("Beta", "Alpha Suite", "L2", status="INACTIVE")]
+    evs = [ev("acme", "alpha", "x", user="a"), ev("beta", "alpha", "x", user="b"),
+           ev("Gamma", "alpha", "app_uninstalled", user="c"), ev(None, "alpha", "x", user="d"),
+           ev("Delta", "alpha", "x", user="e")]
     rows = {r.company: r for r in build(spark, ls, evs)["fct_feature_adoption"].collect()}
     assert rows["ACME"].outcome == "converted" and rows["BETA"].outcome == "churned"
     assert rows["GAMMA"].outcome == "churned" and rows[None].outcome == "active_trial"
@@ -172,12 +172,12 @@ def test_feature_adoption_outcomes(spark):
 
 
 def test_trial_lifecycle_and_days_check(spark):
-    ls = [lic("Acme", "Checklist for Jira", "L1", license_type="Evaluation",
+    ls = [lic("Acme", "Alpha Suite", "L1", license_type="Evaluation",
               evaluation_start_date=d("2020-01-01"), evaluation_sale_date=d("2020-01-11"),
               days_to_convert_eval=10),
-          lic("Beta", "Checklist for Jira", "L2", license_type=None,
+          lic("Beta", "Alpha Suite", "L2", license_type=None,
               evaluation_start_date=d("2020-01-01")),
-          lic("Gamma", "Checklist for Jira", "L3", evaluation_sale_date=d("2020-01-11"),
+          lic("Gamma", "Alpha Suite", "L3", evaluation_sale_date=d("2020-01-11"),
               days_to_convert_eval=3)]
     m = build(spark, ls)
     tl = {r.license_id: r for r in m["int_trial_lifecycle"].collect()}
