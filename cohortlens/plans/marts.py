@@ -7,7 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ACTIVE_STATUS, ACTIVE_TRIAL, CHURNED, CONVERTED, INACTIVE_STATUS, Config
+from ..config import (ACTIVE_STATUS, ACTIVE_TRIAL, CHURNED, CONVERTED, INACTIVE_STATUS,
+                      UNRESOLVED, Config)
 from ..functions.scoring import (flags_sum, pattern_map, recency_points, saturating_ratio,
                                  tier_label)
 from ..functions.text import clean_text, normalize_key
@@ -29,11 +30,37 @@ def dim_customers(entity: DataFrame) -> DataFrame:
 
 
 def dim_keys(dim: DataFrame) -> DataFrame:
-    """Known (company, product) keys of the dimension."""
-    return (dim.select(F.col("company"), clean_text("addon_name").alias("addon_name"))
+    """Known (company, product) keys of the dimension that a licence row can match.
+
+    Rows labelled unresolved are, by construction, activity keys that no licence has, so no licence
+    row can ever match them; leaving them out changes no join result.
+    """
+    return (dim.filter(F.col("match_type") != F.lit(UNRESOLVED))
+            .select(F.col("company"), clean_text("addon_name").alias("addon_name"))
             .filter(F.col("company").isNotNull() & F.col("addon_name").isNotNull()))
 
 
+def licence_backed_keys(licenses: DataFrame) -> DataFrame:
+    """The dimension's licence-backed keys (matched_on_company + marketplace_only), computed from
+    the licences alone: one row per (company, product) with a known company and product.
+
+    For a dimension built from the same licences this equals :func:`dim_keys`; passing it to the
+    licence marts (M08, M10) spares them the dimension's activity side, i.e. a scan and
+    aggregation of the whole event log, when they are planned from raw inputs.
+    """
+    from .intermediate import licence_keys
+    return (licence_keys(licenses).select("company", "addon_name")
+            .filter(F.col("addon_name").isNotNull()).distinct())
+
+
+def _keys(dim: DataFrame | None, keys: DataFrame | None) -> DataFrame:
+    if keys is not None:
+        return keys.select("company", "addon_name")
+    if dim is None:
+        raise ValueError("give the dimension or its licence-backed keys")
+    return dim_keys(dim)
+
+
 def _as_of(as_of) -> Column:
     if as_of is None:
         return F.current_date()
@@ -48,14 +75,15 @@ def _as_of(as_of) -> Column:
 # M08 active customers
 # ---------------------------------------------------------------------------------------------
 
-def customer_intervals(licenses: DataFrame, dim: DataFrame) -> DataFrame:
+def customer_intervals(licenses: DataFrame, dim: DataFrame | None,
+                       keys: DataFrame | None = None) -> DataFrame:
     """Licence maintenance intervals of customers in the dimension (key known, start known)."""
     src = licenses.select(
         normalize_key("company").alias("company"), clean_text("addon_name").alias("addon_name"),
         "status", "maintenance_start_date", "maintenance_end_date",
     ).filter(F.col("company").isNotNull() & F.col("addon_name").isNotNull()
              & F.col("maintenance_start_date").isNotNull())
-    return src.join(dim_keys(dim), KEY, "left_semi")
+    return src.join(_keys(dim, keys), KEY, "left_semi")
 
 
 def _active_status(c: str = "status") -> Column:
@@ -83,17 +111,18 @@ def churned_by_month(intervals: DataFrame, month: str = "month",
     return churned.groupBy(month, "addon_name").agg(F.count(F.lit(1)).alias("churned_customers"))
 
 
-def active_customers(licenses: DataFrame, dim: DataFrame, horizon: _dt.date | None = None,
-                     cfg: Config = Config()) -> DataFrame:
+def active_customers(licenses: DataFrame, dim: DataFrame | None, horizon: _dt.date | None = None,
+                     cfg: Config = Config(), keys: DataFrame | None = None) -> DataFrame:
     """Per (month, product): active customers (ACTIVE and covered through month end), new
     customers (first start in the month), churned customers (ended, no later ACTIVE start), and the
     change in active count from the previous present month.
 
     Months come from licence starts only, and months without an active customer are absent (the
     counts start from the active side). ``horizon`` (last spine month) clips open intervals; when not
-    given it is read with one scalar aggregate over the licence start dates.
+    given it is read with one scalar aggregate over the licence start dates. ``keys`` may replace
+    ``dim`` by its licence-backed keys (:func:`licence_backed_keys`).
     """
-    iv = customer_intervals(licenses, dim)
+    iv = customer_intervals(licenses, dim, keys)
     spine = month_spine(iv, "maintenance_start_date")
     if horizon is None:
         horizon = spine_horizon(licenses, "maintenance_start_date")
@@ -137,8 +166,9 @@ def cancellations(events: DataFrame, cfg: Config = Config()) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("subscription_cancelled_events")))
 
 
-def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFrame,
-                     events: DataFrame, cfg: Config = Config()) -> DataFrame:
+def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFrame | None,
+                     events: DataFrame, cfg: Config = Config(),
+                     keys: DataFrame | None = None) -> DataFrame:
     """Customer-month revenue measures and cancel counts.
 
     Transactions are first summed per (licence, product, month) by revenue role (map-side partial
@@ -163,7 +193,7 @@ def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFram
                    & F.col("addon_name").isNotNull())
            .distinct())
     joined = (per_licence.join(lic, ["license_id", "addon_name"], "inner")
-              .join(dim_keys(dim), KEY, "left_semi"))
+              .join(_keys(dim, keys), KEY, "left_semi"))
     parts = ["mrr", "expansion_mrr", "contraction_mrr", "refund_mrr", "total_vendor_amount"]
     monthly = joined.groupBy("month", "addon_name", "company").agg(
         *[F.sum(p).alias(p) for p in parts])
@@ -173,11 +203,13 @@ def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFram
                         F.coalesce("subscription_cancelled_events", F.lit(0))))
 
 
-def churn_and_nrr(transactions: DataFrame, licenses: DataFrame, dim: DataFrame, events: DataFrame,
-                  cfg: Config = Config()) -> DataFrame:
+def churn_and_nrr(transactions: DataFrame, licenses: DataFrame, dim: DataFrame | None,
+                  events: DataFrame, cfg: Config = Config(),
+                  keys: DataFrame | None = None) -> DataFrame:
     """Per (sale month, product): mrr, churned_mrr, expansion_mrr, contraction_mrr,
-    beginning_mrr (previous present month), nrr, churn_rate."""
-    cm = customer_revenue(transactions, licenses, dim, events, cfg)
+    beginning_mrr (previous present month), nrr, churn_rate. ``keys`` may replace ``dim`` by its
+    licence-backed keys (:func:`licence_backed_keys`)."""
+    cm = customer_revenue(transactions, licenses, dim, events, cfg, keys)
     churned = churn_trigger(F.col("refund_mrr"), F.col("subscription_cancelled_events"),
                             cfg.refund_sign)
     rolled = retention_rollup(cm, "month", ["addon_name"], churned)

@@ -60,3 +60,18 @@ def test_fixture_counts_match_survey(m):
     assert ent == {"matched_on_company": 144, "marketplace_only": 4174, "unresolved": 27}
     refunds = m["stg_transactions"].filter(F.upper("sale_type") == "REFUND").count()
     assert refunds == 1384
+
+
+def test_licence_backed_keys_equal_dimension_keys(m):
+    from cohortlens.plans.marts import dim_keys, licence_backed_keys
+    a = dim_keys(m["dim_customers"])
+    b = licence_backed_keys(m["stg_licenses"])
+    assert a.count() == b.count() == a.intersect(b).count()
+
+
+def test_licence_marts_same_with_dimension(m):
+    from cohortlens.plans.marts import active_customers
+    from cohortlens.sources import FIXTURE_CONFIG
+    via_dim = active_customers(m["stg_licenses"], m["dim_customers"], cfg=FIXTURE_CONFIG)
+    via_keys = m["fct_active_customers"]
+    assert via_dim.exceptAll(via_keys).count() == 0 and via_keys.exceptAll(via_dim).count() == 0
