@@ -81,11 +81,16 @@ def models(inputs: Mapping[str, DataFrame], cfg: Config = Config(), as_of=None)
     return Models(inputs, cfg, as_of)
 
 
-def build_all(spark: SparkSession, inputs: Mapping[str, DataFrame], out_dir: str,
+def build_all(spark: SparkSession, inputs: Mapping[str, DataFrame], out_dir: str | None = None,
               cfg: Config = Config(), as_of=None, fmt: str = "parquet") -> dict[str, str]:
     """Write every model under ``out_dir/<name>`` (full refresh), layer by layer; each model reads
-    the written tables of earlier layers. ``out_dir`` must be on shared storage on a cluster.
-    Returns name -> path."""
+    the written tables of earlier layers. ``out_dir`` must be on shared storage on a cluster; by
+    default it is a folder under the session's ``spark.checkpoint.dir``. Returns name -> path."""
+    if out_dir is None:
+        import uuid
+
+        from ..session import checkpoint_dir
+        out_dir = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-build-{uuid.uuid4().hex[:12]}"
     builders = model_builders(cfg, as_of)
     built: dict[str, DataFrame] = dict(inputs)
     paths: dict[str, str] = {}

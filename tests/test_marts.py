@@ -186,3 +186,18 @@ def test_trial_lifecycle_and_days_check(spark):
     assert not tl["L3"].is_trial and tl["L3"].converted and tl["L3"].days_to_convert is None
     chk = m["ins_days_to_convert_check"].first()
     assert (chk.licenses, chk.compared, chk.mismatched) == (3, 1, 1)
+
+
+def test_blank_names_become_null(spark):
+    # Blank-only product and company text become NULL in staging (not '').
+    m = build(spark, lic=[lic("  ", "   ", "L1")],
+              ev=[ev("   ", "  ", "x"), ev("Acme", None, "x")],
+              tx=[dict(transaction_id="t", license_id="L1", addon_name="  ", sale_date=d("2020-01-01"),
+                       sale_type=" ", vendor_amount=Decimal(1))])
+    s = m["stg_licenses"].first()
+    assert s.addon_name is None and s.company is None
+    assert {r.product for r in m["stg_events"].collect()} == {None}
+    t = m["stg_transactions"].first()
+    assert t.addon_name is None and t.sale_type is None
+    fu = m["int_feature_usage"].collect()
+    assert {(r.company, r.product) for r in fu} == {(None, None), ("ACME", None)}
