@@ -244,10 +244,9 @@ def _uninstall_column(cfg: Config) -> str:
     return next(name for name, evt in cfg.lifecycle_counters if evt == cfg.uninstall_event)
 
 
-def feature_adoption(usage: DataFrame, trials: DataFrame, cfg: Config = Config(),
-                     averages=ADOPTION_AVERAGES) -> DataFrame:
-    """Usage per (company, product) labelled converted / churned / active_trial, with the mean
-    of six measures over its (product, outcome) group on every row."""
+def feature_outcomes(usage: DataFrame, trials: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Usage per (company, product) labelled converted / churned / active_trial (M11 without the
+    group averages)."""
     sig = lifecycle_signals(trials).withColumnRenamed("company", "_c").withColumnRenamed(
         "addon_name", "_a")
     u = usage.withColumn("addon_name", clean_text("product"))
@@ -258,9 +257,15 @@ def feature_adoption(usage: DataFrame, trials: DataFrame, cfg: Config = Config()
          | (F.col(_uninstall_column(cfg)) > 0), CHURNED),
     ], ACTIVE_TRIAL)
     counters = cfg.feature_columns + cfg.lifecycle_columns
-    classified = src.select("company", "addon_name", outcome.alias("outcome"), *USAGE_MEASURES,
-                            *counters)
-    return attach_group_avg(classified, ["addon_name", "outcome"], dict(averages))
+    return src.select("company", "addon_name", outcome.alias("outcome"), *USAGE_MEASURES, *counters)
+
+
+def feature_adoption(usage: DataFrame, trials: DataFrame, cfg: Config = Config(),
+                     averages=ADOPTION_AVERAGES) -> DataFrame:
+    """Usage per (company, product) labelled converted / churned / active_trial, with the mean
+    of six measures over its (product, outcome) group on every row."""
+    return attach_group_avg(feature_outcomes(usage, trials, cfg), ["addon_name", "outcome"],
+                            dict(averages))
 
 
 # ---------------------------------------------------------------------------------------------

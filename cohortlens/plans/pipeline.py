@@ -54,8 +54,9 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
             m["int_trial_lifecycle"]),
         "ins_coverage_by_match_type": lambda m: insights.coverage_by_match_type(
             m["fct_customer_health"]),
+        # The roll-up needs each row's outcome only, not the group averages attached by M11.
         "ins_engagement_by_outcome": lambda m: insights.engagement_by_outcome(
-            m["fct_feature_adoption"]),
+            marts.feature_outcomes(m["int_feature_usage"], m["int_trial_lifecycle"], cfg)),
         "ins_days_to_convert_check": lambda m: insights.days_to_convert_check(m["stg_licenses"]),
     }
 
