@@ -53,12 +53,18 @@ def licence_backed_keys(licenses: DataFrame) -> DataFrame:
             .filter(F.col("addon_name").isNotNull()).distinct())
 
 
-def _keys(dim: DataFrame | None, keys: DataFrame | None) -> DataFrame:
+def _in_dimension(df: DataFrame, dim: DataFrame | None, keys: DataFrame | None) -> DataFrame:
+    """Keep rows whose (company, product) is a customer of the dimension.
+
+    With neither ``dim`` nor ``keys`` no filter is applied: every licence key with a known company
+    and product is a customer of the dimension built from the same licences (it is that
+    dimension's matched + licence-only part), so the semi-join would remove nothing.
+    """
     if keys is not None:
-        return keys.select("company", "addon_name")
-    if dim is None:
-        raise ValueError("give the dimension or its licence-backed keys")
-    return dim_keys(dim)
+        return df.join(keys.select("company", "addon_name"), KEY, "left_semi")
+    if dim is not None:
+        return df.join(dim_keys(dim), KEY, "left_semi")
+    return df
 
 
 def _as_of(as_of) -> Column:
@@ -83,7 +89,7 @@ def customer_intervals(licenses: DataFrame, dim: DataFrame | None,
         "status", "maintenance_start_date", "maintenance_end_date",
     ).filter(F.col("company").isNotNull() & F.col("addon_name").isNotNull()
              & F.col("maintenance_start_date").isNotNull())
-    return src.join(_keys(dim, keys), KEY, "left_semi")
+    return _in_dimension(src, dim, keys)
 
 
 def _active_status(c: str = "status") -> Column:
@@ -192,8 +198,7 @@ def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFram
            .filter(F.col("company").isNotNull() & F.col("license_id").isNotNull()
                    & F.col("addon_name").isNotNull())
            .distinct())
-    joined = (per_licence.join(lic, ["license_id", "addon_name"], "inner")
-              .join(_keys(dim, keys), KEY, "left_semi"))
+    joined = _in_dimension(per_licence.join(lic, ["license_id", "addon_name"], "inner"), dim, keys)
     parts = ["mrr", "expansion_mrr", "contraction_mrr", "refund_mrr", "total_vendor_amount"]
     monthly = joined.groupBy("month", "addon_name", "company").agg(
         *[F.sum(p).alias(p) for p in parts])

@@ -38,14 +38,14 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
                                                                       m["stg_events"]),
         "int_trial_lifecycle": lambda m: intermediate.trial_lifecycle(m["stg_licenses"], cfg),
         "dim_customers": lambda m: marts.dim_customers(m["int_customer_entity"]),
-        # The licence marts filter by the dimension's licence-backed keys, taken from the licences
-        # (equal by construction), so they never need the dimension's event-activity side.
-        "fct_active_customers": lambda m: marts.active_customers(
-            m["stg_licenses"], None, cfg=cfg, keys=marts.licence_backed_keys(m["stg_licenses"])),
+        # The licence marts keep licence rows whose key is a customer of the dimension. The
+        # dimension is built from these same licences, so every licence key with a known company
+        # and product is in it: no filter is needed, and these marts never compute the dimension's
+        # event-activity side (tested equal to filtering by the dimension).
+        "fct_active_customers": lambda m: marts.active_customers(m["stg_licenses"], None, cfg=cfg),
         "fct_trial_conversion": lambda m: marts.trial_conversion(m["int_trial_lifecycle"]),
         "fct_churn_and_nrr": lambda m: marts.churn_and_nrr(
-            m["stg_transactions"], m["stg_licenses"], None, m["stg_events"], cfg,
-            keys=marts.licence_backed_keys(m["stg_licenses"])),
+            m["stg_transactions"], m["stg_licenses"], None, m["stg_events"], cfg),
         "fct_feature_adoption": lambda m: marts.feature_adoption(m["int_feature_usage"],
                                                                  m["int_trial_lifecycle"], cfg),
         "fct_customer_health": lambda m: marts.customer_health(

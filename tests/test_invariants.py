@@ -75,3 +75,12 @@ def test_licence_marts_same_with_dimension(m):
     via_dim = active_customers(m["stg_licenses"], m["dim_customers"], cfg=FIXTURE_CONFIG)
     via_keys = m["fct_active_customers"]
     assert via_dim.exceptAll(via_keys).count() == 0 and via_keys.exceptAll(via_dim).count() == 0
+
+
+def test_revenue_mart_same_with_dimension(m):
+    from cohortlens.plans.marts import churn_and_nrr
+    from cohortlens.sources import FIXTURE_CONFIG
+    via_dim = churn_and_nrr(m["stg_transactions"], m["stg_licenses"], m["dim_customers"],
+                            m["stg_events"], FIXTURE_CONFIG)
+    via_none = m["fct_churn_and_nrr"]
+    assert via_dim.exceptAll(via_none).count() == 0 and via_none.exceptAll(via_dim).count() == 0
