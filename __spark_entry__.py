@@ -25,6 +25,7 @@ from cohortlens.operators import (active_by_month, first_period, month_spine,  #
                                   spine_horizon, without_successor)
 from cohortlens.plans import intermediate, models  # noqa: E402
 from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs  # noqa: E402
+from cohortlens.sources.fixtures import app_key  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -54,7 +55,7 @@ _MODELS: dict = {}
 
 def fixture_models(spark: SparkSession, sf_dir: str):
     """All models, lazily, over the fixture views of ``sf_dir`` (one graph per application)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_key(spark), sf_dir)
     if key not in _MODELS:
         _MODELS[key] = models(raw_inputs(spark, sf_dir), FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
     return _MODELS[key]

@@ -55,10 +55,18 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 _CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (the session object on clients without a context)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        return f"session-{id(spark)}"
+
+
 def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Build a view once per (application, folder): the driver tables are immutable, and listing
     files, reading footers and analysing the view would otherwise be repeated by every query."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (app_key(spark), sf_dir, name)
     if key not in _CACHE:
         _CACHE[key] = build()
     return _CACHE[key]
@@ -72,7 +80,10 @@ def spread(df: DataFrame, min_partitions: int, key: str) -> DataFrame:
     one task. Hash partitioning (unlike round-robin) needs no sort to stay deterministic on retry.
     On cluster-sized inputs a scan has far more splits than cores and this is a no-op.
     """
-    n = df.rdd.getNumPartitions()
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave the scan as it is
+        return df
     return df.repartition(min_partitions, key) if n < min_partitions else df
 
 
@@ -87,7 +98,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | Non
 
 
 def _parallelism(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return 0  # unknown: do not spread
 
 
 def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
