@@ -107,7 +107,61 @@ def b10_without_successor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("company", "addon_name", "license_id", "maintenance_end_date")
 
 
+def b05_resolve_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity resolution through the explicit key-set path (left join + left-anti join)."""
+    from cohortlens.config import LICENCE_ONLY, MATCHED, UNRESOLVED
+    from cohortlens.operators import resolve_entities
+    m = fixture_models(spark, sf_dir)
+    lic, ev = m["stg_licenses"], m["stg_events"]
+    latest = intermediate.latest_licences(lic, intermediate.ENTITY_LICENCE_COLS).select(
+        *intermediate.ENTITY_LICENCE_COLS)
+    keys = intermediate.licence_keys(lic).select("company", "addon_name")
+    out = resolve_entities(latest, intermediate.usage_by_key(ev), ["company", "addon_name"],
+                           "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED), right_keys=keys)
+    return out.select(*intermediate.ENTITY_COLS)
+
+
+def b06_conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per product by type, with zero counts where a type is absent."""
+    from cohortlens.operators import conditional_counts
+    tx = fixture_models(spark, sf_dir)["stg_transactions"]
+    t = F.upper("sale_type")
+    counters = {f"n_{k.lower()}": t == F.lit(k) for k in ("NEW", "RENEWAL", "UPGRADE", "DOWNGRADE",
+                                                           "REFUND")}
+    return conditional_counts(tx, ["addon_name"], counters,
+                              aggregates=[F.count(F.lit(1)).alias("n_sales")])
+
+
+def b11_period_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change in trials started from the previous present cohort month, per product."""
+    from cohortlens.operators import period_delta
+    tc = fixture_models(spark, sf_dir)["fct_trial_conversion"].select(
+        "month", "addon_name", "trials_started")
+    return period_delta(tc, ["addon_name"], "month", "trials_started", "trials_started_change")
+
+
+def b14_attach_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's recency score next to the mean of its match type."""
+    from cohortlens.operators import attach_group_avg
+    h = fixture_models(spark, sf_dir)["fct_customer_health"].select(
+        "company", "addon_name", "match_type", "recency_score")
+    return attach_group_avg(h, ["match_type"], {"avg_recency_of_match_type": "recency_score"})
+
+
+def b18_exclude_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged events without the system events (NULL event types dropped as well)."""
+    from cohortlens.operators import exclude_values
+    ev = fixture_models(spark, sf_dir)["stg_events"]
+    return exclude_values(ev, "event_type", FIXTURE_CONFIG.system_events).select(
+        "event_id", "event_type", "product", "user_property_company")
+
+
 BLOCK_QUERIES = {
+    "b05_resolve_entities": b05_resolve_entities,
+    "b06_conditional_counts": b06_conditional_counts,
+    "b11_period_delta": b11_period_delta,
+    "b14_attach_group_avg": b14_attach_group_avg,
+    "b18_exclude_values": b18_exclude_values,
     "b04_latest_per_key": b04_latest_per_key,
     "b07_month_spine": b07_month_spine,
     "b08_active_by_month": b08_active_by_month,

@@ -535,6 +535,35 @@ WHERE s.maintenance_end_date IS NOT NULL
       AND coalesce(s_next.maintenance_end_date, DATE '2999-12-31') >= s_next.maintenance_start_date)
 """
 
+B05_RESOLVE_ENTITIES = "SELECT * FROM int_customer_entity"
+B06_CONDITIONAL_COUNTS = """
+SELECT addon_name,
+       count(*) AS n_sales,
+       CAST(count_if(upper(sale_type) = 'NEW') AS BIGINT) AS n_new,
+       CAST(count_if(upper(sale_type) = 'RENEWAL') AS BIGINT) AS n_renewal,
+       CAST(count_if(upper(sale_type) = 'UPGRADE') AS BIGINT) AS n_upgrade,
+       CAST(count_if(upper(sale_type) = 'DOWNGRADE') AS BIGINT) AS n_downgrade,
+       CAST(count_if(upper(sale_type) = 'REFUND') AS BIGINT) AS n_refund
+FROM stg_transactions
+GROUP BY 1
+"""
+B11_PERIOD_DELTA = """
+SELECT month, addon_name, trials_started,
+       trials_started - lag(trials_started) OVER (PARTITION BY addon_name ORDER BY month)
+         AS trials_started_change
+FROM fct_trial_conversion
+"""
+B14_ATTACH_GROUP_AVG = """
+SELECT company, addon_name, match_type, recency_score,
+       avg(recency_score) OVER (PARTITION BY match_type) AS avg_recency_of_match_type
+FROM fct_customer_health
+"""
+B18_EXCLUDE_VALUES = """
+SELECT event_id, event_type, product, user_property_company
+FROM stg_events
+WHERE event_type NOT IN ('automated_test_run', 'api_health_check')
+"""
+
 MODELS: dict[str, str] = {
     "raw_licenses": RAW_LICENSES,
     "raw_events": RAW_EVENTS,
@@ -564,6 +593,11 @@ MODELS: dict[str, str] = {
     "b08_active_by_month": B08_ACTIVE_BY_MONTH,
     "b09_first_period": B09_FIRST_PERIOD,
     "b10_without_successor": B10_WITHOUT_SUCCESSOR,
+    "b05_resolve_entities": B05_RESOLVE_ENTITIES,
+    "b06_conditional_counts": B06_CONDITIONAL_COUNTS,
+    "b11_period_delta": B11_PERIOD_DELTA,
+    "b14_attach_group_avg": B14_ATTACH_GROUP_AVG,
+    "b18_exclude_values": B18_EXCLUDE_VALUES,
 }
 
 _WORD = re.compile(r"\b[a-z][a-z0-9_]*\b")
