@@ -39,6 +39,58 @@ def feature_usage(events: DataFrame, cfg: Config = Config()) -> DataFrame:
     ])
 
 
+FEATURE_USAGE_MEASURES = ["total_events", "distinct_users", "distinct_sessions", "first_event_date",
+                          "last_event_date", "active_days"]
+ENTITY_ACTIVITY_COLS = ["entity_distinct_users", "entity_total_events", "first_seen", "last_seen"]
+
+
+def event_activity(events: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Both per-(company, product) views of the event log in one pass: the feature-usage measures
+    and counters over user events (system and untyped events excluded), and the entity activity
+    over all events (``entity_*``, ``first_seen``, ``last_seen``).
+
+    Materialised once, it feeds :func:`feature_usage_from_activity` and
+    :func:`usage_from_activity`, so the event log is aggregated once for both. Planned lazily,
+    Catalyst prunes the aggregate down to the measures the consumer reads.
+    """
+    user = F.col("event_type").isNotNull() & ~F.col("event_type").isin(list(cfg.system_events))
+    src = events.select(normalize_key("user_property_company").alias("company"), "product",
+                        "event_type", "user_id", "session_id", "event_time",
+                        F.to_date("event_time").alias("event_date"), user.alias("_user"))
+    u = F.col("_user")
+    p, e = F.col("product"), F.col("event_type")
+    counters = {name: u & (p == F.lit(prod)) & (e == F.lit(evt))
+                for name, prod, evt in cfg.feature_counters}
+    counters.update({name: u & (e == F.lit(evt)) for name, evt in cfg.lifecycle_counters})
+    return conditional_counts(src, ["company", "product"], counters, aggregates=[
+        F.count_if(u).alias("total_events"),
+        F.count_distinct(F.when(u, F.col("user_id"))).alias("distinct_users"),
+        F.count_distinct(F.when(u, F.col("session_id"))).alias("distinct_sessions"),
+        F.min(F.when(u, F.col("event_date"))).alias("first_event_date"),
+        F.max(F.when(u, F.col("event_date"))).alias("last_event_date"),
+        F.count_distinct(F.when(u, F.col("event_date"))).alias("active_days"),
+        F.count_distinct("user_id").alias("entity_distinct_users"),
+        F.count(F.lit(1)).alias("entity_total_events"),
+        F.min("event_time").alias("first_seen"),
+        F.max("event_time").alias("last_seen"),
+    ])
+
+
+def feature_usage_from_activity(activity: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """M04 from :func:`event_activity`: keys with at least one user event."""
+    return (activity.filter(F.col("total_events") > 0)
+            .select("company", "product", *FEATURE_USAGE_MEASURES, *cfg.feature_columns,
+                    *cfg.lifecycle_columns))
+
+
+def usage_from_activity(activity: DataFrame) -> DataFrame:
+    """Entity-side activity (as :func:`usage_by_key`) from :func:`event_activity`."""
+    return activity.select(
+        "company", clean_text("product").alias("addon_name"),
+        F.col("entity_distinct_users").alias("distinct_users"),
+        F.col("entity_total_events").alias("total_events"), "first_seen", "last_seen")
+
+
 def usage_by_key(events: DataFrame) -> DataFrame:
     """Entity-side activity per (company, product) over all events, system ones included."""
     return (events.select(normalize_key("user_property_company").alias("company"),
@@ -76,7 +128,8 @@ ENTITY_COLS = ENTITY_LICENCE_COLS + ["distinct_users", "total_events", "first_se
                                      "match_type"]
 
 
-def customer_entity(licenses: DataFrame, events: DataFrame) -> DataFrame:
+def customer_entity(licenses: DataFrame, events: DataFrame | None = None,
+                    activity: DataFrame | None = None) -> DataFrame:
     """One row per (company, product): the latest licence with its activity
     (labels 'matched_on_company' / 'marketplace_only'), plus activity keys no licence has
     ('unresolved').
@@ -85,7 +138,7 @@ def customer_entity(licenses: DataFrame, events: DataFrame) -> DataFrame:
     aggregated on the key, then one full outer join of the two key-grain sides.
     """
     latest = latest_licences(licenses, ENTITY_LICENCE_COLS).select(*ENTITY_LICENCE_COLS)
-    usage = usage_by_key(events)
+    usage = usage_from_activity(activity) if activity is not None else usage_by_key(events)
     # The latest licence per key is exactly one row per licence key, so "activity keys no licence
     # has" are the activity keys missing from ``latest``: one full outer join resolves all three.
     out = resolve_entities(latest, usage, KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED))

@@ -19,7 +19,8 @@ from . import insights, intermediate, marts, staging
 
 LAYERS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("staging", ("stg_events", "stg_licenses", "stg_transactions")),
-    ("intermediate", ("int_feature_usage", "int_customer_entity", "int_trial_lifecycle")),
+    ("intermediate", ("int_event_activity", "int_feature_usage", "int_customer_entity",
+                      "int_trial_lifecycle")),
     ("mart", ("dim_customers", "fct_active_customers", "fct_trial_conversion", "fct_churn_and_nrr",
               "fct_feature_adoption", "fct_customer_health")),
     ("insight", ("ins_conversion_by_product", "ins_coverage_by_match_type",
@@ -33,9 +34,13 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
         "stg_events": lambda m: staging.stage_events(m["events"], cfg),
         "stg_licenses": lambda m: staging.stage_licenses(m["licenses"], cfg),
         "stg_transactions": lambda m: staging.stage_transactions(m["transactions"], cfg),
-        "int_feature_usage": lambda m: intermediate.feature_usage(m["stg_events"], cfg),
-        "int_customer_entity": lambda m: intermediate.customer_entity(m["stg_licenses"],
-                                                                      m["stg_events"]),
+        # One aggregate of the event log serves both the feature usage and the entity's activity
+        # side: written once by build_all; pruned to what each query reads when planned lazily.
+        "int_event_activity": lambda m: intermediate.event_activity(m["stg_events"], cfg),
+        "int_feature_usage": lambda m: intermediate.feature_usage_from_activity(
+            m["int_event_activity"], cfg),
+        "int_customer_entity": lambda m: intermediate.customer_entity(
+            m["stg_licenses"], activity=m["int_event_activity"]),
         "int_trial_lifecycle": lambda m: intermediate.trial_lifecycle(m["stg_licenses"], cfg),
         "dim_customers": lambda m: marts.dim_customers(m["int_customer_entity"]),
         # The licence marts keep licence rows whose key is a customer of the dimension. The
