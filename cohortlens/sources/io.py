@@ -22,7 +22,7 @@ def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: st
     """
     schema = schema or RAW_SCHEMAS[name]
     if table is not None:
-        return spark.read.table(table)
+        return conform(spark.read.table(table), schema)
     if path is None:
         raise ValueError("give a path or a table")
     reader = spark.read.format(fmt)
@@ -33,15 +33,18 @@ def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: st
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    if fmt not in ("csv", "json"):
-        # Columnar sources carry their own types; align names/types to the declared schema.
-        present = set(df.columns)
-        from pyspark.sql import functions as F
-        df = df.select([
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ])
-    return df
+    # Columnar sources and tables carry their own types; align names/types to the declared schema.
+    return df if fmt in ("csv", "json") else conform(df, schema)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select the declared columns in order, cast to the declared types; absent ones as NULL."""
+    from pyspark.sql import functions as F
+    present = set(df.columns)
+    return df.select([
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
 
 
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,

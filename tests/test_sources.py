@@ -40,4 +40,5 @@ def test_parquet_with_missing_columns_is_conformed(spark, scratch):
 
 def test_catalog_table_scan(spark):
     spark.createDataFrame([("k1",)], "license_id string").createOrReplaceTempView("raw_lic_view")
-    assert read_source(spark, "licenses", table="raw_lic_view").count() == 1
+    df = read_source(spark, "licenses", table="raw_lic_view")
+    assert df.count() == 1 and df.schema == LICENSES_RAW
