@@ -54,7 +54,10 @@ def event_activity(events: DataFrame, cfg: Config = Config()) -> DataFrame:
     Catalyst prunes the aggregate down to the measures the consumer reads.
     """
     user = F.col("event_type").isNotNull() & ~F.col("event_type").isin(list(cfg.system_events))
-    src = events.select(normalize_key("user_property_company").alias("company"), "product",
+    # Staged product names are already clean, so clean_text changes no value; grouping on it keeps
+    # the aggregate partitioned on exactly the entity join key (no re-shuffle before the join).
+    src = events.select(normalize_key("user_property_company").alias("company"),
+                        clean_text("product").alias("product"),
                         "event_type", "user_id", "session_id", "event_time",
                         F.to_date("event_time").alias("event_date"), user.alias("_user"))
     u = F.col("_user")
@@ -86,7 +89,7 @@ def feature_usage_from_activity(activity: DataFrame, cfg: Config = Config()) ->
 def usage_from_activity(activity: DataFrame) -> DataFrame:
     """Entity-side activity (as :func:`usage_by_key`) from :func:`event_activity`."""
     return activity.select(
-        "company", clean_text("product").alias("addon_name"),
+        "company", F.col("product").alias("addon_name"),
         F.col("entity_distinct_users").alias("distinct_users"),
         F.col("entity_total_events").alias("total_events"), "first_seen", "last_seen")
 
