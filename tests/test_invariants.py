@@ -84,3 +84,16 @@ def test_revenue_mart_same_with_dimension(m):
                             m["stg_events"], FIXTURE_CONFIG)
     via_none = m["fct_churn_and_nrr"]
     assert via_dim.exceptAll(via_none).count() == 0 and via_none.exceptAll(via_dim).count() == 0
+
+
+def test_standalone_usage_functions_equal_shared_activity(m):
+    from cohortlens.plans import intermediate as im
+    from cohortlens.sources import FIXTURE_CONFIG
+    ev = m["stg_events"]
+    act = im.event_activity(ev, FIXTURE_CONFIG)
+    pairs = [(im.feature_usage(ev, FIXTURE_CONFIG), im.feature_usage_from_activity(act, FIXTURE_CONFIG)),
+             (im.usage_by_key(ev), im.usage_from_activity(act))]
+    for a, b in pairs:
+        b = b.select(*a.columns)
+        assert a.count() == b.count()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
