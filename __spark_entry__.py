@@ -29,7 +29,7 @@ from cohortlens.sources.fixtures import app_key  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# query name -> model name in the pipeline
+# query name -> model name in the layered model graph
 MODEL_QUERIES = {
     "m01_stage_events": "stg_events",
     "m02_stage_licenses": "stg_licenses",

@@ -5,7 +5,7 @@ from .insights import (conversion_by_product, coverage_by_match_type, days_to_co
 from .intermediate import customer_entity, feature_usage, latest_licences, trial_lifecycle
 from .marts import (active_customers, churn_and_nrr, customer_health, dim_customers,
                     feature_adoption, trial_conversion)
-from .pipeline import LAYERS, build_all, models
+from .layers import LAYERS, build_all, models
 from .staging import stage_events, stage_licenses, stage_transactions
 
 __all__ = [
