@@ -54,3 +54,15 @@ def test_entry_smoke(spark):
                           "engagement_score", "feature_adoption_score", "license_health_score",
                           "health_score", "health_tier"]
     assert df.count() > 0
+
+
+def test_session_time_zone_does_not_matter(spark, duck001):
+    """Results are the same in a non-UTC session: timestamps are NTZ, months are dates."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in ("m01_stage_events", "m04_feature_usage", "m10_churn_and_nrr"):
+            r = compare(spark, duck001, name, QUERIES[name], SQL[name], SF001)
+            assert r["values_match"], r
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
