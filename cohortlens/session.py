@@ -34,13 +34,22 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only when unset
-    (local runs and tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, local runs) without one gets a scratch folder; on a cluster a
+    machine-local folder would be lost with its executor, so an unset value is an error there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # no SparkContext on this client; the setting alone names the folder
+        pass
     return d
 
 
