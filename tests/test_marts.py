@@ -201,3 +201,29 @@ def test_blank_names_become_null(spark):
     assert t.addon_name is None and t.sale_type is None
     fu = m["int_feature_usage"].collect()
     assert {(r.company, r.product) for r in fu} == {(None, None), ("ACME", None)}
+
+
+def test_current_status_applies_to_past_months(spark):
+    # A licence that is inactive today counts in no month, even months it once covered.
+    ls = [lic("Acme", "Alpha Suite", "L1", status="inactive", maintenance_start_date=d("2020-01-01"),
+              maintenance_end_date=d("2020-12-31")),
+          lic("Beta", "Alpha Suite", "L2", maintenance_start_date=d("2020-01-01"),
+              maintenance_end_date=d("2020-12-31"))]
+    rows = build(spark, ls)["fct_active_customers"].collect()
+    assert [r.active_customer_count for r in rows] == [1]
+
+
+def test_billing_period_is_ignored(spark):
+    # An annual sale counts in full in its sale month.
+    l1 = [lic("Acme", "Alpha Suite", "L1")]
+    t = _tx(1200, "New", "2020-03-05")
+    t["billing_period"] = "Annual"
+    rows = build(spark, l1, tx=[t])["fct_churn_and_nrr"].collect()
+    assert len(rows) == 1 and rows[0].mrr == Decimal(1200)
+
+
+def test_null_product_gives_both_sides(spark):
+    # A NULL product yields a licence-side row and a usage-side row for the same company.
+    m = build(spark, lic=[lic("Acme", None, "L1")], ev=[ev("Acme", None, "x")])
+    rows = sorted(r.match_type for r in m["int_customer_entity"].collect())
+    assert rows == ["marketplace_only", "unresolved"]
