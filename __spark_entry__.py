@@ -27,6 +27,12 @@ from cohortlens.plans import intermediate, models  # noqa: E402
 from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs  # noqa: E402
 from cohortlens.sources.fixtures import app_key  # noqa: E402
 
+try:  # the training-data operators and their pipeline; the rest works without them
+    from cohortlens.llm import queries as llm_queries
+    import corpus_pipeline
+except ImportError:
+    llm_queries = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # query name -> model name in the layered model graph
@@ -180,6 +186,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q: _model_query(m) for q, m in MODEL_QUERIES.items()}
     out.update(BLOCK_QUERIES)
+    if llm_queries is not None:
+        out.update(llm_queries.QUERIES)
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -188,4 +197,8 @@ def oracle_sql() -> dict[str, str]:
     import duck_oracle
     out = {q: duck_oracle.sql_for(m) for q, m in MODEL_QUERIES.items()}
     out.update({q: duck_oracle.sql_for(q) for q in BLOCK_QUERIES})
+    if llm_queries is not None:
+        out.update(llm_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
