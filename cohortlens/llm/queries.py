@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, secrets
+from . import pii, secrets, simhash
 from .common import table
 
 
@@ -18,8 +18,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.summary(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op7_secrets": op7_secrets,
+    "op9_simhash": op9_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
