@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, secrets, simhash
+from . import bpe, mixing, pii, quality, secrets, simhash
 from .common import table
 
 
@@ -18,13 +18,30 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.summary(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.summary(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.summary(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
+    "op5_quality": op5_quality,
     "op7_secrets": op7_secrets,
+    "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_sentencepiece": op10_sentencepiece,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mixing": mixing.ORACLE,
 }
-ORACLE_SQL: dict[str, str] = {}
