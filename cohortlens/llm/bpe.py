@@ -23,6 +23,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,10 +62,16 @@ def _mix(x):
 
 
 class _Table(dict):
-    """Word to its number; a new word gets the next one."""
+    """Word to its number; a new word gets the next one, and its hash is kept."""
+
+    def __init__(self):
+        super().__init__()
+        self.names, self.hashes = [], []
 
     def __missing__(self, word):
         n = self[word] = len(self)
+        self.names.append(word)
+        self.hashes.append(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")))
         return n
 
 
@@ -81,6 +88,10 @@ class Segmenter:
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i)}
         self.piece = {sp.id_to_piece(i): i for i in range(n) if i not in special}
         self.char = {c: i for c, i in self.piece.items() if len(c) == 1 and c != SPACE} | {" ": self.piece[SPACE]}
+        #: Id by code point; a character without a piece has the number ``size`` plus its code point.
+        self.by_code = np.arange(0x110000, dtype=np.int32) + n
+        for c, i in self.char.items():
+            self.by_code[ord(c)] = i
         self.bytes = [b"" if i in special else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
@@ -104,16 +115,6 @@ class Segmenter:
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
 
     # -- one agenda ---------------------------------------------------------------------------
-    def _chars(self, word: str, strange: dict) -> list[int]:
-        """Ids of the characters; those without a piece get numbers above all ids, noted in ``strange``."""
-        out = []
-        for c in word:
-            i = self.char.get(c)
-            if i is None:
-                i = strange.setdefault(c, self.size + len(strange))
-            out.append(i)
-        return out
-
     def _skips(self, key: int, at: int, a: int, b: int) -> bool:
         return _mix(_mix(key ^ at) ^ (a << 32 | b)) < self.limit
 
@@ -195,37 +196,42 @@ class Segmenter:
                 sym, at, rank, merged = (x[:, :width] for x in (sym, at, rank, merged))
 
     # -- words and texts ----------------------------------------------------------------------
-    def _segment(self, words: list[str], variant: np.ndarray) -> list[np.ndarray]:
-        """Ids of each word in its variant."""
-        strange: dict[str, int] = {}
-        ids = [self._chars(w, strange) for w in words]
-        h = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
-        key = _mix(h ^ _mix(variant.astype(np.uint64) ^ np.uint64(self.seed)))
-        length = np.array([len(x) for x in ids])
-        out: list = [None] * len(words)
+    def _segment(self, words: list[str], hashes: list[int], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each in its variant, and the number of ids of each."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ids = self.by_code[codes]
+        length = np.array([len(w) for w in words])
+        first = np.cumsum(length) - length
+        key = _mix(np.array(hashes, np.uint64) ^ _mix(variant.astype(np.uint64) ^ np.uint64(self.seed)))
+        count = np.zeros(len(words), np.int64)
+        merged = ids.copy()  # a word's ids stand where its characters stood, as far as there are any
         low = 0
         for high in (4, 8, 12, 16, 24, 32, LONG):
             some = np.flatnonzero((length > low) & (length <= high))
             low = high
             for k in range(0, len(some), 20_000):
                 part = some[k:k + 20_000]
-                if not len(part):
-                    continue
-                sym = np.zeros((len(part), high), np.int32)
-                n = length[part]
-                sym[np.arange(high)[None, :] < n[:, None]] = np.fromiter(
-                    (x for i in part for x in ids[i]), np.int32, int(n.sum()))
-                got, size = self._arrays(sym, n, key[part])
-                for i, x, m in zip(part, got, size, strict=True):
-                    out[i] = x[:m]
+                place = np.minimum(first[part][:, None] + np.arange(high)[None, :], len(ids) - 1)
+                got, size = self._arrays(ids[place], length[part], key[part])
+                r, c = np.nonzero(np.arange(high)[None, :] < size[:, None])
+                merged[place[r, c]] = got[r, c]
+                count[part] = size
         for i in np.flatnonzero(length > LONG):
-            out[i] = np.array(self._heap(ids[i], int(key[i])), np.int32)
-        if strange:
-            spelt = {n: [self.byte[b] for b in c.encode("utf-8", "surrogatepass")] for c, n in strange.items()}
-            for i, x in enumerate(out):
-                if (x >= self.size).any():
-                    out[i] = np.array([y for s in x.tolist() for y in spelt.get(s, (s,))], np.int32)
-        return out
+            got = self._heap(ids[first[i]:first[i] + length[i]].tolist(), int(key[i]))
+            merged[first[i]:first[i] + len(got)], count[i] = got, len(got)
+        end = np.cumsum(count)
+        flat = merged[np.repeat(first - (end - count), count) + np.arange(count.sum())]
+        strange = np.flatnonzero(flat >= self.size)
+        if len(strange):  # spelt in bytes
+            spelt = [[self.byte[b] for b in chr(x - self.size).encode("utf-8", "surrogatepass")] for x in flat[strange].tolist()]
+            width = np.ones(len(flat), np.int64)
+            width[strange] = [len(x) for x in spelt]
+            to = np.cumsum(width) - width
+            out = np.repeat(flat, width)
+            for at, x in zip(to[strange].tolist(), spelt, strict=True):
+                out[at:at + len(x)] = x
+            return out, np.add.reduceat(width, end - count)
+        return flat, count
 
     def _slots(self, slots: np.ndarray) -> None:
         """Segments the (word, variant) numbers that are not known yet."""
@@ -237,11 +243,9 @@ class Segmenter:
         new = np.unique(slots[self.start[slots] < 0])
         if not len(new):
             return
-        names = list(self.words)
         word, variant = np.divmod(new, self.variants)
-        got = self._segment([names[i] for i in word.tolist()], variant)
-        size = np.array([len(x) for x in got], np.int64)
-        flat = np.concatenate(got)
+        word = word.tolist()
+        flat, size = self._segment([self.words.names[i] for i in word], [self.words.hashes[i] for i in word], variant)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
         self.pool[self.used:self.used + len(flat)] = flat
@@ -255,7 +259,7 @@ class Segmenter:
         # Spaces start a word; a literal U+2581 stands alone and is spelt in bytes.
         split = [WORD.findall(" " + t) if t else [] for t in texts]
         n = np.array([len(x) for x in split], np.int64)
-        number = np.fromiter((self.words[w] for x in split for w in x), np.int64, int(n.sum()))
+        number = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         first = np.cumsum(n) - n
         place = np.arange(len(number)) - np.repeat(first, n)
         draw = _mix(_mix(np.repeat(doc_ids.astype(np.int64).view(np.uint64), n) ^ np.uint64(self.seed)) ^ place.astype(np.uint64))
