@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, secrets, simhash
+from . import bpe, langid, mixing, pii, quality, secrets, simhash, token_files
 from .common import table
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.summary(table(spark, sf_dir, "documents"))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
@@ -35,6 +43,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
+    "op2_token_files": op2_token_files,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
     "op7_secrets": op7_secrets,
