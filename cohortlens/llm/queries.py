@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, pii, quality, secrets, simhash, token_files
+from . import bm25, bpe, langid, mixing, pii, pivots, quality, secrets, simhash, token_files
 from .common import table
 
 
@@ -18,10 +18,18 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.summary(table(spark, sf_dir, "documents"))
 
 
+def op3_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
 
+def op6_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25.summary(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(table(spark, sf_dir, "documents"))
 
@@ -45,8 +53,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_token_files": op2_token_files,
+    "op3_pivots": op3_pivots,
     "op4_pii": op4_pii,
     "op5_quality": op5_quality,
+    "op6_bm25": op6_bm25,
     "op7_secrets": op7_secrets,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
