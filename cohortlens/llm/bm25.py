@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,6 +32,7 @@ from .common import by_chars, materialize
 
 K1, B = 1.2, 0.75
 TOP, QUERY_TERMS = 10, 16
+END = 1 << 62                 # after every document
 BLOCK = 64                    # postings under one block maximum
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
@@ -149,37 +151,32 @@ def totals(index: DataFrame) -> tuple[int, int]:
     return r[0] or 0, r[1] or 0
 
 
-class Cursor:
-    """One query term's postings in a shard, with scores, block maxima and the last document of each block."""
+class Postings:
+    """One term's postings in a shard: scores, block maxima and the last document of each block."""
 
-    __slots__ = ("at", "docs", "last", "most", "n", "score", "top")
+    __slots__ = ("docs", "last", "most", "score", "top")
 
     def __init__(self, docs: np.ndarray, score: np.ndarray):
         starts = np.arange(0, len(docs), BLOCK)
-        self.docs, self.score, self.n, self.at = docs.tolist(), score.tolist(), len(docs), 0
+        self.docs, self.score = docs.tolist(), score.tolist()
         self.top = np.maximum.reduceat(score, starts).tolist()
         self.last = docs[np.minimum(starts + BLOCK, len(docs)) - 1].tolist()
         self.most = max(self.top)
 
+
+class Cursor:
+    """A place in a list of postings."""
+
+    __slots__ = ("at", "of")
+
+    def __init__(self, of: Postings):
+        self.of, self.at = of, 0
+
     def seek(self, doc: int) -> int:
-        """Moves to the first posting of ``doc`` or later, whole blocks at a time."""
-        at, n = self.at, self.n
-        if at < n and self.docs[at] < doc:
-            block = at // BLOCK
-            while block < len(self.last) and self.last[block] < doc:
-                block += 1
-            at = max(at, block * BLOCK)
-            while at < n and self.docs[at] < doc:
-                at += 1
-            self.at = at
-        return self.docs[at] if at < n else 1 << 62
-
-    def block_at(self, doc: int) -> int:
-        """The block that would hold ``doc``; the number of blocks if it is past the end."""
-        block = self.at // BLOCK
-        while block < len(self.last) and self.last[block] < doc:
-            block += 1
-        return block
+        """Moves to the first posting of ``doc`` or later; its document, or END."""
+        docs = self.of.docs
+        at = self.at = bisect_left(docs, doc, self.at)
+        return docs[at] if at < len(docs) else END
 
 
 def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
@@ -191,12 +188,12 @@ def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
     heap: list[tuple[float, int]] = []
     least = 0.0
     slack = 1 + 1e-9  # sums over the lists by document add up in another order than scores
-    live = [(c.docs[0], i) for i, c in enumerate(cursors)]
+    live = [(c.of.docs[0], i) for i, c in enumerate(cursors)]
     while live:
         live.sort()
         bound, pivot = 0.0, -1
         for j, (_, i) in enumerate(live):
-            bound += cursors[i].most
+            bound += cursors[i].of.most
             if bound * (slack if j else 1) > least:
                 pivot = j
                 break
@@ -205,24 +202,24 @@ def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
         doc = live[pivot][0]
         while pivot + 1 < len(live) and live[pivot + 1][0] == doc:
             pivot += 1
-        bound, end = 0.0, 1 << 62
+        bound, end = 0.0, END
         for i in sorted(i for _, i in live[:pivot + 1]):  # as scores add up: a bound is never below
-            c = cursors[i]
-            block = c.block_at(doc)
-            if block < len(c.last):
-                bound += c.top[block]
-                end = min(end, c.last[block])
+            of = cursors[i].of
+            block = bisect_left(of.last, doc, cursors[i].at // BLOCK)
+            if block < len(of.last):
+                bound += of.top[block]
+                end = min(end, of.last[block])
         if bound <= least:  # no document up to the next block border can enter
             to = end + 1
             if pivot + 1 < len(live):
                 to = min(to, live[pivot + 1][0])
-            to = max(to, doc + 1) if end == 1 << 62 else to
+            to = max(to, doc + 1) if end == END else to
             live = [(d if j > pivot else cursors[i].seek(to), i) for j, (d, i) in enumerate(live)]
         elif live[0][0] == doc:
             here = sorted(i for d, i in live if d == doc)  # in the order of the query's terms
             score = 0.0
             for i in here:
-                score += cursors[i].score[cursors[i].at]
+                score += cursors[i].of.score[cursors[i].at]
             if len(heap) < k:
                 heapq.heappush(heap, (score, -doc))
             elif score > least:
@@ -232,7 +229,7 @@ def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
             live = [(d if d != doc else cursors[i].seek(doc + 1), i) for d, i in live]
         else:
             live = [(cursors[i].seek(doc) if d < doc else d, i) for d, i in live]
-        live = [x for x in live if x[0] != 1 << 62]
+        live = [x for x in live if x[0] != END]
     return [(s, -d) for s, d in heap]
 
 
@@ -245,10 +242,10 @@ class Shard:
         self.posts, self.counts = np.frombuffer(row["posts"], "<u2"), np.frombuffer(row["counts"], "<u4")
         self.norm = K1 * (1 - B + B * np.frombuffer(row["lengths"], "<i4") / max(mean, 1e-9))
 
-    def cursor(self, at: int, weight: float) -> Cursor:
+    def postings(self, at: int, weight: float) -> Postings:
         s, e = (int(self.ends[at - 1]) if at else 0), int(self.ends[at])
         docs, tf = self.posts[s:e], self.counts[s:e].astype(np.float64)
-        return Cursor(docs.astype(np.int64), weight * tf * (K1 + 1) / (tf + self.norm[docs]))
+        return Postings(docs.astype(np.int64), weight * tf * (K1 + 1) / (tf + self.norm[docs]))
 
     def search(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[int, float, int]]:
         """(query number, score, doc_id) of each query's top k here; query i has the terms from first[i] on."""
@@ -257,9 +254,14 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
         hit = np.flatnonzero(self.terms[at] == term)
         query = np.searchsorted(first, hit, "right") - 1
+        lists: dict[tuple[int, float], Postings] = {}  # queries share terms
         cuts = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(hit) else []
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            cursors = [self.cursor(int(at[i]), float(weight[i])) for i in hit[s:e]]
+            cursors = []
+            for key in zip(at[hit[s:e]].tolist(), weight[hit[s:e]].tolist(), strict=True):
+                if key not in lists:
+                    lists[key] = self.postings(*key)
+                cursors.append(Cursor(lists[key]))
             for score, doc in wand(cursors, k):
                 yield int(query[s]), score, int(self.docs[doc])
 

@@ -75,13 +75,13 @@ def test_wand_in_small_blocks(monkeypatch):
                 scores[d] += x
         k = int(r.integers(1, 8))
         expected = sorted(((-s, d) for d, s in scores.items()))[:k]
-        assert sorted((-s, d) for s, d in bm25.wand([bm25.Cursor(*x) for x in lists], k)) == expected, seed
+        assert sorted((-s, d) for s, d in bm25.wand([bm25.Cursor(bm25.Postings(*x)) for x in lists], k)) == expected, seed
 
 
 def test_wand_skips(monkeypatch):
     docs = np.arange(20_000)
-    common = bm25.Cursor(docs, np.full(20_000, 0.1))
-    rare = bm25.Cursor(np.array([5, 15_000]), np.array([9.0, 8.0]))
+    common = bm25.Cursor(bm25.Postings(docs, np.full(20_000, 0.1)))
+    rare = bm25.Cursor(bm25.Postings(np.array([5, 15_000]), np.array([9.0, 8.0])))
     asked = []
     seek = bm25.Cursor.seek
     monkeypatch.setattr(bm25.Cursor, "seek", lambda c, d: asked.append(d) or seek(c, d))
