@@ -13,8 +13,8 @@ whichever shared store the folder names.
 The tokenizers library encodes every distinct word once while a task remembers it (a bounded table). Words
 are cut only where the vocabulary's own rule always cuts: before a single space between two other
 characters, and around a run of letters, stops or a single line break next to one of these. All else
-stays together. Several new words go to the library as one string and are told apart in its ids by
-the leading space, or the line break put between them.
+stays together. A run of letters or of stops is one piece of the vocabulary's own cut and goes straight to
+the library's model, in the byte alphabet of byte-level vocabularies; other words are encoded as texts.
 
 Defined results: a NULL text counts as empty and is the end id alone; NULL ids come first; rows of equal
 id are ordered by text; an empty table gives an index without files; further columns are ignored.
@@ -28,6 +28,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
@@ -40,14 +41,13 @@ from .common import by_chars, scratch_path
 
 END = 0
 MAGIC = b"CLTOKID1"
-WORDS, CHARS, IDS = 500_000, 1_000_000, 4_000_000
+WORDS, CHARS, IDS = 800_000, 1_000_000, 4_000_000
 # Latin letters, and stops that belong to no contraction.
 LETTER, STOP = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
 WORD = re.compile(rf" ?[{LETTER}]+(?=[ {STOP}\n]|\Z)|[{STOP}]+(?=[ \n]|\Z)|\n(?=\S)| ?[^ ]+")
 SPACES = re.compile(r"\s\s|\s\Z")                 # white space that the pattern above does not treat
 ANY_WORD = re.compile(r"(?<=\S)(?= \S)")
-SPACE = re.compile(r"\s")
-JOIN = 500           # new words of one string
+PIECE = re.compile(rf" ?(?:[{LETTER}]+|[{STOP}]+)")
 
 
 def tokenizer_path() -> str:
@@ -74,11 +74,11 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        #: Whether an id's token starts with a space, and the id of a line break.
-        self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.starts[i] = token.startswith("Ġ")
-        self.line, = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        #: Letters, stops and the space in the byte alphabet: a printable byte is itself, the others
+        #: follow from U+0100 on in their order.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*plain}))}
+        self.alphabet = {c: "".join(byte[b] for b in chr(c).encode()) for c in range(256)}
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self._forget()
 
@@ -86,46 +86,25 @@ class Encoder:
         self.words, self.start, self.count = _Table(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
-    def _joined(self, words: list[str], mark: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words and how many each has; ``mark`` goes before each and is not kept."""
-        lines = [mark + mark.join(words[i:i + JOIN]) for i in range(0, len(words), JOIN)]
-        got = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-        ids = np.concatenate(got) if got else np.zeros(0, np.int64)
-        if mark:
-            first = ids == self.line
-            number = np.cumsum(first)[~first] - 1
-            return ids[~first], np.bincount(number, minlength=len(words))
-        return ids, np.diff(np.r_[np.flatnonzero(self.starts[ids]), len(ids)])
-
     def _learn(self) -> None:
         """Encodes the words met for the first time."""
         new, self.words.new = self.words.new, []
         if not new:
             return
-        kinds: tuple[list[int], list[int], list[int]] = [], [], []
-        for i, w in enumerate(new):
-            plain = w[1:] if w[0] == " " else w
-            kinds[2 if not plain or not plain.isprintable() or SPACE.search(plain) else w[0] != " "].append(i)
-        ids, size, at = [], np.zeros(len(new), np.int64), []
-        for kind, mark in ((0, ""), (1, "\n")):
-            flat, n = self._joined([new[i] for i in kinds[kind]], mark)
-            if len(n) != len(kinds[kind]):
-                raise AssertionError("words and ids do not match")
-            ids.append(flat)
-            size[kinds[kind]] = n
-            at += kinds[kind]
-        for i in kinds[2]:
-            ids.append(np.array(self.tokenizer.encode(new[i], add_special_tokens=False).ids, np.int64))
-            size[i] = len(ids[-1])
-        at += kinds[2]
-        flat = np.concatenate(ids).astype(self.dtype)
-        start = np.zeros(len(new), np.int64)
-        start[at] = self.used + np.cumsum(size[at]) - size[at]
+        model, got = self.tokenizer.model, []
+        for w in new:
+            if PIECE.fullmatch(w):
+                got.append([t.id for t in model.tokenize(w.translate(self.alphabet))])
+            else:
+                got.append(self.tokenizer.encode(w, add_special_tokens=False).ids)
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter(chain.from_iterable(got), self.dtype, int(size.sum()))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
         self.pool[self.used:self.used + len(flat)] = flat
+        self.start = np.r_[self.start, self.used + np.cumsum(size) - size]
+        self.count = np.r_[self.count, size]
         self.used += len(flat)
-        self.start, self.count = np.r_[self.start, start], np.r_[self.count, size]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
@@ -143,6 +122,12 @@ class Encoder:
         return np.insert(ids, total, END), size + 1
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: str) -> Encoder:
+    """One encoder a worker process: its table of words serves the tasks that come after."""
+    return Encoder(tokenizer)
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The folder with its scheme, as the session's Hadoop configuration resolves it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -173,7 +158,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
             if not b.num_rows:
                 continue
             if encoder is None:
-                encoder = Encoder(model)
+                encoder = _encoder(model)
                 fs, folder = _store(uri)
                 bin_file = fs.open_output_stream(f"{folder}/{name}.bin")
             texts = [t or "" for t in b.column(1).to_pylist()]

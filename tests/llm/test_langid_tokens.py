@@ -105,6 +105,18 @@ def test_bounded_table_of_words(monkeypatch):
         assert flat.tolist() == ids and size.tolist() == [len(ids)]
 
 
+def test_pieces_are_cut_as_the_library_cuts(spark):
+    with open(token_files.tokenizer_path(), encoding="utf-8") as f:
+        e = token_files.Encoder(f.read())
+    chars = "abZÀéÿ×÷ ,.!?\n'1²_-\u00a0日🙂\"s"
+    r = np.random.default_rng(3)
+    texts = ["".join(r.choice(list(chars), r.integers(0, 30))) for _ in range(4000)]
+    flat, size = e.encode(texts)
+    got = np.split(flat, np.cumsum(size)[:-1])
+    for t, ids, expected in zip(texts, got, by_library(texts), strict=True):
+        assert ids.tolist() == expected, repr(t)
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.summary(empty).collect() == []
