@@ -7,6 +7,10 @@ and the mean length - the same for every shard - each shard finds its own top k
 the best k of all shards are the result. Scores do not depend on the sharding, so the merge is exact.
 Of equal scores the smaller id comes first.
 
+So that shards without good documents need not look for ten of their own, a first pass scores, over all
+shards, the documents that hold a query's rarest terms; the k-th best of them is a lower bound of the
+final k-th score, and every shard's WAND starts with it as its threshold.
+
 A term is a run of word characters in lower case, named by its 64-bit XXH64.
 
 Defined results: rows without an id are not indexed and no query; a NULL or empty text, and a query none
@@ -36,6 +40,7 @@ END = 1 << 62                 # after every document
 BLOCK = 64                    # postings under one block maximum
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
+PROBE = 50                    # postings of the first pass, for each of the k results
 QUERY_BLOCK = 50_000          # queries whose terms are sent to the tasks at a time
 TERM_BLOCK = 1_000_000        # terms whose frequencies are counted at a time
 WORD = re.compile(r"\w+")
@@ -179,14 +184,13 @@ class Cursor:
         return docs[at] if at < len(docs) else END
 
 
-def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
-    """The k best (score, document), by block-max WAND; of equal scores the smaller document.
+def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float, int]]:
+    """The k best (score, document) above ``least``, by block-max WAND; of equal scores the smaller document.
 
     Documents come in ascending order, so one that only equals the k-th score cannot enter any more: a
     document is looked at only where the bound of the lists up to the pivot is above that score.
     """
     heap: list[tuple[float, int]] = []
-    least = 0.0
     slack = 1 + 1e-9  # sums over the lists by document add up in another order than scores
     live = [(c.of.docs[0], i) for i, c in enumerate(cursors)]
     while live:
@@ -220,12 +224,10 @@ def wand(cursors: list[Cursor], k: int) -> list[tuple[float, int]]:
             score = 0.0
             for i in here:
                 score += cursors[i].of.score[cursors[i].at]
-            if len(heap) < k:
-                heapq.heappush(heap, (score, -doc))
-            elif score > least:
-                heapq.heapreplace(heap, (score, -doc))
-            if len(heap) == k:
-                least = heap[0][0]
+            if score > least:
+                (heapq.heappush if len(heap) < k else heapq.heapreplace)(heap, (score, -doc))
+                if len(heap) == k:
+                    least = heap[0][0]
             live = [(d if d != doc else cursors[i].seek(doc + 1), i) for d, i in live]
         else:
             live = [(cursors[i].seek(doc) if d < doc else d, i) for d, i in live]
@@ -242,28 +244,100 @@ class Shard:
         self.posts, self.counts = np.frombuffer(row["posts"], "<u2"), np.frombuffer(row["counts"], "<u4")
         self.norm = K1 * (1 - B + B * np.frombuffer(row["lengths"], "<i4") / max(mean, 1e-9))
 
-    def postings(self, at: int, weight: float) -> Postings:
-        s, e = (int(self.ends[at - 1]) if at else 0), int(self.ends[at])
-        docs, tf = self.posts[s:e], self.counts[s:e].astype(np.float64)
-        return Postings(docs.astype(np.int64), weight * tf * (K1 + 1) / (tf + self.norm[docs]))
-
-    def search(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> Iterator[tuple[int, float, int]]:
-        """(query number, score, doc_id) of each query's top k here; query i has the terms from first[i] on."""
-        if not len(self.terms):
+    def matched(self, q: "Queries") -> None:
+        """Scores of all postings of the queries' terms that occur here, list by list."""
+        at = np.minimum(np.searchsorted(self.terms, q.term), len(self.terms) - 1)
+        hit = np.flatnonzero(self.terms[at] == q.term)
+        lists, first, self.of = np.unique(at[hit], return_index=True, return_inverse=True)
+        start = np.where(lists > 0, self.ends[lists - 1], 0).astype(np.int64)
+        size = self.ends[lists] - start
+        self.cut = np.r_[0, np.cumsum(size)]
+        place = np.repeat(start - self.cut[:-1], size) + np.arange(self.cut[-1])
+        self.at, tf = self.posts[place].astype(np.int64), self.counts[place].astype(np.float64)
+        self.score = np.repeat(q.weight[hit[first]], size) * tf * (K1 + 1) / (tf + self.norm[self.at])
+        self.most = np.maximum.reduceat(self.score, self.cut[:-1]) if len(lists) else np.zeros(0)
+        self.hit, self.made = hit, {}
+        query = np.searchsorted(q.first, hit, "right") - 1
+        self.query_cut = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(hit) else np.zeros(1, int)
+        self.query = query[self.query_cut[:-1]]
+
+    def postings(self, n: int) -> Postings:
+        if n not in self.made:
+            s, e = self.cut[n], self.cut[n + 1]
+            self.made[n] = Postings(self.at[s:e], self.score[s:e])
+        return self.made[n]
+
+    def probe(self, q: Queries, k: int) -> Iterator[tuple[int, float, int]]:
+        """(query number, score, document) of the k best documents among those with a query's rarest terms."""
+        rare = q.rare[self.hit]
+        for i, (s, e) in enumerate(zip(self.query_cut[:-1].tolist(), self.query_cut[1:].tolist(), strict=True)):
+            some = self.of[s:e][rare[s:e]]
+            if not len(some):
+                continue
+            docs = np.unique(np.concatenate([self.at[self.cut[n]:self.cut[n + 1]] for n in some]))
+            score = np.zeros(len(docs))
+            for n in self.of[s:e].tolist():  # in the order of the query's terms, as in ``wand``
+                own = self.at[self.cut[n]:self.cut[n + 1]]
+                at = np.minimum(np.searchsorted(own, docs), len(own) - 1)
+                score += np.where(own[at] == docs, self.score[self.cut[n] + at], 0.0)
+            for j in np.argsort(-score, kind="stable")[:k].tolist():
+                yield int(self.query[i]), float(score[j]), int(self.docs[docs[j]])
+
+    def search(self, q: Queries, k: int) -> Iterator[tuple[int, float, int]]:
+        """(query number, score, doc_id) of each query's top k here, from its ``least`` score on."""
+        if not len(self.hit):
             return
-        at = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
-        hit = np.flatnonzero(self.terms[at] == term)
-        query = np.searchsorted(first, hit, "right") - 1
-        lists: dict[tuple[int, float], Postings] = {}  # queries share terms
-        cuts = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(hit) else []
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            cursors = []
-            for key in zip(at[hit[s:e]].tolist(), weight[hit[s:e]].tolist(), strict=True):
-                if key not in lists:
-                    lists[key] = self.postings(*key)
-                cursors.append(Cursor(lists[key]))
-            for score, doc in wand(cursors, k):
-                yield int(query[s]), score, int(self.docs[doc])
+        bound = np.add.reduceat(self.most[self.of], self.query_cut[:-1]) * (1 + 1e-9)
+        for i in np.flatnonzero(bound > q.least[self.query]).tolist():
+            cursors = [Cursor(self.postings(n)) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
+            for score, doc in wand(cursors, k, float(q.least[self.query[i]])):
+                yield int(self.query[i]), score, int(self.docs[doc])
+
+
+class Queries:
+    """A block of queries as arrays: query i asks for the terms from first[i] on; its least score."""
+
+    def __init__(self, rows: pa.Table, least: pa.Table | None, k: int):
+        query, term, weight, df = (rows[c].to_numpy() for c in ("query_id", "term", "weight", "df"))
+        order = np.lexsort((term, query))
+        query, self.term, self.weight, df = query[order], term[order].view(np.uint64), weight[order], df[order]
+        self.names, self.first, size = np.unique(query, return_index=True, return_counts=True)
+        # The rarest terms of a query, PROBE * k postings in all (and its rarest one anyway).
+        by = np.lexsort((self.term, df, query))
+        upto = np.cumsum(df[by])
+        start = np.repeat(upto[self.first] - df[by][self.first], size)
+        self.rare = np.zeros(len(query), bool)
+        self.rare[by] = upto - start <= PROBE * k
+        self.rare[by[self.first]] = True
+        self.least = np.zeros(len(self.names))
+        if least is not None:
+            at = np.searchsorted(self.names, least["query_id"].to_numpy())
+            self.least[at] = np.nextafter(least["score"].to_numpy(), 0.0)  # equal scores may still enter
+
+
+def _per_shard(index: DataFrame, q: Queries, mean: float, k: int, probe: bool) -> DataFrame:
+    """(query_id, doc_id, score): each task's k best documents of every query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[tuple[float, int]]] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard = Shard(batch.slice(i, 1).to_pylist()[0], mean)
+                if len(shard.terms):
+                    shard.matched(q)
+                    for n, score, doc in (shard.probe if probe else shard.search)(q, k):
+                        best.setdefault(n, []).append((score, doc))
+        rows = [(int(q.names[n]), d, s) for n, x in best.items() for s, d in sorted(x, key=lambda y: (-y[0], y[1]))[:k]]
+        cols = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
+                                         ["query_id", "doc_id", "score"])
+
+    return index.mapInArrow(run, "query_id long, doc_id long, score double")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    return rows.withColumn("rank", F.row_number().over(w))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int | None = None,
@@ -282,33 +356,17 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int |
     if most_terms is not None:
         w = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("weight")), "term")
         weighted = weighted.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most_terms)
-    weighted = materialize(weighted.select("query_id", "term", "weight"), "bm25-queries")
+    weighted = materialize(weighted.select("query_id", "term", "weight", "df"), "bm25-queries")
     blocks = max(1, -(-weighted.select("query_id").distinct().count() // QUERY_BLOCK))
     mean = tokens / max(n, 1)
     out = None
     for b in range(blocks):
         # Bounded: the terms of at most about QUERY_BLOCK queries at a time go to the tasks.
-        t = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
-        query, term, weight = (t[c].to_numpy() for c in ("query_id", "term", "weight"))
-        order = np.lexsort((term, query))
-        query, term, weight = query[order], term[order].view(np.uint64), weight[order]
-        names, first = np.unique(query, return_index=True)
-
-        def run(batches: Iterator[pa.RecordBatch], names=names, first=first, term=term, weight=weight) -> Iterator[pa.RecordBatch]:
-            best: dict[int, list[tuple[float, int]]] = {}
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    for q, score, doc in Shard(batch.slice(i, 1).to_pylist()[0], mean).search(first, term, weight, k):
-                        best.setdefault(q, []).append((score, doc))
-            rows = [(int(names[q]), d, s) for q, x in best.items() for s, d in sorted(x, key=lambda y: (-y[0], y[1]))[:k]]
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
-                                             ["query_id", "doc_id", "score"])
-
-        part = index.mapInArrow(run, "query_id long, doc_id long, score double")
+        rows = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
+        least = _ranked(_per_shard(index, Queries(rows, None, k), mean, k, True)).filter(F.col("rank") == k)
+        part = _per_shard(index, Queries(rows, least.select("query_id", "score").toArrow(), k), mean, k, False)
         out = part if out is None else out.unionByName(part)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    return _ranked(out).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
 def summary(docs: DataFrame) -> DataFrame:

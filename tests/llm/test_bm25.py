@@ -75,7 +75,9 @@ def test_wand_in_small_blocks(monkeypatch):
                 scores[d] += x
         k = int(r.integers(1, 8))
         expected = sorted(((-s, d) for d, s in scores.items()))[:k]
-        assert sorted((-s, d) for s, d in bm25.wand([bm25.Cursor(bm25.Postings(*x)) for x in lists], k)) == expected, seed
+        for least in (0.0, np.nextafter(-expected[-1][0], 0.0)):
+            got = bm25.wand([bm25.Cursor(bm25.Postings(*x)) for x in lists], k, least)
+            assert sorted((-s, d) for s, d in got) == expected, seed
 
 
 def test_wand_skips(monkeypatch):
