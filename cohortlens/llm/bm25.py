@@ -37,6 +37,7 @@ from .common import by_chars, materialize
 K1, B = 1.2, 0.75
 TOP, QUERY_TERMS = 10, 16
 END = 1 << 62                 # after every document
+DENSE = 16                     # blocks whose documents lie at most so many blocks apart are scored together
 BLOCK = 64                    # postings under one block maximum
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
@@ -159,10 +160,11 @@ def totals(index: DataFrame) -> tuple[int, int]:
 class Postings:
     """One term's postings in a shard: scores, block maxima and the last document of each block."""
 
-    __slots__ = ("docs", "last", "most", "score", "top")
+    __slots__ = ("arrays", "docs", "last", "most", "score", "top")
 
     def __init__(self, docs: np.ndarray, score: np.ndarray):
         starts = np.arange(0, len(docs), BLOCK)
+        self.arrays = docs, score
         self.docs, self.score = docs.tolist(), score.tolist()
         self.top = np.maximum.reduceat(score, starts).tolist()
         self.last = docs[np.minimum(starts + BLOCK, len(docs)) - 1].tolist()
@@ -188,7 +190,8 @@ def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float,
     """The k best (score, document) above ``least``, by block-max WAND; of equal scores the smaller document.
 
     Documents come in ascending order, so one that only equals the k-th score cannot enter any more: a
-    document is looked at only where the bound of the lists up to the pivot is above that score.
+    document is looked at only where the bound of the lists up to the pivot is above that score. Where the
+    pivot's blocks are dense, the documents up to the next block border are scored together.
     """
     heap: list[tuple[float, int]] = []
     slack = 1 + 1e-9  # sums over the lists by document add up in another order than scores
@@ -219,6 +222,22 @@ def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float,
                 to = min(to, live[pivot + 1][0])
             to = max(to, doc + 1) if end == END else to
             live = [(d if j > pivot else cursors[i].seek(to), i) for j, (d, i) in enumerate(live)]
+        elif end - doc < DENSE * BLOCK:
+            scores = np.zeros(end + 1 - doc)
+            after = []
+            for i in sorted(i for _, i in live):  # in the order of the query's terms
+                c, (docs, score) = cursors[i], cursors[i].of.arrays
+                s = bisect_left(c.of.docs, doc, c.at)
+                e = c.at = bisect_left(c.of.docs, end + 1, s)
+                scores[docs[s:e] - doc] += score[s:e]
+                after.append((c.of.docs[e] if e < len(docs) else END, i))
+            live = after
+            for at in np.flatnonzero(scores > least).tolist():
+                score = float(scores[at])
+                if score > least:
+                    (heapq.heappush if len(heap) < k else heapq.heapreplace)(heap, (score, -doc - at))
+                    if len(heap) == k:
+                        least = heap[0][0]
         elif live[0][0] == doc:
             here = sorted(i for d, i in live if d == doc)  # in the order of the query's terms
             score = 0.0
