@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cohortlens.operators import (active_by_month, first_period, month_spine,  # noqa: E402
-                                  spine_horizon, without_successor)
+                                  without_successor)
 from cohortlens.plans import intermediate, models  # noqa: E402
 from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs  # noqa: E402
 from cohortlens.sources.fixtures import app_key  # noqa: E402
@@ -92,10 +92,9 @@ def b07_month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b08_active_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     iv = _all_intervals(spark, sf_dir)
     spine = month_spine(iv, "maintenance_start_date")
-    horizon = spine_horizon(iv, "maintenance_start_date")
     active = iv.filter(F.upper("status") == F.lit("ACTIVE"))
     return active_by_month(active, spine, ["addon_name"], "company", "maintenance_start_date",
-                           "maintenance_end_date", horizon, out="active_customer_count")
+                           "maintenance_end_date", out="active_customer_count")
 
 
 def b09_first_period(spark: SparkSession, sf_dir: str) -> DataFrame:

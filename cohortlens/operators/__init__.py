@@ -3,7 +3,7 @@
 from .cohorts import cohort_conversion, outcome_label
 from .counting import conditional_counts, exclude_values
 from .intervals import (active_by_month, first_period, latest_start, month_of, month_spine,
-                        spine_horizon, without_successor)
+                        without_successor)
 from .ranking import latest_per_key
 from .resolution import resolve_entities
 from .revenue import churn_trigger, retention_ratios, retention_rollup, revenue_parts
@@ -13,5 +13,5 @@ __all__ = [
     "active_by_month", "attach_group_avg", "churn_trigger", "cohort_conversion",
     "conditional_counts", "exclude_values", "first_period", "latest_per_key", "latest_start",
     "month_of", "month_spine", "outcome_label", "period_delta", "resolve_entities",
-    "retention_ratios", "retention_rollup", "revenue_parts", "spine_horizon", "without_successor",
+    "retention_ratios", "retention_rollup", "revenue_parts", "without_successor",
 ]

@@ -27,11 +27,6 @@ def month_spine(df: DataFrame, date_col: str, out: str = "month") -> DataFrame:
     return df.select(month_of(date_col).alias(out)).filter(F.col(out).isNotNull()).distinct()
 
 
-def spine_horizon(df: DataFrame, date_col: str) -> _dt.date | None:
-    """Last month present in ``date_col``: one small aggregate (a single scalar to the driver)."""
-    return df.agg(F.max(month_of(date_col))).first()[0]
-
-
 def month_index(c: Column | str) -> Column:
     """Months since year 0 (year * 12 + month - 1) as int: a cheap integer form of a month."""
     d = F.to_date(col_of(c))
@@ -45,35 +40,32 @@ def month_from_index(c: Column | str) -> Column:
 
 
 def active_by_month(intervals: DataFrame, spine: DataFrame, group: Sequence[str], entity: str,
-                    start: str, end: str, horizon: _dt.date | None, out: str = "active_count",
-                    month: str = "month", open_end: _dt.date = OPEN_END_DATE) -> DataFrame:
+                    start: str, end: str, out: str = "active_count", month: str = "month",
+                    open_end: _dt.date = OPEN_END_DATE) -> DataFrame:
     """Distinct ``entity`` per (spine month, ``group``) whose interval covers the whole month
     up to its last day: ``start <= last_day(m)`` and ``coalesce(end, open_end) >= last_day(m)``.
 
     Filter the interval rows you want counted (e.g. by status) before calling.
 
-    Instead of a theta join of every interval with every spine month (a nested-loop join, rows x
-    months), each interval is expanded to the months it covers, as integer month indexes with
-    ``sequence``, clipped to ``horizon`` (the last spine month) so open intervals stay finite, and
-    kept when the month is in the spine (left-semi on a broadcast of the spine, whose size is
-    bounded by the calendar). Cost is proportional to covered months only. The distinct count
-    aggregates on (month, group, entity) before the final shuffle on (month, group).
+    The spine becomes one value, a sorted array of month indexes (bounded by the calendar), in a scalar
+    subquery; each interval keeps the array's months it covers and is expanded to those. An interval adds rows by the spine's length, whatever its dates, no interval is clipped,
+    and no job runs while the plan is built. The distinct count aggregates on (month, group, entity)
+    before the final shuffle on (month, group).
     """
     eff_end = F.coalesce(F.col(end), F.lit(open_end))
     lo = month_index(start)
     # Last month whose last day is still covered.
     hi = month_index(eff_end) - F.when(F.last_day(eff_end) == eff_end, F.lit(0)).otherwise(F.lit(1))
-    if horizon is not None:
-        hi = F.least(hi, month_index(F.lit(horizon)))
     idx = "_month_idx"
-    months = (intervals
-              .filter(F.col(start).isNotNull())
-              .select(*group, entity, lo.alias("_lo"), hi.alias("_hi"))
-              .filter(F.col("_hi") >= F.col("_lo"))
-              .select(*group, entity, F.explode(F.sequence("_lo", "_hi")).alias(idx)))
-    spine_idx = spine.select(month_index(month).alias(idx))
-    months = months.join(F.broadcast(spine_idx), idx, "left_semi")
-    counts = months.groupBy(idx, *group).agg(F.count_distinct(entity).alias(out))
+    months = spine.agg(F.sort_array(F.collect_set(month_index(month)))).scalar()
+    covered = (intervals
+               .filter(F.col(start).isNotNull())
+               .select(*group, entity, lo.alias("_lo"), hi.alias("_hi"),
+                       months.alias("_spine"))
+               .filter(F.col("_hi") >= F.col("_lo"))
+               .select(*group, entity, F.explode(F.filter(
+                   "_spine", lambda m: (m >= F.col("_lo")) & (m <= F.col("_hi")))).alias(idx)))
+    counts = covered.groupBy(idx, *group).agg(F.count_distinct(entity).alias(out))
     return counts.select(month_from_index(idx).alias(month), *group, out)
 
 

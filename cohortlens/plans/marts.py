@@ -14,7 +14,7 @@ from ..functions.scoring import (flags_sum, pattern_map, recency_points, saturat
 from ..functions.text import clean_text, normalize_key
 from ..operators.cohorts import cohort_conversion, outcome_label
 from ..operators.intervals import (active_by_month, first_period, month_of, month_spine,
-                                   spine_horizon, without_successor)
+                                   without_successor)
 from ..operators.revenue import churn_trigger, retention_ratios, retention_rollup, revenue_parts
 from ..operators.windows import attach_group_avg, period_delta
 
@@ -117,23 +117,20 @@ def churned_by_month(intervals: DataFrame, month: str = "month",
     return churned.groupBy(month, "addon_name").agg(F.count(F.lit(1)).alias("churned_customers"))
 
 
-def active_customers(licenses: DataFrame, dim: DataFrame | None, horizon: _dt.date | None = None,
+def active_customers(licenses: DataFrame, dim: DataFrame | None,
                      cfg: Config = Config(), keys: DataFrame | None = None) -> DataFrame:
     """Per (month, product): active customers (ACTIVE and covered through month end), new
     customers (first start in the month), churned customers (ended, no later ACTIVE start), and the
     change in active count from the previous present month.
 
     Months come from licence starts only, and months without an active customer are absent (the
-    counts start from the active side). ``horizon`` (last spine month) clips open intervals; when not
-    given it is read with one scalar aggregate over the licence start dates. ``keys`` may replace
+    counts start from the active side). ``keys`` may replace
     ``dim`` by its licence-backed keys (:func:`licence_backed_keys`).
     """
     iv = customer_intervals(licenses, dim, keys)
     spine = month_spine(iv, "maintenance_start_date")
-    if horizon is None:
-        horizon = spine_horizon(licenses, "maintenance_start_date")
     active = active_by_month(iv.filter(_active_status()), spine, ["addon_name"], "company",
-                             "maintenance_start_date", "maintenance_end_date", horizon,
+                             "maintenance_start_date", "maintenance_end_date",
                              out="active_customer_count", open_end=cfg.open_end_date)
     new = first_period(iv, KEY, "maintenance_start_date", ["addon_name"], out="new_customers")
     churned = churned_by_month(iv, open_end=cfg.open_end_date)
@@ -254,7 +251,7 @@ def feature_outcomes(usage: DataFrame, trials: DataFrame, cfg: Config = Config()
     group averages)."""
     sig = lifecycle_signals(trials).withColumnRenamed("company", "_c").withColumnRenamed(
         "addon_name", "_a")
-    u = usage.withColumn("addon_name", clean_text("product"))
+    u = usage.withColumnRenamed("product", "addon_name")
     src = u.join(sig, (u.company == sig._c) & (u.addon_name == sig._a), "left")
     outcome = outcome_label([
         (F.coalesce("has_converted", F.lit(0)) == 1, CONVERTED),
@@ -289,13 +286,13 @@ def customer_health(dim: DataFrame, usage: DataFrame, trials: DataFrame, as_of=N
     """0-100 health per customer = recency + engagement + feature adoption + licence health
     (25 points each), and its tier. ``as_of`` replaces the wall clock (default: current_date)."""
     today = _as_of(as_of if as_of is not None else cfg.as_of)
-    d = dim.select("company", clean_text("addon_name").alias("addon_name"), "match_type",
+    d = dim.select("company", "addon_name", "match_type",
                    F.col("status").alias("_dim_status"), "tier").filter(
         F.col("addon_name").isNotNull())
     feats = cfg.feature_columns
-    u = usage.select(F.col("company").alias("_uc"), clean_text("product").alias("_up"),
+    u = usage.select(F.col("company").alias("_uc"), F.col("product").alias("_up"),
                      "last_event_date", "distinct_users", *feats)
-    t = trial_summary(trials).select(F.col("company").alias("_tc"), clean_text("addon_name")
+    t = trial_summary(trials).select(F.col("company").alias("_tc"), F.col("addon_name")
                                      .alias("_ta"), "current_status", "latest_trial_end_date")
     src = (d.join(u, (d.company == u._uc) & (d.addon_name == u._up), "left")
            .join(t, (d.company == t._tc) & (d.addon_name == t._ta), "left"))

@@ -27,7 +27,6 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
     for k, v in DEFAULTS.items():
         if spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
@@ -64,8 +63,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    # Small local data: AQE would merge post-shuffle partitions up to 1 MB of *input*, which puts a
-    # generator stage (interval -> months, about 5x the rows) on a single core. Cluster sessions keep
-    # their own setting.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
     return configure(spark)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
+from .io import conform
 from .schemas import EVENTS_RAW, LICENSES_RAW, TRANSACTIONS_RAW
 
 # --- Fixed values of the fixture views ----------------------------------------------------------
@@ -44,14 +45,6 @@ def _pick(index: Column, values: tuple[str, ...], default=None) -> Column:
     return out
 
 
-def _conform(df: DataFrame, schema) -> DataFrame:
-    present = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
-
-
 _CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -72,41 +65,13 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _CACHE[key]
 
 
-def spread(df: DataFrame, min_partitions: int, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` over ``min_partitions`` tasks when its scan yields fewer
-    splits.
-
-    A parquet file with a single row group cannot be split, so a whole table would be processed by
-    one task. Hash partitioning (unlike round-robin) needs no sort to stay deterministic on retry.
-    On cluster-sized inputs a scan has far more splits than cores and this is a no-op.
-    """
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(min_partitions, key) if n < min_partitions else df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None,
-          key: str | None = None) -> DataFrame:
-    def build() -> DataFrame:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if min_partitions and key:
-            df = spread(df, min_partitions, key)
-        return df
-    return _memo(spark, sf_dir, f"table:{name}:{min_partitions}", build)
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return 0  # unknown: do not spread
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _memo(spark, sf_dir, f"table:{name}", lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw licences: one per order, company and tier from the ordering customer."""
-    o = table(spark, sf_dir, "orders", _parallelism(spark), "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k = F.col("o_orderkey")
@@ -138,12 +103,12 @@ def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 5 < 2, F.date_add(F.date_sub(d, 30), (k % 23).cast("int")))
          .alias("evaluation_sale_date"),
     )
-    return _conform(out, LICENSES_RAW)
+    return conform(out, LICENSES_RAW, optional=LICENSES_RAW.fieldNames())
 
 
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product events: January-2024 clicks spread back over the order years, users -> customers."""
-    e = table(spark, sf_dir, "events", _parallelism(spark), "event_id").select("event_id", "ts", "user_id", "props")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     j = e.join(c, c.c_custkey == F.floor(e.user_id / F.lit(3)), "left")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -161,12 +126,12 @@ def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("c_name")).alias("user_property_company"),
         (eid % 1000).cast("bigint").alias("session_id"),
     )
-    return _conform(out, EVENTS_RAW)
+    return conform(out, EVENTS_RAW, optional=EVENTS_RAW.fieldNames())
 
 
 def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions: one per line item, on the licence of its order."""
-    li = table(spark, sf_dir, "lineitem", _parallelism(spark), "l_orderkey").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag",
         "l_linestatus", "l_shipdate")
     ok, rf, ls = F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_linestatus")
@@ -185,7 +150,7 @@ def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("decimal(38,0)")
          .alias("vendor_amount"),
     )
-    return _conform(out, TRANSACTIONS_RAW)
+    return conform(out, TRANSACTIONS_RAW, optional=TRANSACTIONS_RAW.fieldNames())
 
 
 class _LazyInputs(dict):

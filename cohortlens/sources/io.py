@@ -1,50 +1,78 @@
 """Source scans and table sinks.
 
-Reads always pass an explicit schema (never inferred: a numeric licence key inferred as double would
-become '100884.0' as text and break joins). Writes are full refreshes, like the original tables.
+Reads end in the declared schema, by column name; what would be lost on the way is an error. Writes are
+full refreshes, like the original tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import RAW_SCHEMAS
+from .schemas import raw_schema
 
 
 def read_source(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet",
                 table: str | None = None, schema: T.StructType | None = None,
+                optional: Iterable[str] = (), money_type: str = "decimal(38,0)",
                 **options) -> DataFrame:
     """Scan one raw source ('events', 'licenses', 'transactions') from files or a catalog table.
 
-    CSV/JSON use the declared schema; headered text (``fmt='csv'``) is read with ``header=true`` so a
-    header row never lands as data.
+    Columns are matched by name, without regard to case, and cast to the declared types; money has
+    ``money_type`` from the read on. A column that is absent and not ``optional``, and a value that its
+    type cannot hold, is an error, never a NULL. Headered text takes its columns from the header.
     """
-    schema = schema or RAW_SCHEMAS[name]
+    schema = schema or raw_schema(name, money_type)
     if table is not None:
-        return conform(spark.read.table(table), schema)
+        return conform(spark.read.table(table), schema, optional)
     if path is None:
         raise ValueError("give a path or a table")
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).option("mode", "FAILFAST")
     if fmt == "csv":
-        reader = reader.option("header", "true").schema(schema)
-    elif fmt in ("json",):
-        reader = reader.schema(schema)
+        reader = reader.option("header", "true")  # all columns as text, named by the header
+    elif fmt == "json":
+        reader = reader.option("primitivesAsString", "true")
     for k, v in options.items():
         reader = reader.option(k, v)
-    df = reader.load(path)
-    # Columnar sources and tables carry their own types; align names/types to the declared schema.
-    return df if fmt in ("csv", "json") else conform(df, schema)
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns in order, cast to the declared types; absent ones as NULL."""
-    from pyspark.sql import functions as F
-    present = set(df.columns)
-    return df.select([
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    return conform(reader.load(path), schema, optional)
+
+
+def conform(df: DataFrame, schema: T.StructType, optional: Iterable[str] = ()) -> DataFrame:
+    """The declared columns in order and of the declared types; ``optional`` ones may be absent (NULL)."""
+    present: dict[str, str] = {}
+    for c in df.columns:
+        if present.setdefault(c.lower(), c) != c:
+            raise ValueError(f"columns {present[c.lower()]} and {c} differ in case only")
+    may_lack = {c.lower() for c in optional}
+    lacking = [f.name for f in schema.fields if f.name.lower() not in present and f.name.lower() not in may_lack]
+    if lacking:
+        raise ValueError(f"missing columns: {', '.join(lacking)}")
+
+    def column(f: T.StructField) -> Column:
+        if f.name.lower() not in present:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        name = present[f.name.lower()]
+        return _cast(F.col(f"`{name}`"), df.schema[name].dataType, f).alias(f.name)
+
+    return df.select([column(f) for f in schema.fields])
+
+
+def _cast(c: Column, source: T.DataType, f: T.StructField) -> Column:
+    """``c`` as the declared type; a value that does not fit is an error."""
+    if source == f.dataType or isinstance(source, T.NullType):
+        return c.cast(f.dataType)
+    text = isinstance(f.dataType, T.StringType)
+    if text and isinstance(source, (T.FloatType, T.DoubleType, T.DecimalType)):
+        # A key that came as a number: 100884.0 is '100884'; a fraction is no key.
+        whole = c.try_cast("decimal(38,0)")
+        out = F.when(whole.cast("double") == c.cast("double"), whole.cast("string"))
+    else:
+        out = c.try_cast(f.dataType)
+    bad = F.raise_error(F.concat(F.lit(f"{f.name}: not a {f.dataType.simpleString()}: "), c.cast("string")))
+    return F.when(c.isNull() | out.isNotNull(), out).otherwise(bad.cast(f.dataType))
 
 
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,

@@ -53,3 +53,11 @@ TRANSACTIONS_RAW = T.StructType([
 ])
 
 RAW_SCHEMAS = {"events": EVENTS_RAW, "licenses": LICENSES_RAW, "transactions": TRANSACTIONS_RAW}
+
+
+def raw_schema(name: str, money_type: str = "decimal(38,0)") -> T.StructType:
+    """The declared schema of a raw source with its money columns of ``money_type``."""
+    precision, scale = (int(x) for x in money_type.strip()[len("decimal("):-1].split(","))
+    money = T.DecimalType(precision, scale)
+    return T.StructType([T.StructField(f.name, money if f.dataType == MONEY else f.dataType)
+                         for f in RAW_SCHEMAS[name].fields])

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+from decimal import Decimal
+
+import pytest
 
 from cohortlens.sources import LICENSES_RAW, raw_inputs, read_source, write_table
+from cohortlens.sources.schemas import EVENTS_RAW, TRANSACTIONS_RAW
 from tests.conftest import SF001
 from tools.oracle_check import canonical
 
@@ -29,16 +33,48 @@ def test_headered_csv_equals_parquet(spark, scratch):
     assert rows(stage_licenses(a)) == rows(stage_licenses(b))
 
 
-def test_parquet_with_missing_columns_is_conformed(spark, scratch):
+ALL = LICENSES_RAW.fieldNames()
+
+
+def test_missing_columns_are_an_error_unless_optional(spark, scratch):
     p = os.path.join(scratch, "partial")
-    spark.createDataFrame([("k1", "Acme")], "license_id string, company string").write.parquet(p)
-    df = read_source(spark, "licenses", path=p)
-    assert df.columns == LICENSES_RAW.fieldNames()
+    spark.createDataFrame([("k1", "Acme")], "LICENSE_ID string, Company string").write.parquet(p)
+    with pytest.raises(ValueError, match="missing columns: addon_license_id"):
+        read_source(spark, "licenses", path=p)
+    df = read_source(spark, "licenses", path=p, optional=ALL)
+    assert df.columns == ALL
     r = df.first()
     assert r.license_id == "k1" and r.company == "Acme" and r.tier is None
 
 
+def test_float_keys_are_whole_numbers(spark):
+    spark.createDataFrame([(100884.0,), (None,)], "license_id double").createOrReplaceTempView("float_keys")
+    assert [r[0] for r in read_source(spark, "licenses", table="float_keys", optional=ALL).select("license_id").collect()] == ["100884", None]
+    spark.createDataFrame([(1.5,)], "license_id double").createOrReplaceTempView("float_keys")
+    with pytest.raises(Exception, match="license_id: not a string"):
+        read_source(spark, "licenses", table="float_keys", optional=ALL).select("license_id").collect()
+
+
+def test_money_keeps_its_cents(spark):
+    spark.createDataFrame([("12.50",)], "vendor_amount string").createOrReplaceTempView("cents")
+    df = read_source(spark, "transactions", table="cents", optional=TRANSACTIONS_RAW.fieldNames(), money_type="decimal(38,2)")
+    assert df.first().vendor_amount == Decimal("12.50")
+
+
+def test_csv_goes_by_header_and_fails_on_bad_cells(spark, scratch):
+    p = os.path.join(scratch, "events_csv")
+    spark.createDataFrame([("click", "e1", "7")], "event_type string, event_id string, session_id string") \
+        .write.option("header", "true").csv(p)
+    names = EVENTS_RAW.fieldNames()
+    r = read_source(spark, "events", path=p, fmt="csv", optional=names).first()
+    assert (r.event_id, r.event_type, r.session_id) == ("e1", "click", 7)
+    bad = os.path.join(scratch, "bad_csv")
+    spark.createDataFrame([("e1", "12.5x")], "event_id string, session_id string").write.option("header", "true").csv(bad)
+    with pytest.raises(Exception, match="session_id: not a bigint"):
+        read_source(spark, "events", path=bad, fmt="csv", optional=names).collect()
+
+
 def test_catalog_table_scan(spark):
     spark.createDataFrame([("k1",)], "license_id string").createOrReplaceTempView("raw_lic_view")
-    df = read_source(spark, "licenses", table="raw_lic_view")
+    df = read_source(spark, "licenses", table="raw_lic_view", optional=ALL)
     assert df.count() == 1 and df.schema == LICENSES_RAW
