@@ -191,9 +191,11 @@ def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float,
 
     Documents come in ascending order, so one that only equals the k-th score cannot enter any more: a
     document is looked at only where the bound of the lists up to the pivot is above that score. Where the
-    pivot's blocks are dense, the documents up to the next block border are scored together.
+    pivot's blocks are dense, the documents up to the next block border are scored together, and twice as
+    far each time that the bounds right after such a stretch do not let WAND skip.
     """
     heap: list[tuple[float, int]] = []
+    reach = 0
     slack = 1 + 1e-9  # sums over the lists by document add up in another order than scores
     live = [(c.of.docs[0], i) for i, c in enumerate(cursors)]
     while live:
@@ -216,13 +218,17 @@ def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float,
             if block < len(of.last):
                 bound += of.top[block]
                 end = min(end, of.last[block])
-        if bound <= least:  # no document up to the next block border can enter
+        if bound <= least:
+            reach = 0
+            # No document up to the next block border can enter.
             to = end + 1
             if pivot + 1 < len(live):
                 to = min(to, live[pivot + 1][0])
             to = max(to, doc + 1) if end == END else to
             live = [(d if j > pivot else cursors[i].seek(to), i) for j, (d, i) in enumerate(live)]
         elif end - doc < DENSE * BLOCK:
+            end = max(end, doc + reach)
+            reach = min(2 * (end + 1 - doc), SHARD_DOCS)
             scores = np.zeros(end + 1 - doc)
             after = []
             for i in sorted(i for _, i in live):  # in the order of the query's terms
