@@ -126,6 +126,13 @@ def b05_resolve_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*intermediate.ENTITY_COLS)
 
 
+def m03b_money_scale2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged transactions with the cents kept (``money_type`` of two places)."""
+    from cohortlens.plans import stage_transactions
+    return stage_transactions(raw_inputs(spark, sf_dir)["transactions"],
+                              FIXTURE_CONFIG.with_(money_type="decimal(38,2)"))
+
+
 def b06_conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales per product by type, with zero counts where a type is absent."""
     from cohortlens.operators import conditional_counts
@@ -162,6 +169,7 @@ def b18_exclude_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BLOCK_QUERIES = {
+    "m03b_money_scale2": m03b_money_scale2,
     "b05_resolve_entities": b05_resolve_entities,
     "b06_conditional_counts": b06_conditional_counts,
     "b11_period_delta": b11_period_delta,

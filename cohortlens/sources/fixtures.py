@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from .io import conform
-from .schemas import EVENTS_RAW, LICENSES_RAW, TRANSACTIONS_RAW
+from .schemas import EVENTS_RAW, LICENSES_RAW, raw_schema
 
 # --- Fixed values of the fixture views ----------------------------------------------------------
 # Event types picked by (event_id * 7 + user_id) % 31 = 0..16; every other residue is a page view.
@@ -29,6 +29,11 @@ FIXTURE_LICENSE_PRODUCTS = ("Alpha Suite", " beta suite ", "GAMMA SUITE")
 FIXTURE_SALE_PRODUCTS = ("Alpha Suite", "Beta Suite", "Gamma Suite")
 FIXTURE_TIERS = (("HOUSEHOLD", "Free"), ("MACHINERY", "Standard"), ("FURNITURE", "Professional"),
                  ("BUILDING", "Premium"))
+# The AUTOMOBILE segment has no tier, the largest tier or one of no known name, by nation.
+FIXTURE_OTHER_TIERS = (None, "Enterprise", "Legacy seat pack")
+FIXTURE_HOSTING = ("Cloud", " Server ", "Data Center", " ")
+FIXTURE_PLATFORMS = ("web", " ios", "android")
+FIXTURE_MONEY = "decimal(38,2)"
 FIXTURE_AS_OF = "2001-08-01"
 # Product vocabulary of the fixtures: short names map to the licence names; checklist features
 # belong to ALPHA SUITE, timesheet/time/timer/report features to BETA SUITE.
@@ -39,12 +44,21 @@ FIXTURE_CONFIG = Config().with_products(
 
 
 def _pick(index: Column, values: tuple[str, ...], default=None) -> Column:
-    out = F.lit(default)
+    out = F.lit(default).cast("string")
     for i in reversed(range(len(values))):
         out = F.when(index == i, F.lit(values[i])).otherwise(out)
     return out
 
 
+def _label(prefix: str, value: Column) -> Column:
+    return F.concat(F.lit(prefix), value.cast("string"))
+
+
+def _money(count: Column, unit: str) -> Column:
+    """``count`` times ``unit`` (a decimal literal of two places), exact."""
+    return count.cast("decimal(18,0)") * F.lit(unit).cast("decimal(3,2)")
+
+
 _CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -70,22 +84,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw licences: one per order, company and tier from the ordering customer."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    k = F.col("o_orderkey")
+    """Raw licences: one per order, company and tier from the ordering customer; every 43rd comes twice
+    (a later row of the same licence)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                              "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey, "inner").withColumn("copy", F.explode(
+        F.when(F.col("o_orderkey") % 43 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    k, cust, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
     d = F.col("o_orderdate").cast("date")
-    tier = F.lit(None).cast("string")
+    tier = F.when(F.col("c_mktsegment") == "AUTOMOBILE", _pick(nation % 3, FIXTURE_OTHER_TIERS))
     for seg, label in reversed(FIXTURE_TIERS):
         tier = F.when(F.col("c_mktsegment") == seg, F.lit(label)).otherwise(tier)
+    converts = k % 5 < 2
     out = j.select(
         k.cast("string").alias("addon_license_id"),
-        F.concat(F.lit("L"), k.cast("string")).alias("license_id"),
+        _label("L", k).alias("license_id"),
+        _label("E", k).alias("app_entitlement_number"),
+        _label("H", cust).alias("host_license_id"),
+        _label("HE", k % 997).alias("host_entitlement_number"),
+        F.when(k % 3 == 0, _label(" cloud-", cust)).alias("cloud_id"),
+        F.when(k % 3 == 0, F.concat(_label("site", cust), F.lit(".example.net"))).alias("cloud_site_hostname"),
+        _label("app.", k % 3).alias("addon_key"),
         F.when(k % 41 == 0, F.lit("   "))
          .when(k % 4 == 0, F.concat(F.lit("  "), F.lower("c_name"), F.lit(" ")))
          .otherwise(F.col("c_name")).alias("company"),
         _pick(k % 3, FIXTURE_LICENSE_PRODUCTS).alias("addon_name"),
+        _pick(k % 4, FIXTURE_HOSTING).alias("hosting"),
         F.when(k % 37 == 0, F.lit(None).cast("string"))
          .when(F.col("o_orderstatus") == "F", F.lit("inactive"))
          .otherwise(F.lit("Active")).alias("status"),
@@ -93,17 +118,27 @@ def licenses_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("o_orderstatus") == "P", F.lit("Evaluation"))
          .otherwise(F.lit("COMMERCIAL")).alias("license_type"),
         tier.alias("tier"),
+        _label("N", nation).alias("country"), _label("R", nation % 5).alias("region"),
+        F.concat(_label("it", cust), F.lit("@example.net")).alias("tech_contact_email"),
+        _label("Contact ", cust).alias("tech_contact_name"),
+        F.col("o_orderpriority").alias("evaluation_opportunity_size"),
+        F.when(k % 2 == 0, _label("EV", k)).alias("evaluation_license"),
         d.alias("maintenance_start_date"),
         F.when(k % 29 == 0, F.lit(None).cast("date"))
          .otherwise(F.date_add(d, (F.lit(30) * (F.lit(1) + k % 13)).cast("int")))
          .alias("maintenance_end_date"),
-        F.date_add(d, (k % 60).cast("int")).alias("last_updated"),
+        F.date_add(d, (k % 60 + F.col("copy") * 90).cast("int")).alias("last_updated"),
+        F.when(converts, k % 23 + F.when(k % 7 == 0, F.lit(1)).otherwise(F.lit(0)))
+         .alias("days_to_convert_eval"),
         F.when(k % 2 == 0, F.date_sub(d, 30)).alias("evaluation_start_date"),
         F.when(k % 2 == 0, d).alias("evaluation_end_date"),
-        F.when(k % 5 < 2, F.date_add(F.date_sub(d, 30), (k % 23).cast("int")))
-         .alias("evaluation_sale_date"),
+        F.when(converts, F.date_add(F.date_sub(d, 30), (k % 23).cast("int"))).alias("evaluation_sale_date"),
+        _label("channel ", k % 4).alias("channel"), _label("name ", k % 11).alias("campaign_name"),
+        _label("source ", k % 13).alias("campaign_source"), _label("medium ", k % 7).alias("campaign_medium"),
+        _label("content ", k % 5).alias("campaign_content"),
+        _label("referrer ", k % 19).alias("referrer_domain"),
     )
-    return conform(out, LICENSES_RAW, optional=LICENSES_RAW.fieldNames())
+    return conform(out, LICENSES_RAW)
 
 
 def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,40 +152,61 @@ def events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         eid.cast("string").alias("event_id"),
         _pick((eid * 7 + uid) % 31, FIXTURE_EVENT_TYPES, FIXTURE_OTHER_EVENT).alias("event_type"),
         (F.col("ts") - F.make_dt_interval(days=days)).alias("event_time"),
-        F.concat(F.lit("u"), uid.cast("string")).alias("user_id"),
+        _label("u", uid).alias("user_id"),
+        _label("device ", uid * 2 + eid % 2).alias("device_id"),
+        _pick(eid % 3, FIXTURE_PLATFORMS).alias("platform"), _label("source ", eid % 5).alias("event_source"),
         _pick((eid * 5 + uid) % 3, FIXTURE_EVENT_PRODUCTS).alias("product"),
         F.col("props").alias("event_properties"),
         F.when(eid % 53 == 0, F.lit(" "))
          .when(uid % 25 == 0, F.concat(F.lit("Ghost "), uid.cast("string")))
          .when(eid % 4 == 0, F.concat(F.lower("c_name"), F.lit(" ")))
          .otherwise(F.col("c_name")).alias("user_property_company"),
+        _label("plan ", uid % 4).alias("user_property_plan"), _label("tier ", uid % 6).alias("user_property_tier"),
         (eid % 1000).cast("bigint").alias("session_id"),
+        _label("N", uid % 25).alias("country"), _label("R", uid % 5).alias("region"),
     )
-    return conform(out, EVENTS_RAW, optional=EVENTS_RAW.fieldNames())
+    return conform(out, EVENTS_RAW)
 
 
 def transactions_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transactions: one per line item, on the licence of its order."""
+    """Raw transactions: one per line item, on the licence of its order; amounts in whole cents, half of
+    the refunds negative."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag",
-        "l_linestatus", "l_shipdate")
-    ok, rf, ls = F.col("l_orderkey"), F.col("l_returnflag"), F.col("l_linestatus")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    ok, pk, sk, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    shipped = F.col("l_shipdate").cast("date")
+    cents, percent = F.round(F.col("l_extendedprice") * 100).cast("bigint"), \
+        F.round(F.col("l_discount") * 100).cast("bigint")
+    refund = (rf == "R") & (ls == "F") & (line == 1)
+    paid = F.floor(cents * (F.lit(100) - percent) / F.lit(100)).cast("bigint")
     out = li.select(
-        F.concat(ok.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
-                 F.col("l_partkey").cast("string")).alias("transaction_id"),
-        F.concat(F.lit("L"), ok.cast("string")).alias("license_id"),
+        F.concat(ok.cast("string"), F.lit("-"), line.cast("string"), F.lit("-"), pk.cast("string"))
+         .alias("transaction_id"),
+        ok.cast("string").alias("addon_license_id"),
+        _label("L", ok).alias("license_id"),
+        _label("E", ok).alias("app_entitlement_number"), _label("app.", ok % 3).alias("addon_key"),
         _pick(ok % 3, FIXTURE_SALE_PRODUCTS).alias("addon_name"),
-        F.when(F.col("l_partkey") % 97 == 0, F.lit(None).cast("date"))
-         .otherwise(F.col("l_shipdate").cast("date")).alias("sale_date"),
-        F.when((rf == "R") & (ls == "F") & (F.col("l_linenumber") == 1), F.lit("Refund"))
+        _pick(sk % 4, FIXTURE_HOSTING).alias("hosting"),
+        F.when(pk % 97 == 0, F.lit(None).cast("date")).otherwise(shipped).alias("sale_date"),
+        F.when(refund, F.lit("Refund"))
          .when((rf == "N") & (ls == "O"), F.lit("new"))
          .when((rf == "A") & (ls == "F"), F.lit("Upgrade"))
          .when(rf == "A", F.lit("Downgrade"))
          .otherwise(F.lit("Renewal")).alias("sale_type"),
-        (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("decimal(38,0)")
-         .alias("vendor_amount"),
+        _money(cents, "0.01").alias("purchase_price"),
+        _money(F.when(refund & (pk % 2 == 0), -paid).otherwise(paid), "0.01").alias("vendor_amount"),
+        F.when(line % 2 == 0, F.lit("Annual")).otherwise(F.lit(" Monthly")).alias("billing_period"),
+        _label("tier ", sk % 5).alias("tier"),
+        shipped.alias("maintenance_start_date"), F.date_add(shipped, 30).alias("maintenance_end_date"),
+        _label("channel ", sk % 3).alias("sale_channel"), _label("parent ", ok % 4).alias("parent_product_name"),
+        _label("edition ", ok % 6).alias("parent_product_edition"),
+        _money(F.round(F.col("l_tax") * 100), "0.25").alias("loyalty_discount"),
+        _money(F.col("l_quantity"), "0.10").alias("marketplace_promotion_discount"),
+        _money(line, "0.35").alias("expert_discount"), _money(sk % 10, "0.15").alias("manual_discount"),
     )
-    return conform(out, TRANSACTIONS_RAW, optional=TRANSACTIONS_RAW.fieldNames())
+    return conform(out, raw_schema("transactions", FIXTURE_MONEY))
 
 
 class _LazyInputs(dict):

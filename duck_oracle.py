@@ -13,42 +13,41 @@ from __future__ import annotations
 import re
 
 
-def _nulls(spec: str) -> str:
-    """'a b c:TYPE' -> 'NULL::TYPE AS a, ...' (default VARCHAR)."""
-    out = []
-    for item in spec.split():
-        name, _, typ = item.partition(":")
-        out.append(f"CAST(NULL AS {typ or 'VARCHAR'}) AS {name}")
-    return ",\n  ".join(out)
-
+_HOSTING = "CASE {n} % 4 WHEN 0 THEN 'Cloud' WHEN 1 THEN ' Server ' WHEN 2 THEN 'Data Center' ELSE ' ' END"
 
 RAW_LICENSES = f"""
 SELECT
-  CAST(o_orderkey AS VARCHAR) AS addon_license_id,
-  'L' || CAST(o_orderkey AS VARCHAR) AS license_id,
-  {_nulls('app_entitlement_number host_license_id host_entitlement_number cloud_id cloud_site_hostname addon_key')},
-  CASE o_orderkey % 3 WHEN 0 THEN 'Alpha Suite' WHEN 1 THEN ' beta suite ' ELSE 'GAMMA SUITE' END AS addon_name,
-  {_nulls('hosting')},
-  CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) AS last_updated,
-  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN 'Evaluation' ELSE 'COMMERCIAL' END AS license_type,
-  CAST(o_orderdate AS DATE) AS maintenance_start_date,
-  CASE WHEN o_orderkey % 29 = 0 THEN NULL
-       ELSE CAST(o_orderdate AS DATE) + CAST(30 * (1 + o_orderkey % 13) AS INTEGER) END AS maintenance_end_date,
-  CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'inactive' ELSE 'Active' END AS status,
+  CAST(k AS VARCHAR) AS addon_license_id, 'L' || k AS license_id, 'E' || k AS app_entitlement_number,
+  'H' || o_custkey AS host_license_id, 'HE' || (k % 997) AS host_entitlement_number,
+  CASE WHEN k % 3 = 0 THEN ' cloud-' || o_custkey END AS cloud_id,
+  CASE WHEN k % 3 = 0 THEN 'site' || o_custkey || '.example.net' END AS cloud_site_hostname,
+  'app.' || (k % 3) AS addon_key,
+  CASE k % 3 WHEN 0 THEN 'Alpha Suite' WHEN 1 THEN ' beta suite ' ELSE 'GAMMA SUITE' END AS addon_name,
+  {_HOSTING.format(n='k')} AS hosting,
+  d + CAST(k % 60 + 90 * copy AS INTEGER) AS last_updated,
+  CASE WHEN k % 17 = 0 THEN NULL WHEN o_orderstatus = 'P' THEN 'Evaluation' ELSE 'COMMERCIAL' END AS license_type,
+  d AS maintenance_start_date,
+  CASE WHEN k % 29 = 0 THEN NULL ELSE d + CAST(30 * (1 + k % 13) AS INTEGER) END AS maintenance_end_date,
+  CASE WHEN k % 37 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'inactive' ELSE 'Active' END AS status,
   CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Free' WHEN 'MACHINERY' THEN 'Standard'
-       WHEN 'FURNITURE' THEN 'Professional' WHEN 'BUILDING' THEN 'Premium' ELSE NULL END AS tier,
-  CASE WHEN o_orderkey % 41 = 0 THEN '   ' WHEN o_orderkey % 4 = 0 THEN '  ' || lower(c_name) || ' '
-       ELSE c_name END AS company,
-  {_nulls('country region tech_contact_email tech_contact_name evaluation_opportunity_size evaluation_license days_to_convert_eval:BIGINT')},
-  CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) - 30 END AS evaluation_start_date,
-  CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END AS evaluation_end_date,
-  CASE WHEN o_orderkey % 5 < 2 THEN CAST(o_orderdate AS DATE) - 30 + CAST(o_orderkey % 23 AS INTEGER) END
-    AS evaluation_sale_date,
-  {_nulls('channel campaign_name campaign_source campaign_medium campaign_content referrer_domain')}
-FROM orders JOIN customer ON o_custkey = c_custkey
+       WHEN 'FURNITURE' THEN 'Professional' WHEN 'BUILDING' THEN 'Premium'
+       WHEN 'AUTOMOBILE' THEN CASE c_nationkey % 3 WHEN 1 THEN 'Enterprise' WHEN 2 THEN 'Legacy seat pack' END
+       END AS tier,
+  CASE WHEN k % 41 = 0 THEN '   ' WHEN k % 4 = 0 THEN '  ' || lower(c_name) || ' ' ELSE c_name END AS company,
+  'N' || c_nationkey AS country, 'R' || (c_nationkey % 5) AS region,
+  'it' || o_custkey || '@example.net' AS tech_contact_email, 'Contact ' || o_custkey AS tech_contact_name,
+  o_orderpriority AS evaluation_opportunity_size, CASE WHEN k % 2 = 0 THEN 'EV' || k END AS evaluation_license,
+  CAST(CASE WHEN k % 5 < 2 THEN k % 23 + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END END AS BIGINT) AS days_to_convert_eval,
+  CASE WHEN k % 2 = 0 THEN d - 30 END AS evaluation_start_date, CASE WHEN k % 2 = 0 THEN d END AS evaluation_end_date,
+  CASE WHEN k % 5 < 2 THEN d - 30 + CAST(k % 23 AS INTEGER) END AS evaluation_sale_date,
+  'channel ' || (k % 4) AS channel, 'name ' || (k % 11) AS campaign_name, 'source ' || (k % 13) AS campaign_source,
+  'medium ' || (k % 7) AS campaign_medium, 'content ' || (k % 5) AS campaign_content,
+  'referrer ' || (k % 19) AS referrer_domain
+FROM (SELECT *, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders JOIN customer ON o_custkey = c_custkey)
+JOIN (VALUES (0), (1)) times(copy) ON copy = 0 OR k % 43 = 0
 """
 
-RAW_EVENTS = f"""
+RAW_EVENTS = """
 SELECT
   CAST(event_id AS VARCHAR) AS event_id,
   CASE (event_id * 7 + user_id) % 31
@@ -62,39 +61,51 @@ SELECT
     WHEN 15 THEN 'subscription_cancelled' WHEN 16 THEN 'app_uninstalled'
     ELSE 'page_viewed' END AS event_type,
   ts - (INTERVAL '1' DAY * CAST(8220 + 30 * (event_id % 80) AS INTEGER)) AS event_time,
-  'u' || CAST(user_id AS VARCHAR) AS user_id,
-  {_nulls('device_id platform event_source')},
+  'u' || user_id AS user_id, 'device ' || (user_id * 2 + event_id % 2) AS device_id,
+  CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN ' ios' ELSE 'android' END AS platform,
+  'source ' || (event_id % 5) AS event_source,
   CASE (event_id * 5 + user_id) % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN ' Beta' ELSE 'gamma' END AS product,
   props AS event_properties,
   CASE WHEN event_id % 53 = 0 THEN ' '
-       WHEN user_id % 25 = 0 THEN 'Ghost ' || CAST(user_id AS VARCHAR)
+       WHEN user_id % 25 = 0 THEN 'Ghost ' || user_id
        WHEN event_id % 4 = 0 THEN lower(c_name) || ' '
        ELSE c_name END AS user_property_company,
-  {_nulls('user_property_plan user_property_tier')},
+  'plan ' || (user_id % 4) AS user_property_plan, 'tier ' || (user_id % 6) AS user_property_tier,
   CAST(event_id % 1000 AS BIGINT) AS session_id,
-  {_nulls('country region')}
+  'N' || (user_id % 25) AS country, 'R' || (user_id % 5) AS region
 FROM events LEFT JOIN customer ON c_custkey = floor(user_id / 3)
 """
 
 RAW_TRANSACTIONS = f"""
 SELECT
-  CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
-    AS transaction_id,
-  {_nulls('addon_license_id')},
-  'L' || CAST(l_orderkey AS VARCHAR) AS license_id,
-  {_nulls('app_entitlement_number addon_key')},
-  CASE l_orderkey % 3 WHEN 0 THEN 'Alpha Suite' WHEN 1 THEN 'Beta Suite' ELSE 'Gamma Suite' END AS addon_name,
-  {_nulls('hosting')},
-  CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS sale_date,
-  CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1 THEN 'Refund'
+  ok || '-' || l_linenumber || '-' || l_partkey AS transaction_id,
+  CAST(ok AS VARCHAR) AS addon_license_id, 'L' || ok AS license_id, 'E' || ok AS app_entitlement_number,
+  'app.' || (ok % 3) AS addon_key,
+  CASE ok % 3 WHEN 0 THEN 'Alpha Suite' WHEN 1 THEN 'Beta Suite' ELSE 'Gamma Suite' END AS addon_name,
+  {_HOSTING.format(n='l_suppkey')} AS hosting,
+  CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE shipped END AS sale_date,
+  CASE WHEN refund THEN 'Refund'
        WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'new'
        WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Upgrade'
        WHEN l_returnflag = 'A' THEN 'Downgrade'
        ELSE 'Renewal' END AS sale_type,
-  {_nulls('purchase_price:DECIMAL(38,0)')},
-  CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,0)) AS vendor_amount,
-  {_nulls('billing_period tier maintenance_start_date:DATE maintenance_end_date:DATE sale_channel parent_product_name parent_product_edition loyalty_discount:DECIMAL(38,0) marketplace_promotion_discount:DECIMAL(38,0) expert_discount:DECIMAL(38,0) manual_discount:DECIMAL(38,0)')}
-FROM lineitem
+  CAST(cents * 0.01 AS DECIMAL(38,2)) AS purchase_price,
+  CAST(CASE WHEN refund AND l_partkey % 2 = 0 THEN -paid ELSE paid END * 0.01 AS DECIMAL(38,2)) AS vendor_amount,
+  CASE WHEN l_linenumber % 2 = 0 THEN 'Annual' ELSE ' Monthly' END AS billing_period,
+  'tier ' || (l_suppkey % 5) AS tier, shipped AS maintenance_start_date, shipped + 30 AS maintenance_end_date,
+  'channel ' || (l_suppkey % 3) AS sale_channel, 'parent ' || (ok % 4) AS parent_product_name,
+  'edition ' || (ok % 6) AS parent_product_edition,
+  CAST(CAST(round(l_tax * 100) AS DECIMAL(18,0)) * 0.25 AS DECIMAL(38,2)) AS loyalty_discount,
+  CAST(CAST(l_quantity AS DECIMAL(18,0)) * 0.10 AS DECIMAL(38,2)) AS marketplace_promotion_discount,
+  CAST(l_linenumber * 0.35 AS DECIMAL(38,2)) AS expert_discount,
+  CAST((l_suppkey % 10) * 0.15 AS DECIMAL(38,2)) AS manual_discount
+FROM (
+  SELECT *, l_orderkey AS ok, CAST(l_shipdate AS DATE) AS shipped,
+         CAST(round(l_extendedprice * 100) AS DECIMAL(18,0)) AS cents,
+         CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) // 100
+              AS DECIMAL(18,0)) AS paid,
+         l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1 AS refund
+  FROM lineitem)
 """
 
 
@@ -443,6 +454,7 @@ MODELS: dict[str, str] = {
     "stg_events": STG_EVENTS,
     "stg_licenses": STG_LICENSES,
     "stg_transactions": STG_TRANSACTIONS,
+    "m03b_money_scale2": STG_TRANSACTIONS.replace("DECIMAL(38,0)", "DECIMAL(38,2)"),
     "int_feature_usage": INT_FEATURE_USAGE,
     "int_customer_entity": INT_CUSTOMER_ENTITY,
     "int_trial_lifecycle": INT_TRIAL_LIFECYCLE,
