@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cohortlens.operators import (active_by_month, first_period, month_spine,  # noqa: E402
                                   without_successor)
-from cohortlens.plans import intermediate, models  # noqa: E402
+from cohortlens.plans import intermediate, marts, models  # noqa: E402
 from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs  # noqa: E402
 from cohortlens.sources.fixtures import app_key  # noqa: E402
 
@@ -113,17 +113,44 @@ def b10_without_successor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b05_resolve_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entity resolution through the explicit key-set path (left join + left-anti join)."""
+    """Entity resolution with NULL companies on both sides, which never match."""
     from cohortlens.config import LICENCE_ONLY, MATCHED, UNRESOLVED
-    from cohortlens.operators import resolve_entities
+    from cohortlens.operators import latest_per_key, resolve_entities
     m = fixture_models(spark, sf_dir)
-    lic, ev = m["stg_licenses"], m["stg_events"]
-    latest = intermediate.latest_licences(lic, intermediate.ENTITY_LICENCE_COLS).select(
-        *intermediate.ENTITY_LICENCE_COLS)
-    keys = intermediate.licence_keys(lic).select("company", "addon_name")
-    out = resolve_entities(latest, intermediate.usage_by_key(ev), ["company", "addon_name"],
-                           "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED), right_keys=keys)
-    return out.select(*intermediate.ENTITY_COLS)
+    lic = m["stg_licenses"].select(F.upper("company").alias("company"), "addon_name", "license_id",
+                                   "last_updated", "status")
+    latest = latest_per_key(lic, intermediate.KEY, [F.col("last_updated").desc_nulls_last(),
+                                                    F.col("license_id").desc_nulls_last()])
+    seen = m["int_event_activity"].select("company", F.col("product").alias("addon_name"),
+                                          "entity_distinct_users", "entity_total_events")
+    return resolve_entities(latest, seen, intermediate.KEY, "match_type",
+                            (MATCHED, LICENCE_ONLY, UNRESOLVED))
+
+
+def _matched_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension that lacks most licence keys: customers seen in the event log."""
+    from cohortlens.config import MATCHED
+    return fixture_models(spark, sf_dir)["dim_customers"].filter(F.col("match_type") == F.lit(MATCHED))
+
+
+def j03_active_of_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M08 for the customers of a given dimension (semi-join)."""
+    m = fixture_models(spark, sf_dir)
+    return marts.active_customers(m["stg_licenses"], _matched_customers(spark, sf_dir), FIXTURE_CONFIG)
+
+
+def j09_churn_of_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 for the customers of a given dimension (semi-join)."""
+    m = fixture_models(spark, sf_dir)
+    return marts.churn_and_nrr(m["stg_transactions"], m["stg_licenses"], _matched_customers(spark, sf_dir),
+                               m["stg_events"], FIXTURE_CONFIG)
+
+
+def m12b_health_by_maintenance_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 with the licence horizon on the latest maintenance end instead of the latest trial end."""
+    m = fixture_models(spark, sf_dir)
+    return marts.customer_health(m["int_customer_profile"], FIXTURE_AS_OF,
+                                 FIXTURE_CONFIG.with_(license_end="maintenance"))
 
 
 def m03b_money_scale2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +197,9 @@ def b18_exclude_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BLOCK_QUERIES = {
     "m03b_money_scale2": m03b_money_scale2,
+    "m12b_health_by_maintenance_end": m12b_health_by_maintenance_end,
+    "j03_active_of_dimension": j03_active_of_dimension,
+    "j09_churn_of_dimension": j09_churn_of_dimension,
     "b05_resolve_entities": b05_resolve_entities,
     "b06_conditional_counts": b06_conditional_counts,
     "b11_period_delta": b11_period_delta,

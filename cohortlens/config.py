@@ -103,6 +103,9 @@ class Config:
     refund_sign: str = ">"
     # Date the health score is computed for; None means current_date() at run time.
     as_of: _dt.date | None = None
+    # Which end the licence horizon looks at: the latest trial end ("trial", as the original model does) or
+    # the latest maintenance end ("maintenance").
+    license_end: str = "trial"
     # End date given to open-ended maintenance intervals.
     open_end_date: _dt.date = OPEN_END_DATE
     feature_score_cap: int = 5
@@ -121,6 +124,17 @@ class Config:
         return replace(self, feature_counters=counters,
                        product_aliases=tuple((a.upper(), b.upper()) for a, b in aliases))
 
+    def check_products(self) -> None:
+        """Raise unless real products are named: the built-in slots match no event, so every
+        product-scoped counter would be 0."""
+        unnamed = {prod for _, prod, _ in self.feature_counters} & {CHECKLIST_PRODUCT, TIME_PRODUCT}
+        if unnamed:
+            raise ValueError(f"name the products of the feature counters (Config.with_products): {sorted(unnamed)}")
+
+    @property
+    def license_end_column(self) -> str:
+        return {"trial": "latest_trial_end_date", "maintenance": "latest_maintenance_end_date"}[self.license_end]
+
     @property
     def feature_columns(self) -> list[str]:
         return [name for name, _, _ in self.feature_counters]

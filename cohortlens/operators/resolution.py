@@ -9,37 +9,22 @@ from pyspark.sql import functions as F
 
 
 def resolve_entities(left: DataFrame, right: DataFrame, keys: Sequence[str], label_col: str,
-                     labels: tuple[str, str, str], right_keys: DataFrame | None = None) -> DataFrame:
+                     labels: tuple[str, str, str]) -> DataFrame:
     """Label every key as in both / left only / right only and return their union.
 
     * every ``left`` row is kept, with the ``right`` columns of its key: label 0 when the right
       side has the key, label 1 when it does not;
-    * ``right`` rows whose key is absent from ``right_keys`` (default: the keys of ``left``) are
-      added with NULL left columns and label 2. A NULL key never matches, so it always survives
-      as right-only.
+    * ``right`` rows whose key ``left`` lacks are added with NULL left columns and label 2. A NULL key
+      never matches, so it survives on either side.
 
-    Both inputs should be at key grain (one row per key). With the default key set the whole
-    resolution is one full outer join on the key: each side is shuffled once, and nothing is
-    computed twice. An explicit ``right_keys`` frame uses a left join plus a left-anti join.
-    The result's columns are ``left``'s, then ``right``'s non-key columns, then the label.
+    Both inputs should be at key grain (one row per key). The resolution is one full outer join on the
+    key: each side is shuffled once, and nothing is computed twice. The result's columns are ``left``'s,
+    then ``right``'s non-key columns, then the label.
     """
     both, left_only, right_only = labels
     lm, rm = "_left_present", "_right_present"
-    right_cols = [c for c in right.columns if c not in keys]
-    out_cols = list(left.columns) + right_cols + [label_col]
-    r = right.withColumn(rm, F.lit(True))
-    if right_keys is None:
-        joined = left.withColumn(lm, F.lit(True)).join(r, list(keys), "full_outer")
-        label = (F.when(F.col(lm) & F.col(rm), F.lit(both))
-                 .when(F.col(lm), F.lit(left_only)).otherwise(F.lit(right_only)))
-        return joined.withColumn(label_col, label).select(out_cols)
-    matched = (left.join(r, list(keys), "left")
-               .withColumn(label_col, F.when(F.col(rm), F.lit(both)).otherwise(F.lit(left_only)))
-               .drop(rm))
-    lk = right_keys.select(*keys).distinct()
-    unmatched = right.join(lk, list(keys), "left_anti").withColumn(label_col, F.lit(right_only))
-    unmatched = unmatched.select([
-        F.col(c) if c in unmatched.columns else F.lit(None).cast(left.schema[c].dataType).alias(c)
-        for c in out_cols
-    ])
-    return matched.select(out_cols).unionByName(unmatched)
+    out_cols = list(left.columns) + [c for c in right.columns if c not in keys] + [label_col]
+    joined = left.withColumn(lm, F.lit(True)).join(right.withColumn(rm, F.lit(True)), list(keys), "full_outer")
+    label = (F.when(F.col(lm) & F.col(rm), F.lit(both))
+             .when(F.col(lm), F.lit(left_only)).otherwise(F.lit(right_only)))
+    return joined.withColumn(label_col, label).select(out_cols)

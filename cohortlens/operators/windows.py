@@ -20,19 +20,27 @@ def period_delta(df: DataFrame, partition: Sequence[str], order: str, value: str
     return df if previous else df.drop("_prev")
 
 
-def attach_group_avg(df: DataFrame, keys: Sequence[str], averages: Mapping[str, str]) -> DataFrame:
+def attach_group_avg(df: DataFrame, keys: Sequence[str], averages: Mapping[str, str],
+                     salt: int = 32) -> DataFrame:
     """The mean of each column over its group, repeated on every row (``avg() over (partition
     by keys)``), NULL keys forming their own group.
 
     A whole-partition window would send every row of a group to one task; a group can hold a third
     of the data. Instead the means are aggregated (map-side partial, a few rows per group) and
-    joined back with null-safe keys. The aggregated side is tiny; AQE measures it at run time and
-    broadcasts it when it is under the broadcast threshold, else keeps a shuffle join.
+    joined back with null-safe keys; AQE measures the aggregated side at run time and broadcasts it when
+    it is under the broadcast threshold. Where it stays a shuffle join, each group is dealt to ``salt``
+    tasks and its row of means copied to all of them.
+
+    The aggregate also reads a hash of the whole row (``_g_all``, never NULL): with it both readers of
+    ``df`` need the same columns, so column pruning leaves them equal and they share the shuffles below
+    instead of computing ``df`` twice.
     """
-    g = df.groupBy(*keys).agg(*[F.avg(src).alias(name) for name, src in averages.items()])
-    g = g.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *averages.keys())
-    cond = None
+    g = df.groupBy(*keys).agg(*[F.avg(src).alias(name) for name, src in averages.items()],
+                              F.max(F.hash(*df.columns)).alias("_g_all")).filter("_g_all IS NOT NULL")
+    g = g.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *averages.keys(),
+                 F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_g_salt"))
+    left = df.withColumn("_salt", F.pmod(F.hash(*df.columns), F.lit(salt)))
+    cond = F.col("_salt") == F.col("_g_salt")
     for k in keys:
-        c = df[k].eqNullSafe(g[f"_g_{k}"])
-        cond = c if cond is None else cond & c
-    return df.join(g, cond, "left").drop(*[f"_g_{k}" for k in keys])
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    return left.join(g, cond, "left").drop("_salt", "_g_salt", *[f"_g_{k}" for k in keys])

@@ -24,12 +24,13 @@ def coverage_by_match_type(health: DataFrame) -> DataFrame:
     """Customers per match type with their mean health and recency, and their share of all
     customers. The share's window runs over the handful of roll-up rows only.
 
-    The mean health is rounded to 6 decimals: it sums doubles, whose last bits depend on the order
-    of addition, and the roll-up is a report figure.
+    The mean health sums the scores as decimals of six places (scores under the default tier limits have
+    two), so it does not depend on the order of addition.
     """
+    exact = F.sum(F.col("health_score").cast("decimal(28,6)")).cast("double")
     g = health.groupBy("match_type").agg(
         F.count(F.lit(1)).alias("customers"),
-        F.round(F.avg("health_score"), 6).alias("avg_health_score"),
+        (exact / F.count("health_score")).alias("avg_health_score"),
         F.avg("recency_score").alias("avg_recency_score"))
     return g.withColumn("share_of_customers",
                         F.col("customers").cast("double") / F.sum("customers").over(Window.partitionBy()))

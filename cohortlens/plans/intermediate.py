@@ -6,105 +6,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LICENCE_ONLY, MATCHED, UNRESOLVED, Config
-from ..functions.text import clean_text, normalize_key
-from ..operators.counting import conditional_counts, exclude_values
+from ..functions.text import clean_text, exclude_values_predicate, normalize_key
+from ..operators.counting import conditional_counts
 from ..operators.ranking import latest_per_key
 from ..operators.resolution import resolve_entities
 
 KEY = ["company", "addon_name"]
 
 
-def feature_usage(events: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Per (company, product) over user events (system events dropped): volume, distinct
-    users / sessions / active days, first and last day, and one counter per configured feature and
-    lifecycle event (0 when none). NULL companies stay as their own unresolved group.
-
-    One scan, one aggregate. The three distinct counts plan as an Expand feeding a partial
-    aggregate keyed by (key, distinct value), so a hot company is spread over the distinct values
-    before the final shuffle on (company, product).
-    """
-    src = exclude_values(events, "event_type", cfg.system_events).select(
-        normalize_key("user_property_company").alias("company"), "product", "event_type", "user_id",
-        "session_id", F.to_date("event_time").alias("event_date"))
-    p, e = F.col("product"), F.col("event_type")
-    counters = {name: (p == F.lit(prod)) & (e == F.lit(evt)) for name, prod, evt in cfg.feature_counters}
-    counters.update({name: e == F.lit(evt) for name, evt in cfg.lifecycle_counters})
-    return conditional_counts(src, ["company", "product"], counters, aggregates=[
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("user_id").alias("distinct_users"),
-        F.count_distinct("session_id").alias("distinct_sessions"),
-        F.min("event_date").alias("first_event_date"),
-        F.max("event_date").alias("last_event_date"),
-        F.count_distinct("event_date").alias("active_days"),
-    ])
-
-
 FEATURE_USAGE_MEASURES = ["total_events", "distinct_users", "distinct_sessions", "first_event_date",
                           "last_event_date", "active_days"]
-ENTITY_ACTIVITY_COLS = ["entity_distinct_users", "entity_total_events", "first_seen", "last_seen"]
 
 
-def event_activity(events: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Both per-(company, product) views of the event log in one pass: the feature-usage measures
-    and counters over user events (system and untyped events excluded), and the entity activity
-    over all events (``entity_*``, ``first_seen``, ``last_seen``).
+def event_days(events: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """The event log reduced to one row per (company, product, user, session, day): events, first and last
+    time, and one counter per configured feature and lifecycle event. ``is_user`` tells user events from
+    system and untyped ones.
 
-    Materialised once, it feeds :func:`feature_usage_from_activity` and
-    :func:`usage_from_activity`, so the event log is aggregated once for both. Planned lazily,
-    Catalyst prunes the aggregate down to the measures the consumer reads.
+    All that the usage and entity models read of the log is computed from these rows, so the distinct
+    counts never multiply raw rows, and a hot (or NULL) company is spread over its users and days.
     """
-    user = F.col("event_type").isNotNull() & ~F.col("event_type").isin(list(cfg.system_events))
-    # Staged product names are already clean, so clean_text changes no value; grouping on it keeps
-    # the aggregate partitioned on exactly the entity join key (no re-shuffle before the join).
-    src = events.select(normalize_key("user_property_company").alias("company"),
-                        clean_text("product").alias("product"),
-                        "event_type", "user_id", "session_id", "event_time",
-                        F.to_date("event_time").alias("event_date"), user.alias("_user"))
-    u = F.col("_user")
-    p, e = F.col("product"), F.col("event_type")
+    user = F.coalesce(exclude_values_predicate("event_type", cfg.system_events), F.lit(False))
+    src = events.select(normalize_key("user_property_company").alias("company"), "product", "event_type",
+                        "user_id", "session_id", "event_time",
+                        F.to_date("event_time").alias("event_date"), user.alias("is_user"))
+    u, p, e = F.col("is_user"), F.col("product"), F.col("event_type")
     counters = {name: u & (p == F.lit(prod)) & (e == F.lit(evt))
                 for name, prod, evt in cfg.feature_counters}
     counters.update({name: u & (e == F.lit(evt)) for name, evt in cfg.lifecycle_counters})
-    return conditional_counts(src, ["company", "product"], counters, aggregates=[
-        F.count_if(u).alias("total_events"),
+    return conditional_counts(
+        src, ["company", "product", "user_id", "session_id", "event_date", "is_user"], counters, aggregates=[
+            F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_seen"),
+            F.max("event_time").alias("last_seen")])
+
+
+def event_activity(days: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Both per-(company, product) views of :func:`event_days`: the feature-usage measures and counters
+    over user events, and the entity activity over all events (``entity_*``, ``first_seen``,
+    ``last_seen``). Planned lazily, Catalyst prunes the aggregate to the measures that are read."""
+    u = F.col("is_user")
+    return days.groupBy("company", "product").agg(
+        F.sum(F.when(u, F.col("events")).otherwise(F.lit(0))).alias("total_events"),
         F.count_distinct(F.when(u, F.col("user_id"))).alias("distinct_users"),
         F.count_distinct(F.when(u, F.col("session_id"))).alias("distinct_sessions"),
         F.min(F.when(u, F.col("event_date"))).alias("first_event_date"),
         F.max(F.when(u, F.col("event_date"))).alias("last_event_date"),
         F.count_distinct(F.when(u, F.col("event_date"))).alias("active_days"),
         F.count_distinct("user_id").alias("entity_distinct_users"),
-        F.count(F.lit(1)).alias("entity_total_events"),
-        F.min("event_time").alias("first_seen"),
-        F.max("event_time").alias("last_seen"),
-    ])
+        F.sum("events").alias("entity_total_events"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        *[F.sum(c).alias(c) for c in cfg.feature_columns + cfg.lifecycle_columns])
 
 
-def feature_usage_from_activity(activity: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """M04 from :func:`event_activity`: keys with at least one user event."""
+def feature_usage(activity: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Per (company, product) with at least one user event: volume, distinct users / sessions / active
+    days, first and last day, and the counters (0 when none). NULL companies stay as their own group."""
+    cfg.check_products()
     return (activity.filter(F.col("total_events") > 0)
             .select("company", "product", *FEATURE_USAGE_MEASURES, *cfg.feature_columns,
                     *cfg.lifecycle_columns))
 
 
-def usage_from_activity(activity: DataFrame) -> DataFrame:
-    """Entity-side activity (as :func:`usage_by_key`) from :func:`event_activity`."""
-    return activity.select(
-        "company", F.col("product").alias("addon_name"),
-        F.col("entity_distinct_users").alias("distinct_users"),
-        F.col("entity_total_events").alias("total_events"), "first_seen", "last_seen")
-
-
-def usage_by_key(events: DataFrame) -> DataFrame:
-    """Entity-side activity per (company, product) over all events, system ones included."""
-    return (events.select(normalize_key("user_property_company").alias("company"),
-                          clean_text("product").alias("addon_name"), "user_id", "event_time")
-            .groupBy(*KEY).agg(
-                F.count_distinct("user_id").alias("distinct_users"),
-                F.count(F.lit(1)).alias("total_events"),
-                F.min("event_time").alias("first_seen"),
-                F.max("event_time").alias("last_seen")))
-
-
 def licence_keys(licenses: DataFrame) -> DataFrame:
     """Licence rows with a known company, keyed by (company, addon_name)."""
     return (licenses.withColumn("company", normalize_key("company"))
@@ -131,21 +93,39 @@ ENTITY_COLS = ENTITY_LICENCE_COLS + ["distinct_users", "total_events", "first_se
                                      "match_type"]
 
 
-def customer_entity(licenses: DataFrame, events: DataFrame | None = None,
-                    activity: DataFrame | None = None) -> DataFrame:
-    """One row per (company, product): the latest licence with its activity
-    (labels 'matched_on_company' / 'marketplace_only'), plus activity keys no licence has
-    ('unresolved').
+def licence_profile(licenses: DataFrame) -> DataFrame:
+    """One row per (company, product) with a known company, in one aggregate: the columns of the latest
+    licence (newest ``last_updated``, then highest ``license_id``), and over the key's licences of a known
+    type the greatest status and the latest trial end, over all of them the latest maintenance end.
 
-    Shuffles: licences on the key (window, map-side limited to one row per key per task), events
-    aggregated on the key, then one full outer join of the two key-grain sides.
+    The latest licence is the maximum of a struct that starts with its order, so each map task sends one
+    row a key, however many licences a hot key has.
     """
-    latest = latest_licences(licenses, ENTITY_LICENCE_COLS).select(*ENTITY_LICENCE_COLS)
-    usage = usage_from_activity(activity) if activity is not None else usage_by_key(events)
-    # The latest licence per key is exactly one row per licence key, so "activity keys no licence
-    # has" are the activity keys missing from ``latest``: one full outer join resolves all three.
-    out = resolve_entities(latest, usage, KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED))
-    return out.select(*ENTITY_COLS)
+    rest = [c for c in ENTITY_LICENCE_COLS if c not in KEY]
+    typed = F.col("license_type").isNotNull()
+    g = licence_keys(licenses).groupBy(*KEY).agg(
+        F.max(F.struct("last_updated", "license_id", *rest)).alias("latest"),
+        F.max(F.when(typed, F.col("status"))).alias("trial_status"),
+        F.max(F.when(typed, F.col("evaluation_end_date"))).alias("latest_trial_end_date"),
+        F.max("maintenance_end_date").alias("latest_maintenance_end_date"))
+    return g.select(*KEY, *[F.col(f"latest.{c}").alias(c) for c in rest], "trial_status",
+                    "latest_trial_end_date", "latest_maintenance_end_date")
+
+
+def customer_profile(licenses: DataFrame, activity: DataFrame) -> DataFrame:
+    """Everything known per (company, product): :func:`licence_profile` and :func:`event_activity` resolved
+    by one full outer join, labelled 'matched_on_company' / 'marketplace_only' / 'unresolved'. The entity,
+    the dimension and the health score are projections of it, so each reads the events and the licences
+    once."""
+    return resolve_entities(licence_profile(licenses), activity.withColumnRenamed("product", "addon_name"),
+                            KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED))
+
+
+def customer_entity(profile: DataFrame) -> DataFrame:
+    """One row per (company, product): the latest licence with the activity over all events, plus
+    activity keys no licence has ('unresolved')."""
+    renamed = {"distinct_users": "entity_distinct_users", "total_events": "entity_total_events"}
+    return profile.select(*[F.col(renamed.get(c, c)).alias(c) for c in ENTITY_COLS])
 
 
 def trial_lifecycle(licenses: DataFrame, cfg: Config = Config()) -> DataFrame:

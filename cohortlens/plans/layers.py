@@ -19,8 +19,8 @@ from . import insights, intermediate, marts, staging
 
 LAYERS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("staging", ("stg_events", "stg_licenses", "stg_transactions")),
-    ("intermediate", ("int_event_activity", "int_feature_usage", "int_customer_entity",
-                      "int_trial_lifecycle")),
+    ("intermediate", ("int_event_days", "int_event_activity", "int_feature_usage",
+                      "int_customer_profile", "int_customer_entity", "int_trial_lifecycle")),
     ("mart", ("dim_customers", "fct_active_customers", "fct_trial_conversion", "fct_churn_and_nrr",
               "fct_feature_adoption", "fct_customer_health")),
     ("insight", ("ins_conversion_by_product", "ins_coverage_by_match_type",
@@ -34,13 +34,14 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
         "stg_events": lambda m: staging.stage_events(m["events"], cfg),
         "stg_licenses": lambda m: staging.stage_licenses(m["licenses"], cfg),
         "stg_transactions": lambda m: staging.stage_transactions(m["transactions"], cfg),
-        # One aggregate of the event log serves both the feature usage and the entity's activity
-        # side: written once by build_all; pruned to what each query reads when planned lazily.
-        "int_event_activity": lambda m: intermediate.event_activity(m["stg_events"], cfg),
-        "int_feature_usage": lambda m: intermediate.feature_usage_from_activity(
-            m["int_event_activity"], cfg),
-        "int_customer_entity": lambda m: intermediate.customer_entity(
-            m["stg_licenses"], activity=m["int_event_activity"]),
+        # One reduction of the event log serves the feature usage and the entity's activity side:
+        # written once by build_all; pruned to what each query reads when planned lazily.
+        "int_event_days": lambda m: intermediate.event_days(m["stg_events"], cfg),
+        "int_event_activity": lambda m: intermediate.event_activity(m["int_event_days"], cfg),
+        "int_feature_usage": lambda m: intermediate.feature_usage(m["int_event_activity"], cfg),
+        "int_customer_profile": lambda m: intermediate.customer_profile(
+            m["stg_licenses"], m["int_event_activity"]),
+        "int_customer_entity": lambda m: intermediate.customer_entity(m["int_customer_profile"]),
         "int_trial_lifecycle": lambda m: intermediate.trial_lifecycle(m["stg_licenses"], cfg),
         "dim_customers": lambda m: marts.dim_customers(m["int_customer_entity"]),
         # The licence marts keep licence rows whose key is a customer of the dimension. The
@@ -53,8 +54,7 @@ def model_builders(cfg: Config, as_of=None) -> dict[str, Callable[[Mapping[str,
             m["stg_transactions"], m["stg_licenses"], None, m["stg_events"], cfg),
         "fct_feature_adoption": lambda m: marts.feature_adoption(m["int_feature_usage"],
                                                                  m["int_trial_lifecycle"], cfg),
-        "fct_customer_health": lambda m: marts.customer_health(
-            m["dim_customers"], m["int_feature_usage"], m["int_trial_lifecycle"], as_of, cfg),
+        "fct_customer_health": lambda m: marts.customer_health(m["int_customer_profile"], as_of, cfg),
         "ins_conversion_by_product": lambda m: insights.conversion_by_product(
             m["int_trial_lifecycle"]),
         "ins_coverage_by_match_type": lambda m: insights.coverage_by_match_type(
@@ -88,22 +88,28 @@ def models(inputs: Mapping[str, DataFrame], cfg: Config = Config(), as_of=None)
 
 
 def build_all(spark: SparkSession, inputs: Mapping[str, DataFrame], out_dir: str | None = None,
-              cfg: Config = Config(), as_of=None, fmt: str = "parquet") -> dict[str, str]:
-    """Write every model under ``out_dir/<name>`` (full refresh), layer by layer; each model reads
-    the written tables of earlier layers. ``out_dir`` must be on shared storage on a cluster; by
-    default it is a folder under the session's ``spark.checkpoint.dir``. Returns name -> path."""
-    if out_dir is None:
-        import uuid
-
-        from ..session import checkpoint_dir
-        out_dir = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-build-{uuid.uuid4().hex[:12]}"
+              cfg: Config = Config(), as_of=None, fmt: str = "parquet", database: str | None = None,
+              layer_databases: Mapping[str, str] = {}) -> dict[str, str]:
+    """Write every model (full refresh), layer by layer; each model reads the written tables of earlier
+    layers.
+
+    Either ``out_dir``, a folder on shared storage, takes the models as ``out_dir/<name>``; or the catalog
+    takes them as tables of ``database``, or of the one that ``layer_databases`` names for the layer
+    ('staging', 'intermediate', 'mart', 'insight'). Returns name -> path or table name.
+    """
+    if (out_dir is None) == (database is None):
+        raise ValueError("give out_dir or database")
     builders = model_builders(cfg, as_of)
     built: dict[str, DataFrame] = dict(inputs)
     paths: dict[str, str] = {}
-    for _layer, names in LAYERS:
+    for layer, names in LAYERS:
         for name in names:  # in dependency order; later models read the written tables
-            path = f"{out_dir.rstrip('/')}/{name}"
-            write_table(builders[name](built), path=path, fmt=fmt)
-            paths[name] = path
-            built[name] = spark.read.format(fmt).load(path)
+            if out_dir is not None:
+                paths[name] = f"{out_dir.rstrip('/')}/{name}"
+                write_table(builders[name](built), path=paths[name], fmt=fmt)
+                built[name] = spark.read.format(fmt).load(paths[name])
+            else:
+                paths[name] = f"{layer_databases.get(layer, database)}.{name}"
+                write_table(builders[name](built), table=paths[name], fmt=fmt)
+                built[name] = spark.read.table(paths[name])
     return paths

@@ -40,31 +40,13 @@ def dim_keys(dim: DataFrame) -> DataFrame:
             .filter(F.col("company").isNotNull() & F.col("addon_name").isNotNull()))
 
 
-def licence_backed_keys(licenses: DataFrame) -> DataFrame:
-    """The dimension's licence-backed keys (matched_on_company + marketplace_only), computed from
-    the licences alone: one row per (company, product) with a known company and product.
-
-    For a dimension built from the same licences this equals :func:`dim_keys`; passing it to the
-    licence marts (M08, M10) spares them the dimension's activity side, i.e. a scan and
-    aggregation of the whole event log, when they are planned from raw inputs.
-    """
-    from .intermediate import licence_keys
-    return (licence_keys(licenses).select("company", "addon_name")
-            .filter(F.col("addon_name").isNotNull()).distinct())
-
-
-def _in_dimension(df: DataFrame, dim: DataFrame | None, keys: DataFrame | None) -> DataFrame:
+def _in_dimension(df: DataFrame, dim: DataFrame | None) -> DataFrame:
     """Keep rows whose (company, product) is a customer of the dimension.
 
-    With neither ``dim`` nor ``keys`` no filter is applied: every licence key with a known company
-    and product is a customer of the dimension built from the same licences (it is that
-    dimension's matched + licence-only part), so the semi-join would remove nothing.
+    Without ``dim`` no filter is applied: every licence key with a known company and product is a customer
+    of the dimension built from the same licences, so the semi-join would remove nothing.
     """
-    if keys is not None:
-        return df.join(keys.select("company", "addon_name"), KEY, "left_semi")
-    if dim is not None:
-        return df.join(dim_keys(dim), KEY, "left_semi")
-    return df
+    return df if dim is None else df.join(dim_keys(dim), KEY, "left_semi")
 
 
 def _as_of(as_of) -> Column:
@@ -81,15 +63,14 @@ def _as_of(as_of) -> Column:
 # M08 active customers
 # ---------------------------------------------------------------------------------------------
 
-def customer_intervals(licenses: DataFrame, dim: DataFrame | None,
-                       keys: DataFrame | None = None) -> DataFrame:
+def customer_intervals(licenses: DataFrame, dim: DataFrame | None) -> DataFrame:
     """Licence maintenance intervals of customers in the dimension (key known, start known)."""
     src = licenses.select(
         normalize_key("company").alias("company"), clean_text("addon_name").alias("addon_name"),
         "status", "maintenance_start_date", "maintenance_end_date",
     ).filter(F.col("company").isNotNull() & F.col("addon_name").isNotNull()
              & F.col("maintenance_start_date").isNotNull())
-    return _in_dimension(src, dim, keys)
+    return _in_dimension(src, dim)
 
 
 def _active_status(c: str = "status") -> Column:
@@ -117,17 +98,15 @@ def churned_by_month(intervals: DataFrame, month: str = "month",
     return churned.groupBy(month, "addon_name").agg(F.count(F.lit(1)).alias("churned_customers"))
 
 
-def active_customers(licenses: DataFrame, dim: DataFrame | None,
-                     cfg: Config = Config(), keys: DataFrame | None = None) -> DataFrame:
+def active_customers(licenses: DataFrame, dim: DataFrame | None, cfg: Config = Config()) -> DataFrame:
     """Per (month, product): active customers (ACTIVE and covered through month end), new
     customers (first start in the month), churned customers (ended, no later ACTIVE start), and the
     change in active count from the previous present month.
 
     Months come from licence starts only, and months without an active customer are absent (the
-    counts start from the active side). ``keys`` may replace
-    ``dim`` by its licence-backed keys (:func:`licence_backed_keys`).
+    counts start from the active side).
     """
-    iv = customer_intervals(licenses, dim, keys)
+    iv = customer_intervals(licenses, dim)
     spine = month_spine(iv, "maintenance_start_date")
     active = active_by_month(iv.filter(_active_status()), spine, ["addon_name"], "company",
                              "maintenance_start_date", "maintenance_end_date",
@@ -170,35 +149,31 @@ def cancellations(events: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFrame | None,
-                     events: DataFrame, cfg: Config = Config(),
-                     keys: DataFrame | None = None) -> DataFrame:
+                     events: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Customer-month revenue measures and cancel counts.
 
-    Transactions are first summed per (licence, product, month) by revenue role (map-side partial
-    aggregation, so a licence with a third of all sales shrinks to one row per month before any
-    shuffle), then attached to their company through the licence (deduplicated to distinct
-    (licence, product, company) so a repeated licence row cannot multiply amounts), kept when the
-    customer is in the dimension, and summed per (month, product, company).
+    Sales are shuffled once, on the licence and product that attach them to their company, and summed per
+    (month, product, company) in the tasks of that join before the next shuffle. A licence with a third of
+    all sales makes one large join partition, which adaptive execution splits (skew join). Licences are
+    deduplicated to distinct (licence, product, company), so a repeated licence row cannot multiply amounts.
     """
     tx = (transactions
-          .filter(F.col("sale_date").isNotNull() & F.col("vendor_amount").isNotNull())
-          .select(F.col("license_id"), clean_text("addon_name").alias("addon_name"),
+          .filter(F.col("sale_date").isNotNull() & F.col("vendor_amount").isNotNull()
+                  & F.col("license_id").isNotNull())
+          .select("license_id", clean_text("addon_name").alias("addon_name"),
                   month_of("sale_date").alias("month"),
                   normalize_key("sale_type").alias("sale_type"), "vendor_amount")
           .filter(F.col("addon_name").isNotNull()))
-    per_licence = revenue_parts(tx, ["license_id", "addon_name", "month"], F.col("sale_type"),
-                                F.col("vendor_amount"), cfg.recurring_sale_types,
-                                cfg.expansion_sale_type, cfg.contraction_sale_type,
-                                cfg.refund_sale_type, cfg.money_type)
     lic = (licenses.select("license_id", clean_text("addon_name").alias("addon_name"),
                            normalize_key("company").alias("company"))
            .filter(F.col("company").isNotNull() & F.col("license_id").isNotNull()
                    & F.col("addon_name").isNotNull())
            .distinct())
-    joined = _in_dimension(per_licence.join(lic, ["license_id", "addon_name"], "inner"), dim, keys)
-    parts = ["mrr", "expansion_mrr", "contraction_mrr", "refund_mrr", "total_vendor_amount"]
-    monthly = joined.groupBy("month", "addon_name", "company").agg(
-        *[F.sum(p).alias(p) for p in parts])
+    sales = tx.join(_in_dimension(lic, dim), ["license_id", "addon_name"], "inner")
+    monthly = revenue_parts(sales, ["month", "addon_name", "company"], F.col("sale_type"),
+                            F.col("vendor_amount"), cfg.recurring_sale_types,
+                            cfg.expansion_sale_type, cfg.contraction_sale_type,
+                            cfg.refund_sale_type, cfg.money_type)
     ce = cancellations(events, cfg)
     return (monthly.join(ce, ["month", "company", "addon_name"], "left")
             .withColumn("subscription_cancelled_events",
@@ -206,12 +181,10 @@ def customer_revenue(transactions: DataFrame, licenses: DataFrame, dim: DataFram
 
 
 def churn_and_nrr(transactions: DataFrame, licenses: DataFrame, dim: DataFrame | None,
-                  events: DataFrame, cfg: Config = Config(),
-                  keys: DataFrame | None = None) -> DataFrame:
+                  events: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Per (sale month, product): mrr, churned_mrr, expansion_mrr, contraction_mrr,
-    beginning_mrr (previous present month), nrr, churn_rate. ``keys`` may replace ``dim`` by its
-    licence-backed keys (:func:`licence_backed_keys`)."""
-    cm = customer_revenue(transactions, licenses, dim, events, cfg, keys)
+    beginning_mrr (previous present month), nrr, churn_rate."""
+    cm = customer_revenue(transactions, licenses, dim, events, cfg)
     churned = churn_trigger(F.col("refund_mrr"), F.col("subscription_cancelled_events"),
                             cfg.refund_sign)
     rolled = retention_rollup(cm, "month", ["addon_name"], churned)
@@ -249,6 +222,7 @@ def _uninstall_column(cfg: Config) -> str:
 def feature_outcomes(usage: DataFrame, trials: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Usage per (company, product) labelled converted / churned / active_trial (M11 without the
     group averages)."""
+    cfg.check_products()
     sig = lifecycle_signals(trials).withColumnRenamed("company", "_c").withColumnRenamed(
         "addon_name", "_a")
     u = usage.withColumnRenamed("product", "addon_name")
@@ -274,30 +248,23 @@ def feature_adoption(usage: DataFrame, trials: DataFrame, cfg: Config = Config()
 # M12 customer health
 # ---------------------------------------------------------------------------------------------
 
-def trial_summary(trials: DataFrame) -> DataFrame:
-    """Per (company, product): max status (alphabetical) and latest trial end."""
-    return trials.groupBy("company", "addon_name").agg(
-        F.max("current_status").alias("current_status"),
-        F.max("trial_end_date").alias("latest_trial_end_date"))
-
-
-def customer_health(dim: DataFrame, usage: DataFrame, trials: DataFrame, as_of=None,
-                    cfg: Config = Config()) -> DataFrame:
+def customer_health(profile: DataFrame, as_of=None, cfg: Config = Config()) -> DataFrame:
     """0-100 health per customer = recency + engagement + feature adoption + licence health
-    (25 points each), and its tier. ``as_of`` replaces the wall clock (default: current_date)."""
+    (25 points each), and its tier. ``as_of`` replaces the wall clock (default: current_date).
+
+    ``profile`` is :func:`.intermediate.customer_profile`. Activity without a company is nobody's usage: it
+    scores as no usage.
+    """
+    cfg.check_products()
     today = _as_of(as_of if as_of is not None else cfg.as_of)
-    d = dim.select("company", "addon_name", "match_type",
-                   F.col("status").alias("_dim_status"), "tier").filter(
-        F.col("addon_name").isNotNull())
+    named = F.col("company").isNotNull()
     feats = cfg.feature_columns
-    u = usage.select(F.col("company").alias("_uc"), F.col("product").alias("_up"),
-                     "last_event_date", "distinct_users", *feats)
-    t = trial_summary(trials).select(F.col("company").alias("_tc"), F.col("addon_name")
-                                     .alias("_ta"), "current_status", "latest_trial_end_date")
-    src = (d.join(u, (d.company == u._uc) & (d.addon_name == u._up), "left")
-           .join(t, (d.company == t._tc) & (d.addon_name == t._ta), "left"))
+    src = profile.filter(F.col("addon_name").isNotNull()).select(
+        *KEY, "match_type", "tier", F.col("status").alias("_dim_status"),
+        F.col("trial_status").alias("current_status"), F.col(cfg.license_end_column).alias("_end"),
+        *[F.when(named, F.col(c)).alias(c) for c in ("last_event_date", "distinct_users", *feats)])
     status = F.upper(F.coalesce(F.coalesce("_dim_status", "current_status"), F.lit("")))
-    end = F.col("latest_trial_end_date")
+    end = F.col("_end")
     limit = pattern_map("tier", cfg.tier_limits, cfg.tier_other_limit, None)
     users = F.coalesce("distinct_users", F.lit(0))
     engagement = F.when(limit.isNull(), F.lit(float(cfg.tier_null_score))).otherwise(

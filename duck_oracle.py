@@ -246,6 +246,7 @@ _LICENCE_SOURCE = """
   WHERE company IS NOT NULL AND addon_name IS NOT NULL AND maintenance_start_date IS NOT NULL {only}
 """
 _IN_DIM = "AND (upper(company), addon_name) IN (SELECT (company, addon_name) FROM dim_customers WHERE addon_name IS NOT NULL AND company IS NOT NULL)"
+_IN_MATCHED = _IN_DIM.replace("WHERE", "WHERE match_type = 'matched_on_company' AND")
 
 _MONTH_SPINE = """
   SELECT date_trunc('month', since)::DATE AS month FROM {src} GROUP BY 1
@@ -367,6 +368,14 @@ SELECT *, CASE WHEN health_score >= 75 THEN 'healthy' WHEN health_score >= 40 TH
 FROM added
 """
 
+# The horizon on the latest maintenance end of the customer's licences instead of the latest trial end.
+M12B_HEALTH = FCT_CUSTOMER_HEALTH.replace("points AS (", """upkeep AS (
+  SELECT upper(company) AS company, addon_name, max(maintenance_end_date) AS kept_to
+  FROM stg_licenses WHERE company IS NOT NULL GROUP BY ALL),
+points AS (""").replace("covered_to IS", "kept_to IS").replace("covered_to -", "kept_to -").replace(
+    "  WHERE d.addon_name", """  LEFT JOIN upkeep ON upkeep.company = d.company AND upkeep.addon_name = d.addon_name
+  WHERE d.addon_name""")
+
 INS_CONVERSION_BY_PRODUCT = """
 SELECT addon_name AS product,
        CAST(count_if(is_trial) AS BIGINT) AS total_trials,
@@ -382,7 +391,8 @@ INS_COVERAGE_BY_MATCH_TYPE = """
 SELECT match_type, customers, avg_health_score, avg_recency_score,
        CAST(customers AS DOUBLE) / sum(customers) OVER () AS share_of_customers
 FROM (
-  SELECT match_type, count(*) AS customers, round(avg(health_score), 6) AS avg_health_score,
+  SELECT match_type, count(*) AS customers,
+         CAST(sum(CAST(health_score AS DECIMAL(28,6))) AS DOUBLE) / count(health_score) AS avg_health_score,
          avg(recency_score) AS avg_recency_score
   FROM fct_customer_health GROUP BY 1
 ) g
@@ -418,7 +428,22 @@ B10_WITHOUT_SUCCESSOR = f"""
 SELECT company, addon_name, license_id, ended AS maintenance_end_date FROM ({_LAST_OF_KEY.format(src="all_source")})
 """
 
-B05_RESOLVE_ENTITIES = "SELECT * FROM int_customer_entity"
+# A NULL company matches nothing on either side.
+B05_RESOLVE_ENTITIES = """
+WITH held AS (
+  SELECT DISTINCT ON (upper(company), addon_name) upper(company) AS name, addon_name AS app, license_id, last_updated,
+         status, 'marketplace_only' AS alone
+  FROM stg_licenses ORDER BY upper(company), addon_name, last_updated DESC NULLS LAST, license_id DESC NULLS LAST),
+seen AS (
+  SELECT upper(user_property_company) AS name, product AS app, count(DISTINCT user_id) AS entity_distinct_users,
+         count(*) AS entity_total_events, 'unresolved' AS alone
+  FROM stg_events GROUP BY ALL)
+SELECT coalesce(held.name, seen.name) AS company, coalesce(held.app, seen.app) AS addon_name, license_id, last_updated,
+       status, entity_distinct_users, entity_total_events,
+       CASE WHEN held.alone || seen.alone IS NULL THEN coalesce(held.alone, seen.alone) ELSE 'matched_on_company' END
+         AS match_type
+FROM held FULL JOIN seen ON held.name = seen.name AND held.app = seen.app
+"""
 B06_CONDITIONAL_COUNTS = """
 SELECT addon_name,
        count(*) AS n_sales,
@@ -477,6 +502,12 @@ MODELS: dict[str, str] = {
     "b08_active_by_month": B08_ACTIVE_BY_MONTH,
     "b09_first_period": B09_FIRST_PERIOD,
     "b10_without_successor": B10_WITHOUT_SUCCESSOR,
+    "m12b_health_by_maintenance_end": M12B_HEALTH,
+    "matched_source": _LICENCE_SOURCE.format(only=_IN_MATCHED),
+    "matched_spine": _MONTH_SPINE.format(src="matched_source"),
+    "j03_active_of_dimension": FCT_ACTIVE_CUSTOMERS.replace("ac_s", "matched_s"),
+    "j09_churn_of_dimension": FCT_CHURN_AND_NRR.replace(
+        "FROM dim_customers", "FROM dim_customers WHERE match_type = 'matched_on_company'"),
     "b05_resolve_entities": B05_RESOLVE_ENTITIES,
     "b06_conditional_counts": B06_CONDITIONAL_COUNTS,
     "b11_period_delta": B11_PERIOD_DELTA,

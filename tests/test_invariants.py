@@ -62,13 +62,6 @@ def test_fixture_counts_match_survey(m):
     assert refunds == 1384
 
 
-def test_licence_backed_keys_equal_dimension_keys(m):
-    from cohortlens.plans.marts import dim_keys, licence_backed_keys
-    a = dim_keys(m["dim_customers"])
-    b = licence_backed_keys(m["stg_licenses"])
-    assert a.count() == b.count() == a.intersect(b).count()
-
-
 def test_licence_marts_same_with_dimension(m):
     from cohortlens.plans.marts import active_customers
     from cohortlens.sources import FIXTURE_CONFIG
@@ -86,14 +79,41 @@ def test_revenue_mart_same_with_dimension(m):
     assert via_dim.exceptAll(via_none).count() == 0 and via_none.exceptAll(via_dim).count() == 0
 
 
-def test_standalone_usage_functions_equal_shared_activity(m):
-    from cohortlens.plans import intermediate as im
-    from cohortlens.sources import FIXTURE_CONFIG
-    ev = m["stg_events"]
-    act = im.event_activity(ev, FIXTURE_CONFIG)
-    pairs = [(im.feature_usage(ev, FIXTURE_CONFIG), im.feature_usage_from_activity(act, FIXTURE_CONFIG)),
-             (im.usage_by_key(ev), im.usage_from_activity(act))]
-    for a, b in pairs:
+def test_activity_equals_counts_over_raw_events(m):
+    """The two-level aggregate equals plain aggregates of the staged events."""
+    from cohortlens.functions.text import normalize_key
+    ev = m["stg_events"].select(normalize_key("user_property_company").alias("company"), "product", "event_type",
+                                "user_id", "session_id", "event_time")
+    user = ~F.col("event_type").isin("automated_test_run", "api_health_check")
+    plain = [
+        (ev.filter(user).groupBy("company", "product").agg(
+            F.count(F.lit(1)).alias("total_events"), F.count_distinct("user_id").alias("distinct_users"),
+            F.count_distinct("session_id").alias("distinct_sessions"),
+            F.count_distinct(F.to_date("event_time")).alias("active_days")),
+         m["int_feature_usage"]),
+        (ev.groupBy("company", "product").agg(
+            F.count_distinct("user_id").alias("entity_distinct_users"), F.count(F.lit(1)).alias("entity_total_events"),
+            F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen")),
+         m["int_event_activity"])]
+    for a, b in plain:
         b = b.select(*a.columns)
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_profile_takes_the_latest_licence(m):
+    from cohortlens.plans.intermediate import ENTITY_LICENCE_COLS, latest_licences
+    a = latest_licences(m["stg_licenses"], ENTITY_LICENCE_COLS).select(*ENTITY_LICENCE_COLS)
+    b = m["int_customer_entity"].filter("match_type <> 'unresolved'").select(*ENTITY_LICENCE_COLS)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_config_without_products_is_an_error(spark, m):
+    from cohortlens import Config
+    from cohortlens.plans import models
+    from cohortlens.sources import raw_inputs
+    bare = models(raw_inputs(spark, SF01), Config(), as_of="2001-08-01")
+    assert bare["dim_customers"].columns
+    for name in ("int_feature_usage", "fct_feature_adoption", "fct_customer_health"):
+        with pytest.raises(ValueError, match="with_products"):
+            bare[name]

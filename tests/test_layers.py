@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from cohortlens.plans import build_all, models
 from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs
 from cohortlens.streaming.staging import stage_stream
@@ -26,6 +28,29 @@ def test_build_all_matches_lazy_models(spark, scratch):
         assert rows(written) == rows(lazy[name]), name
 
 
+def test_build_all_to_catalog_tables(spark, scratch):
+    raw = raw_inputs(spark, SF001)
+    inputs = {k: raw[k] for k in ("events", "licenses", "transactions")}
+    for layer in ("core", "marts"):
+        spark.sql(f"CREATE DATABASE cl_{layer} LOCATION '{scratch}/{layer}'")
+    try:
+        names = build_all(spark, inputs, cfg=FIXTURE_CONFIG, as_of=FIXTURE_AS_OF, database="cl_core",
+                          layer_databases={"mart": "cl_marts"})
+        lazy = models(inputs, FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
+        assert names["fct_customer_health"] == "cl_marts.fct_customer_health"
+        for name in ("dim_customers", "fct_customer_health", "ins_coverage_by_match_type"):
+            assert rows(spark.read.table(names[name])) == rows(lazy[name]), name
+        assert all(spark.catalog.tableExists(t) for t in names.values())
+    finally:
+        for layer in ("core", "marts"):
+            spark.sql(f"DROP DATABASE cl_{layer} CASCADE")
+
+
+def test_build_all_needs_a_target(spark):
+    with pytest.raises(ValueError):
+        build_all(spark, {}, cfg=FIXTURE_CONFIG)
+
+
 def test_stage_stream_equals_batch(spark, scratch):
     raw = raw_inputs(spark, SF001)["licenses"]
     src = os.path.join(scratch, "raw_licenses")

@@ -41,9 +41,13 @@ def test_resolve_entities_null_keys_stay_right_only(spark):
     assert got == sorted([("A", "P", 1, 10, "both"), ("B", "P", 2, None, "left"),
                           ("C", None, 3, None, "left"), (None, "P", None, 20, "right"),
                           ("D", "P", None, 30, "right"), ("C", None, None, 40, "right")], key=key)
-    alt = resolve_entities(left, right, ["c", "p"], "m", ("both", "left", "right"),
-                           right_keys=left.select("c", "p"))
-    assert sorted(((r.c, r.p, r.l, r.r, r.m) for r in alt.collect()), key=key) == got
+
+
+def test_attach_group_avg_repeated_rows_and_null_groups(spark):
+    df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, 20.0), (None, 3, 5.0), ("b", 4, None)], "k string, i int, v double")
+    rows = attach_group_avg(df.union(df.limit(1)), ["k"], {"m": "v"}, salt=3).collect()
+    assert len(rows) == 5 and rows[0].asDict().keys() == {"k", "i", "v", "m"}
+    assert {(r.i, r.m) for r in rows} == {(1, 40 / 3), (2, 40 / 3), (3, 5.0), (4, None)}
 
 
 def test_conditional_counts_zero_not_null(spark):

@@ -6,23 +6,65 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF001
+from tools.plan_report import final_plan, summarise
 
 CORE = {**entry.MODEL_QUERIES, **entry.BLOCK_QUERIES}
 QUERIES = {q: f for q, f in entry.queries().items() if q in CORE}
 
 
-def plan_text(df) -> str:
+def initial_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    p = plan_text(QUERIES[name](spark, SF001))
+    p = initial_plan(QUERIES[name](spark, SF001))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, (name, bad)
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    entry._MODELS.clear()  # plans made with broadcasts
+    yield
+    for n, v in old.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    entry._MODELS.clear()
+
+
+@pytest.mark.parametrize("name, expands", [
+    ("m05_customer_entity", 0), ("m12_customer_health", 0), ("m14_coverage_by_match_type", 0),
+    ("m11_feature_adoption", 1), ("b14_attach_group_avg", 0), ("m15_engagement_by_outcome", 1)])
+def test_events_and_licences_are_read_and_aggregated_once(spark, no_broadcast, name, expands):
+    p = final_plan(QUERIES[name](spark, SF001))
+    s = summarise(p)
+    assert s["reads"].get("events") == 1 and s["reads"].get("orders") == 1, s
+    assert s["broadcast_hash_joins"] == 0 and p.count("Expand [") == expands
+    # the raw events' aggregate: one partial side however many readers
+    assert sum("Aggregate(keys=[" in x and "session_id#" in x.split("]")[0] and "CASE" not in x.split("]")[0] and "functions=[partial_" in x
+               for x in p.splitlines()) <= 1
+
+
+def test_distinct_counts_expand_reduced_rows_only(spark, no_broadcast):
+    """Below the Expand of m04's distinct counts stands the exchange of the reduced events."""
+    p = final_plan(QUERIES["m04_feature_usage"](spark, SF001))
+    below = p[p.index("Expand ["):]
+    assert "Exchange hashpartitioning(company" in below and "partial_count" in below
+    assert summarise(p)["reads"]["events"] == 1
+
+
+def test_sales_are_shuffled_once_below_the_licence_join(spark, no_broadcast):
+    lines = initial_plan(QUERIES["m10_churn_and_nrr"](spark, SF001)).splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan parquet [l_orderkey" in x)
+    join = max(i for i, x in enumerate(lines[:scan]) if "SortMergeJoin" in x)
+    assert sum(" Exchange " in x for x in lines[join:scan]) == 1
+
+
 def test_scan_is_pruned(spark):
     df = QUERIES["m09_trial_conversion"](spark, SF001)
     p = df._jdf.queryExecution().executedPlan().toString()

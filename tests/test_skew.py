@@ -8,7 +8,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from cohortlens.plans import models
+from cohortlens.plans import latest_licences, models
 from cohortlens.sources import FIXTURE_CONFIG
 from tests import frames as fr
 
@@ -53,8 +53,11 @@ def test_hot_key_results_match_naive_sql(spark):
 
 def test_hot_key_plans_reduce_before_shuffle(spark):
     m = models(skewed_inputs(spark, n=300), FIXTURE_CONFIG, as_of="2021-06-30")
-    p = m["int_customer_entity"]._jdf.queryExecution().executedPlan().toString()
     # latest-per-key: a partial WindowGroupLimit runs before the exchange
+    p = latest_licences(m["stg_licenses"])._jdf.queryExecution().executedPlan().toString()
     assert p.count("WindowGroupLimit") >= 2
+    # the licence profile: a partial maximum does
+    p = m["int_customer_entity"]._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max(struct(last_updated" in p
     p = m["int_feature_usage"]._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in p
