@@ -56,7 +56,7 @@ def _label(prefix: str, value: Column) -> Column:
 
 def _money(count: Column, unit: str) -> Column:
     """``count`` times ``unit`` (a decimal literal of two places), exact."""
-    return count.cast("decimal(18,0)") * F.lit(unit).cast("decimal(3,2)")
+    return (count.cast("decimal(14,0)") * F.lit(unit).cast("decimal(3,2)")).cast(FIXTURE_MONEY)
 
 
 _CACHE: dict[tuple[str, str, str], DataFrame] = {}
