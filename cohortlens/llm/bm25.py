@@ -9,7 +9,9 @@ Of equal scores the smaller id comes first.
 
 So that shards without good documents need not look for ten of their own, a first pass scores, over all
 shards, the documents that hold a query's rarest terms; the k-th best of them is a lower bound of the
-final k-th score, and every shard's WAND starts with it as its threshold.
+final k-th score, and every shard's WAND starts with it as its threshold. Queries of more than ``MANY`` terms
+take neither: the sum of so many bounds lets WAND skip next to nothing, and adding up all of their
+postings as arrays is faster. Either way the scores are those of scoring every document.
 
 A term is a run of word characters in lower case, named by its 64-bit XXH64.
 
@@ -35,14 +37,16 @@ from pyspark.sql import functions as F
 from .common import by_chars, materialize
 
 K1, B = 1.2, 0.75
-TOP, QUERY_TERMS = 10, 16
+TOP, QUERY_TERMS = 10, None   # all terms of a query's text
 END = 1 << 62                 # after every document
 DENSE = 16                     # blocks whose documents lie at most so many blocks apart are scored together
 BLOCK = 64                    # postings under one block maximum
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
 PROBE = 50                    # postings of the first pass, for each of the k results
+MANY = 32                     # terms of a query above which all its postings are added up, without WAND
 QUERY_BLOCK = 50_000          # queries whose terms are sent to the tasks at a time
+QUERY_ROWS = 1_000_000        # and terms of these queries at a time, about
 TERM_BLOCK = 1_000_000        # terms whose frequencies are counted at a time
 WORD = re.compile(r"\w+")
 SHARD = "docs binary, lengths binary, terms binary, ends binary, posts binary, counts binary"
@@ -297,7 +301,7 @@ class Shard:
         rare = q.rare[self.hit]
         for i, (s, e) in enumerate(zip(self.query_cut[:-1].tolist(), self.query_cut[1:].tolist(), strict=True)):
             some = self.of[s:e][rare[s:e]]
-            if not len(some):
+            if not len(some) or q.many[self.query[i]]:
                 continue
             docs = np.unique(np.concatenate([self.at[self.cut[n]:self.cut[n + 1]] for n in some]))
             score = np.zeros(len(docs))
@@ -308,12 +312,25 @@ class Shard:
             for j in np.argsort(-score, kind="stable")[:k].tolist():
                 yield int(self.query[i]), float(score[j]), int(self.docs[docs[j]])
 
+    def _all(self, i: int, k: int) -> Iterator[tuple[int, float, int]]:
+        """(query number, score, doc_id) of the k best of all documents, from all postings of the query's terms."""
+        lists = [slice(self.cut[n], self.cut[n + 1]) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
+        score = np.bincount(np.concatenate([self.at[x] for x in lists]),  # adds in the order of the query's terms
+                            np.concatenate([self.score[x] for x in lists]), len(self.docs))
+        least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+        best = np.flatnonzero((score >= least) & (score > 0))
+        for j in best[np.argsort(-score[best], kind="stable")[:k]].tolist():
+            yield int(self.query[i]), float(score[j]), int(self.docs[j])
+
     def search(self, q: Queries, k: int) -> Iterator[tuple[int, float, int]]:
         """(query number, score, doc_id) of each query's top k here, from its ``least`` score on."""
         if not len(self.hit):
             return
         bound = np.add.reduceat(self.most[self.of], self.query_cut[:-1]) * (1 + 1e-9)
         for i in np.flatnonzero(bound > q.least[self.query]).tolist():
+            if q.many[self.query[i]]:
+                yield from self._all(i, k)
+                continue
             cursors = [Cursor(self.postings(n)) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
             for score, doc in wand(cursors, k, float(q.least[self.query[i]])):
                 yield int(self.query[i]), score, int(self.docs[doc])
@@ -327,6 +344,7 @@ class Queries:
         order = np.lexsort((term, query))
         query, self.term, self.weight, df = query[order], term[order].view(np.uint64), weight[order], df[order]
         self.names, self.first, size = np.unique(query, return_index=True, return_counts=True)
+        self.many = size > MANY
         # The rarest terms of a query, PROBE * k postings in all (and its rarest one anyway).
         by = np.lexsort((self.term, df, query))
         upto = np.cumsum(df[by])
@@ -382,11 +400,11 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int |
         w = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("weight")), "term")
         weighted = weighted.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most_terms)
     weighted = materialize(weighted.select("query_id", "term", "weight", "df"), "bm25-queries")
-    blocks = max(1, -(-weighted.select("query_id").distinct().count() // QUERY_BLOCK))
+    blocks = max(1, -(-weighted.select("query_id").distinct().count() // QUERY_BLOCK), -(-weighted.count() // QUERY_ROWS))
     mean = tokens / max(n, 1)
     out = None
     for b in range(blocks):
-        # Bounded: the terms of at most about QUERY_BLOCK queries at a time go to the tasks.
+        # Bounded: about QUERY_ROWS terms, of at most about QUERY_BLOCK queries, at a time go to the tasks.
         rows = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
         least = _ranked(_per_shard(index, Queries(rows, None, k), mean, k, True)).filter(F.col("rank") == k)
         part = _per_shard(index, Queries(rows, least.select("query_id", "score").toArrow(), k), mean, k, False)
@@ -395,7 +413,6 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int |
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """The ten best documents for every document whose id is divisible by 100, by its whole text's terms
-    of the highest tf * idf."""
+    """The ten best documents for every document whose id is divisible by 100, by all terms of its text."""
     queries = docs.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text")
     return search(build(docs), queries, most_terms=QUERY_TERMS)

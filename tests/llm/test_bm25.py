@@ -103,6 +103,13 @@ def test_query_over_the_given_table(spark):
           brute(docs, [d for d in docs if d[0] % 100 == 0], bm25.TOP, bm25.QUERY_TERMS))
 
 
+def test_query_asks_for_all_terms(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    queries = [d for d in docs if d[0] % 100 == 0]
+    assert any(len(set(re.findall(r"\w+", t.lower()))) > bm25.MANY for _, t in queries)
+    check(bm25.summary(table(spark, "/root/testdata/sf0.01", "documents")).collect(), brute(docs, queries, bm25.TOP))
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bm25.summary(empty).collect() == []
