@@ -3,13 +3,16 @@
 The pieces, scores and byte fallback come from a SentencePiece model file. Text is cut at spaces (a space,
 written U+2581, only ever starts a piece), and every word is merged by its agenda: the adjacent pair of
 the best score, leftmost first, again and again. A candidate merge is skipped for good if its keyed
-hash - of seed, variant, word, place and both pieces - is below the dropout rate; a new neighbour makes
-a new candidate. Each occurrence of a word in a document draws one of ``VARIANTS`` variants by a keyed
-hash of document and place, so the same words are cut in varied ways, the same on every run and
-under any partitioning. With rate 0 the result is the library's own encoding.
+hash is below the dropout rate; a new neighbour makes a new candidate. The hash is of the seed, the
+occurrence (document, place in it and word), the place in the word and both pieces, so every occurrence
+is cut by draws of its own, the same on every run and under any partitioning. With rate 0 the result is
+the library's own encoding.
 
 Words of a batch are merged together, one step of all agendas at a time, as arrays; words above
-``LONG`` characters go through a heap. Results of frequent words are kept in a bounded table.
+``LONG`` characters go through a heap. A bounded table keeps, for each word, the merges of its agenda and
+its ids where none of them is skipped, and the same again for the agenda that goes on after one of these
+merges is skipped, up to ``DEPTH`` skips. An occurrence draws for the merges of its word's agenda; the
+first that it skips leads to the next agenda. Beyond ``DEPTH`` skips an occurrence is merged on its own.
 
 Defined results: a NULL or empty text has no ids and decodes to an empty text; characters outside the
 vocabulary, and a literal U+2581, become byte pieces, so decoding always gives the text back;
@@ -35,9 +38,11 @@ from .common import by_chars, fresh
 
 SPACE = "▁"
 WORD = re.compile(f" +[^ {SPACE}]*|[^ {SPACE}]+|{SPACE}")
-RATE, SEED, VARIANTS = 0.1, 11, 4
+RATE, SEED = 0.1, 11
+DEPTH = 3            # skipped merges of a word up to which its agendas are kept
 LONG = 64            # characters of a word up to which it is merged with others as arrays
 WORDS = 300_000      # words whose segmentations a task keeps
+AGENDAS = 1_000_000  # and agendas of these words
 CHARS = 1_000_000    # characters encoded at a time
 NONE = np.int32(2**31 - 1)
 _M = (1 << 64) - 1
@@ -75,15 +80,40 @@ class _Table(dict):
         return n
 
 
+class _Pool:
+    """An array that grows at its end; ``a`` may be longer than the ``n`` values that it holds."""
+
+    def __init__(self, dtype, *width: int):
+        self.a, self.n = np.zeros((1024, *width), dtype), 0
+
+    def extend(self, values) -> None:
+        self.n += self.put(values)
+
+    def put(self, values) -> int:
+        """Writes ``values`` after the held ones without holding them."""
+        end = self.n + len(values)
+        if end > len(self.a):
+            grown = np.zeros((max(end, 2 * len(self.a)), *self.a.shape[1:]), self.a.dtype)
+            grown[:self.n] = self.a[:self.n]
+            self.a = grown
+        self.a[self.n:end] = values
+        return len(values)
+
+
+def _code(at, pair):
+    """A merge in one number: its place in the word (below ``LONG``) and both pieces (below 2**21)."""
+    return at.astype(np.uint64) << np.uint64(42) | pair >> np.uint64(32) << np.uint64(21) | pair & np.uint64((1 << 21) - 1)
+
+
 class Segmenter:
     """One model, dropout rate and seed; encodes batches of texts."""
 
-    def __init__(self, model: bytes, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, model: bytes, rate: float = RATE, seed: int = SEED):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.size = sp.get_piece_size()
         self.limit = round(min(1.0, max(0.0, rate)) * 2**64)
-        self.seed, self.variants = _mix(seed & _M), variants if self.limit else 1
+        self.seed = _mix(seed & _M)
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i)}
         self.piece = {sp.id_to_piece(i): i for i in range(n) if i not in special}
@@ -111,8 +141,14 @@ class Segmenter:
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.start, self.count = _Table(), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+        #: Of each word: its first agenda, its hash and its length.
+        self.words, self.root, self.hash, self.size_of = _Table(), _Pool(np.int64), _Pool(np.uint64), _Pool(np.int64)
+        #: Of each agenda: its word, its ids in ``pool``, its merges in ``at``, ``pair`` and ``next`` without the
+        #: ``done`` ones that it shares with the agenda it follows, and the skipped merges.
+        self.word, self.start, self.count = _Pool(np.int64), _Pool(np.int64), _Pool(np.int64)
+        self.first, self.merges, self.done = _Pool(np.int64), _Pool(np.int64), _Pool(np.int64)
+        self.depth, self.skipped = _Pool(np.int64), _Pool(np.uint64, DEPTH)
+        self.pool, self.at, self.pair, self.next = _Pool(np.int32), _Pool(np.uint8), _Pool(np.uint64), _Pool(np.int32)
 
     # -- one agenda ---------------------------------------------------------------------------
     def _skips(self, key: int, at: int, a: int, b: int) -> bool:
@@ -145,19 +181,28 @@ class Segmenter:
         return [s for s in sym if s >= 0]
 
     def _candidates(self, a, b, at, key):
-        """Rank and id of merging a and b; no rank if the pair is no piece or the merge is skipped."""
+        """Rank and id of merging a and b; no rank if the pair is no piece or the merge is skipped.
+
+        ``key``: of each the key of its draws, or (two-dimensional) the codes of the merges that it skips.
+        """
         pair = a.astype(np.int64) << 32 | b
         k = np.searchsorted(self.pair_key, pair)
         rank = np.where(self.pair_key[k] == pair, self.pair_rank[k], NONE)
-        if self.limit:
+        if self.limit and key.shape[-1:] != (0,):
             hit = np.flatnonzero(rank != NONE)
-            if len(hit):
+            if len(hit) and key.ndim == 2:
+                code = _code(at[hit], pair[hit].astype(np.uint64))
+                rank[hit[(key[hit] == code[:, None]).any(1)]] = NONE
+            elif len(hit):
                 h = _mix(_mix(key[hit] ^ at[hit].astype(np.uint64)) ^ pair[hit].astype(np.uint64))
                 rank[hit[h < np.uint64(min(self.limit, _M))]] = NONE
         return rank, self.pair_id[k]
 
-    def _arrays(self, sym: np.ndarray, n: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merges the words in the rows of ``sym`` (n symbols each), one step of every agenda at a time."""
+    def _arrays(self, sym: np.ndarray, n: np.ndarray, key: np.ndarray, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Merges the words in the rows of ``sym`` (n symbols each), one step of every agenda at a time.
+
+        ``taken``: gets (rows, places, pairs) of the merges of every step.
+        """
         w, width = sym.shape
         out, size = sym.copy(), n.copy()
         if width < 2 or not w:
@@ -180,6 +225,8 @@ class Segmenter:
             if not len(row):
                 return out, size
             i = np.arange(len(row))
+            if taken is not None:
+                taken.append((row, at[i, best], sym[i, best].astype(np.uint64) << np.uint64(32) | sym[i, best + 1].astype(np.uint64)))
             sym[i, best] = merged[i, best]
             src = np.minimum(cols[None, :] + (cols[None, :] > best[:, None]), width - 1)
             sym, at, rank, merged = (np.take_along_axis(x, src, 1) for x in (sym, at, rank, merged))
@@ -197,12 +244,18 @@ class Segmenter:
 
     # -- words and texts ----------------------------------------------------------------------
     def _segment(self, words: list[str], hashes: list[int], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, each in its variant, and the number of ids of each."""
+        """Ids of all words, each by the draws of its variant (any number), and the number of ids of each."""
+        return self._merge(words, self._key(np.array(hashes, np.uint64), variant))
+
+    def _key(self, hashes: np.ndarray, variant: np.ndarray) -> np.ndarray:
+        return _mix(hashes ^ _mix(variant.astype(np.uint64) ^ np.uint64(self.seed)))
+
+    def _merge(self, words: list[str], key: np.ndarray, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words and the number of ids of each; ``taken`` as in ``_arrays``, of the words up to ``LONG``."""
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         ids = self.by_code[codes]
         length = np.array([len(w) for w in words])
         first = np.cumsum(length) - length
-        key = _mix(np.array(hashes, np.uint64) ^ _mix(variant.astype(np.uint64) ^ np.uint64(self.seed)))
         count = np.zeros(len(words), np.int64)
         merged = ids.copy()  # a word's ids stand where its characters stood, as far as there are any
         low = 0
@@ -212,12 +265,15 @@ class Segmenter:
             for k in range(0, len(some), 20_000):
                 part = some[k:k + 20_000]
                 place = np.minimum(first[part][:, None] + np.arange(high)[None, :], len(ids) - 1)
-                got, size = self._arrays(ids[place], length[part], key[part])
+                steps = None if taken is None else []
+                got, size = self._arrays(ids[place], length[part], key[part], steps)
+                if steps:
+                    taken += [(part[row], at, pair) for row, at, pair in steps]
                 r, c = np.nonzero(np.arange(high)[None, :] < size[:, None])
                 merged[place[r, c]] = got[r, c]
                 count[part] = size
         for i in np.flatnonzero(length > LONG):
-            got = self._heap(ids[first[i]:first[i] + length[i]].tolist(), int(key[i]))
+            got = self._heap(ids[first[i]:first[i] + length[i]].tolist(), int(key[i]) if key.ndim == 1 else 0)
             merged[first[i]:first[i] + len(got)], count[i] = got, len(got)
         end = np.cumsum(count)
         flat = merged[np.repeat(first - (end - count), count) + np.arange(count.sum())]
@@ -233,28 +289,65 @@ class Segmenter:
             return out, np.add.reduceat(width, end - count)
         return flat, count
 
-    def _slots(self, slots: np.ndarray) -> None:
-        """Segments the (word, variant) numbers that are not known yet."""
-        top = len(self.words) * self.variants
-        if top > len(self.start):
-            grow = max(top, 2 * len(self.start)) - len(self.start)
-            self.start = np.r_[self.start, np.full(grow, -1, np.int64)]
-            self.count = np.r_[self.count, np.zeros(grow, np.int64)]
-        new = np.unique(slots[self.start[slots] < 0])
-        if not len(new):
-            return
-        word, variant = np.divmod(new, self.variants)
-        word = word.tolist()
-        flat, size = self._segment([self.words.names[i] for i in word], [self.words.hashes[i] for i in word], variant)
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.r_[self.pool, np.zeros_like(self.pool)]
-        self.pool[self.used:self.used + len(flat)] = flat
-        self.start[new], self.count[new] = self.used + np.cumsum(size) - size, size
-        self.used += len(flat)
+    def _agendas(self, word: np.ndarray, depth: np.ndarray, done: np.ndarray, skipped: np.ndarray) -> None:
+        """Adds the agendas of words (by number) that skip the merges of the codes ``skipped``."""
+        taken = []
+        flat, size = self._merge([self.words.names[i] for i in word.tolist()], skipped[:, :int(depth.max(initial=0))], taken)
+        row, at, pair = (np.concatenate(x) for x in zip(*taken)) if taken else (np.zeros(0, t) for t in (np.int64, np.uint8, np.uint64))
+        order = np.argsort(row, kind="stable")
+        row, at, pair = row[order], at[order], pair[order]
+        merges = np.bincount(row, minlength=len(word))
+        keep = np.arange(len(row)) - (np.cumsum(merges) - merges)[row] >= done[row]
+        merges = merges - done
+        self.start.extend(self.pool.n + np.cumsum(size) - size)
+        self.first.extend(self.at.n + np.cumsum(merges) - merges)
+        for pool, x in ((self.word, word), (self.count, size), (self.merges, merges), (self.done, done), (self.depth, depth),
+                        (self.skipped, skipped), (self.pool, flat), (self.at, at[keep]), (self.pair, pair[keep]),
+                        (self.next, np.full(keep.sum(), -1))):
+            pool.extend(x)
+
+    def _agenda(self, number: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each occurrence of a word: its agenda by its draws, and whether it has to be merged on its own."""
+        new = np.arange(self.root.n, len(self.words))
+        if len(new):
+            none = np.zeros(len(new), np.int64)
+            self.hash.extend(np.array(self.words.hashes[self.root.n:], np.uint64))
+            self.size_of.extend(np.array([len(w) for w in self.words.names[self.root.n:]], np.int64))
+            self.root.extend(self.word.n + np.arange(len(new)))
+            self._agendas(new, none, none, np.full((len(new), DEPTH), _M, np.uint64))
+        agenda = self.root.a[number]
+        alone = np.zeros(len(number), bool)
+        if not self.limit:
+            return agenda, alone
+        key = self._key(self.hash.a[number], draw)
+        alone = self.size_of.a[number] > LONG
+        left = np.flatnonzero(~alone)
+        while len(left):
+            merges, first = self.merges.a[agenda[left]], self.first.a[agenda[left]]
+            end = np.cumsum(merges)
+            merge = np.repeat(first - (end - merges), merges) + np.arange(merges.sum())
+            h = _mix(_mix(np.repeat(key[left], merges) ^ self.at.a[merge]) ^ self.pair.a[merge])
+            skips = np.flatnonzero(h < np.uint64(min(self.limit, _M)))
+            who = np.searchsorted(end, skips, "right")
+            one = np.r_[True, who[1:] != who[:-1]][:len(who)]  # the first that each skips
+            left, merge = left[who[one]], merge[skips[one]]
+            deep = self.depth.a[agenda[left]] >= DEPTH
+            alone[left[deep]] = True
+            left, merge = left[~deep], merge[~deep]
+            new, by = np.unique(merge, return_index=True)
+            by, new = by[self.next.a[new] < 0], new[self.next.a[new] < 0]
+            if len(new):
+                parent = agenda[left[by]]
+                depth, skipped = self.depth.a[parent], self.skipped.a[parent]
+                skipped[np.arange(len(new)), depth] = _code(self.at.a[new], self.pair.a[new])
+                self.next.a[new] = self.word.n + np.arange(len(new))
+                self._agendas(self.word.a[parent], depth + 1, self.done.a[parent] + new - self.first.a[parent], skipped)
+            agenda[left] = self.next.a[merge]
+        return agenda, alone
 
     def encode(self, texts: list[str], doc_ids: np.ndarray) -> list[np.ndarray]:
-        """Ids of each text; ``doc_ids`` key the variants of its words."""
-        if len(self.words) > WORDS:
+        """Ids of each text; ``doc_ids`` key the draws of its words."""
+        if len(self.words) > WORDS or self.word.n > AGENDAS:
             self._forget()
         # Spaces start a word; a literal U+2581 stands alone and is spelt in bytes.
         split = [WORD.findall(" " + t) if t else [] for t in texts]
@@ -263,11 +356,16 @@ class Segmenter:
         first = np.cumsum(n) - n
         place = np.arange(len(number)) - np.repeat(first, n)
         draw = _mix(_mix(np.repeat(doc_ids.astype(np.int64).view(np.uint64), n) ^ np.uint64(self.seed)) ^ place.astype(np.uint64))
-        slots = number * self.variants + (draw % np.uint64(self.variants)).astype(np.int64)
-        self._slots(slots)
-        count, start = self.count[slots], self.start[slots]
+        agenda, alone = self._agenda(number, draw)
+        count, start = self.count.a[agenda], self.start.a[agenda]
+        alone = np.flatnonzero(alone)
+        if len(alone):
+            own = number[alone].tolist()
+            flat, size = self._segment([self.words.names[i] for i in own], [self.words.hashes[i] for i in own], draw[alone])
+            self.pool.put(flat)
+            count[alone], start[alone] = size, self.pool.n + np.cumsum(size) - size
         end = np.cumsum(count)
-        ids = self.pool[np.repeat(start - (end - count), count) + np.arange(count.sum())]
+        ids = self.pool.a[np.repeat(start - (end - count), count) + np.arange(count.sum())]
         return np.split(ids, np.r_[0, end][np.cumsum(n)][:-1]) if len(texts) else []
 
     def decode(self, ids) -> str:
@@ -281,13 +379,13 @@ def _model(path: str | None) -> bytes:
 
 
 def encode(docs: DataFrame, out: str = "ids", id_col: str = "doc_id", text_col: str = "text", rate: float = RATE,
-           seed: int = SEED, variants: int = VARIANTS, path: str | None = None) -> DataFrame:
+           seed: int = SEED, path: str | None = None) -> DataFrame:
     """``docs`` with the ids of its texts in a further column ``out`` (array<int>)."""
     model, out = _model(path), fresh(docs, out)
     id_at, text_at, names = docs.columns.index(id_col), docs.columns.index(text_col), [*docs.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Segmenter(model, rate, seed, variants)
+        s = Segmenter(model, rate, seed)
         for b in batches:
             texts = [t or "" for t in b.column(text_at).to_pylist()]
             doc_ids = np.array([i or 0 for i in b.column(id_at).to_pylist()], np.int64)
@@ -315,13 +413,13 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", path:
     return encoded.mapInArrow(run, encoded.withColumn(out, F.lit("")).schema)
 
 
-def summary(docs: DataFrame, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS,
+def summary(docs: DataFrame, rate: float = RATE, seed: int = SEED,
             path: str | None = None) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, lossless): what a text's ids are, and whether they give it back."""
     model = _model(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Segmenter(model, rate, seed, variants)
+        s = Segmenter(model, rate, seed)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             doc_ids = np.array([i or 0 for i in b.column(0).to_pylist()], np.int64)

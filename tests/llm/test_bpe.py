@@ -72,6 +72,27 @@ def test_dropout_varies_and_decodes_losslessly():
     assert len(set(word)) > 1  # occurrences of one word in one text differ
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_every_occurrence_draws_for_itself(rate):
+    s = bpe.Segmenter(MODEL, rate, seed=3)
+    t = " ".join(["the", "house", "internationalization", "été"] * 30)
+    words = bpe.WORD.findall(" " + t)
+    for doc_id, ids in enumerate(s.encode([t] * 8, np.arange(8))):
+        draw = [bpe._mix(bpe._mix(doc_id ^ s.seed) ^ place) for place in range(len(words))]
+        assert ids.tolist() == [x for w, d in zip(words, draw, strict=True) for x in by_definition(s, w, d)]
+
+
+@pytest.mark.parametrize("word", ["the", "and", "house", "important"])
+def test_share_of_varied_occurrences_is_the_librarys(word):
+    n, plain = 20_000, SP.encode(word)
+    s = bpe.Segmenter(MODEL, 0.1)
+    got = [tuple(x.tolist()) for x in s.encode([word] * n, np.arange(n))]
+    library = [tuple(SP.encode(word, enable_sampling=True, alpha=0.1, nbest_size=-1)) for _ in range(n)]
+    share = [sum(list(x) != plain for x in xs) / n for xs in (got, library)]
+    assert share[1] > 0.05 and abs(share[0] - share[1]) < 0.015
+    assert len(set(got)) > 4 or len(set(library)) <= 4
+
+
 def test_bounded_table(monkeypatch):
     monkeypatch.setattr(bpe, "WORDS", 5)
     s, t = bpe.Segmenter(MODEL), bpe.Segmenter(MODEL)
