@@ -16,6 +16,10 @@ characters, and around a run of letters, stops or a single line break next to on
 stays together. A run of letters or of stops is one piece of the vocabulary's own cut and goes straight to
 the library's model, in the byte alphabet of byte-level vocabularies; other words are encoded as texts.
 
+The string of an added token of the file (such as ``<|endoftext|>``) within a text: with ``added``, as in
+``summary``, it becomes that token as in the library's own encoding, and a text that holds one goes to the
+library whole; without, it is ordinary text.
+
 Defined results: a NULL text counts as empty and is the end id alone; NULL ids come first; rows of equal
 id are ordered by text; an empty table gives an index without files; further columns are ignored.
 """
@@ -67,13 +71,15 @@ class _Table(dict):
 
 
 class Encoder:
-    """Encodes batches of texts with a tokenizers file (its JSON as a string)."""
+    """Encodes batches of texts with a tokenizers file (its JSON as a string); ``added``: see above."""
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        strings = [re.escape(x["content"]) for x in json.loads(tokenizer).get("added_tokens") or []] if added else []
+        self.added = re.compile("|".join(strings) or r"(?!)")
         #: Letters, stops and the space in the byte alphabet: a printable byte is itself, the others
         #: follow from U+0100 on in their order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -93,7 +99,7 @@ class Encoder:
             return
         model, got = self.tokenizer.model, []
         for w in new:
-            if PIECE.fullmatch(w):
+            if PIECE.fullmatch(w) and not self.added.search(w):
                 got.append([t.id for t in model.tokenize(w.translate(self.alphabet))])
             else:
                 got.append(self.tokenizer.encode(w, add_special_tokens=False).ids)
@@ -110,7 +116,7 @@ class Encoder:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
         if len(self.words) > WORDS:
             self._forget()
-        split = [WORD.findall(t) if not SPACES.search(t) else ANY_WORD.split(t) for t in texts]
+        split = [[t] if self.added.search(t) else WORD.findall(t) if not SPACES.search(t) else ANY_WORD.split(t) for t in texts]
         n = np.array([len(x) for x in split], np.int64)
         number = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         self._learn()
@@ -123,9 +129,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(tokenizer: str) -> Encoder:
+def _encoder(tokenizer: str, added: bool) -> Encoder:
     """One encoder a worker process: its table of words serves the tasks that come after."""
-    return Encoder(tokenizer)
+    return Encoder(tokenizer, added)
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
@@ -140,7 +146,7 @@ def _store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, added: bool = False) -> None:
     """Encodes ``docs`` (doc_id, text) and writes files and index to the new folder ``path``."""
     spark = docs.sparkSession
     uri = _qualified(spark, path)
@@ -158,7 +164,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
             if not b.num_rows:
                 continue
             if encoder is None:
-                encoder = _encoder(model)
+                encoder = _encoder(model, added)
                 fs, folder = _store(uri)
                 bin_file = fs.open_output_stream(f"{folder}/{name}.bin")
             texts = [t or "" for t in b.column(1).to_pylist()]
@@ -273,5 +279,5 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 def summary(docs: DataFrame) -> DataFrame:
     """Writes ``docs`` to a new shared folder and returns ``checksums`` of what stands there."""
     path = scratch_path(docs.sparkSession, "token-files")
-    write(docs, path)
+    write(docs, path, added=True)
     return checksums(docs.sparkSession, path)

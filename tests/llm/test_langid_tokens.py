@@ -117,6 +117,18 @@ def test_pieces_are_cut_as_the_library_cuts(spark):
         assert ids.tolist() == expected, repr(t)
 
 
+def test_added_tokens_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(token_files.tokenizer_path())
+    texts = [*ODD, "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext", "plain text"]
+    expected = [[*library.encode(x or "", add_special_tokens=False).ids, 0] for x in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_files.summary(docs).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in expected]
+    assert [r.start for r in got] == np.r_[0, np.cumsum([len(x) for x in expected])][:-1].tolist()
+    assert [64, 220, 50256, 275, 0] in expected
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.summary(empty).collect() == []
