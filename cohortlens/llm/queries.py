@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe, langid, mixing, pii, pivots, quality, secrets, simhash, token_files
+from . import (bm25, bpe, centroids, decontamination, hard_negatives, langid, mixing, pii, pivots, quality, secrets, simhash,
+               token_files)
 from .common import table
 
 
@@ -50,6 +51,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.summary(table(spark, sf_dir, "documents"))
 
 
+def op11_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.summary(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.summary(table(spark, sf_dir, "embeddings"))
+
+
+def op13_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.summary(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_token_files": op2_token_files,
@@ -61,7 +74,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_positional_index": op11_positional_index,
+    "op12_simplex_clusters": op12_simplex_clusters,
+    "op13_rtree_negatives": op13_rtree_negatives,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_mixing": mixing.ORACLE,
+    "op11_positional_index": decontamination.ORACLE,
+    "op12_simplex_clusters": centroids.ORACLE,
+    "op13_rtree_negatives": hard_negatives.ORACLE,
 }
