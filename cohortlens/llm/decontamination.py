@@ -6,10 +6,10 @@ is (word, place) sorted by word, each in one number: 52 bits of the word's XXH64
 posting is shuffled, a document of any length makes rows of bounded size, and a word that stands in a third
 of all documents has its list in as many pieces as there are stretches.
 
-``matches`` asks for windows of words. The words of all windows are counted in the index; a window's lists
+``matches`` asks for windows of words. The postings of their words are counted in the index; a window's lists
 are taken from its rarest word on. The rarest one meets the index by a join, in blocks of ``WINDOWS`` windows;
-its list, less the word's offset in the window, gives the candidate starts, and every further list, less its
-own offset, is intersected with what is left, so most candidates end at the second list. With ``slop`` the
+its list, less the word's offset in the window, gives the candidate starts, and a candidate is kept as long as
+the next list, less its own offset, holds it too, so most end at the second list. With ``slop`` the
 lists intersect within that many words: a proximity match, where every word of the window stands at most
 ``slop`` words from its place beside the rarest one. ``slop`` 0 gives the exact phrases.
 
@@ -87,37 +87,30 @@ def windows(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_
     return i.select("item_id", F.slice("terms", F.col("s"), F.col("m")).alias("win")).distinct()
 
 
-def _listed_terms(index: DataFrame) -> Column:
-    return F.explode(F.array_distinct(F.transform("postings", _term)))
-
-
 def by_rarity(index: DataFrame, asked: DataFrame) -> DataFrame:
-    """(win_id, lists): a window's words as (df, term, at), the rarest first; windows with a word that the
-    index does not hold are left out."""
+    """(win_id, lists): a window's words as (n, term, at), the one of the fewest postings first; windows with a
+    word that the index does not hold are left out."""
     word = asked.select("win_id", F.size("win").alias("m"), F.posexplode("win").alias("at", "term"))
     vocabulary = materialize(word.select("term").distinct(), "asked-words")
     small = F.broadcast(vocabulary) if vocabulary.count() <= TERMS else vocabulary
-    df = index.select(_listed_terms(index).alias("term")).join(small, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    lists = word.join(materialize(df, "word-counts"), "term").groupBy("win_id", "m").agg(
-        F.sort_array(F.collect_list(F.struct("df", "term", "at"))).alias("lists"))  # at most ``size`` rows
+    n = index.select(F.explode("postings").alias("p")).select(_term(F.col("p")).alias("term")).join(small, "term") \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    lists = word.join(materialize(n, "word-counts"), "term").groupBy("win_id", "m").agg(
+        F.sort_array(F.collect_list(F.struct("n", "term", "at"))).alias("lists"))  # at most ``size`` rows
     return lists.filter(F.size("lists") == F.col("m")).select("win_id", "lists")
 
 
-def _starts(lists: Column, slop: int) -> Column:
-    """Starts, within the postings of a row, of the places where all lists meet."""
-    def adjusted(x: Column) -> Column:
-        own = F.filter("postings", lambda p: _term(p) == x.term)
-        return F.transform(own, lambda p: p.bitwiseAND(F.lit(PLACE)).cast("int") - x.at)
-
-    def meet(acc: Column, x: Column) -> Column:
-        if slop == 0:
-            both = F.array_intersect(acc, adjusted(x))
-        else:  # a one-element transform binds the list to a name: it is made once, not for every start
-            both = F.element_at(F.transform(F.array(adjusted(x)), lambda other: F.filter(
-                acc, lambda s: F.exists(other, lambda o: F.abs(o - s) <= slop))), 1)
-        return F.when(F.size(acc) == 0, acc).otherwise(both)
+def _all_meet(lists: Column, start: Column, slop: int) -> Column:
+    """Whether every list, less its offset, holds the start (within ``slop``); ends at the first that does not."""
+    def holds(x: Column, by: Column) -> Column:
+        place = start + x.at + by
+        posting = x.term.bitwiseOR(place.cast("long"))
+        return place.between(0, PLACE) & F.array_contains("postings", posting)
 
-    return F.aggregate(F.slice(lists, 2, 1 << 20), adjusted(F.element_at(lists, 1)), meet)
+    if slop == 0:
+        return F.forall(lists, lambda x: holds(x, F.lit(0)))
+    by = F.array(*[F.lit(d) for d in sorted(range(-slop, slop + 1), key=abs)])
+    return F.forall(lists, lambda x: F.exists(by, lambda d: holds(x, d)))
 
 
 def matches(index: DataFrame, asked: DataFrame, slop: int = 0, margin: int = MARGIN, block: int = WINDOWS) -> DataFrame:
@@ -128,18 +121,20 @@ def matches(index: DataFrame, asked: DataFrame, slop: int = 0, margin: int = MAR
         raise ValueError(f"windows of {longest} words and a slop of {slop} exceed the index margin of {margin}")
     lists = materialize(by_rarity(index, asked), "window-lists")
     blocks = max(1, -(-lists.count() // block))
+    rarest = F.element_at("lists", 1)
     out = []
     for b in range(blocks):
         some = lists.filter(F.pmod(F.xxhash64("win_id"), F.lit(blocks)) == b).select(
-            "win_id", "lists", F.element_at("lists", 1)["term"].alias("term"))
-        met = index.select("row", "part", "first", "postings", _listed_terms(index).alias("term")) \
-            .join(F.broadcast(some), "term")  # about ``block`` windows
-        met = met.select("row", "part", "first", "win_id", F.size("lists").alias("size"),
-                         F.explode(_starts(F.col("lists"), slop)).alias("start"))
-        start = F.col("first") + F.col("start")
+            "win_id", F.size("lists").alias("size"), F.slice("lists", 2, 1 << 20).alias("lists"),
+            rarest["term"].alias("term"), rarest["at"].alias("at"))
+        each = index.select("row", "part", "first", "postings", F.explode("postings").alias("p")) \
+            .withColumn("term", _term(F.col("p"))).join(F.broadcast(some), "term")  # about ``block`` windows
+        each = each.withColumn("s", F.col("p").bitwiseAND(F.lit(PLACE)).cast("int") - F.col("at"))
+        start = F.col("first") + F.col("s")
         # A place in the margin of a stretch belongs to the stretch beside it.
         own = F.floor(F.greatest(start, F.lit(0)) / F.lit(STRETCH)) == F.col("part")
-        out.append(materialize(met.filter(own).select("row", "win_id", "size", start.alias("start")), "matches"))
+        met = each.filter(own & _all_meet(F.col("lists"), F.col("s"), slop))
+        out.append(materialize(met.select("row", "win_id", "size", start.alias("start")), "matches"))
     return reduce(DataFrame.unionByName, out)
 
 

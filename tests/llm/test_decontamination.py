@@ -84,7 +84,7 @@ def term(word):
 
 def near(docs, items, size, slop):
     """Places where all words of a window stand within ``slop`` of their place beside its rarest word."""
-    df = Counter(w for _, t in docs for w in set(words(t)))
+    df = Counter(w for _, t in docs for w in words(t))  # postings
     out = set()
     for win in {w for _, t in items for w in windows(t, size)}:
         rare = min(range(len(win)), key=lambda k: (df[win[k]], term(win[k]), k))
