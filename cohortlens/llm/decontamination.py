@@ -133,8 +133,11 @@ def matches(index: DataFrame, asked: DataFrame, slop: int = 0, margin: int = MAR
         start = F.col("first") + F.col("s")
         # A place in the margin of a stretch belongs to the stretch beside it.
         own = F.floor(F.greatest(start, F.lit(0)) / F.lit(STRETCH)) == F.col("part")
-        met = each.filter(own & _all_meet(F.col("lists"), F.col("s"), slop))
-        out.append(materialize(met.select("row", "win_id", "size", start.alias("start")), "matches"))
+        # As a generator, not a filter: as a condition of the join it would be run, and the postings copied, for
+        # every posting of the index instead of the candidates.
+        met = each.filter(own).select("row", "win_id", "size", F.explode(F.when(
+            _all_meet(F.col("lists"), F.col("s"), slop), F.array(start)).otherwise(F.array().cast("array<long>"))).alias("start"))
+        out.append(materialize(met, "matches"))
     return reduce(DataFrame.unionByName, out)
 
 
