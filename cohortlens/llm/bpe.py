@@ -26,6 +26,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -41,7 +42,7 @@ WORD = re.compile(f" +[^ {SPACE}]*|[^ {SPACE}]+|{SPACE}")
 RATE, SEED = 0.1, 11
 DEPTH = 3            # skipped merges of a word up to which its agendas are kept
 LONG = 64            # characters of a word up to which it is merged with others as arrays
-WORDS = 300_000      # words whose segmentations a task keeps
+WORDS = 300_000      # words whose segmentations a worker process keeps
 AGENDAS = 1_000_000  # and agendas of these words
 CHARS = 1_000_000    # characters encoded at a time
 NONE = np.int32(2**31 - 1)
@@ -373,6 +374,12 @@ class Segmenter:
         return text[1:] if text.startswith(" ") else text
 
 
+@lru_cache(maxsize=2)
+def _segmenter(model: bytes, rate: float, seed: int = SEED) -> Segmenter:
+    """One segmenter a worker process: its table of words serves the tasks that come after."""
+    return Segmenter(model, rate, seed)
+
+
 def _model(path: str | None) -> bytes:
     with open(path or model_path(), "rb") as f:  # a file of the driver; its bytes go with the tasks
         return f.read()
@@ -385,7 +392,7 @@ def encode(docs: DataFrame, out: str = "ids", id_col: str = "doc_id", text_col:
     id_at, text_at, names = docs.columns.index(id_col), docs.columns.index(text_col), [*docs.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Segmenter(model, rate, seed)
+        s = _segmenter(model, rate, seed)
         for b in batches:
             texts = [t or "" for t in b.column(text_at).to_pylist()]
             doc_ids = np.array([i or 0 for i in b.column(id_at).to_pylist()], np.int64)
@@ -405,7 +412,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", path:
     at, names = encoded.columns.index(ids_col), [*encoded.columns, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Segmenter(model, 0.0)
+        s = _segmenter(model, 0.0)
         for b in batches:
             texts = [s.decode(x or ()) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names)
@@ -419,7 +426,7 @@ def summary(docs: DataFrame, rate: float = RATE, seed: int = SEED,
     model = _model(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Segmenter(model, rate, seed)
+        s = _segmenter(model, rate, seed)
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             doc_ids = np.array([i or 0 for i in b.column(0).to_pylist()], np.int64)
