@@ -23,10 +23,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 from .components import components
 
 WORDS, MAX_BITS, SEED = 3, 3, 42
@@ -262,10 +262,17 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: the one of the smallest id (repeated rows of it once).
+    """``docs`` without the rows whose id is not the smallest of their group.
 
-    Rows whose id is NULL cannot be told apart and all stay.
+    Rows that agree in id and text are one document and come once (where further columns differ, the row whose
+    columns come first as JSON); different texts under the smallest id all stay, for none of them is a copy of
+    one that does. Rows whose id is NULL cannot be told apart and all stay.
     """
     best = near_duplicates(docs, id_col, text_col).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(best, docs[id_col] == best.doc_id, "left_semi").dropDuplicates([id_col])
+    kept = docs.join(best, docs[id_col] == best.doc_id, "left_semi")
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    rank = fresh(docs, "rank")
+    order = [F.to_json(F.struct(*rest))] if rest else [F.lit(0)]
+    same = Window.partitionBy(id_col, text_col).orderBy(*order)  # a rank limit: a task hands on one row of each
+    kept = kept.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).drop(rank)
     return kept.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -97,6 +97,15 @@ def test_keep_one(spark):
     assert s == {(1, 1), (2, 1), (3, 3), (None, None)}
 
 
+def test_keep_one_loses_no_text_of_a_repeated_id(spark):
+    rows = [(1, "a b c d", "x"), (2, "a b c d", "x"), (5, "wholly unrelated words here", "p"), (5, "some other text it is", "q"),
+            (5, "some other text it is", "a"), (5, None, "n"), (7, "wholly unrelated words here", "r")]
+    expected = [(1, "a b c d", "x"), (5, None, "n"), (5, "some other text it is", "a"), (5, "wholly unrelated words here", "p")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, rank string")
+        assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted(expected, key=str)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.summary(empty).collect() == [] and simhash.keep_one(empty).collect() == []
