@@ -1,9 +1,10 @@
 """Secrets: three base expressions, plus sliding-window Shannon entropy over candidate strings.
 
 SQL functions only. Every run of key-like characters of ``MIN_LENGTH`` or more is a candidate; each of
-its windows of ``WINDOW`` characters gets the Shannon entropy of its characters, kept up to date by the
-counts of the one entering and the one leaving character. A candidate of a character class is a
-secret where its highest window reaches the class's threshold, unless the allow-list names it.
+its windows of ``WINDOW`` characters gets the Shannon entropy of its characters. A window's counts are kept
+while it slides: the leaving character's goes down, the entering one's up, and with them the entropy. A
+candidate of a character class is a secret where its highest window reaches the class's threshold, unless
+the allow-list names it or it consists for the greater part of placeholder words.
 
 Defined results: a NULL text counts as empty and has no span; an empty table gives an empty table;
 repeated rows each get their own result; further columns of the input are ignored.
@@ -25,16 +26,17 @@ PATTERNS = {
 }
 BASE = ("assign", "access", "hex")
 WINDOW = 20
-# Bits a character: the threshold of each class, out of log2(16), log2(36) and log2(20) for a window.
-HEX_BITS, ALNUM_BITS, BASE64_BITS = 3.0, 3.4, 3.7
+# Bits a character: the threshold of each class; a window has at most log2(20). Words, also joined, come close to
+# random characters, so their classes ask for more.
+HEX_BITS, ALNUM_BITS, BASE64_BITS, LETTERS_BITS, JOINED_BITS = 3.0, 3.4, 3.7, 3.9, 4.0
+HEX_CLASS, LETTERS_CLASS, ALNUM_CLASS = r"^(?:[0-9a-f]+|[0-9A-F]+)$", r"^[A-Za-z]+$", r"^[A-Za-z0-9]+$"
+JOINED_CLASS = r"^[-_/=+]*(?:[A-Za-z]+|[0-9]+)(?:[-_/=+]+(?:[A-Za-z]+|[0-9]+))*[-_/=+]*$"
 # Allow-list: candidates that are known not to be secrets.
 ALLOW = (
-    r"^[A-Za-z]+$",                                    # a word
     r"^[0-9]+$",                                       # a number
-    r"^(?:[A-Za-z]+|[0-9]+)(?:[-_/=+](?:[A-Za-z]+|[0-9]+))*[-_/=+]*$",  # words and numbers, joined
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # a UUID
-    r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh",
 )
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|x{4,}|0123456789|abcdefgh"
 
 
 def _xlogx(n: Column) -> Column:
@@ -53,18 +55,28 @@ def highest_entropy(candidate: Column, window: int = WINDOW) -> Column:
 
 
 def _lowest_sum(chars: Column, window: int) -> Column:
-    size = F.size(chars)
-    first = F.slice(chars, 1, window)
-    counts = F.transform(F.array_distinct(first), lambda c: F.size(F.filter(first, lambda x: x == c)))
+    kinds = F.array_distinct(chars)
+    state = F.struct(chars.alias("chars"), kinds.alias("kinds"))
+    named = F.transform(F.array(state), lambda s: F.struct(
+        F.transform(s.chars, lambda c: F.array_position(s.kinds, c).cast("int")).alias("at"), F.size(s.kinds).alias("kinds")))
+    return F.element_at(F.transform(named, lambda s: _slide(s.at, s.kinds, window)), 1)
+
+
+def _slide(at: Column, kinds: Column, window: int) -> Column:
+    """``at``: of every character the number (from 1) of its kind."""
+    size = F.size(at)
+    first = F.slice(at, 1, window)
+    counts = F.transform(F.sequence(F.lit(1), F.greatest(kinds, F.lit(1))), lambda k: F.size(F.filter(first, lambda x: x == k)))
     total = F.aggregate(counts, F.lit(0.0), lambda s, n: s + _xlogx(n))
-    start = F.struct(total.alias("sum"), total.alias("least"))
+    start = F.struct(counts.alias("counts"), total.alias("sum"), total.alias("least"))
 
     def step(acc, i):  # the window that ends before place i (from 1) moves to end at i
-        old, new = F.element_at(chars, i - window), F.element_at(chars, i)
-        kept = F.slice(chars, i - window + 1, window - 1)  # what both windows share
-        n_old, n_new = F.size(F.filter(kept, lambda x: x == old)), F.size(F.filter(kept, lambda x: x == new))
-        s = acc["sum"] + _xlogx(n_old) - _xlogx(n_old + 1) + _xlogx(n_new + 1) - _xlogx(n_new)
-        return F.struct(s.alias("sum"), F.least(acc.least, s).alias("least"))
+        old, new = F.element_at(at, i - window), F.element_at(at, i)
+        n_old = F.element_at(acc.counts, old)
+        n_new = F.element_at(acc.counts, new) - (old == new).cast("int")
+        s = acc["sum"] + _xlogx(n_old - 1) - _xlogx(n_old) + _xlogx(n_new + 1) - _xlogx(n_new)
+        moved = F.transform(acc.counts, lambda n, k: n - (k + 1 == old).cast("int") + (k + 1 == new).cast("int"))
+        return F.struct(moved.alias("counts"), s.alias("sum"), F.least(acc.least, s).alias("least"))
 
     steps = F.when(size > window, F.sequence(F.lit(window + 1), size)).otherwise(
         F.array().cast("array<int>"))
@@ -73,10 +85,11 @@ def _lowest_sum(chars: Column, window: int) -> Column:
 
 
 def is_random(candidate: Column) -> Column:
-    """Whether the candidate's class threshold is reached and no allow-list entry names it."""
-    bits = F.when(candidate.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), HEX_BITS) \
-        .when(candidate.rlike("^[A-Za-z0-9]+$"), ALNUM_BITS).otherwise(BASE64_BITS)
-    allowed = F.lit(False)
+    """Whether the candidate's class threshold is reached and neither the allow-list nor placeholders speak against it."""
+    bits = F.when(candidate.rlike(HEX_CLASS), HEX_BITS).when(candidate.rlike(LETTERS_CLASS), LETTERS_BITS) \
+        .when(candidate.rlike(ALNUM_CLASS), ALNUM_BITS).when(candidate.rlike(JOINED_CLASS), JOINED_BITS).otherwise(BASE64_BITS)
+    rest = F.length(F.regexp_replace(candidate, PLACEHOLDER, ""))
+    allowed = rest * 2 < F.length(candidate)
     for entry in ALLOW:
         allowed = allowed | candidate.rlike(entry)
     return F.when(allowed, False).otherwise(highest_entropy(candidate) >= bits)
