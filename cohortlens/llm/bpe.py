@@ -9,7 +9,7 @@ is cut by draws of its own, the same on every run and under any partitioning. Wi
 the library's own encoding.
 
 Words of a batch are merged together, one step of all agendas at a time, as arrays; words above
-``LONG`` characters go through a heap. A bounded table keeps, for each word, the merges of its agenda and
+``LONG`` characters go through a heap. A bounded table keeps, for each word met twice, the merges of its agenda and
 its ids where none of them is skipped, and the same again for the agenda that goes on after one of these
 merges is skipped, up to ``DEPTH`` skips. An occurrence draws for the merges of its word's agenda; the
 first that it skips leads to the next agenda. Beyond ``DEPTH`` skips an occurrence is merged on its own.
@@ -42,10 +42,10 @@ WORD = re.compile(f" +[^ {SPACE}]*|[^ {SPACE}]+|{SPACE}")
 RATE, SEED = 0.1, 11
 DEPTH = 3            # skipped merges of a word up to which its agendas are kept
 LONG = 64            # characters of a word up to which it is merged with others as arrays
-WORDS = 300_000      # words whose segmentations a worker process keeps
+WORDS = 600_000      # words whose segmentations a worker process keeps
 AGENDAS = 1_000_000  # and agendas of these words
 CHARS = 1_000_000    # characters encoded at a time
-NONE = np.int32(2**31 - 1)
+NONE = np.int64(2**62)
 _M = (1 << 64) - 1
 
 
@@ -137,12 +137,12 @@ class Segmenter:
         keys = sorted(pairs)
         self.pairs = pairs
         self.pair_key = np.array([*keys, _M >> 1], np.int64)
-        self.pair_rank = np.array([*(pairs[k][0] for k in keys), NONE], np.int32)
-        self.pair_id = np.array([*(pairs[k][1] for k in keys), 0], np.int32)
+        #: Rank and id of the piece that a pair makes, in one number: the least one is the next merge.
+        self.pair_best = np.array([*(pairs[k][0] << 32 | pairs[k][1] for k in keys), NONE], np.int64)
         self._forget()
 
     def _forget(self) -> None:
-        #: Of each word: its first agenda, its hash and its length.
+        #: Of each word: its first agenda (-1: none yet), its hash and its length.
         self.words, self.root, self.hash, self.size_of = _Table(), _Pool(np.int64), _Pool(np.uint64), _Pool(np.int64)
         #: Of each agenda: its word, its ids in ``pool``, its merges in ``at``, ``pair`` and ``next`` without the
         #: ``done`` ones that it shares with the agenda it follows, and the skipped merges.
@@ -182,22 +182,22 @@ class Segmenter:
         return [s for s in sym if s >= 0]
 
     def _candidates(self, a, b, at, key):
-        """Rank and id of merging a and b; no rank if the pair is no piece or the merge is skipped.
+        """Rank and id, in one number, of merging a and b; NONE if the pair is no piece or the merge is skipped.
 
         ``key``: of each the key of its draws, or (two-dimensional) the codes of the merges that it skips.
         """
         pair = a.astype(np.int64) << 32 | b
         k = np.searchsorted(self.pair_key, pair)
-        rank = np.where(self.pair_key[k] == pair, self.pair_rank[k], NONE)
+        best = np.where(self.pair_key[k] == pair, self.pair_best[k], NONE)
         if self.limit and key.shape[-1:] != (0,):
-            hit = np.flatnonzero(rank != NONE)
+            hit = np.flatnonzero(best != NONE)
             if len(hit) and key.ndim == 2:
                 code = _code(at[hit], pair[hit].astype(np.uint64))
-                rank[hit[(key[hit] == code[:, None]).any(1)]] = NONE
+                best[hit[(key[hit] == code[:, None]).any(1)]] = NONE
             elif len(hit):
                 h = _mix(_mix(key[hit] ^ at[hit].astype(np.uint64)) ^ pair[hit].astype(np.uint64))
-                rank[hit[h < np.uint64(min(self.limit, _M))]] = NONE
-        return rank, self.pair_id[k]
+                best[hit[h < np.uint64(min(self.limit, _M))]] = NONE
+        return best
 
     def _arrays(self, sym: np.ndarray, n: np.ndarray, key: np.ndarray, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Merges the words in the rows of ``sym`` (n symbols each), one step of every agenda at a time.
@@ -210,38 +210,36 @@ class Segmenter:
             return out, size
         row = np.arange(w)
         cols = np.arange(width)
-        at = np.broadcast_to(cols, sym.shape).astype(np.int32)
-        rank = np.full((w, width), NONE, np.int32)
-        merged = np.zeros((w, width), np.int32)
+        at = np.broadcast_to(cols.astype(np.uint8), sym.shape)
+        offer = np.full((w, width), NONE, np.int64)
         r, c = np.nonzero(cols[None, :] < n[:, None] - 1)
-        rank[r, c], merged[r, c] = self._candidates(sym[r, c], sym[r, c + 1], at[r, c], key[r])
+        offer[r, c] = self._candidates(sym[r, c], sym[r, c + 1], at[r, c], key[r])
         while True:
-            best = rank.argmin(1)
-            go = rank[np.arange(len(row)), best] != NONE
+            best = offer.argmin(1)
+            top = offer[np.arange(len(row)), best]
+            go = top != NONE
             if not go.all():
                 done = ~go
                 out[row[done], :width], size[row[done]] = sym[done], n[done]
-                row, sym, at, rank, merged, n, key, best = (
-                    x[go] for x in (row, sym, at, rank, merged, n, key, best))
+                row, sym, at, offer, n, key, best, top = (x[go] for x in (row, sym, at, offer, n, key, best, top))
             if not len(row):
                 return out, size
             i = np.arange(len(row))
             if taken is not None:
                 taken.append((row, at[i, best], sym[i, best].astype(np.uint64) << np.uint64(32) | sym[i, best + 1].astype(np.uint64)))
-            sym[i, best] = merged[i, best]
-            src = np.minimum(cols[None, :] + (cols[None, :] > best[:, None]), width - 1)
-            sym, at, rank, merged = (np.take_along_axis(x, src, 1) for x in (sym, at, rank, merged))
+            sym[i, best] = top & 0xFFFFFFFF
+            src = np.minimum(cols[None, :] + (cols[None, :] > best[:, None]), width - 1) + (i * width)[:, None]
+            sym, at, offer = (x.take(src) for x in (sym, at, offer))
             n = n - 1
-            for place, ok in ((best, best + 1 < n), (best - 1, best > 0)):
-                rank[i[ok], place[ok]] = NONE
-                j, p = i[ok], place[ok]
-                rank[j, p], merged[j, p] = self._candidates(sym[j, p], sym[j, p + 1], at[j, p], key[j])
-            last = best + 1 >= n
-            rank[i[last], best[last]] = NONE
+            # The new piece with its right and its left neighbour.
+            right, left = np.flatnonzero(best + 1 < n), np.flatnonzero(best > 0)
+            j, p = np.r_[right, left], np.r_[best[right], best[left] - 1]
+            offer[i, best] = NONE
+            offer[j, p] = self._candidates(sym[j, p], sym[j, p + 1], at[j, p], key[j])
             if int(n.max()) < width:
                 width = int(n.max())
                 cols = cols[:width]
-                sym, at, rank, merged = (x[:, :width] for x in (sym, at, rank, merged))
+                sym, at, offer = (x[:, :width] for x in (sym, at, offer))
 
     # -- words and texts ----------------------------------------------------------------------
     def _segment(self, words: list[str], hashes: list[int], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,19 +307,27 @@ class Segmenter:
 
     def _agenda(self, number: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each occurrence of a word: its agenda by its draws, and whether it has to be merged on its own."""
-        new = np.arange(self.root.n, len(self.words))
-        if len(new):
-            none = np.zeros(len(new), np.int64)
-            self.hash.extend(np.array(self.words.hashes[self.root.n:], np.uint64))
-            self.size_of.extend(np.array([len(w) for w in self.words.names[self.root.n:]], np.int64))
-            self.root.extend(self.word.n + np.arange(len(new)))
-            self._agendas(new, none, none, np.full((len(new), DEPTH), _M, np.uint64))
+        known = self.root.n
+        if known < len(self.words):
+            self.hash.extend(np.array(self.words.hashes[known:], np.uint64))
+            self.size_of.extend(np.array([len(w) for w in self.words.names[known:]], np.int64))
+            self.root.extend(np.full(len(self.words) - known, -1))
+        # A word gets its agenda with its second occurrence; the first one alone is merged on its own.
+        times = np.bincount(number, minlength=self.root.n)
+        due = (times > 0) & (self.root.a[:self.root.n] < 0)
+        due[known:] &= times[known:] > 1
+        if self.limit:
+            due &= self.size_of.a[:self.root.n] <= LONG
+        due = np.flatnonzero(due)
+        if len(due):
+            none = np.zeros(len(due), np.int64)
+            self.root.a[due] = self.word.n + np.arange(len(due))
+            self._agendas(due, none, none, np.full((len(due), DEPTH), _M, np.uint64))
         agenda = self.root.a[number]
-        alone = np.zeros(len(number), bool)
+        alone = agenda < 0
         if not self.limit:
             return agenda, alone
         key = self._key(self.hash.a[number], draw)
-        alone = self.size_of.a[number] > LONG
         left = np.flatnonzero(~alone)
         while len(left):
             merges, first = self.merges.a[agenda[left]], self.first.a[agenda[left]]
