@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -20,12 +21,16 @@ if _HERE not in sys.path:
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
 
 from cohortlens.operators import (active_by_month, first_period, month_spine,  # noqa: E402
                                   without_successor)
 from cohortlens.plans import intermediate, marts, models  # noqa: E402
-from cohortlens.sources import FIXTURE_AS_OF, FIXTURE_CONFIG, raw_inputs  # noqa: E402
+from cohortlens.session import checkpoint_dir  # noqa: E402
+from cohortlens.sources import (FIXTURE_AS_OF, FIXTURE_CONFIG, in_window, publish, publish_text,  # noqa: E402
+                                raw_inputs, read_published, read_source, store_by_month)
 from cohortlens.sources.fixtures import app_key  # noqa: E402
+from cohortlens.sources.schemas import raw_schema  # noqa: E402
 
 try:  # the training-data operators and their pipeline; the rest works without them
     from cohortlens.llm import queries as llm_queries
@@ -195,7 +200,70 @@ def b18_exclude_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "event_type", "product", "user_property_company")
 
 
+def j05_not_renewed_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences without a valid ACTIVE licence of the same customer that starts within 30 days after their end."""
+    from cohortlens.operators import without_successor_within
+    iv = _all_intervals(spark, sf_dir)
+    valid = (F.upper("status") == F.lit("ACTIVE")) & (
+        F.coalesce(F.col("maintenance_end_date"), F.lit("2999-12-31").cast("date"))
+        >= F.col("maintenance_start_date"))
+    out = without_successor_within(iv, iv, ["company", "addon_name"], "maintenance_end_date",
+                                   "maintenance_start_date", 30, valid)
+    return out.select("company", "addon_name", "license_id", "maintenance_end_date")
+
+
+def m12c_health_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 on the wall clock (no ``as_of``)."""
+    m = fixture_models(spark, sf_dir)
+    return marts.customer_health(m["int_customer_profile"], None, FIXTURE_CONFIG)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/sources/{name}-{uuid.uuid4().hex}"
+
+
+def s01_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table refreshed twice and read back: staged licences without, then with those of no type."""
+    lic, path = fixture_models(spark, sf_dir)["stg_licenses"], _scratch(spark, "refresh")
+    publish(lic.filter(F.col("license_type").isNotNull()), path)
+    publish(lic, path)
+    return read_published(spark, path)
+
+
+TEXT_SALES = ("transaction_id", "license_id", "sale_date", "sale_type", "vendor_amount")
+
+
+def s02_text_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales written as headered text, some dates and amounts spoilt, and loaded: good rows and rejected lines."""
+    path = _scratch(spark, "text")
+    tx = raw_inputs(spark, sf_dir)["transactions"].select(*[F.col(c).cast("string") for c in TEXT_SALES])
+    number = F.crc32(F.col("transaction_id").cast("binary"))
+    tx = tx.withColumn("sale_date", F.when(number % 101 == 0, F.lit("soon")).otherwise(F.col("sale_date"))) \
+        .withColumn("vendor_amount", F.when(number % 67 == 0, F.concat("vendor_amount", F.lit("x"))).otherwise(F.col("vendor_amount")))
+    tx.write.option("header", "true").csv(path)
+    schema = raw_schema("transactions", "decimal(38,2)")
+    schema = StructType([f for c in TEXT_SALES for f in schema.fields if f.name == c])
+    publish_text(spark, "transactions", path, f"{path}-good", f"{path}-rejected", schema)
+    good = read_published(spark, f"{path}-good").withColumns({"raw": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")})
+    bad = read_published(spark, f"{path}-rejected").drop("file")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def s03_named_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 over the events of the last 400 days before its date, from a named table partitioned by month."""
+    inputs, name = raw_inputs(spark, sf_dir), f"events_by_month_{uuid.uuid4().hex[:8]}"
+    store_by_month(inputs["events"], name, path=_scratch(spark, "events"))
+    events = read_source(spark, "events", table=name, where=in_window(FIXTURE_AS_OF, 400))
+    return models({**{k: inputs[k] for k in ("licenses", "transactions")}, "events": events}, FIXTURE_CONFIG,
+                  as_of=FIXTURE_AS_OF)["fct_customer_health"]
+
+
 BLOCK_QUERIES = {
+    "s01_full_refresh": s01_full_refresh,
+    "s02_text_load": s02_text_load,
+    "s03_named_source": s03_named_source,
+    "j05_not_renewed_within": j05_not_renewed_within,
+    "m12c_health_today": m12c_health_today,
     "m03b_money_scale2": m03b_money_scale2,
     "m12b_health_by_maintenance_end": m12b_health_by_maintenance_end,
     "j03_active_of_dimension": j03_active_of_dimension,

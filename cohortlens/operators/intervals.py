@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import OPEN_END_DATE
@@ -47,26 +47,35 @@ def active_by_month(intervals: DataFrame, spine: DataFrame, group: Sequence[str]
 
     Filter the interval rows you want counted (e.g. by status) before calling.
 
-    The spine becomes one value, a sorted array of month indexes (bounded by the calendar), in a scalar
-    subquery; each interval keeps the array's months it covers and is expanded to those. An interval adds rows by the spine's length, whatever its dates, no interval is clipped,
-    and no job runs while the plan is built. The distinct count aggregates on (month, group, entity)
-    before the final shuffle on (month, group).
+    A sweep line: intervals become runs of months, and the runs of one entity are united (the part of a run that
+    an earlier one of the same entity covers is cut off), so at any month an entity is counted once. Every
+    remaining run adds 1 at its first month and takes it away after its last; the running sum of these steps,
+    per group, is the number of active entities from one step to the next. No row is multiplied by months: an
+    entity has at most one run per start month after the first, map-side combined aggregate, so a hot entity
+    is bounded by the calendar. Only the steps, at most two for each month of a group, meet the spine (one
+    sorted array of month indexes in a scalar subquery; no job runs while the plan is built).
     """
     eff_end = F.coalesce(F.col(end), F.lit(open_end))
-    lo = month_index(start)
     # Last month whose last day is still covered.
     hi = month_index(eff_end) - F.when(F.last_day(eff_end) == eff_end, F.lit(0)).otherwise(F.lit(1))
-    idx = "_month_idx"
+    runs = (intervals.filter(F.col(start).isNotNull() & F.col(entity).isNotNull())
+            .select(*group, entity, month_index(start).alias("_lo"), hi.alias("_hi"))
+            .filter(F.col("_hi") >= F.col("_lo"))
+            .groupBy(*group, entity, "_lo").agg(F.max("_hi").alias("_hi")))
+    earlier = Window.partitionBy(*group, entity).orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_from", F.greatest("_lo", F.coalesce(F.max("_hi").over(earlier) + 1, F.col("_lo"))))
+    at = F.array(F.struct(F.col("_from").alias("_at"), F.lit(1).alias("_step")),
+                 F.struct((F.col("_hi") + 1).alias("_at"), F.lit(-1).alias("_step")))
+    steps = (runs.filter(F.col("_hi") >= F.col("_from")).select(*group, F.explode(at).alias("_s"))
+             .groupBy(*group, F.col("_s._at").alias("_at")).agg(F.sum("_s._step").alias("_step")))
+    line = Window.partitionBy(*group).orderBy("_at")
+    levels = steps.select(*group, "_at", F.lead("_at").over(line).alias("_until"),
+                          F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias(out))
     months = spine.agg(F.sort_array(F.collect_set(month_index(month)))).scalar()
-    covered = (intervals
-               .filter(F.col(start).isNotNull())
-               .select(*group, entity, lo.alias("_lo"), hi.alias("_hi"),
-                       months.alias("_spine"))
-               .filter(F.col("_hi") >= F.col("_lo"))
-               .select(*group, entity, F.explode(F.filter(
-                   "_spine", lambda m: (m >= F.col("_lo")) & (m <= F.col("_hi")))).alias(idx)))
-    counts = covered.groupBy(idx, *group).agg(F.count_distinct(entity).alias(out))
-    return counts.select(month_from_index(idx).alias(month), *group, out)
+    levels = levels.filter(F.col(out) > 0).select(*group, out, "_at", "_until", months.alias("_spine"))
+    return levels.select(*group, out, F.explode(F.filter(
+        "_spine", lambda m: (m >= F.col("_at")) & (m < F.col("_until")))).alias("_m")) \
+        .select(month_from_index("_m").alias(month), *group, out)
 
 
 def first_period(df: DataFrame, keys: Sequence[str], date_col: str, group: Sequence[str],
@@ -103,3 +112,37 @@ def without_successor(candidates: DataFrame, successors: DataFrame, keys: Sequen
             .join(ls, list(keys), "left")
             .filter(F.col("_latest_start").isNull() | (F.col("_latest_start") <= F.col(end)))
             .drop("_latest_start"))
+
+
+def without_successor_within(candidates: DataFrame, successors: DataFrame, keys: Sequence[str], end: str,
+                             start: str, days: int, condition: Column | None = None) -> DataFrame:
+    """B10 with a condition over both rows: ``candidates`` with a known ``end`` and no ``successors`` row of the
+    same key that meets ``condition`` and starts after that end, but at most ``days`` days after it.
+
+    One sorted merge of both sides: their rows are united, shuffled once by key and stretch of the calendar (at
+    least ``days`` long), and read backwards in time; the running minimum of the starts passed so far is the
+    next start after a candidate's end, which decides. A successor goes to the stretches (one or two)
+    in which ends may ask for it. A hot key is spread over its stretches, and no pairs are made. A NULL key has
+    no successor.
+    """
+    if days < 0:
+        raise ValueError("days must not be negative")
+    width = max(days, 31)
+    stretch = lambda day: F.floor(day / F.lit(width)).cast("int")
+    day = F.unix_date(F.to_date(F.col(end)))
+    ends = candidates.filter(F.col(end).isNotNull()).select(
+        *keys, stretch(day).alias("_stretch"), day.alias("_day"), F.lit(None).cast("int").alias("_start"),
+        F.struct(*candidates.columns).alias("_row"))
+    day = F.unix_date(F.to_date(F.col(start)))
+    s = successors if condition is None else successors.filter(condition)
+    for k in keys:
+        s = s.filter(F.col(k).isNotNull())
+    starts = s.filter(F.col(start).isNotNull()).select(
+        *keys, F.explode(F.sequence(stretch(day - days), stretch(day - 1))).alias("_stretch"), day.alias("_day"),
+        day.alias("_start"), F.lit(None).cast(ends.schema["_row"].dataType).alias("_row")) if days else None
+    both = ends if starts is None else ends.unionByName(starts)
+    # Of equal days an end comes first: a start on the day of the end is no successor.
+    back = Window.partitionBy(*keys, "_stretch").orderBy(F.col("_day").desc(), F.col("_start").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    merged = both.withColumn("_next", F.min("_start").over(back)).filter(F.col("_row").isNotNull())
+    return merged.filter(F.col("_next").isNull() | (F.col("_next") > F.col("_day") + days)).select("_row.*")

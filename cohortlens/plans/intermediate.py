@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import LICENCE_ONLY, MATCHED, UNRESOLVED, Config
 from ..functions.text import clean_text, exclude_values_predicate, normalize_key
+from ..operators.checks import KeyCheck
 from ..operators.counting import conditional_counts
 from ..operators.ranking import latest_per_key
 from ..operators.resolution import resolve_entities
@@ -18,41 +19,59 @@ FEATURE_USAGE_MEASURES = ["total_events", "distinct_users", "distinct_sessions",
                           "last_event_date", "active_days"]
 
 
-def event_days(events: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """The event log reduced to one row per (company, product, user, session, day): events, first and last
-    time, and one counter per configured feature and lifecycle event. ``is_user`` tells user events from
-    system and untyped ones.
+def event_marks(events: DataFrame, cfg: Config = Config(), moments: bool = True) -> DataFrame:
+    """The event log reduced to its distinct users, sessions and days per (company, product).
 
-    All that the usage and entity models read of the log is computed from these rows, so the distinct
-    counts never multiply raw rows, and a hot (or NULL) company is spread over its users and days.
+    A row of mark 'user' holds all that is summed: events, first and last time, and one counter per configured
+    feature and lifecycle event; rows of marks 'session' and 'day' only say that a user event (neither
+    system nor untyped) had that session or day, and are left out without ``moments``. One scan and one
+    aggregate make all of them, combined by the tasks before the only shuffle of the size of the log: it carries
+    users, sessions and days, never one row per event, unless every event has a session of its own. A
+    hot (or NULL) company is spread over its users, sessions and days.
     """
     user = F.coalesce(exclude_values_predicate("event_type", cfg.system_events), F.lit(False))
     src = events.select(normalize_key("user_property_company").alias("company"), "product", "event_type",
                         "user_id", "session_id", "event_time",
                         F.to_date("event_time").alias("event_date"), user.alias("is_user"))
-    u, p, e = F.col("is_user"), F.col("product"), F.col("event_type")
+
+    def mark(name: str, **known):
+        none = {"user_id": "string", "session_id": "bigint", "event_date": "date"}
+        return F.struct(F.lit(name).alias("mark"), *[
+            (F.col(c) if c in known else F.lit(None).cast(t)).alias(c) for c, t in none.items()])
+
+    one = F.array(mark("user", user_id=1))
+    if moments:
+        one = F.when(F.col("is_user"), F.array(mark("user", user_id=1), mark("session", session_id=1), mark("day", event_date=1))) \
+            .otherwise(one)
+    src = src.select("company", "product", "event_type", "event_time", F.col("event_date").alias("_date"), "is_user",
+                     F.explode(one).alias("_mark")).select("*", "_mark.*").drop("_mark")
+    whole = F.col("mark") == "user"
+    u, p, e = whole & F.col("is_user"), F.col("product"), F.col("event_type")
     counters = {name: u & (p == F.lit(prod)) & (e == F.lit(evt))
                 for name, prod, evt in cfg.feature_counters}
     counters.update({name: u & (e == F.lit(evt)) for name, evt in cfg.lifecycle_counters})
+    day = F.when(u, F.col("_date"))
     return conditional_counts(
-        src, ["company", "product", "user_id", "session_id", "event_date", "is_user"], counters, aggregates=[
-            F.count(F.lit(1)).alias("events"), F.min("event_time").alias("first_seen"),
-            F.max("event_time").alias("last_seen")])
-
-
-def event_activity(days: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Both per-(company, product) views of :func:`event_days`: the feature-usage measures and counters
-    over user events, and the entity activity over all events (``entity_*``, ``first_seen``,
-    ``last_seen``). Planned lazily, Catalyst prunes the aggregate to the measures that are read."""
-    u = F.col("is_user")
-    return days.groupBy("company", "product").agg(
-        F.sum(F.when(u, F.col("events")).otherwise(F.lit(0))).alias("total_events"),
-        F.count_distinct(F.when(u, F.col("user_id"))).alias("distinct_users"),
-        F.count_distinct(F.when(u, F.col("session_id"))).alias("distinct_sessions"),
-        F.min(F.when(u, F.col("event_date"))).alias("first_event_date"),
-        F.max(F.when(u, F.col("event_date"))).alias("last_event_date"),
-        F.count_distinct(F.when(u, F.col("event_date"))).alias("active_days"),
-        F.count_distinct("user_id").alias("entity_distinct_users"),
+        src, ["company", "product", "mark", "user_id", "session_id", "event_date"], counters, aggregates=[
+            F.count_if(whole).alias("events"), F.count_if(u).alias("user_events"),
+            F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"),
+            F.min(day).alias("first_date"), F.max(day).alias("last_date")])
+
+
+def event_activity(marks: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Both per-(company, product) views of :func:`event_marks`: the feature-usage measures and counters
+    over user events, and the entity activity over all events (``entity_*``, ``first_seen``, ``last_seen``). Marks are
+    distinct, so distinct counts are plain counts. Planned lazily, Catalyst prunes the aggregate to the measures
+    that are read."""
+    user = F.col("mark") == "user"
+    return marks.groupBy("company", "product").agg(
+        F.sum("user_events").alias("total_events"),
+        F.count_if(user & F.col("user_id").isNotNull() & (F.col("user_events") > 0)).alias("distinct_users"),
+        F.count_if((F.col("mark") == "session") & F.col("session_id").isNotNull()).alias("distinct_sessions"),
+        F.min("first_date").alias("first_event_date"),
+        F.max("last_date").alias("last_event_date"),
+        F.count_if((F.col("mark") == "day") & F.col("event_date").isNotNull()).alias("active_days"),
+        F.count_if(user & F.col("user_id").isNotNull()).alias("entity_distinct_users"),
         F.sum("events").alias("entity_total_events"),
         F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
         *[F.sum(c).alias(c) for c in cfg.feature_columns + cfg.lifecycle_columns])
@@ -112,13 +131,13 @@ def licence_profile(licenses: DataFrame) -> DataFrame:
                     "latest_trial_end_date", "latest_maintenance_end_date")
 
 
-def customer_profile(licenses: DataFrame, activity: DataFrame) -> DataFrame:
+def customer_profile(licences: DataFrame, activity: DataFrame, check: KeyCheck | None = None) -> DataFrame:
     """Everything known per (company, product): :func:`licence_profile` and :func:`event_activity` resolved
     by one full outer join, labelled 'matched_on_company' / 'marketplace_only' / 'unresolved'. The entity,
     the dimension and the health score are projections of it, so each reads the events and the licences
-    once."""
-    return resolve_entities(licence_profile(licenses), activity.withColumnRenamed("product", "addon_name"),
-                            KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED))
+    once. ``check``: see :func:`.resolve_entities`."""
+    return resolve_entities(licences, activity.withColumnRenamed("product", "addon_name"),
+                            KEY, "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED), check)
 
 
 def customer_entity(profile: DataFrame) -> DataFrame:

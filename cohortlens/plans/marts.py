@@ -12,6 +12,7 @@ from ..config import (ACTIVE_STATUS, ACTIVE_TRIAL, CHURNED, CONVERTED, INACTIVE_
 from ..functions.scoring import (flags_sum, pattern_map, recency_points, saturating_ratio,
                                  tier_label)
 from ..functions.text import clean_text, normalize_key
+from ..operators.checks import KeyCheck
 from ..operators.cohorts import cohort_conversion, outcome_label
 from ..operators.intervals import (active_by_month, first_period, month_of, month_spine,
                                    without_successor)
@@ -219,14 +220,18 @@ def _uninstall_column(cfg: Config) -> str:
     return next(name for name, evt in cfg.lifecycle_counters if evt == cfg.uninstall_event)
 
 
-def feature_outcomes(usage: DataFrame, trials: DataFrame, cfg: Config = Config()) -> DataFrame:
+def feature_outcomes(usage: DataFrame, signals: DataFrame, cfg: Config = Config(),
+                     check: KeyCheck | None = None) -> DataFrame:
     """Usage per (company, product) labelled converted / churned / active_trial (M11 without the
-    group averages)."""
+    group averages). ``signals``: :func:`lifecycle_signals`."""
     cfg.check_products()
-    sig = lifecycle_signals(trials).withColumnRenamed("company", "_c").withColumnRenamed(
-        "addon_name", "_a")
+    sig = signals.withColumnsRenamed({"company": "_c", "addon_name": "_a"})
     u = usage.withColumnRenamed("product", "addon_name")
+    if check is not None:
+        u = check.left(u)
     src = u.join(sig, (u.company == sig._c) & (u.addon_name == sig._a), "left")
+    if check is not None:
+        src = check.joined(src, F.lit(True))
     outcome = outcome_label([
         (F.coalesce("has_converted", F.lit(0)) == 1, CONVERTED),
         ((F.coalesce("has_inactive_status", F.lit(0)) == 1)
@@ -236,12 +241,10 @@ def feature_outcomes(usage: DataFrame, trials: DataFrame, cfg: Config = Config()
     return src.select("company", "addon_name", outcome.alias("outcome"), *USAGE_MEASURES, *counters)
 
 
-def feature_adoption(usage: DataFrame, trials: DataFrame, cfg: Config = Config(),
-                     averages=ADOPTION_AVERAGES) -> DataFrame:
-    """Usage per (company, product) labelled converted / churned / active_trial, with the mean
-    of six measures over its (product, outcome) group on every row."""
-    return attach_group_avg(feature_outcomes(usage, trials, cfg), ["addon_name", "outcome"],
-                            dict(averages))
+def feature_adoption(outcomes: DataFrame, averages=ADOPTION_AVERAGES) -> DataFrame:
+    """:func:`feature_outcomes` with the mean of six measures over its (product, outcome) group on
+    every row."""
+    return attach_group_avg(outcomes, ["addon_name", "outcome"], dict(averages))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -219,17 +219,12 @@ FROM held FULL JOIN seen ON held.name = seen.name AND held.addon_name = seen.pro
 """
 
 INT_TRIAL_LIFECYCLE = """
-SELECT company, addon_name, license_id, evaluation_license_id,
-       (upper(license_type) = 'EVALUATION' OR evaluation_start_date IS NOT NULL) AS is_trial,
-       (evaluation_sale_date IS NOT NULL) AS converted,
-       datediff('day', evaluation_start_date, evaluation_sale_date) AS days_to_convert,
-       evaluation_start_date AS trial_start_date, evaluation_end_date AS trial_end_date,
-       evaluation_sale_date AS converted_date, status AS current_status
-FROM (
-  SELECT upper(trim(company)) AS company, addon_name, license_id, evaluation_license_id,
-         license_type, evaluation_start_date, evaluation_end_date, evaluation_sale_date, status
-  FROM stg_licenses WHERE license_type IS NOT NULL
-) s
+WITH spans AS (FROM stg_licenses SELECT *, evaluation_start_date AS began, evaluation_sale_date AS sold)
+FROM spans SELECT upper(company) AS company, addon_name, license_id, evaluation_license_id,
+  began IS NOT NULL OR upper(license_type) = 'EVALUATION' AS is_trial, sold IS NOT NULL AS converted,
+  (sold - began)::BIGINT AS days_to_convert, began AS trial_start_date, evaluation_end_date AS trial_end_date,
+  sold AS converted_date, status AS current_status
+WHERE license_type IS NOT NULL
 """
 
 DIM_CUSTOMERS = """
@@ -282,17 +277,16 @@ FROM counted
 """
 
 FCT_TRIAL_CONVERSION = """
-SELECT CAST(date_trunc('month', trial_start_date) AS DATE) AS month, addon_name,
-       CAST(count_if(is_trial) AS BIGINT) AS trials_started,
-       CAST(count_if(is_trial AND converted) AS BIGINT) AS trials_converted,
-       CAST(count_if(is_trial AND converted) AS DOUBLE) / nullif(CAST(count_if(is_trial) AS DOUBLE), 0)
-         AS conversion_rate,
-       avg(CASE WHEN converted THEN days_to_convert END) AS avg_days_to_convert,
-       percentile_cont(0.5) WITHIN GROUP (ORDER BY CASE WHEN converted THEN days_to_convert END)
-         AS median_days_to_convert
-FROM int_trial_lifecycle
-WHERE trial_start_date IS NOT NULL
-GROUP BY 1, 2
+WITH begun AS (
+  SELECT date_trunc('month', trial_start_date)::DATE AS month, addon_name, is_trial, converted,
+         days_to_convert AS days
+  FROM int_trial_lifecycle WHERE trial_start_date IS NOT NULL),
+cohort AS (
+  SELECT month, addon_name, count(*) FILTER (is_trial) AS trials_started,
+         count(*) FILTER (is_trial AND converted) AS trials_converted,
+         avg(days) FILTER (converted) AS avg_days_to_convert, median(days) FILTER (converted) AS median_days_to_convert
+  FROM begun GROUP BY ALL)
+SELECT *, trials_converted / nullif(trials_started, 0)::DOUBLE AS conversion_rate FROM cohort
 """
 
 FCT_CHURN_AND_NRR = """
@@ -377,14 +371,11 @@ points AS (""").replace("covered_to IS", "kept_to IS").replace("covered_to -", "
   WHERE d.addon_name""")
 
 INS_CONVERSION_BY_PRODUCT = """
-SELECT addon_name AS product,
-       CAST(count_if(is_trial) AS BIGINT) AS total_trials,
-       CAST(count_if(is_trial AND converted) AS BIGINT) AS converted,
-       CAST(count_if(is_trial AND converted) AS DOUBLE) / nullif(CAST(count_if(is_trial) AS DOUBLE), 0)
-         AS conversion_rate,
-       avg(CASE WHEN converted THEN days_to_convert END) AS avg_days_to_convert
-FROM int_trial_lifecycle
-GROUP BY 1
+WITH counted AS (
+  FROM int_trial_lifecycle SELECT addon_name AS product, count(*) FILTER (is_trial) AS total_trials,
+    count(*) FILTER (is_trial AND converted) AS converted, avg(days_to_convert) FILTER (converted) AS avg_days_to_convert
+  GROUP BY ALL)
+SELECT *, converted / nullif(total_trials, 0)::DOUBLE AS conversion_rate FROM counted
 """
 
 INS_COVERAGE_BY_MATCH_TYPE = """
@@ -428,6 +419,42 @@ B10_WITHOUT_SUCCESSOR = f"""
 SELECT company, addon_name, license_id, ended AS maintenance_end_date FROM ({_LAST_OF_KEY.format(src="all_source")})
 """
 
+# The correlated form: no valid active licence of the same customer starts within 30 days after the end.
+J05_NOT_RENEWED_WITHIN = """
+SELECT company, addon_name, license_id, ended AS maintenance_end_date FROM all_source AS mine
+WHERE ended IS NOT NULL AND NOT EXISTS (
+  FROM all_source AS next WHERE next.company = mine.company AND next.addon_name = mine.addon_name AND next.is_active
+    AND next.until >= next.since AND next.since > mine.ended AND next.since <= mine.ended + 30)
+"""
+
+# Text lines of sales, as they are written, and what is wrong with them; crc32 by its bits.
+S02_TEXT_LOAD = """
+WITH RECURSIVE remainder(byte, bit, value) AS (
+  SELECT byte, 0, byte::UBIGINT FROM range(256) t(byte)
+  UNION ALL
+  SELECT byte, bit + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384::UBIGINT) ELSE value >> 1 END
+  FROM remainder WHERE bit < 8),
+crc_table AS (SELECT list(value ORDER BY byte) AS v FROM remainder WHERE bit = 8),
+sale AS (
+  SELECT transaction_id, license_id, sale_date, sale_type, vendor_amount,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(transaction_id, ''), lambda c: ascii(c)::UBIGINT)),
+             lambda crc, c: xor(v[(xor(crc, c) & 255)::BIGINT + 1], crc >> 8)), 4294967295::UBIGINT) AS number
+  FROM raw_transactions, crc_table),
+cell AS (
+  SELECT *, number % 101 = 0 AS bad_date, number % 67 = 0 AND vendor_amount IS NOT NULL AS bad_amount,
+         CASE WHEN number % 101 = 0 THEN 'soon' ELSE coalesce(sale_date::VARCHAR, '') END AS date_text,
+         vendor_amount::DECIMAL(38,2)::VARCHAR || CASE WHEN number % 67 = 0 THEN 'x' ELSE '' END AS amount_text
+  FROM sale)
+SELECT transaction_id, license_id, sale_date, sale_type, vendor_amount::DECIMAL(38,2) AS vendor_amount,
+       NULL::VARCHAR AS raw, NULL::VARCHAR AS reason
+FROM cell WHERE NOT bad_date AND NOT bad_amount
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, concat_ws(',', transaction_id, license_id, date_text, sale_type, amount_text),
+       concat_ws('; ', CASE WHEN bad_date THEN 'sale_date: not a date: soon' END,
+                 CASE WHEN bad_amount THEN 'vendor_amount: not a decimal(38,2): ' || amount_text END)
+FROM cell WHERE bad_date OR bad_amount
+"""
+
 # A NULL company matches nothing on either side.
 B05_RESOLVE_ENTITIES = """
 WITH held AS (
@@ -509,6 +536,11 @@ MODELS: dict[str, str] = {
     "j09_churn_of_dimension": FCT_CHURN_AND_NRR.replace(
         "FROM dim_customers", "FROM dim_customers WHERE match_type = 'matched_on_company'"),
     "b05_resolve_entities": B05_RESOLVE_ENTITIES,
+    "j05_not_renewed_within": J05_NOT_RENEWED_WITHIN,
+    "s01_full_refresh": "SELECT * FROM stg_licenses",
+    "s02_text_load": S02_TEXT_LOAD,
+    "m12c_health_today": FCT_CUSTOMER_HEALTH.replace(AS_OF, "current_date"),
+    "s03_named_source": FCT_CUSTOMER_HEALTH,
     "b06_conditional_counts": B06_CONDITIONAL_COUNTS,
     "b11_period_delta": B11_PERIOD_DELTA,
     "b14_attach_group_avg": B14_ATTACH_GROUP_AVG,
@@ -535,6 +567,9 @@ def sql_for(target: str) -> str:
             order.append(n)
 
     visit(target)
-    ctes = ",\n".join(f"{n} AS (\n{MODELS[n].strip()}\n)" for n in order[:-1])
+    text = {n: MODELS[n].strip() for n in order}
+    if target == "s03_named_source":  # the same model over the events of a window
+        text["stg_events"] = f"SELECT * FROM ({text['stg_events']}) WHERE event_time::DATE BETWEEN {AS_OF} - 399 AND {AS_OF}"
+    ctes = ",\n".join(f"{n} AS (\n{text[n]}\n)" for n in order[:-1])
     body = MODELS[target].strip()
     return f"WITH {ctes}\nSELECT * FROM (\n{body}\n)" if ctes else body

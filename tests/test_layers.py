@@ -46,6 +46,51 @@ def test_build_all_to_catalog_tables(spark, scratch):
             spark.sql(f"DROP DATABASE cl_{layer} CASCADE")
 
 
+def test_joins_of_a_catalog_build_have_no_exchange(spark, scratch):
+    """J1 and J11-J13 over the bucketed key-grain tables of a build."""
+    from cohortlens.config import LICENCE_ONLY, MATCHED, UNRESOLVED
+    from cohortlens.operators import resolve_entities
+    from cohortlens.plans import marts
+    raw = raw_inputs(spark, SF001)
+    inputs = {k: raw[k] for k in ("events", "licenses", "transactions")}
+    spark.sql(f"CREATE DATABASE cl_bucket LOCATION '{scratch}/bucket'")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = build_all(spark, inputs, cfg=FIXTURE_CONFIG, as_of=FIXTURE_AS_OF, database="cl_bucket", buckets=4)
+        t = {k: spark.read.table(v) for k, v in names.items()}
+        joins = {
+            "J1": resolve_entities(t["int_licence_profile"], t["int_event_activity"].withColumnRenamed("product", "addon_name"),
+                                   ["company", "addon_name"], "match_type", (MATCHED, LICENCE_ONLY, UNRESOLVED)),
+            "J11": marts.feature_outcomes(t["int_feature_usage"], t["int_trial_signals"], FIXTURE_CONFIG),
+            "J12": t["int_customer_profile"].select("company", "addon_name", "tier").join(
+                t["int_feature_usage"].withColumnRenamed("product", "addon_name"), ["company", "addon_name"], "left"),
+            "J13": t["int_customer_profile"].select("company", "addon_name", "tier").join(
+                t["int_trial_signals"], ["company", "addon_name"], "left")}
+        for name, df in joins.items():
+            p = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in p and "Exchange" not in p, (name, p)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE cl_bucket CASCADE")
+
+
+def test_repeated_key_stops_a_build(spark, scratch, monkeypatch):
+    """A profile whose licence side repeats a key is not published; the former one stays current."""
+    from cohortlens.plans import intermediate
+    from cohortlens.sources import read_published
+    raw = raw_inputs(spark, SF001)
+    inputs = {k: raw[k] for k in ("events", "licenses", "transactions")}
+    out = os.path.join(scratch, "out")
+    build_all(spark, inputs, out, FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
+    n = read_published(spark, f"{out}/int_customer_profile").count()
+    once = intermediate.licence_profile
+    monkeypatch.setattr(intermediate, "licence_profile", lambda lic: once(lic).union(once(lic).limit(40)))
+    with pytest.raises(ValueError, match="int_customer_profile: .* the left side repeats a key"):
+        build_all(spark, inputs, out, FIXTURE_CONFIG, as_of=FIXTURE_AS_OF)
+    assert read_published(spark, f"{out}/int_customer_profile").count() == n
+
+
 def test_build_all_needs_a_target(spark):
     with pytest.raises(ValueError):
         build_all(spark, {}, cfg=FIXTURE_CONFIG)

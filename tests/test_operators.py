@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import (active_by_month, attach_group_avg, cohort_conversion,
                                   conditional_counts, first_period, latest_per_key, month_spine,
                                   outcome_label, period_delta, resolve_entities,
-                                  without_successor)
+                                  without_successor, without_successor_within)
 
 
 def test_latest_per_key_nulls_last_and_string_order(spark):
@@ -167,3 +167,77 @@ def test_outcome_label_precedence(spark):
     lab = outcome_label([(F.col("conv") == 1, "converted"), (F.col("churn") == 1, "churned")],
                         "active_trial")
     assert [r[0] for r in df.select(lab).collect()] == ["converted", "churned", "active_trial"]
+
+
+def test_sweep_line_unites_an_entitys_intervals(spark):
+    """Nested, touching, overlapping and repeated intervals of one entity count once a month."""
+    d = dt.date
+    rows = [("A", "P", "x", d(2020, 1, 5), d(2020, 6, 30), "1"), ("A", "P", "x", d(2020, 2, 1), d(2020, 3, 31), "2"),
+            ("A", "P", "x", d(2020, 7, 1), d(2020, 7, 31), "3"), ("A", "P", "x", d(2020, 1, 5), d(2020, 6, 30), "4"),
+            ("A", "P", "x", d(2020, 5, 1), None, "5"), ("B", "P", "x", d(2020, 3, 2), d(2020, 3, 31), "6"),
+            ("B", "P", "x", d(2020, 9, 1), d(2020, 9, 29), "7"), (None, "P", "x", d(2020, 1, 1), None, "8"),
+            ("C", None, "x", d(2020, 9, 1), d(2020, 9, 30), "9"), ("D", "P", "x", d(2021, 1, 1), d(2020, 1, 1), "10")]
+    iv = _interval_frame(spark, rows)
+    spine = month_spine(iv, "maintenance_start_date")
+    got = {(r.addon_name, str(r.month)): r.n for r in active_by_month(
+        iv, spine, ["addon_name"], "company", "maintenance_start_date", "maintenance_end_date", out="n").collect()}
+    assert got == {("P", "2020-01-01"): 1, ("P", "2020-02-01"): 1, ("P", "2020-03-01"): 2, ("P", "2020-05-01"): 1,
+                   ("P", "2020-07-01"): 1, ("P", "2020-09-01"): 1, ("P", "2021-01-01"): 1, (None, "2020-09-01"): 1}
+
+
+def test_successor_within_equals_correlated_not_exists(spark):
+    rows = _random_intervals(seed=11, n=700)
+    rows += [(None, "P0", "ACTIVE", dt.date(2000, 1, 1), dt.date(2000, 2, 1), "n1"), (None, "P0", "ACTIVE", dt.date(2000, 2, 10), None, "n2")]
+    iv = _interval_frame(spark, rows)
+    iv.createOrReplaceTempView("ivw")
+    for days in (0, 1, 30, 400):
+        naive = spark.sql(f"""SELECT * FROM ivw c WHERE maintenance_end_date IS NOT NULL AND NOT EXISTS (
+          SELECT 1 FROM ivw s WHERE s.company = c.company AND s.addon_name = c.addon_name AND upper(s.status) = 'ACTIVE'
+            AND s.maintenance_start_date > c.maintenance_end_date AND s.maintenance_start_date <= date_add(c.maintenance_end_date, {days}))""")
+        got = without_successor_within(iv, iv, ["company", "addon_name"], "maintenance_end_date", "maintenance_start_date",
+                                       days, F.upper("status") == "ACTIVE")
+        assert got.columns == iv.columns
+        assert sorted(r.license_id for r in got.collect()) == sorted(r.license_id for r in naive.collect()), days
+
+
+def test_median_of_a_million_distinct_values(spark):
+    n = 1_000_000
+    df = spark.range(n + 5).select(
+        F.when(F.col("id") < n, "hot").otherwise("cold").alias("g"), F.lit(True).alias("t"), (F.col("id") != 3).alias("c"),
+        (F.col("id") * 7 % 1_000_003).alias("d"))
+    out = cohort_conversion(df, ["g"], "t", "c", "d")
+    got = {r.g: r for r in out.collect()}
+    values = sorted(i * 7 % 1_000_003 for i in range(n) if i != 3)
+    assert got["hot"].median_days_to_convert == values[(n - 1) // 2] and got["hot"].trials_converted == n - 1
+    assert abs(got["hot"].avg_days_to_convert - sum(values) / len(values)) < 1e-6
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in p and "percentile" not in p
+
+
+def test_median_between_repeated_values(spark):
+    rows = [("a", v) for v in (1, 1, 1, 8)] + [("b", 5)] + [("c", v) for v in (2, 2, 3, 3)] + [("d", None)] + [(None, 4), (None, 7)]
+    df = spark.createDataFrame([(g, True, v is not None, v) for g, v in rows], "g string, t boolean, c boolean, d bigint")
+    got = {r.g: r.median_days_to_convert for r in cohort_conversion(df, ["g"], "t", "c", "d").collect()}
+    assert got == {"a": 1.0, "b": 5.0, "c": 2.5, "d": None, None: 5.5}
+
+
+def test_key_check_finds_a_repeated_key_without_a_job_of_its_own(spark):
+    from cohortlens.operators import KeyCheck
+    left = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "k string, l int")
+    right = spark.createDataFrame([("A", 1), ("C", 2), (None, 3)], "k string, r int")
+    tracker = spark.sparkContext.statusTracker()
+    for twice, side in ((None, None), ("right", "right"), ("left", "left")):
+        a, b = (x.union(x.filter("k = 'A'")) if twice == n else x for x, n in ((left, "left"), (right, "right")))
+        check = KeyCheck("j")
+        out = resolve_entities(a, b, ["k"], "m", ("both", "left", "right"), check)
+        spark.sparkContext.setJobGroup(f"keys-{twice}", "")
+        out.write.format("noop").mode("overwrite").save()
+        jobs = len(tracker.getJobIdsForGroup(f"keys-{twice}"))
+        if twice is None:
+            assert check.verify()["joined"] == 5
+        else:
+            import pytest
+            with pytest.raises(ValueError, match=f"the {side} side repeats a key"):
+                check.verify()
+        assert len(tracker.getJobIdsForGroup(f"keys-{twice}")) == jobs
+    spark.sparkContext._jsc.clearJobGroup()

@@ -6,8 +6,11 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlens.sources import LICENSES_RAW, raw_inputs, read_source, write_table
+from cohortlens.sources import (LICENSES_RAW, current, expire, load_text, publish, publish_table, publish_text, raw_inputs,
+                                read_published, read_source, write_table)
 from cohortlens.sources.schemas import EVENTS_RAW, TRANSACTIONS_RAW
 from tests.conftest import SF001
 from tools.oracle_check import canonical
@@ -78,3 +81,82 @@ def test_catalog_table_scan(spark):
     spark.createDataFrame([("k1",)], "license_id string").createOrReplaceTempView("raw_lic_view")
     df = read_source(spark, "licenses", table="raw_lic_view", optional=ALL)
     assert df.count() == 1 and df.schema == LICENSES_RAW
+
+
+def failing(spark):
+    """A frame whose write fails after some of its rows are written."""
+    return spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 900, F.col("id")).otherwise(
+        F.raise_error(F.lit("half way")).cast("long")).alias("id"))
+
+
+def test_failed_refresh_keeps_the_old_table(spark, scratch):
+    path = os.path.join(scratch, "t")
+    with pytest.raises(ValueError, match="nothing is published"):
+        current(spark, path)
+    publish(spark.range(3), path)
+    reader = read_published(spark, path)
+    with pytest.raises(Exception, match="half way"):
+        publish(failing(spark), path)
+    assert read_published(spark, path).count() == 3
+
+    def refuse():
+        raise ValueError("refused")
+    with pytest.raises(ValueError, match="refused"):
+        publish(spark.range(7), path, check=refuse)
+    assert read_published(spark, path).count() == 3
+    publish(spark.range(5), path)
+    assert read_published(spark, path).count() == 5 and reader.count() == 3  # a query that began before reads on
+    assert len(expire(spark, path, keep=1)) == 3 and read_published(spark, path).count() == 5
+    publish(spark.range(6), path)
+    assert expire(spark, path) == [] and read_published(spark, path).count() == 6
+
+
+def test_failed_refresh_keeps_the_old_catalog_name(spark, scratch):
+    spark.sql(f"CREATE DATABASE cl_pub LOCATION '{scratch}/db'")
+    try:
+        publish_table(spark.range(3), "cl_pub.t")
+        reader = spark.read.table("cl_pub.t")
+        with pytest.raises(Exception, match="half way"):
+            publish_table(failing(spark), "cl_pub.t")
+        assert spark.read.table("cl_pub.t").count() == 3
+        publish_table(spark.range(5), "cl_pub.t")
+        assert spark.read.table("cl_pub.t").count() == 5 and reader.count() == 3
+        assert len(expire(spark, table="cl_pub.t", keep=1)) >= 1 and spark.read.table("cl_pub.t").count() == 5
+        spark.range(2).write.saveAsTable("cl_pub.own")
+        with pytest.raises(ValueError, match="table of its own"):
+            publish_table(spark.range(1), "cl_pub.own")
+    finally:
+        spark.sql("DROP DATABASE cl_pub CASCADE")
+
+
+SALES = T.StructType([T.StructField("id", T.StringType()), T.StructField("Day", T.DateType()), T.StructField("n", T.LongType())])
+
+
+def test_text_load_sets_bad_rows_aside(spark, scratch):
+    folder = os.path.join(scratch, "in")
+    os.makedirs(folder)
+    good = ["a,2020-01-02,5", '"b, c",,', "d,2020-01-03,7"]
+    bad = {"e,2020-13-01,5": "day: not a date: 2020-13-01", "f,soon,x7": "day: not a date: soon; n: not a bigint: x7",
+           "g,2020-01-01": "cells: another number than the header's", "h,2020-01-01,1,2": "cells: another number than the header's"}
+    for i, part in enumerate(([*good[:2], "e,2020-13-01,5", "", "g,2020-01-01"], [good[2], "f,soon,x7", "h,2020-01-01,1,2"])):
+        with open(os.path.join(folder, f"{i}.csv"), "w") as f:
+            f.write("\n".join(["id,DAY,n", *part]) + "\n")
+    ok, rejected = load_text(spark, "sales", folder, T.StructType([T.StructField("id", T.StringType()), T.StructField("day", T.DateType()),
+                                                                   T.StructField("n", T.LongType())]))
+    assert sorted((r.id, str(r.day), r.n) for r in ok.collect()) == [("a", "2020-01-02", 5), ("b, c", "None", None), ("d", "2020-01-03", 7)]
+    assert {r.raw: r.reason for r in rejected.collect()} == bad
+    assert {os.path.basename(r.file) for r in rejected.collect()} == {"0.csv", "1.csv"}
+    n = publish_text(spark, "sales", folder, os.path.join(scratch, "good"), os.path.join(scratch, "bad"), SALES)
+    assert n == {"lines": 7, "good": 3, "rejected": 4}
+    assert read_published(spark, os.path.join(scratch, "good")).count() == 3
+    assert read_published(spark, os.path.join(scratch, "bad")).count() == 4
+    with pytest.raises(ValueError, match="missing columns: other"):
+        load_text(spark, "sales", folder, T.StructType([T.StructField("other", T.StringType())]))
+
+
+def test_text_of_headers_only(spark, scratch):
+    path = os.path.join(scratch, "h.csv")
+    with open(path, "w") as f:
+        f.write("id,Day,n\n")
+    ok, rejected = load_text(spark, "sales", path, SALES)
+    assert ok.collect() == [] and rejected.collect() == [] and ok.schema == SALES
