@@ -555,13 +555,15 @@ def _deps(name: str) -> list[str]:
     return [m for m in dict.fromkeys(_WORD.findall(text)) if m in MODELS and m != name]
 
 
-def sql_for(target: str) -> str:
-    """``target`` as one statement: its dependencies as a WITH chain in dependency order."""
+def sql_for(target: str, stored: bool = False) -> str:
+    """``target`` as one statement: its dependencies as a WITH chain in dependency order.
+
+    ``stored``: the raw sources are there as tables and not part of the chain."""
     order: list[str] = []
 
     def visit(n: str) -> None:
         for d in _deps(n):
-            if d not in order:
+            if d not in order and not (stored and d.startswith("raw_")):
                 visit(d)
         if n not in order:
             order.append(n)
