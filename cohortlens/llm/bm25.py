@@ -7,11 +7,16 @@ and the mean length - the same for every shard - each shard finds its own top k
 the best k of all shards are the result. Scores do not depend on the sharding, so the merge is exact.
 Of equal scores the smaller id comes first.
 
-So that shards without good documents need not look for ten of their own, a first pass scores, over all
-shards, the documents that hold a query's rarest terms; the k-th best of them is a lower bound of the
-final k-th score, and every shard's WAND starts with it as its threshold. Queries of more than ``MANY`` terms
-take neither: the sum of so many bounds lets WAND skip next to nothing, and adding up all of their
-postings as arrays is faster. Either way the scores are those of scoring every document.
+A block is the postings of one list in one range of ``RANGE`` documents, and its maximum the best score among
+them. WAND's test - can the upper bounds of the lists that meet here add up to more than the threshold? - is
+made for a whole range at once: the maxima of a query's blocks are summed by range, the ranges
+above the threshold are opened from the highest sum on, their documents scored in full, and the threshold
+raised to the k-th score found. It ends when no range is above it; all other postings are never added
+up. This holds for queries of any number of terms.
+
+So that shards without good documents need not look for ten of their own, a first pass opens, in all
+shards, the ranges that hold a query's rarest terms; the k-th best of their documents is a lower bound of the
+final k-th score, and every shard starts with it as its threshold.
 
 A term is a run of word characters in lower case, named by its 64-bit XXH64.
 
@@ -22,9 +27,7 @@ ranked one by one; empty tables give an empty table; further columns are ignored
 
 from __future__ import annotations
 
-import heapq
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -38,13 +41,11 @@ from .common import by_chars, materialize
 
 K1, B = 1.2, 0.75
 TOP, QUERY_TERMS = 10, None   # all terms of a query's text
-END = 1 << 62                 # after every document
-DENSE = 16                     # blocks whose documents lie at most so many blocks apart are scored together
-BLOCK = 64                    # postings under one block maximum
+RANGE = 32                    # documents under one block maximum
+OPEN = 8                      # ranges opened first
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
 PROBE = 50                    # postings of the first pass, for each of the k results
-MANY = 32                     # terms of a query above which all its postings are added up, without WAND
 QUERY_BLOCK = 50_000          # queries whose terms are sent to the tasks at a time
 QUERY_ROWS = 1_000_000        # and terms of these queries at a time, about
 TERM_BLOCK = 1_000_000        # terms whose frequencies are counted at a time
@@ -144,6 +145,8 @@ def frequencies(index: DataFrame, terms: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(wanted[hit].view(np.int64)), pa.array(df[hit])], ["term", "df"])
 
         part = index.select("terms", "ends").mapInArrow(run, "term long, df long")
+        if blocks > 1:
+            part = materialize(part, "bm25-frequencies")  # so the driver and the plan hold one block at a time
         out = part if out is None else out.unionByName(part)
     return out.groupBy("term").agg(F.sum("df").alias("df"))
 
@@ -161,107 +164,11 @@ def totals(index: DataFrame) -> tuple[int, int]:
     return r[0] or 0, r[1] or 0
 
 
-class Postings:
-    """One term's postings in a shard: scores, block maxima and the last document of each block."""
-
-    __slots__ = ("arrays", "docs", "last", "most", "score", "top")
-
-    def __init__(self, docs: np.ndarray, score: np.ndarray):
-        starts = np.arange(0, len(docs), BLOCK)
-        self.arrays = docs, score
-        self.docs, self.score = docs.tolist(), score.tolist()
-        self.top = np.maximum.reduceat(score, starts).tolist()
-        self.last = docs[np.minimum(starts + BLOCK, len(docs)) - 1].tolist()
-        self.most = max(self.top)
-
-
-class Cursor:
-    """A place in a list of postings."""
-
-    __slots__ = ("at", "of")
-
-    def __init__(self, of: Postings):
-        self.of, self.at = of, 0
-
-    def seek(self, doc: int) -> int:
-        """Moves to the first posting of ``doc`` or later; its document, or END."""
-        docs = self.of.docs
-        at = self.at = bisect_left(docs, doc, self.at)
-        return docs[at] if at < len(docs) else END
-
-
-def wand(cursors: list[Cursor], k: int, least: float = 0.0) -> list[tuple[float, int]]:
-    """The k best (score, document) above ``least``, by block-max WAND; of equal scores the smaller document.
-
-    Documents come in ascending order, so one that only equals the k-th score cannot enter any more: a
-    document is looked at only where the bound of the lists up to the pivot is above that score. Where the
-    pivot's blocks are dense, the documents up to the next block border are scored together, and twice as
-    far each time that the bounds right after such a stretch do not let WAND skip.
-    """
-    heap: list[tuple[float, int]] = []
-    reach = 0
-    slack = 1 + 1e-9  # sums over the lists by document add up in another order than scores
-    live = [(c.of.docs[0], i) for i, c in enumerate(cursors)]
-    while live:
-        live.sort()
-        bound, pivot = 0.0, -1
-        for j, (_, i) in enumerate(live):
-            bound += cursors[i].of.most
-            if bound * (slack if j else 1) > least:
-                pivot = j
-                break
-        if pivot < 0:
-            break
-        doc = live[pivot][0]
-        while pivot + 1 < len(live) and live[pivot + 1][0] == doc:
-            pivot += 1
-        bound, end = 0.0, END
-        for i in sorted(i for _, i in live[:pivot + 1]):  # as scores add up: a bound is never below
-            of = cursors[i].of
-            block = bisect_left(of.last, doc, cursors[i].at // BLOCK)
-            if block < len(of.last):
-                bound += of.top[block]
-                end = min(end, of.last[block])
-        if bound <= least:
-            reach = 0
-            # No document up to the next block border can enter.
-            to = end + 1
-            if pivot + 1 < len(live):
-                to = min(to, live[pivot + 1][0])
-            to = max(to, doc + 1) if end == END else to
-            live = [(d if j > pivot else cursors[i].seek(to), i) for j, (d, i) in enumerate(live)]
-        elif end - doc < DENSE * BLOCK:
-            end = max(end, doc + reach)
-            reach = min(2 * (end + 1 - doc), SHARD_DOCS)
-            scores = np.zeros(end + 1 - doc)
-            after = []
-            for i in sorted(i for _, i in live):  # in the order of the query's terms
-                c, (docs, score) = cursors[i], cursors[i].of.arrays
-                s = bisect_left(c.of.docs, doc, c.at)
-                e = c.at = bisect_left(c.of.docs, end + 1, s)
-                scores[docs[s:e] - doc] += score[s:e]
-                after.append((c.of.docs[e] if e < len(docs) else END, i))
-            live = after
-            for at in np.flatnonzero(scores > least).tolist():
-                score = float(scores[at])
-                if score > least:
-                    (heapq.heappush if len(heap) < k else heapq.heapreplace)(heap, (score, -doc - at))
-                    if len(heap) == k:
-                        least = heap[0][0]
-        elif live[0][0] == doc:
-            here = sorted(i for d, i in live if d == doc)  # in the order of the query's terms
-            score = 0.0
-            for i in here:
-                score += cursors[i].of.score[cursors[i].at]
-            if score > least:
-                (heapq.heappush if len(heap) < k else heapq.heapreplace)(heap, (score, -doc))
-                if len(heap) == k:
-                    least = heap[0][0]
-            live = [(d if d != doc else cursors[i].seek(doc + 1), i) for d, i in live]
-        else:
-            live = [(cursors[i].seek(doc) if d < doc else d, i) for d, i in live]
-        live = [x for x in live if x[0] != END]
-    return [(s, -d) for s, d in heap]
+def _runs(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places from start to end, run after run."""
+    size = end - start
+    upto = np.cumsum(size)
+    return np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
 
 
 class Shard:
@@ -284,56 +191,75 @@ class Shard:
         place = np.repeat(start - self.cut[:-1], size) + np.arange(self.cut[-1])
         self.at, tf = self.posts[place].astype(np.int64), self.counts[place].astype(np.float64)
         self.score = np.repeat(q.weight[hit[first]], size) * tf * (K1 + 1) / (tf + self.norm[self.at])
-        self.most = np.maximum.reduceat(self.score, self.cut[:-1]) if len(lists) else np.zeros(0)
-        self.hit, self.made = hit, {}
+        # The blocks: of every list, its postings in each range of RANGE documents, and the best of their scores.
+        self.ranges = -(-len(self.docs) // RANGE)
+        block = np.repeat(np.arange(len(lists)) * self.ranges, size) + self.at // RANGE
+        self.block = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
+        self.block_end = np.r_[self.block[1:], len(block)].astype(np.int64)
+        self.top = np.maximum.reduceat(self.score, self.block) if len(block) else np.zeros(0)
+        self.range = block[self.block] % max(1, self.ranges)
+        self.block_cut = np.searchsorted(self.block, self.cut)
         query = np.searchsorted(q.first, hit, "right") - 1
+        self.hit = hit
         self.query_cut = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(hit) else np.zeros(1, int)
         self.query = query[self.query_cut[:-1]]
 
-    def postings(self, n: int) -> Postings:
-        if n not in self.made:
-            s, e = self.cut[n], self.cut[n + 1]
-            self.made[n] = Postings(self.at[s:e], self.score[s:e])
-        return self.made[n]
+    def _blocks(self, i: int) -> np.ndarray:
+        """The blocks of all lists of the i-th query here, list by list."""
+        return _runs(*(self.block_cut[self.of[self.query_cut[i]:self.query_cut[i + 1]] + x] for x in (0, 1)))
+
+    def _score(self, blocks: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Scores of all documents from the blocks of ``some`` ranges (a mask); others have none."""
+        own = blocks[some[self.range[blocks]]]
+        place = _runs(self.block[own], self.block_end[own])
+        # Adds in the order of the query's terms, whatever ranges are asked for.
+        return np.bincount(self.at[place], self.score[place], len(self.docs))
 
-    def probe(self, q: Queries, k: int) -> Iterator[tuple[int, float, int]]:
-        """(query number, score, document) of the k best documents among those with a query's rarest terms."""
+    def probe(self, q: Queries, k: int, least: np.ndarray) -> Iterator[tuple[int, float, int]]:
+        """(query number, score, doc_id) of the k best documents in the ranges that hold a query's rarest terms."""
         rare = q.rare[self.hit]
         for i, (s, e) in enumerate(zip(self.query_cut[:-1].tolist(), self.query_cut[1:].tolist(), strict=True)):
-            some = self.of[s:e][rare[s:e]]
-            if not len(some) or q.many[self.query[i]]:
-                continue
-            docs = np.unique(np.concatenate([self.at[self.cut[n]:self.cut[n + 1]] for n in some]))
-            score = np.zeros(len(docs))
-            for n in self.of[s:e].tolist():  # in the order of the query's terms, as in ``wand``
-                own = self.at[self.cut[n]:self.cut[n + 1]]
-                at = np.minimum(np.searchsorted(own, docs), len(own) - 1)
-                score += np.where(own[at] == docs, self.score[self.cut[n] + at], 0.0)
-            for j in np.argsort(-score, kind="stable")[:k].tolist():
-                yield int(self.query[i]), float(score[j]), int(self.docs[docs[j]])
-
-    def _all(self, i: int, k: int) -> Iterator[tuple[int, float, int]]:
-        """(query number, score, doc_id) of the k best of all documents, from all postings of the query's terms."""
-        lists = [slice(self.cut[n], self.cut[n + 1]) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
-        score = np.bincount(np.concatenate([self.at[x] for x in lists]),  # adds in the order of the query's terms
-                            np.concatenate([self.score[x] for x in lists]), len(self.docs))
-        least = np.partition(score, -k)[-k] if len(score) > k else 0.0
-        best = np.flatnonzero((score >= least) & (score > 0))
-        for j in best[np.argsort(-score[best], kind="stable")[:k]].tolist():
-            yield int(self.query[i]), float(score[j]), int(self.docs[j])
-
-    def search(self, q: Queries, k: int) -> Iterator[tuple[int, float, int]]:
-        """(query number, score, doc_id) of each query's top k here, from its ``least`` score on."""
-        if not len(self.hit):
-            return
-        bound = np.add.reduceat(self.most[self.of], self.query_cut[:-1]) * (1 + 1e-9)
-        for i in np.flatnonzero(bound > q.least[self.query]).tolist():
-            if q.many[self.query[i]]:
-                yield from self._all(i, k)
-                continue
-            cursors = [Cursor(self.postings(n)) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
-            for score, doc in wand(cursors, k, float(q.least[self.query[i]])):
-                yield int(self.query[i]), score, int(self.docs[doc])
+            lists = self.of[s:e][rare[s:e]]
+            if len(lists):
+                some = np.zeros(self.ranges, bool)
+                some[self.range[_runs(self.block_cut[lists], self.block_cut[lists + 1])]] = True
+                score = self._score(self._blocks(i), some)
+                yield from self._best(i, score, np.flatnonzero(score > 0), k)
+
+    def search(self, q: Queries, k: int, least: np.ndarray, opened: list | None = None) -> Iterator[tuple[int, float, int]]:
+        """(query number, score, doc_id) of each query's top k here that score above its ``least``.
+
+        The bound of a range is the sum of its blocks' best scores. Ranges are opened from the highest bound
+        on, twice as many each time, until no bound is above the k-th score found. ``opened``: gets the numbers of
+        ranges opened and of all ranges.
+        """
+        for i, n in enumerate(self.query.tolist()):
+            blocks = self._blocks(i)
+            bound = np.bincount(self.range[blocks], self.top[blocks], self.ranges) * (1 + 1e-9)
+            floor, step, found, n_opened = float(least[n]), OPEN, [], 0
+            left = np.flatnonzero(bound > floor)
+            left = left[np.argsort(-bound[left], kind="stable")]
+            while len(left):
+                some = np.zeros(self.ranges, bool)
+                some[left[:step]] = True
+                n_opened += min(step, len(left))
+                score = self._score(blocks, some)
+                found += self._best(i, score, np.flatnonzero(score > floor), k)
+                if len(found) >= k:
+                    found = sorted(found, key=lambda x: (-x[1], x[2]))[:k]
+                    floor = max(floor, float(np.nextafter(found[-1][1], 0.0)))  # equal scores may still win by their id
+                left = left[step:]
+                left = left[bound[left] > floor]
+                step *= 2
+            yield from found
+            if opened is not None:
+                opened.append((n_opened, self.ranges))
+
+    def _best(self, i: int, score: np.ndarray, at: np.ndarray, k: int) -> list[tuple[int, float, int]]:
+        """The k best of the documents ``at``; of equal scores the smaller id (documents are in their order)."""
+        if len(at) > k:
+            at = at[score[at] >= np.partition(score[at], -k)[-k]]
+        return [(int(self.query[i]), float(score[j]), int(self.docs[j])) for j in at[np.argsort(-score[at], kind="stable")[:k]].tolist()]
 
 
 class Queries:
@@ -344,7 +270,6 @@ class Queries:
         order = np.lexsort((term, query))
         query, self.term, self.weight, df = query[order], term[order].view(np.uint64), weight[order], df[order]
         self.names, self.first, size = np.unique(query, return_index=True, return_counts=True)
-        self.many = size > MANY
         # The rarest terms of a query, PROBE * k postings in all (and its rarest one anyway).
         by = np.lexsort((self.term, df, query))
         upto = np.cumsum(df[by])
@@ -363,14 +288,21 @@ def _per_shard(index: DataFrame, q: Queries, mean: float, k: int, probe: bool) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, list[tuple[float, int]]] = {}
+        least = q.least.copy()  # rises with what the task's shards hold
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = Shard(batch.slice(i, 1).to_pylist()[0], mean)
-                if len(shard.terms):
-                    shard.matched(q)
-                    for n, score, doc in (shard.probe if probe else shard.search)(q, k):
-                        best.setdefault(n, []).append((score, doc))
-        rows = [(int(q.names[n]), d, s) for n, x in best.items() for s, d in sorted(x, key=lambda y: (-y[0], y[1]))[:k]]
+                if not len(shard.terms):
+                    continue
+                shard.matched(q)
+                new: dict[int, list[tuple[float, int]]] = {}
+                for n, score, doc in (shard.probe if probe else shard.search)(q, k, least):
+                    new.setdefault(n, []).append((score, doc))
+                for n, x in new.items():
+                    x = best[n] = sorted(best.get(n, []) + x, key=lambda y: (-y[0], y[1]))[:k]
+                    if len(x) == k:
+                        least[n] = max(least[n], np.nextafter(x[-1][0], 0.0))
+        rows = [(int(q.names[n]), d, s) for n, x in best.items() for s, d in x]
         cols = list(zip(*rows, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
                                          ["query_id", "doc_id", "score"])
@@ -408,6 +340,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int |
         rows = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
         least = _ranked(_per_shard(index, Queries(rows, None, k), mean, k, True)).filter(F.col("rank") == k)
         part = _per_shard(index, Queries(rows, least.select("query_id", "score").toArrow(), k), mean, k, False)
+        part = materialize(part, "bm25-block")  # so the driver and the plan hold one block at a time
         out = part if out is None else out.unionByName(part)
     return _ranked(out).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
