@@ -14,9 +14,9 @@ above the threshold are opened from the highest sum on, their documents scored i
 raised to the k-th score found. It ends when no range is above it; all other postings are never added
 up. This holds for queries of any number of terms.
 
-So that shards without good documents need not look for ten of their own, a first pass opens, in all
-shards, the ranges that hold a query's rarest terms; the k-th best of their documents is a lower bound of the
-final k-th score, and every shard starts with it as its threshold.
+So that shards without good documents need not hand on ten of their own, one in ``FIRST`` shards is searched
+first: the k-th best score there is a lower bound of the final one, and the threshold that all other
+shards start with.
 
 A term is a run of word characters in lower case, named by its 64-bit XXH64.
 
@@ -41,11 +41,11 @@ from .common import by_chars, materialize
 
 K1, B = 1.2, 0.75
 TOP, QUERY_TERMS = 10, None   # all terms of a query's text
-RANGE = 32                    # documents under one block maximum
-OPEN = 8                      # ranges opened first
+RANGE = 128                   # documents under one block maximum
+OPEN = 4                      # ranges opened first
+FIRST = 8                     # one in so many shards is searched first, for a threshold
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
-PROBE = 50                    # postings of the first pass, for each of the k results
 QUERY_BLOCK = 50_000          # queries whose terms are sent to the tasks at a time
 QUERY_ROWS = 1_000_000        # and terms of these queries at a time, about
 TERM_BLOCK = 1_000_000        # terms whose frequencies are counted at a time
@@ -215,23 +215,17 @@ class Shard:
         # Adds in the order of the query's terms, whatever ranges are asked for.
         return np.bincount(self.at[place], self.score[place], len(self.docs))
 
-    def probe(self, q: Queries, k: int, least: np.ndarray) -> Iterator[tuple[int, float, int]]:
-        """(query number, score, doc_id) of the k best documents in the ranges that hold a query's rarest terms."""
-        rare = q.rare[self.hit]
-        for i, (s, e) in enumerate(zip(self.query_cut[:-1].tolist(), self.query_cut[1:].tolist(), strict=True)):
-            lists = self.of[s:e][rare[s:e]]
-            if len(lists):
-                some = np.zeros(self.ranges, bool)
-                some[self.range[_runs(self.block_cut[lists], self.block_cut[lists + 1])]] = True
-                score = self._score(self._blocks(i), some)
-                yield from self._best(i, score, np.flatnonzero(score > 0), k)
+    def _score_all(self, i: int) -> np.ndarray:
+        """``_score`` of all ranges: whole lists, without picking blocks."""
+        lists = [slice(self.cut[n], self.cut[n + 1]) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
+        return np.bincount(np.concatenate([self.at[x] for x in lists]), np.concatenate([self.score[x] for x in lists]), len(self.docs))
 
     def search(self, q: Queries, k: int, least: np.ndarray, opened: list | None = None) -> Iterator[tuple[int, float, int]]:
         """(query number, score, doc_id) of each query's top k here that score above its ``least``.
 
         The bound of a range is the sum of its blocks' best scores. Ranges are opened from the highest bound
-        on, twice as many each time, until no bound is above the k-th score found. ``opened``: gets the numbers of
-        ranges opened and of all ranges.
+        on, twice as many each time, until no bound is above the k-th score found; where more than half of them
+        are above it, all are opened at once. ``opened``: gets the numbers of ranges opened and of all ranges.
         """
         for i, n in enumerate(self.query.tolist()):
             blocks = self._blocks(i)
@@ -240,17 +234,20 @@ class Shard:
             left = np.flatnonzero(bound > floor)
             left = left[np.argsort(-bound[left], kind="stable")]
             while len(left):
-                some = np.zeros(self.ranges, bool)
-                some[left[:step]] = True
-                n_opened += min(step, len(left))
-                score = self._score(blocks, some)
+                if floor > 0 and 2 * len(left) > self.ranges:
+                    score = self._score_all(i)
+                    found, n_opened, left = [], self.ranges, left[:0]
+                else:
+                    some = np.zeros(self.ranges, bool)
+                    some[left[:step]] = True
+                    n_opened += min(step, len(left))
+                    score, left = self._score(blocks, some), left[step:]
+                    step *= 2
                 found += self._best(i, score, np.flatnonzero(score > floor), k)
                 if len(found) >= k:
                     found = sorted(found, key=lambda x: (-x[1], x[2]))[:k]
                     floor = max(floor, float(np.nextafter(found[-1][1], 0.0)))  # equal scores may still win by their id
-                left = left[step:]
                 left = left[bound[left] > floor]
-                step *= 2
             yield from found
             if opened is not None:
                 opened.append((n_opened, self.ranges))
@@ -265,25 +262,18 @@ class Shard:
 class Queries:
     """A block of queries as arrays: query i asks for the terms from first[i] on; its least score."""
 
-    def __init__(self, rows: pa.Table, least: pa.Table | None, k: int):
+    def __init__(self, rows: pa.Table, least: pa.Table | None):
         query, term, weight, df = (rows[c].to_numpy() for c in ("query_id", "term", "weight", "df"))
         order = np.lexsort((term, query))
         query, self.term, self.weight, df = query[order], term[order].view(np.uint64), weight[order], df[order]
         self.names, self.first, size = np.unique(query, return_index=True, return_counts=True)
-        # The rarest terms of a query, PROBE * k postings in all (and its rarest one anyway).
-        by = np.lexsort((self.term, df, query))
-        upto = np.cumsum(df[by])
-        start = np.repeat(upto[self.first] - df[by][self.first], size)
-        self.rare = np.zeros(len(query), bool)
-        self.rare[by] = upto - start <= PROBE * k
-        self.rare[by[self.first]] = True
         self.least = np.zeros(len(self.names))
         if least is not None:
             at = np.searchsorted(self.names, least["query_id"].to_numpy())
             self.least[at] = np.nextafter(least["score"].to_numpy(), 0.0)  # equal scores may still enter
 
 
-def _per_shard(index: DataFrame, q: Queries, mean: float, k: int, probe: bool) -> DataFrame:
+def _per_shard(index: DataFrame, q: Queries, mean: float, k: int) -> DataFrame:
     """(query_id, doc_id, score): each task's k best documents of every query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +286,7 @@ def _per_shard(index: DataFrame, q: Queries, mean: float, k: int, probe: bool) -
                     continue
                 shard.matched(q)
                 new: dict[int, list[tuple[float, int]]] = {}
-                for n, score, doc in (shard.probe if probe else shard.search)(q, k, least):
+                for n, score, doc in shard.search(q, k, least):
                     new.setdefault(n, []).append((score, doc))
                 for n, x in new.items():
                     x = best[n] = sorted(best.get(n, []) + x, key=lambda y: (-y[0], y[1]))[:k]
@@ -334,14 +324,16 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP, most_terms: int |
     weighted = materialize(weighted.select("query_id", "term", "weight", "df"), "bm25-queries")
     blocks = max(1, -(-weighted.select("query_id").distinct().count() // QUERY_BLOCK), -(-weighted.count() // QUERY_ROWS))
     mean = tokens / max(n, 1)
+    is_first = F.pmod(F.xxhash64("docs"), F.lit(FIRST)) == 0
     out = None
     for b in range(blocks):
         # Bounded: about QUERY_ROWS terms, of at most about QUERY_BLOCK queries, at a time go to the tasks.
         rows = weighted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
-        least = _ranked(_per_shard(index, Queries(rows, None, k), mean, k, True)).filter(F.col("rank") == k)
-        part = _per_shard(index, Queries(rows, least.select("query_id", "score").toArrow(), k), mean, k, False)
-        part = materialize(part, "bm25-block")  # so the driver and the plan hold one block at a time
-        out = part if out is None else out.unionByName(part)
+        # Each part is a table, so the driver and the plan hold one block at a time.
+        first = materialize(_per_shard(index.filter(is_first), Queries(rows, None), mean, k), "bm25-first")
+        least = _ranked(first).filter(F.col("rank") == k).select("query_id", "score").toArrow()
+        rest = materialize(_per_shard(index.filter(~is_first), Queries(rows, least), mean, k), "bm25-rest")
+        out = first.unionByName(rest) if out is None else out.unionByName(first).unionByName(rest)
     return _ranked(out).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 

@@ -55,6 +55,7 @@ def corpus():
 def test_search_equals_scoring_all(spark, monkeypatch, tokens, block, query_block, term_block, most):
     monkeypatch.setattr(bm25, "QUERY_BLOCK", query_block)
     monkeypatch.setattr(bm25, "TERM_BLOCK", term_block)
+    monkeypatch.setattr(bm25, "FIRST", 2)
     docs = corpus()
     queries = [(i, t) for i, t in docs[::20]] + [(2000, "nothing here"), (2001, ""), (None, "w1"), (2002, "é w1"), (20, "w9 w9")]
     index = bm25.build(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, terms int"))
@@ -62,7 +63,7 @@ def test_search_equals_scoring_all(spark, monkeypatch, tokens, block, query_bloc
     check(got, brute(docs, queries, 7, most))
 
 
-def one_shard(texts, queries, k):
+def one_shard(texts, queries):
     """A shard of ``texts`` and the questions of ``queries``, as the tasks see them."""
     words = bm25._Words()
     split = [t.split() for t in texts]
@@ -73,7 +74,7 @@ def one_shard(texts, queries, k):
     rows = [(i, signed(w), math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5)), df[w])
             for i, q in enumerate(queries) for w in sorted(set(q.split())) if w in df]
     table_ = pa.table(dict(zip(("query_id", "term", "weight", "df"), map(list, zip(*rows, strict=True)), strict=True)))
-    shard, q = bm25.Shard(row, float(np.mean([len(x) for x in split]))), bm25.Queries(table_, None, k)
+    shard, q = bm25.Shard(row, float(np.mean([len(x) for x in split]))), bm25.Queries(table_, None)
     shard.matched(q)
     return shard, q
 
@@ -90,7 +91,7 @@ def test_small_ranges_equal_scoring_all(monkeypatch):
         texts = [" ".join(r.choices("abcdefgh", k=r.randint(1, 9))) for _ in range(r.randint(1, 70))]
         texts += texts[:r.randint(0, 20)]  # ties
         k = r.randint(1, 7)
-        shard, q = one_shard(texts, [" ".join(r.choices("abcdefghxy", k=r.randint(1, 12))) + " a" for _ in range(5)], k)
+        shard, q = one_shard(texts, [" ".join(r.choices("abcdefghxy", k=r.randint(1, 12))) + " a" for _ in range(5)])
         for least in (np.zeros(len(q.names)), None):
             if least is None:  # the threshold of the k-th score: equal ones still come
                 least = np.array([np.nextafter(x[-1], 0.0) for x in expected_scores])
@@ -100,18 +101,20 @@ def test_small_ranges_equal_scoring_all(monkeypatch):
             expected_scores = []
             for i, n in enumerate(shard.query.tolist()):
                 s = all_scores(shard, i)
+                assert (s == shard._score_all(i)).all()
                 top = sorted((-x, d) for d, x in enumerate(s.tolist()) if x > 0)[:k]
                 expected_scores.append([-x for x, _ in top])
                 assert sorted(got[n]) == top, seed
 
 
-def test_long_queries_skip_ranges():
+def test_long_queries_skip_ranges(monkeypatch):
+    monkeypatch.setattr(bm25, "RANGE", 32)
     r = random.Random(4)
     topics = [[f"t{t}w{i}" for i in range(120)] for t in range(25)]
     common = [f"c{i}" for i in range(60)]
     texts = [" ".join(r.choices(topic, k=40) + r.choices(common, k=40)) for topic in topics for _ in range(64)]
     queries = [" ".join(topics[3] + common), " ".join(topics[20][:90] + common[:20]), " ".join(common)]
-    shard, q = one_shard(texts, queries, 10)
+    shard, q = one_shard(texts, queries)
     opened = []
     got = {}
     for n, score, doc in shard.search(q, 10, q.least.copy(), opened):
