@@ -7,8 +7,10 @@ then takes whole seeded epochs of its documents and, of the last one, the prefix
 the token: documents in the order of md5(seed:epoch:doc_id), the last one cut.
 
 The prefix needs no sort of a leaf: tokens are summed by (leaf, leading hash digits), the sums give the
-one bucket that holds the leaf's edge, and only that bucket's documents are ordered. A hot leaf is
-spread over all tasks; tables of leaves are broadcast only below ``SMALL`` rows.
+one bucket that holds the leaf's edge, and so on within that bucket, some digits more each time, until it holds
+at most ``EDGE_ROWS`` documents (rows of one id cannot be told apart by hash). Only these are ordered. A hot
+leaf is spread over all tasks; tables of leaves are broadcast only below ``SMALL`` rows. The nodes of a level
+are summed in one task for each parent: the tree is taken to be small.
 
 Defined results: NULL or blank language and source count as ``unknown``; a NULL or empty text holds no
 token; a document without tokens comes with every whole epoch; rows with equal ids are taken one by
@@ -27,7 +29,8 @@ from .common import fresh, materialize
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
-DIGITS = 3          # leading hash digits: 4096 buckets a leaf
+DIGITS = 2          # hash digits by which a leaf's edge is closed in on: 256 buckets at a time
+EDGE_ROWS = 2000    # documents of a leaf's edge bucket that are ordered
 SMALL = 100_000     # leaves up to which their table is broadcast
 
 
@@ -114,13 +117,21 @@ def plan(slim: DataFrame, target: Target) -> DataFrame:
     leaves = materialize(budgets(supply, target).filter("alloc > 0").select(
         *LEVELS, "supply", "alloc", F.expr("alloc div supply").alias("whole"),
         F.expr("alloc % supply").alias("rest")), "leaves")
-    rows = _with(slim, leaves.filter("rest > 0"))
-    bucket = F.substring(_key(F.col("whole"), F.col("doc_id"), target.seed), 1, DIGITS)
-    sums = rows.groupBy(*LEVELS, "rest", bucket.alias("edge")).agg(F.sum("tokens").alias("n"))
-    w = Window.partitionBy(*LEVELS).orderBy("edge").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("upto", F.sum("n").over(w)).withColumn("before", F.col("upto") - F.col("n"))
-    edge = sums.filter("before < rest and upto >= rest").select(*LEVELS, "edge", "before")
-    return materialize(leaves.join(edge, list(LEVELS), "left"), "leaf-plan")
+    edge = leaves.filter("rest > 0").select(*LEVELS, "whole", "rest", F.lit("").alias("edge"), F.lit(0).cast("long").alias("before"))
+    digits = 0
+    while True:  # down to the bucket that holds the leaf's edge, some digits at a time
+        digits += DIGITS
+        rows = _with(slim, edge).withColumn("key", _key(F.col("whole"), F.col("doc_id"), target.seed)) \
+            .filter(F.startswith("key", "edge"))
+        sums = rows.groupBy(*LEVELS, "whole", "rest", "before", F.left("key", F.lit(digits)).alias("edge")).agg(
+            F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("rows"))
+        w = Window.partitionBy(*LEVELS).orderBy("edge").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = F.col("before") + F.sum("n").over(w)  # of at most 16 ** DIGITS rows a leaf
+        sums = sums.withColumn("upto", upto).filter("upto - n < rest and upto >= rest")
+        edge = materialize(sums.select(*LEVELS, "whole", "rest", "edge", (F.col("upto") - F.col("n")).alias("before"), "rows"), "edges")
+        if digits >= 32 or (edge.agg(F.max("rows")).first()[0] or 0) <= EDGE_ROWS:
+            break
+    return materialize(leaves.join(edge.select(*LEVELS, "edge", "before"), list(LEVELS), "left"), "leaf-plan")
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -133,7 +144,7 @@ def mix(docs: DataFrame, target: Target = Target()) -> DataFrame:
     """(doc_id, domain, lang, source, epoch, tokens, taken): the documents of the mix, once an epoch."""
     slim = _slim(docs)
     rows = _with(slim, plan(slim, target)).withColumn("key", _key(F.col("whole"), F.col("doc_id"), target.seed))
-    bucket = F.substring("key", 1, DIGITS)
+    bucket = F.left("key", F.length("edge"))
     whole = rows.filter("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1))) \
         .withColumn("taken", F.col("tokens"))
     inside = rows.filter(bucket < F.col("edge")).withColumns({"epoch": F.col("whole"), "taken": F.col("tokens")})
@@ -153,7 +164,7 @@ def select(docs: DataFrame, target: Target = Target()) -> DataFrame:
     slim = _slim(docs)
     leaves = plan(slim, target)
     rows = _with(slim, leaves.filter(F.col("edge").isNotNull())).withColumn(
-        "key", _key(F.col("whole"), F.col("doc_id"), target.seed)).filter(F.substring("key", 1, DIGITS) == F.col("edge"))
+        "key", _key(F.col("whole"), F.col("doc_id"), target.seed)).filter(F.startswith("key", "edge"))
     w = Window.partitionBy(*LEVELS).orderBy("key", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     last = rows.withColumn("at", F.col("before") + F.coalesce(F.sum("tokens").over(w), F.lit(0))) \
         .filter("at < rest").groupBy(*LEVELS).agg(F.max("key").alias("last_key"))

@@ -95,3 +95,13 @@ def test_equals_sql(spark, duck001):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(empty).collect() == [] and mixing.select(empty).collect() == []
+
+
+@pytest.mark.parametrize("most,digits", [(1, 1), (3, 2), (2000, 1)])
+def test_edge_is_closed_in_on(spark, monkeypatch, most, digits):
+    """However small the buckets, and with ids that hashes cannot tell apart, the mix is that of sorting."""
+    monkeypatch.setattr(mixing, "EDGE_ROWS", most)
+    monkeypatch.setattr(mixing, "DIGITS", digits)
+    data = rows() + [(None, "w " * (i % 7), "en", "src0", i, "z") for i in range(60)]
+    got = mixing.mix(spark.createDataFrame(data, SCHEMA)).collect()
+    assert Counter((r.doc_id, (r.domain, r.lang, r.source), r.epoch, r.tokens, r.taken) for r in got) == brute(data, mixing.Target())
