@@ -42,8 +42,8 @@ WORD = re.compile(f" +[^ {SPACE}]*|[^ {SPACE}]+|{SPACE}")
 RATE, SEED = 0.1, 11
 DEPTH = 3            # skipped merges of a word up to which its agendas are kept
 LONG = 64            # characters of a word up to which it is merged with others as arrays
-WORDS = 600_000      # words whose segmentations a worker process keeps
-AGENDAS = 1_000_000  # and agendas of these words
+WORDS = 350_000      # words whose segmentations a task keeps
+AGENDAS = 400_000    # and agendas of these words
 CHARS = 1_000_000    # characters encoded at a time
 NONE = np.int64(2**62)
 _M = (1 << 64) - 1
@@ -382,7 +382,7 @@ class Segmenter:
 
 @lru_cache(maxsize=2)
 def _segmenter(model: bytes, rate: float, seed: int = SEED) -> Segmenter:
-    """One segmenter a worker process: its table of words serves the tasks that come after."""
+    """One segmenter a worker process; a task leaves its table of words empty."""
     return Segmenter(model, rate, seed)
 
 
@@ -408,6 +408,7 @@ def encode(docs: DataFrame, out: str = "ids", id_col: str = "doc_id", text_col:
                 ends = pa.array(np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32))
                 part = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, flat)], names)
+        s._forget()
 
     return docs.mapInArrow(run, docs.withColumn(out, F.array().cast("array<int>")).schema)
 
@@ -445,6 +446,7 @@ def summary(docs: DataFrame, rate: float = RATE, seed: int = SEED,
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
                 ["doc_id", "n_pieces", "ids_crc32", "lossless"])
+        s._forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean")
