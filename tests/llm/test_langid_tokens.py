@@ -45,6 +45,36 @@ def test_bound_never_hides_a_better_set(spark, model):
             assert model.predict([r.text])[0][2] == ",".join(f"{model.langs[j]}:{s:.3f}" for j, s in zip(chosen, share))
 
 
+def test_languages_equal_a_search_of_all_sets(spark, model):
+    """Penalised likelihood of every set of languages, by an EM of its own that runs to convergence."""
+    from itertools import combinations
+    by = {}
+    for r in table(spark, SF, "documents").filter("n_chars > 400").collect():
+        by.setdefault(r.lang, []).append(r.text)
+    langs, r = sorted(by), np.random.default_rng(8)
+    assert langs == model.langs
+    texts = [by[x][i] for x in langs for i in range(4)]
+    for _ in range(40):
+        parts = r.choice(langs, r.integers(2, 4), replace=False)
+        texts.append(" ".join(by[x][r.integers(len(by[x]))][:r.integers(60, 2500)] for x in parts))
+    several = 0
+    for t in texts:
+        grams, _ = langid.trigrams([t])
+        bucket, n = np.unique(grams, return_counts=True)
+        best = (-np.inf, ())
+        for k in range(1, len(langs) + 1):
+            for some in combinations(range(len(langs)), k):
+                p, pi = model.p[list(some)][:, bucket].T, np.full(k, 1 / k)
+                for _ in range(400):
+                    pi = (n / (p @ pi)) @ (p * pi) / n.sum()
+                score = n @ np.log(p @ pi) - (k - 1) * langid.PENALTY * np.log(len(grams))
+                best = max(best, (score, tuple(langs[i] for i in np.array(some)[np.argsort(-pi, kind="stable")])))
+        got = tuple(x.split(":")[0] for x in model.predict([t])[0][2].split(","))
+        assert got == best[1], t[:80]
+        several += len(got) > 1
+    assert several > 20
+
+
 def test_trigrams_of_a_batch_are_those_of_its_texts():
     texts = ["Ab c", "", "1 2", "é", "x" * 10, " Straße İ 日本 "]
     bucket, text = langid.trigrams(texts)

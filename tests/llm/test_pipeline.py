@@ -103,6 +103,41 @@ def test_non_negative_risk_and_prior():
     assert (s[:900] >= 0.3).mean() > 0.95 and (s[900:] >= 0.3).mean() < 0.05
 
 
+@pytest.mark.parametrize("prior", [0.3, 0.97])
+def test_steps_follow_the_risks_numerical_gradient(monkeypatch, prior):
+    """The first step of Adam goes by the sign of the gradient: that of the risk, written out and differenced."""
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    r = np.random.default_rng(2)
+    pos, unl = r.normal(0.4, 1, (40, 5)), r.normal(0, 1, (60, 5))
+    x = np.concatenate([pos, unl])
+    mean, scale = x.mean(0), x.std(0) + 1e-3
+    p, u, d = (pos - mean) / scale, (unl - mean) / scale, 5
+    seeded = np.random.default_rng(quality.SEED)
+    start = [seeded.normal(0, d ** -0.5, (d, quality.HIDDEN)), np.zeros(quality.HIDDEN),
+             seeded.normal(0, quality.HIDDEN ** -0.5, quality.HIDDEN), np.zeros(1)]
+    g = lambda z, w: np.tanh(z @ w[0] + w[1]) @ w[2] + w[3]
+    loss = lambda v: np.log1p(np.exp(-v)).mean()
+    negative = lambda w: loss(-g(u, w)) - prior * loss(-g(p, w))
+    below = negative(start) < 0
+    assert below == (prior == 0.97)
+
+    def risk(w):  # below zero the negatives' part is pushed up alone
+        decay = quality.DECAY / 2 * ((w[0] ** 2).sum() + (w[2] ** 2).sum())
+        return (-negative(w) if below else prior * loss(g(p, w)) + negative(w)) + decay
+    moved = quality.fit(pos, unl, prior)[2:]
+    checked = 0
+    for i, w in enumerate(start):
+        for at in list(np.ndindex(w.shape))[:60]:
+            there, back = [x.copy() for x in start], [x.copy() for x in start]
+            there[i][at] += 1e-5
+            back[i][at] -= 1e-5
+            slope = (risk(there) - risk(back)) / 2e-5
+            if abs(slope) > 1e-5:
+                assert np.sign(start[i][at] - moved[i][at]) == np.sign(slope)
+                checked += 1
+    assert checked > 60
+
+
 def test_odd_texts_have_features():
     for t in ("", " ", "\n", "a", "🙂" * 10, "x" * 200000, "\x00"):
         assert np.isfinite(quality.features(t)).all()
