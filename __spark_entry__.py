@@ -218,6 +218,13 @@ def m12c_health_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_health(m["int_customer_profile"], None, FIXTURE_CONFIG)
 
 
+def m10b_churn_by_negative_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 where refunds are booked as negative amounts."""
+    m = fixture_models(spark, sf_dir)
+    return marts.churn_and_nrr(m["stg_transactions"], m["stg_licenses"], None, m["stg_events"],
+                               FIXTURE_CONFIG.with_(refund_sign="<"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/sources/{name}-{uuid.uuid4().hex}"
 
@@ -264,6 +271,7 @@ BLOCK_QUERIES = {
     "s03_named_source": s03_named_source,
     "j05_not_renewed_within": j05_not_renewed_within,
     "m12c_health_today": m12c_health_today,
+    "m10b_churn_by_negative_refunds": m10b_churn_by_negative_refunds,
     "m03b_money_scale2": m03b_money_scale2,
     "m12b_health_by_maintenance_end": m12b_health_by_maintenance_end,
     "j03_active_of_dimension": j03_active_of_dimension,

@@ -541,6 +541,7 @@ MODELS: dict[str, str] = {
     "s02_text_load": S02_TEXT_LOAD,
     "m12c_health_today": FCT_CUSTOMER_HEALTH.replace(AS_OF, "current_date"),
     "s03_named_source": FCT_CUSTOMER_HEALTH,
+    "m10b_churn_by_negative_refunds": FCT_CHURN_AND_NRR.replace("kind = 'REFUND'), 0) > 0", "kind = 'REFUND'), 0) < 0"),
     "b06_conditional_counts": B06_CONDITIONAL_COUNTS,
     "b11_period_delta": B11_PERIOD_DELTA,
     "b14_attach_group_avg": B14_ATTACH_GROUP_AVG,
