@@ -61,8 +61,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
              .config("spark.driver.memory", memory)
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.session.timeZone", "UTC")
-             # Small inputs: coalesced partitions of a megabyte would leave one task after a shuffle.
-             .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
