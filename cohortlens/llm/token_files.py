@@ -141,9 +141,15 @@ def _qualified(spark: SparkSession, path: str) -> str:
         if not path.startswith("file:///") else path
 
 
+def _arrow_uri(uri: str) -> str:
+    """Hadoop's names of an S3 store as pyarrow's."""
+    scheme, sep, rest = uri.partition("://")
+    return "s3://" + rest if sep and scheme in ("s3a", "s3n") else uri
+
+
 def _store(uri: str):
     from pyarrow import fs
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(_arrow_uri(uri))
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, added: bool = False) -> None:

@@ -162,3 +162,8 @@ def test_added_tokens_are_the_librarys(spark):
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.summary(empty).collect() == []
+
+
+def test_store_names():
+    for uri, expected in (("s3a://b/x/s3a://y", "s3://b/x/s3a://y"), ("s3n://b", "s3://b"), ("file:///tmp/s3a", "file:///tmp/s3a"), ("/x", "/x")):
+        assert token_files._arrow_uri(uri) == expected
