@@ -1,7 +1,10 @@
 """Personal data: expressions propose spans, checksums confirm them, nearby words move the score.
 
-SQL functions only. The four base kinds (email, ip, card, phone) are always kept once their own check
-holds; the further kinds (iban, ssn) are kept from a score of ``THRESHOLD`` on.
+SQL functions only. Every span has a score of 0 to 1: its kind's, more if a word that goes with the kind stands in the
+``WINDOW`` characters ahead of it (back to the match before it), less if a word that speaks against it does. The four
+base kinds (email, ip, card, phone) are always kept once their own check holds, with their scores for the caller to
+judge by; the further kinds (iban, ssn) are kept from a score of ``THRESHOLD`` on. An account number has the length of
+its country and is cut to it where it was written in groups and more groups follow.
 
 Defined results: a NULL text counts as empty and has no span; an empty table gives an empty table;
 repeated rows each get their own result; further columns of the input are ignored by ``detect`` and
@@ -38,7 +41,34 @@ CONTEXT = {
     "iban": r"iban|account|bank|transfer",
     "ssn": r"\bssn\b|social|security|tax",
 }
-CONTEXT_GAIN, WINDOW, THRESHOLD = 0.2, 40, 0.5
+AGAINST = {
+    "email": r"example|no-?reply",
+    "ip": r"version|release|build|section",
+    "card": r"order|serial|isbn|tracking|invoice",
+    "phone": r"order|serial|part|offset",
+    "iban": r"order|serial|part|sample|example|licen[cs]e",
+    "ssn": r"order|serial|part|sample|example|invoice|\blot\b",
+}
+CONTEXT_GAIN, CONTEXT_LOSS, WINDOW, THRESHOLD = 0.2, 0.4, 40, 0.5
+#: The length of an account number by country.
+IBAN_LENGTH = {k: int(n) for n, names in (line.split(": ") for line in """15: NO
+16: BE
+18: DK FI FK FO GL NL SD
+19: MK SI
+20: AT BA EE KZ LT LU MN XK
+21: CH HR LI LV
+22: BG BH CR DE GB GE IE ME RS VA
+23: AE GI IL IQ OM SO TL
+24: AD CZ ES MD PK RO SA SE SK TN VG
+25: LY PT ST
+26: IS TR
+27: BI DJ FR GR IT MC MR SM
+28: AL AZ BY CY DO GT HN HU LB NI PL SV
+29: BR EG PS QA UA
+30: JO KW MU YE
+31: MT SC
+32: LC
+33: RU""".splitlines()) for k in names.split()}
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 
@@ -64,11 +94,21 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, text: Column, span: Column) -> Column:
-    """Base score of the kind, plus a gain if a context word stands just before the span."""
-    a = F.greatest(span.start - WINDOW, F.lit(0))
-    before = F.lower(F.substring(text, a + 1, span.start - a))
-    return F.lit(SCORE[kind]) + F.when(before.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
+def _account(span: Column) -> Column:
+    """The span cut to its country's length; its match NULL where no group ends there or the country is unknown."""
+    n = F.element_at(F.create_map(*[F.lit(x) for pair in IBAN_LENGTH.items() for x in pair]), F.substring(span.match, 1, 2))
+    n = F.when(F.contains(span.match, F.lit(" ")), n + F.floor((n - 1) / 4).cast("int")).otherwise(n)
+    whole = (F.char_length(span.match) == n) | (F.substr(span.match, n + 1, F.lit(1)) == " ")
+    return F.struct(span.start.alias("start"), (span.start + n).alias("end"),
+                    F.when(whole, F.substr(span.match, F.lit(1), n)).alias("match"), span.before.alias("before"))
+
+
+def _score(kind: str, span: Column) -> Column:
+    """The kind's score, moved by the words ahead of the span."""
+    before = F.lower(span.before)
+    score = F.lit(SCORE[kind]) + F.when(before.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0) \
+        - F.when(before.rlike(AGAINST[kind]), CONTEXT_LOSS).otherwise(0.0)
+    return F.round(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)), 2)
 
 
 def _spans(df: DataFrame, text_col: str, out: str) -> DataFrame:
@@ -79,10 +119,10 @@ def _spans(df: DataFrame, text_col: str, out: str) -> DataFrame:
     df = df.withColumn(tmp, F.struct(*[found(t, p, only_if.get(k)).alias(k) for k, p in PATTERNS.items()]))
 
     def one(kind: str) -> Column:
-        ok = F.filter(located(t, PATTERNS[kind], F.col(tmp)[kind]), lambda s: _valid(kind, s.match))
+        spans = located(t, PATTERNS[kind], F.col(tmp)[kind], WINDOW)
+        ok = F.filter(F.transform(spans, _account) if kind == "iban" else spans, lambda s: _valid(kind, s.match))
         scored = F.transform(ok, lambda s: F.struct(
-            s.start.alias("start"), s.end.alias("end"), s.match.alias("match"),
-            _score(kind, t, s).alias("score")))
+            s.start.alias("start"), s.end.alias("end"), s.match.alias("match"), _score(kind, s).alias("score")))
         return scored if kind in BASE else F.filter(scored, lambda s: s.score >= THRESHOLD)
 
     return df.withColumn(out, F.struct(*[one(k).alias(k) for k in PATTERNS])).drop(tmp)
@@ -96,14 +136,15 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """Counts and digest columns of ``detect``: one row per row of ``docs``."""
+    """Counts and digest columns of ``detect``: one row per row of ``docs``; ``scores`` in the order of ``spans``."""
     d = detect(docs)
     d = d.withColumn("base", ordered([(k, F.col(k)) for k in BASE])) \
-         .withColumn("all", ordered([(k, F.col(k)) for k in PATTERNS]))
+         .withColumn("all", ordered([(k, F.col(k)) for k in PATTERNS], "score"))
     return d.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.encode(digest(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
-        digest(F.col("all")).alias("spans"))
+        digest(F.col("all")).alias("spans"),
+        F.array_join(F.transform("all", lambda s: s.score.cast("string")), ",").alias("scores"))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,68 @@ def test_added_pii_kinds(spark):
     assert got == {1: "iban:5:32", 2: "iban:0:22", 3: "", 4: "ssn:4:15", 5: ""}
 
 
+ADDED = [
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])", 0.8),
+    ("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", 0.35),
+]
+
+
+def account(m):
+    """The account number at the head of ``m``, or None; checked with Python's integers."""
+    n = pii.IBAN_LENGTH.get(m[:2])
+    groups, out = m.split(" "), ""
+    while groups and n and len(out.replace(" ", "")) < n:
+        out += " " * bool(out) + groups.pop(0)
+    s = out.replace(" ", "")
+    return out if n and len(s) == n and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1 else None
+
+
+def scored(text):
+    """(kind:start:end, score) of all spans, by hand."""
+    out = []
+    base_score = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6}
+    kinds = [(k, p, base_score[k], ok) for k, p, ok in PII] + [(k, p, b, None) for k, p, b in ADDED]
+    for rank, (k, p, score, ok) in enumerate(kinds):
+        last = 0
+        for m in re.finditer(p, text or ""):
+            if k == "card" and n_digits(m[0]) < 12:  # no candidate, so no bound of the next one's context
+                continue
+            before, last = text[max(last, m.start() - pii.WINDOW):m.start()].lower(), m.end()
+            span = account(m[0]) if k == "iban" else m[0]
+            if span is None or (ok and not ok(m)):
+                continue
+            s = score + 0.2 * bool(re.search(pii.CONTEXT[k], before)) - 0.4 * bool(re.search(pii.AGAINST[k], before))
+            s = round(min(max(s, 0.0), 1.0), 2)
+            if ok or s >= 0.5:
+                out.append((m.start(), rank, f"{k}:{m.start()}:{m.start() + len(span)}", str(s)))
+    return ",".join(x[2] for x in sorted(out)), ",".join(x[3] for x in sorted(out))
+
+
+def test_all_pii_spans_and_scores_equal_the_definition(spark):
+    pieces = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32",
+              "NO93 8601 1117 947", "NO9386011117947", "AT61 1904 3002 3457 3201", "XX12 3456 7890 1234", "BIC", "COBA", "IBAN ",
+              "ssn ", "123-45-6789", "tax 123-45-6789, ", "SSN: 123-45-6789 ", "order no ", "part ", "account ", "mail ", "no-reply ", "a@b.de", "version 1.2.3.4", "4111111111111111",
+              "card: ", "serial ", "+49 30 123456", "tel ", "é ", ", ", " ", " ", " words that fill forty characters of a text "]
+    texts = noise(12, pieces, 300) + PII_TEXTS
+    texts += [" ".join(t.split("  ")) for t in noise(13, [x + " " for x in pieces], 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.summary(docs).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == scored(t), t
+    kinds = Counter(s.split(":")[0] for spans, _ in got.values() for s in spans.split(",") if s)
+    assert kinds["iban"] > 100 and kinds["ssn"] > 50
+    assert got[0] and account("DE89 3704 0044 0532 0130 00 BIC") == "DE89 3704 0044 0532 0130 00"
+
+
+def test_context_moves_the_score(spark):
+    docs = spark.createDataFrame([
+        (1, "order DE89370400440532013000"), (2, "sample account DE89370400440532013000"), (3, "GB82WEST1234569876543"),
+        (4, "pay to DE89 3704 0044 0532 0130 00 BIC COBADEFF"), (5, "lot 123-45-6789"), (6, "tax 123-45-6789"), (7, "build 1.2.3.4")], SCHEMA)
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.summary(docs).collect()}
+    assert got == {1: ("", ""), 2: ("iban:15:37", "0.6"), 3: ("", ""), 4: ("iban:7:34", "0.8"), 5: ("", ""), 6: ("ssn:4:15", "0.55"),
+                   7: ("ip:6:13", "0.2")}
+
+
 def test_redaction_keeps_columns_and_other_text(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 10.0.0.1!", 3, "s"), (2, None, None, None), (3, "clean", 5, "t"),
                                   (4, "+1 (4111111111111111", 9, "t")],
