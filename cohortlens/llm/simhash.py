@@ -8,6 +8,12 @@ and to every anchor that is the home of a half one bit away: the anchors within
 threshold that a partner can call home (about ten). At each anchor the fingerprints at home are
 compared with all that were replicated there, so each link is found, and by the full 64 bits.
 
+The fingerprints of a crowded anchor are dealt to cells by a second covering, of their other half: of its two quarters
+one differs in one bit at most. The cells of a quarter are the words of the Hamming code on 15 bits (radius 1) and
+those of the last bit. There the fewer, those at home at the anchor, are replicated (to about nine cells a quarter), and
+the others stand in their home cell alone. So what one anchor compares falls by a factor of hundreds, and a link is
+still always found. A cell that is crowded itself (very many fingerprints of nearly the same bits) is compared in blocks.
+
 Defined results: a NULL text counts as empty; a text without words has fingerprint zero, which links
 like any other; a row whose id is NULL gets a fingerprint, but links with nothing and has component
 NULL; equal ids share a component; an empty table gives an empty table; further columns are ignored.
@@ -30,11 +36,12 @@ from .common import fresh, materialize
 from .components import components
 
 WORDS, MAX_BITS, SEED = 3, 3, 42
-# Generator polynomials of the Golay [23,12] and the Hamming [7,4] code.
-GOLAY, HAMMING = 0xC75, 0b1011
-BLOCK = 20_000       # rows of one anchor that one group compares; more are dealt to pairs of blocks
+# Generator polynomials of the Golay [23,12], the Hamming [7,4] and the Hamming [15,11] code.
+GOLAY, HAMMING, HAMMING_15 = 0xC75, 0b1011, 0b10011
+BLOCK = 20_000       # rows of one anchor that one group compares; more are dealt to cells, then to pairs of blocks
 PAIRS = 2_000_000    # pairs compared at a time
 SMALL = 100_000      # rows of the table of crowded anchors up to which it is broadcast
+GROUP = ["half", "anchor", "cell", "i", "j"]
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -99,19 +106,38 @@ def _decoder(generator: int, n: int, radius: int):
 
 @cache
 def _codes():
-    return _decoder(GOLAY, 23, 3), _decoder(HAMMING, 7, 1)
+    return _decoder(GOLAY, 23, 3), _decoder(HAMMING, 7, 1), _decoder(HAMMING_15, 15, 1)
+
+
+def _word(x: np.ndarray, n: int, code) -> np.ndarray:
+    """The number of the code word nearest to each n-bit word."""
+    low, check, (t0, t1), leader = code
+    x = x & np.uint32((1 << n) - 1)
+    r = t0[x & np.uint32((1 << low) - 1)] ^ t1[x >> np.uint32(low)]
+    return (x ^ leader[r]) >> np.uint32(check)
 
 
 def home(half: np.ndarray) -> np.ndarray:
     """The number of the home anchor (18 bits) of each 32-bit half."""
-    out = half >> np.uint32(30)
-    for shift, n, (low, check, (t0, t1), leader), at in ((0, 23, _codes()[0], 6), (23, 7, _codes()[1], 2)):
-        x = (half >> np.uint32(shift)) & np.uint32((1 << n) - 1)
-        r = t0[x & np.uint32((1 << low) - 1)] ^ t1[x >> np.uint32(low)]
-        out = out | ((x ^ leader[r]) >> np.uint32(check)) << np.uint32(at)
+    golay, hamming, _ = _codes()
+    out = half >> np.uint32(30) | _word(half, 23, golay) << np.uint32(6) | _word(half >> np.uint32(23), 7, hamming) << np.uint32(2)
     return out.astype(np.int32)
 
 
+def cell(quarter: np.ndarray) -> np.ndarray:
+    """The number of the home cell (12 bits) of each 16-bit quarter."""
+    return (quarter >> np.uint32(15) | _word(quarter, 15, _codes()[2]) << np.uint32(1)).astype(np.int32)
+
+
+def _first_of_row(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of the different values of each row."""
+    at = np.sort(at, axis=1)
+    keep = np.ones(at.shape, bool)
+    keep[:, 1:] = at[:, 1:] != at[:, :-1]
+    row, col = np.nonzero(keep)
+    return row, at[row, col]
+
+
 def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, half, anchor, at home) of every replica of the given fingerprints."""
     errors = np.array([0] + [1 << i for i in range(32)], np.uint32)
@@ -119,16 +145,27 @@ def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     for side in (0, 1):
         half = ((fp.view(np.uint64) >> np.uint64(32 * side)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         at = home(half[:, None] ^ errors[None, :])
-        own = at[:, 0].copy()
-        at.sort(axis=1)
-        keep = np.ones(at.shape, bool)
-        keep[:, 1:] = at[:, 1:] != at[:, :-1]
-        row, col = np.nonzero(keep)
-        a = at[row, col]
-        out.append((row, np.full(len(row), side, np.int8), a, a == own[row]))
+        row, a = _first_of_row(at)
+        out.append((row, np.full(len(row), side, np.int8), a, a == at[row, 0]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def _to_cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of crowded anchors with their cells (from 1 on): rows at home in every cell a partner can call home."""
+    errors = np.array([0] + [1 << i for i in range(16)], np.uint32)
+    for p in parts:
+        for i in range(0, len(p), 5000):
+            part = p.iloc[i:i + 5000]
+            at_home, fp = part["home"].to_numpy(), part["fp"].to_numpy().view(np.uint64)
+            other = np.where(part["half"].to_numpy() == 0, fp >> np.uint64(32), fp & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            for q in (0, 1):
+                quarter = other >> np.uint32(16 * q) & np.uint32(0xFFFF)
+                asks, stays = np.flatnonzero(at_home), np.flatnonzero(~at_home)
+                row, at = _first_of_row(cell(quarter[asks, None] ^ errors[None, :]))
+                row, at = np.r_[asks[row], stays], np.r_[at, cell(quarter[stays])]
+                yield part.iloc[row].assign(cell=(1 + 2 * at + q).astype(np.int32))[["half", "anchor", "cell", "fp", "rep", "home"]]
+
+
 def _replicate(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         for i in range(0, len(p), 5000):
@@ -189,7 +226,7 @@ def _compare(max_bits: int):
 
 def _group_key(p: pd.DataFrame) -> np.ndarray:
     same = np.zeros(len(p), np.int64)
-    for c in ("half", "anchor", "i", "j"):
+    for c in GROUP:
         v = p[c].to_numpy()
         same[1:] |= v[1:] != v[:-1]
     return np.cumsum(same)
@@ -201,30 +238,47 @@ def _edges(p: pd.DataFrame, key: np.ndarray, max_bits: int) -> Iterator[pd.DataF
             yield pd.DataFrame({"a": a, "b": b})
 
 
-def _dealt(replicas: DataFrame, block: int) -> DataFrame:
-    """``replicas`` with block numbers (i, j): 0, 0, but at crowded anchors every pair of blocks meets.
+def _crowded(rows: DataFrame, keys: list[str], block: int) -> tuple[DataFrame, int]:
+    """The groups of more than ``block`` rows with their numbers of blocks, and how many such groups there are."""
+    crowd = rows.groupBy(*keys).agg(F.count_if("home").alias("n_home"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    crowd = materialize(crowd.select(
+        *keys, F.ceil(F.col("n_home") / block).cast("int").alias("ni"),
+        F.ceil(F.col("n") / block).cast("int").alias("nj")), "crowded")
+    n = crowd.count()  # at most one in ``block`` of the rows
+    return F.broadcast(crowd) if n <= SMALL else crowd, n
+
+
+def _in_cells(replicas: DataFrame, block: int) -> DataFrame:
+    """``replicas`` with their group: cell, i and j are 0 but at crowded anchors, whose rows are dealt to cells."""
+    zero = F.lit(0)
+    crowd, n = _crowded(replicas, ["half", "anchor"], block)
+    if n == 0:
+        return replicas.withColumns({"cell": zero, "i": zero, "j": zero})
+    r = replicas.join(crowd, ["half", "anchor"], "left")
+    plain = r.filter("nj IS NULL").select("half", "anchor", zero.alias("cell"), "fp", "rep", "home", zero.alias("i"), zero.alias("j"))
+    cells = r.filter("nj IS NOT NULL").select("half", "anchor", "fp", "rep", "home") \
+        .mapInPandas(_to_cells, "half byte, anchor int, cell int, fp long, rep long, home boolean")
+    return plain.unionByName(_dealt(materialize(cells, "cells"), block))
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` with block numbers (i, j): 0, 0, but in crowded cells every pair of blocks meets.
 
     There, rows at home are dealt to blocks i and copied to every j, the others the other way round, so
     that no group holds more than about two blocks.
     """
-    crowd = replicas.groupBy("half", "anchor").agg(
-        F.count_if("home").alias("n_home"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-    crowd = materialize(crowd.select(
-        "half", "anchor", F.ceil(F.col("n_home") / block).cast("int").alias("ni"),
-        F.ceil(F.col("n") / block).cast("int").alias("nj")), "crowded")
-    n = crowd.count()  # at most one in ``block`` of the replicas
+    keys, zero = ["half", "anchor", "cell"], F.lit(0)
+    crowd, n = _crowded(rows, keys, block)
     if n == 0:
-        return replicas.withColumns({"i": F.lit(0), "j": F.lit(0)})
-    crowd = F.broadcast(crowd) if n <= SMALL else crowd
-    r = replicas.join(crowd, ["half", "anchor"], "left").fillna(1, ["ni", "nj"])
+        return rows.withColumns({"i": zero, "j": zero})
+    r = rows.join(crowd, keys, "left").fillna(1, ["ni", "nj"])
     ni, nj = F.greatest("ni", F.lit(1)), F.col("nj")
     own_i, own_j = F.pmod(F.hash("fp"), ni), F.pmod(F.hash("fp"), nj)
-    zero = F.lit(0)
     at_home = r.filter("home").withColumn("i", own_i).withColumn("j", F.explode(F.sequence(zero, nj - 1)))
     visits = r.withColumn("home", F.lit(False)).withColumn("j", own_j) \
         .withColumn("i", F.explode(F.sequence(zero, ni - 1)))
     single = (F.col("ni") <= 1) & (F.col("nj") <= 1)
-    cols = ["half", "anchor", "fp", "rep", "home", "i", "j"]
+    cols = [*keys, "fp", "rep", "home", "i", "j"]
     return r.filter(single).withColumns({"i": zero, "j": zero}).select(cols) \
         .unionByName(at_home.filter(~single).select(cols)).unionByName(visits.filter(~single).select(cols))
 
@@ -232,13 +286,12 @@ def _dealt(replicas: DataFrame, block: int) -> DataFrame:
 def link(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """(a, b): links between representatives ``rep`` of distinct fingerprints ``fp``.
 
-    Of the links that one task finds at an anchor, a spanning forest is emitted, not all pairs.
+    Of the links that one task finds in a group, a spanning forest is emitted, not all pairs.
     """
     if max_bits > 3:
         raise ValueError("two halves with one error each cover at most three bits")
-    replicas = fps.mapInPandas(_replicate, "half byte, anchor int, fp long, rep long, home boolean")
-    keys = ["half", "anchor", "i", "j"]
-    dealt = _dealt(replicas, block).repartition(*keys).sortWithinPartitions(*keys)
+    replicas = materialize(fps.mapInPandas(_replicate, "half byte, anchor int, fp long, rep long, home boolean"), "replicas")
+    dealt = _in_cells(replicas, block).repartition(*GROUP).sortWithinPartitions(*GROUP)
     return dealt.mapInPandas(_compare(max_bits), "a long, b long")
 
 

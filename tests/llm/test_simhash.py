@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -88,6 +89,34 @@ def test_covering_radius_and_replicas():
     assert len(set(simhash.home(np.arange(1 << 7, dtype=np.uint32) << np.uint32(23)).tolist())) == 1 << 4
 
 
+def test_cells_of_a_crowded_anchor(spark):
+    """Fingerprints of one half: every anchor they share is crowded, and the cells of the other half must find all links."""
+    assert len(set(simhash.cell(np.arange(1 << 16, dtype=np.uint32)).tolist())) == 1 << 12
+    r = np.random.default_rng(8)
+    for side in (0, 32):
+        low = r.integers(0, 2**31, 150, dtype=np.int64)
+        for bits in (1, 2, 3, 4):
+            x = low[:60].copy()
+            for _ in range(bits):
+                x ^= np.int64(1) << r.integers(0, 31, 60)
+            low = np.r_[low, x]
+        fp = np.unique((low << side) | (np.int64(5) << (0 if side else 32)))
+        df = spark.createDataFrame([(int(x), i) for i, x in enumerate(fp)], "fp long, rep long")
+        expected = union(list(range(len(fp))), [int(x) for x in fp])
+        for block in (100, 3):
+            roots = {x.node: x.root for x in components(simhash.link(df, block=block), "a", "b").collect()}
+            assert {i: roots.get(i, i) for i in range(len(fp))} == expected
+
+
+def test_cells_cut_the_comparisons():
+    fp = np.random.default_rng(9).integers(0, 2**32, 20000, dtype=np.int64)
+    p = pd.DataFrame({"half": np.int8(1), "anchor": 7, "fp": fp, "rep": fp, "home": np.arange(len(fp)) % 10 == 0})
+    got = pd.concat(simhash._to_cells([p]))
+    per_cell = got.groupby("cell").home.agg(["sum", "count"])
+    # here half 1 is the same for all, and half 0, random, deals them: 2,000 x 20,000 pairs without cells
+    assert (per_cell["sum"] * per_cell["count"]).sum() < 2000 * 20000 / 20 and len(got) < 5 * len(p)
+
+
 def test_keep_one(spark):
     docs = spark.createDataFrame([(1, "a b c d", 1), (2, "A b  c d", 2), (3, "x y z", 3), (3, "x y z", 3), (None, "a b c d", 9),
                                   (None, None, 9)], "doc_id long, text string, component_id int")
