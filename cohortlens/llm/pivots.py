@@ -6,8 +6,12 @@ are a candidate pair, verified by the cosine in double precision; the list of th
 pivot does it, so a pair is verified once. Equal vectors are one class and are not paired.
 
 Pivots are a bounded sample: one vector in ``PER_PIVOT``, ``MIN_PIVOTS`` to ``MAX_PIVOTS``, by hash of the id;
-every vector is indexed. Lists above ``BLOCK`` vectors are dealt to pairs of blocks. Of the links of a
-list, a task emits each vector's number of links and a spanning forest, not the pairs.
+every vector is indexed. A list above ``BLOCK`` vectors is split by a second pivot: a candidate shares two
+pivots at least, so each vector goes to the lists of this pivot and every later number of its own nearest
+ones, and the two smallest common pivots name the list that verifies a pair. No candidate is lost, and the
+lists are those of pairs of pivots, of which there are many more. What is still above ``BLOCK`` vectors (or
+was asked with ``shared`` 1) is dealt to pairs of blocks. Of the links of a list, a task emits each vector's
+number of links and a spanning forest, not the pairs.
 
 Defined results: a vector that is NULL, empty, zero, or holds a NULL or non-finite component, or whose
 label or id is NULL, links with nothing (no id: component NULL); vectors of different length do not
@@ -32,8 +36,8 @@ MIN_COSINE = 0.98
 NEAREST, SHARED = 8, 2
 PER_PIVOT, MIN_PIVOTS, MAX_PIVOTS, SEED = 64, 64, 4096, 31
 BLOCK, SMALL = 2048, 100_000
-LIST = ["label", "dim", "pivot"]
-POSTING = "label int, dim int, pivot int, rep long, n long, vec binary, nearest binary"
+LIST = ["label", "dim", "pivot", "second"]
+ENTRY = "label int, dim int, rep long, n long, vec binary, nearest binary, near array<int>"
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -42,9 +46,9 @@ def _usable(vectors: DataFrame) -> DataFrame:
                           & F.exists("embedding", lambda x: x != 0))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Unit vectors in double precision."""
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+def _unit(x: np.ndarray) -> np.ndarray:
+    """The rows as unit vectors in double precision."""
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -56,12 +60,12 @@ def _pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     out = {}
     for dim in sorted(set(got["dim"].to_pylist())):
         rows = got.filter(pa.compute.equal(got["dim"], dim))["embedding"].combine_chunks()
-        out[dim] = _matrix(rows, dim)
+        out[dim] = _unit(rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
     return out
 
 
-def postings(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
-    """One row per vector and each of its nearest pivots."""
+def permutations(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
+    """One row per vector with its components as 32-bit floats and its nearest pivots, nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -70,31 +74,51 @@ def postings(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = N
                 rows = b.filter(pa.array(dims == dim))
                 for i in range(0, rows.num_rows, 2000):
                     part = rows.slice(i, 2000)
-                    x = _matrix(part.column("embedding"), dim)
+                    raw = part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
                     p = pivots.get(dim, np.zeros((1, dim)))  # no pivot of this length: one common list
-                    k, near = min(nearest, len(p)), x @ p.T
+                    k, near = min(nearest, len(p)), _unit(raw) @ p.T
                     top = np.argpartition(-near, k - 1, axis=1)[:, :k]
                     top = np.take_along_axis(top, np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable"), 1)
                     top = top.astype("<i4")
-                    vec = pa.array([v.tobytes() for v in x], pa.binary())
+                    vec = pa.array([v.tobytes() for v in raw.astype("<f4")], pa.binary())
                     perm = pa.array([t.tobytes() for t in top], pa.binary())
-                    at = np.repeat(np.arange(len(x)), k)
+                    ends = pa.array(np.arange(len(raw) + 1, dtype=np.int32) * k)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("label").take(at), part.column("dim").take(at), pa.array(top.ravel().astype(np.int32)),
-                         part.column("rep").take(at), part.column("n").take(at), vec.take(at), perm.take(at)],
-                        [c.split()[0] for c in POSTING.split(", ")])
+                        [part.column("label"), part.column("dim"), part.column("rep"), part.column("n"), vec, perm,
+                         pa.ListArray.from_arrays(ends, pa.array(top.ravel()))], [c.split()[0] for c in ENTRY.split(", ")])
 
-    return classes.select("label", "dim", "embedding", "rep", "n").mapInArrow(run, POSTING)
+    return classes.select("label", "dim", "embedding", "rep", "n").mapInArrow(run, ENTRY)
 
 
-def _dealt(lists: DataFrame, block: int) -> DataFrame:
-    """Postings with their own block and the block pair (i <= j) they are compared in; 0, 0 in short lists."""
-    crowd = materialize(lists.groupBy(*LIST).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+def _crowded(rows: DataFrame, keys: list[str], block: int) -> tuple[DataFrame, int]:
+    """The lists of more than ``block`` rows with their number of blocks, and how many lists these are."""
+    found = materialize(rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
                         .filter("blocks > 1"), "crowded")
-    n = crowd.count()  # at most one in ``block`` of the postings
+    return found, found.count()  # at most one in ``block`` of the rows
+
+
+def _marked(rows: DataFrame, crowd: DataFrame, n: int, keys: list[str]) -> DataFrame:
+    return rows.join(F.broadcast(crowd) if n <= SMALL else crowd, keys, "left").fillna(1, ["blocks"])
+
+
+def lists(index: DataFrame, block: int = BLOCK, shared: int = SHARED) -> DataFrame:
+    """Postings: a row per vector and list; ``second`` is -1 in the list of one pivot."""
+    single = index.withColumn("pivot", F.explode("near"))
+    keys = LIST[:3]
+    crowd, n = _crowded(single.select(*keys), keys, block)
+    if n == 0 or shared < 2:
+        return single.withColumn("second", F.lit(-1)).drop("near")
+    later = F.when((F.col("blocks") == 1) | (F.size("near") < 2), F.array(F.lit(-1))) \
+        .otherwise(F.filter("near", lambda q: q > F.col("pivot")))
+    return _marked(single, crowd, n, keys).withColumn("second", F.explode(later)).drop("near", "blocks")
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Postings with their own block and the block pair (i <= j) they are compared in; 0, 0 in short lists."""
+    crowd, n = _crowded(rows.select(*LIST), LIST, block)
     if n == 0:
-        return lists.withColumns({"own": F.lit(0), "i": F.lit(0), "j": F.lit(0)})
-    rows = lists.join(F.broadcast(crowd) if n <= SMALL else crowd, LIST, "left").fillna(1, ["blocks"])
+        return rows.withColumns({"own": F.lit(0), "i": F.lit(0), "j": F.lit(0)})
+    rows = _marked(rows, crowd, n, LIST)
     rows = rows.withColumn("own", F.pmod(F.hash("rep"), F.col("blocks"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("blocks", "other")
@@ -102,18 +126,19 @@ def _dealt(lists: DataFrame, block: int) -> DataFrame:
 
 def _pairs(g: pd.DataFrame, min_cosine: float, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of the linked pairs that this list (or pair of its blocks) has to verify."""
-    x = np.frombuffer(b"".join(g.vec), np.float64).reshape(len(g), -1)
+    x = _unit(np.frombuffer(b"".join(g.vec), "<f4").reshape(len(g), -1))
     perm = np.frombuffer(b"".join(g.nearest), "<i4").reshape(len(g), -1)
-    own, here = g.own.to_numpy(), g["pivot"].iloc[0]
+    own, here, second = g.own.to_numpy(), g["pivot"].iloc[0], g.second.iloc[0]
     names, local = np.unique(perm, return_inverse=True)
     member = np.zeros((len(g), len(names)), np.float32)
     member[np.arange(len(g))[:, None], local.reshape(perm.shape)] = 1
-    before = member[:, names < here]
+    # earlier common pivots: none in the list of one pivot, that pivot alone in the list of two
+    before, common = (member[:, names < here], 0) if second < 0 else (member[:, names < second], 1)
     need = min(shared, perm.shape[1])
     cross = g.i.iloc[0] != g.j.iloc[0]
     for s in range(0, len(g), 1024):
         e = min(s + 1024, len(g))
-        ok = (member[s:e] @ member.T >= need) & (before[s:e] @ before.T == 0)
+        ok = (member[s:e] @ member.T >= need) & (before[s:e] @ before.T == common)
         ok &= (own[s:e, None] < own[None, :]) if cross else (np.arange(s, e)[:, None] < np.arange(len(g))[None, :])
         a, b = np.nonzero(ok)
         for k in range(0, len(a), 200_000):
@@ -159,9 +184,9 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, nearest:
                           F.col("label").cast("int").alias("label"))
     classes = materialize(_usable(rows).groupBy("label", "embedding").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")).withColumn("dim", F.size("embedding")), "classes")
-    lists = postings(classes, _pivots(classes), nearest)
+    index = materialize(permutations(classes, _pivots(classes), nearest), "permutations")
     keys = [*LIST, "i", "j"]
-    dealt = _dealt(lists, block).repartition(*keys).sortWithinPartitions(*keys)
+    dealt = _dealt(lists(index, block, shared), block).repartition(*keys).sortWithinPartitions(*keys)
     found = materialize(dealt.mapInPandas(_verify(min_cosine, shared), "a long, b long, links long"), "links")
     roots = components(found, "a", "b")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))

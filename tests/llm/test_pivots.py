@@ -57,6 +57,31 @@ def test_equals_all_pairs(spark, block):
     assert sorted(got, key=str) == sorted(brute(data), key=str)
 
 
+@pytest.mark.parametrize("shared", [1, 3])
+def test_split_lists_lose_no_candidate(spark, shared):
+    """Lists split by a second pivot (or dealt to blocks only, with ``shared`` 1) give the links of whole lists."""
+    df = spark.createDataFrame([(*r, "x") for r in rows()], SCHEMA)
+    whole, split = (sorted(map(tuple, pivots.near_duplicates(df, shared=shared, block=b).collect()), key=str)
+                    for b in (100_000, 4))
+    assert split == whole and sum(r[1] for r in whole) > 0
+
+
+def test_crowded_lists_become_many_short_ones(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "MIN_PIVOTS", 512)
+    r = np.random.default_rng(8)
+    data = [(i, v.tolist(), 1, i, 1, 16) for i, v in enumerate(r.normal(size=(6000, 16)).astype(np.float32))]
+    classes = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int, rep long, n long, dim int")
+    index = pivots.permutations(classes, pivots._pivots(classes)).cache()
+    pairs, copies = [], []
+    for block in (100_000, 30):
+        sizes = [c["count"] for c in pivots.lists(index, block).groupBy(*pivots.LIST).count().collect()]
+        pairs.append(sum(n * (n - 1) // 2 for n in sizes))
+        copies.append(sum(sizes))
+    assert pairs[1] < pairs[0] / 4
+    assert copies[0] == 6000 * 8 and copies[1] <= 6000 * 28
+    index.unpersist()
+
+
 def test_recall_on_the_given_table(spark):
     data = [(r.vec_id, list(r.embedding), r.label) for r in table(spark, "/root/testdata/sf0.1", "embeddings").collect()]
     r, size = np.random.default_rng(6), np.linalg.norm(data[0][1])
