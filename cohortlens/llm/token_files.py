@@ -6,6 +6,10 @@ if the vocabulary fits, else 32), ``.idx`` the offsets of its documents (64 bits
 return only their totals; an exclusive prefix sum over these is every partition's base, kept in
 ``index.json`` together with the file names. ``read`` maps the files and adds base and offset.
 
+There are as many ranges as shuffle partitions, and more where a range would hold above ``FILE_BYTES`` of text
+on average, so that files do not grow with the corpus. Ranges are cut by id and the first ``PREFIX`` characters
+of the text: rows without an id, or of one repeated id, are split too, unless their texts begin alike.
+
 A task names its files after its attempt and the index lists those of the attempts that ended, so a
 lost or repeated attempt leaves at most an unlisted file. Files go through pyarrow's file systems, to
 whichever shared store the folder names.
@@ -46,6 +50,7 @@ from .common import by_chars, scratch_path
 END = 0
 MAGIC = b"CLTOKID1"
 WORDS, CHARS, IDS = 800_000, 1_000_000, 4_000_000
+FILE_BYTES, PREFIX = 256 << 20, 64
 # Latin letters, and stops that belong to no contraction.
 LETTER, STOP = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
 WORD = re.compile(rf" ?[{LETTER}]+(?=[ {STOP}\n]|\Z)|[{STOP}]+(?=[ \n]|\Z)|\n(?=\S)| ?[^ ]+")
@@ -193,9 +198,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, added: bool
             [pa.array([part]), pa.array([name]), pa.array([encoder.dtype]), pa.array([n]), pa.array([int(offsets[-1])])],
             ["part", "name", "dtype", "docs", "ids"])
 
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    by_id = F.col("doc_id").asc_nulls_first()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(
-        n_parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        n_parts, by_id, F.substring("text", 1, PREFIX)).sortWithinPartitions(by_id, "text")
     done = sorted(rows.mapInArrow(run, "part long, name string, dtype string, docs long, ids long").collect())
     bases = list(accumulate((r.ids for r in done), initial=0))
     index = {"files": [r.asDict() | {"base": base} for r, base in zip(done, bases[:-1], strict=True)],
