@@ -10,7 +10,8 @@ Where a set of several cannot win, no iteration is run: by Jensen's inequality t
 mixture exceeds that of the best single language b by at most n log max_j mean(P_j / P_b).
 
 Fitting uses a bounded sample: about ``PER_LANG`` documents of each language, by hash of the id (all, of a
-language with fewer). Every row is predicted from its whole text.
+language with fewer). Every row is predicted from its whole text. A model of more than ``MAX_LANGS`` languages
+(64 MB for each of its two matrices) is refused with an error: such a ``lang`` column needs cleaning first.
 
 Defined results: ``und`` with score 0 for a NULL or empty text, one without a letter, or where nothing
 could be learnt; of equal likelihoods the first language by name; repeated rows get equal results; an
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import by_chars, crc32_mod
 
 BUCKETS = 1 << 15
-PER_LANG, SEED = 4000, 23
+PER_LANG, SEED, MAX_LANGS = 4000, 23, 256
 SMOOTH, PENALTY = 0.1, 4.0
 STEPS, TOLERANCE = 60, 1e-4
 CHARS = 500_000      # characters handled at a time
@@ -127,7 +128,9 @@ def train(docs: DataFrame, learn_from: Column) -> Model:
     The driver gets one number per language and, at most, one per language and bucket.
     """
     known = docs.select("doc_id", "lang", "text").filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    n = {r[0]: r[1] for r in known.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
+    if len(n) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} values of lang to learn")
     if not n:
         return Model([], np.zeros((0, BUCKETS)))
     share = F.create_map(*[F.lit(x) for lang, k in n.items() for x in (lang, min(1.0, PER_LANG / k))])

@@ -95,6 +95,13 @@ def test_language_of_odd_rows(spark, model):
     assert {r.lang_pred for r in langid.summary(alone).collect()} == {"und"}
 
 
+def test_too_many_languages_are_refused(spark):
+    docs = spark.createDataFrame([(i, f"l{i}", "some text") for i in range(langid.MAX_LANGS + 1)], "doc_id long, lang string, text string")
+    with pytest.raises(ValueError, match="values of lang"):
+        langid.train(docs, F.lit(True))
+    assert len(langid.train(docs.filter("doc_id > 0"), F.lit(True)).langs) == langid.MAX_LANGS
+
+
 ODD = ["", None, "a", " a", "a ", "a  b", "a   b   c", "don't  we'll\n\n x", "\n a\tb \n", "é 日本 🙂 b", "1 22 333", "x" * 5000,
        "<|endoftext|> a <|endoftext|>", "a  b　c", "w " * 50000 + "w", "end\n", "a\x1c b", "it's 's 's", "a \n b"]
 
@@ -125,6 +132,22 @@ def test_files_hold_the_librarys_ids(spark):
     assert index["ids"] == sum(map(len, expected)) and index["documents"] == len(rows) and json.dumps(index)
 
 
+def test_one_id_is_split_into_files_of_bounded_size(spark, monkeypatch):
+    """Two thirds of the rows have no id or one id; files are cut by size, in the defined order."""
+    monkeypatch.setattr(token_files, "FILE_BYTES", 2_000)
+    rows = [([None, 5, i][i % 3], f"{i * 7919 % 1009} words of a text") for i in range(1200)] + [(5, None), (5, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = scratch_path(spark, "test")
+    token_files.write(docs.repartition(3), path)
+    files = token_files.read_index(token_files._qualified(spark, path))["files"]
+    size = sum(len(t or "") for _, t in rows)
+    assert len(files) > size / 2_000 * 0.6 and max(f["docs"] for f in files) < len(rows) / 4
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    expected = by_library([r[1] for r in order])
+    got = sorted(token_files.read(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [r[0] for r in order] and [r.ids for r in got] == expected
+
+
 def test_bounded_table_of_words(monkeypatch):
     with open(token_files.tokenizer_path(), encoding="utf-8") as f:
         e = token_files.Encoder(f.read())
