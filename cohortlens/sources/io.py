@@ -120,24 +120,26 @@ def _lines(spark: SparkSession, path: str, schema: T.StructType, optional: Itera
         bad += "_"
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")) \
         .filter(F.trim("raw") != "")
-    parsed = lines.withColumn("c", F.from_csv("raw", ", ".join(f"`{c}` string" for c in [*header, bad]), {
-        "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))
+    # Exploded, so that a line is parsed once: a filter below which a plain column is parsed would parse it anew for each cell.
+    parsed = lines.withColumn("c", F.explode(F.array(F.from_csv("raw", ", ".join(f"`{c}` string" for c in [*header, bad]), {
+        "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}))))
     cell = lambda c: F.col("c").getField(c)
     is_header = F.lit(True)
     for c in header:
         is_header = is_header & cell(c).eqNullSafe(F.lit(c))
     reasons = [F.when(cell(bad).isNotNull(), F.lit("cells: another number than the header's"))]
-    columns = []
-    for f in schema.fields:
+    values, columns = {}, []
+    for i, f in enumerate(schema.fields):
         if f.name.lower() not in present:
             columns.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         c = cell(present[f.name.lower()])
-        out = _converted(c, T.StringType(), f)
-        columns.append(out.alias(f.name))
+        values[f"value_{i}"] = _converted(c, T.StringType(), f)
+        columns.append(F.col(f"value_{i}").alias(f.name))
         if not isinstance(f.dataType, T.StringType):
-            reasons.append(F.when(cell(bad).isNull() & c.isNotNull() & out.isNull(), _misfit(c, f)))
-    return parsed.filter(~is_header).withColumn("reason", F.array_join(F.array(*reasons), "; ")), columns
+            reasons.append(F.when(cell(bad).isNull() & c.isNotNull() & F.col(f"value_{i}").isNull(), _misfit(c, f)))
+    return parsed.filter(~is_header).withColumns(values) \
+        .withColumn("reason", F.array_join(F.array(*reasons), "; ")), columns
 
 
 def publish_text(spark: SparkSession, name: str, path: str, good: str, rejected: str, schema: T.StructType | None = None,

@@ -160,3 +160,12 @@ def test_text_of_headers_only(spark, scratch):
         f.write("id,Day,n\n")
     ok, rejected = load_text(spark, "sales", path, SALES)
     assert ok.collect() == [] and rejected.collect() == [] and ok.schema == SALES
+
+
+def test_text_load_parses_a_line_once(spark, scratch):
+    path = os.path.join(scratch, "once.csv")
+    with open(path, "w") as f:
+        f.write("id,Day,n\na,2020-01-02,5\nb,soon,6\n")
+    for df in load_text(spark, "sales", path, SALES):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+        assert df.count() == 1
