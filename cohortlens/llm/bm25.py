@@ -7,12 +7,17 @@ and the mean length - the same for every shard - each shard finds its own top k
 the best k of all shards are the result. Scores do not depend on the sharding, so the merge is exact.
 Of equal scores the smaller id comes first.
 
-A block is the postings of one list in one range of ``RANGE`` documents, and its maximum the best score among
-them. WAND's test - can the upper bounds of the lists that meet here add up to more than the threshold? - is
-made for a whole range at once: the maxima of a query's blocks are summed by range, the ranges
-above the threshold are opened from the highest sum on, their documents scored in full, and the threshold
-raised to the k-th score found. It ends when no range is above it; all other postings are never added
-up. This holds for queries of any number of terms.
+A shard's documents stand in an order of likeness (groups by their commonest words, then by length), so that a
+range of ``RANGE`` documents holds like ones. A block is the postings of one list in one part of a range (``PARTS`` each),
+and its maximum the best score among them. WAND's test - can the upper bounds of the lists that meet here add up to
+more than the threshold? - is made for a part of a range at once, and for many queries at once: a shard's common lists, which
+have most of the postings, are bounded by their block maxima, all other lists are added up at once. Only
+in ranges above the threshold the common lists are added up too. A query without a threshold opens its best
+ranges first and takes the k-th score found. This holds for queries of any number of terms.
+
+The common lists stand as a matrix of single precision, so that the bounds and the sums of many queries are matrix
+products; these scores only tell which documents may be among the best, with room for their error. The scores
+of such documents are then added up in double, in the order of the query's terms, whatever the shard.
 
 So that shards without good documents need not hand on ten of their own, one in ``FIRST`` shards is searched
 first: the k-th best score there is a lower bound of the final one, and the threshold that all other
@@ -28,8 +33,9 @@ ranked one by one; empty tables give an empty table; further columns are ignored
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +49,12 @@ K1, B = 1.2, 0.75
 TOP, QUERY_TERMS = 10, None   # all terms of a query's text
 RANGE = 128                   # documents under one block maximum
 OPEN = 4                      # ranges opened first
+PARTS = 8                     # parts of a range, with block maxima of their own
+COMMON = 1 / 16               # lists in more than this part of a shard's documents are common,
+COMMON_LISTS, COMMON_CELLS = 4096, 1 << 24  # the longest of them, so many lists and scores at most
+SLACK = 1e-3                  # bounds the error of single precision, COMMON_LISTS * 2**-24 and little more
+BATCH_CELLS, SOME = 1 << 21, 8  # queries times documents searched at a time; queries whose other lists are read at a time
+GROUPS, LIKE_WORDS, LIKE_ROUNDS = 8, 256, 4  # groups of like documents in a shard, by so many words, found in so many rounds
 FIRST = 8                     # one in so many shards is searched first, for a threshold
 SHARD_TOKENS, SHARD_DOCS = 4_000_000, 1 << 16
 CHARS = 1_000_000
@@ -53,29 +65,53 @@ WORD = re.compile(r"\w+")
 SHARD = "docs binary, lengths binary, terms binary, ends binary, posts binary, counts binary"
 
 
-class _Words(dict):
-    def __init__(self):
-        super().__init__()
-        self.hashes = []
+class _Words(defaultdict):
+    """Numbers of words, in the order of their first use."""
 
-    def __missing__(self, word):
-        n = self[word] = len(self)
-        self.hashes.append(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")))
-        return n
+    def __init__(self):
+        super().__init__(count().__next__)
+
+    @property
+    def hashes(self) -> list[int]:
+        return [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self]
+
+
+def _by_likeness(number: np.ndarray, doc: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """An order of the documents that puts like ones together: by the nearest of ``GROUPS`` means of their commonest words,
+    then by length. ``number``, ``doc``: word and document of every token."""
+    n, uses = len(length), np.bincount(number)
+    top = np.argsort(-uses, kind="stable")[:LIKE_WORDS]
+    column = np.full(len(uses), -1)
+    column[top] = np.arange(len(top))
+    column = column[number]
+    has = np.zeros((n, len(top)), np.float32)
+    has[doc[column >= 0], column[column >= 0]] = 1
+    has /= np.sqrt(np.maximum(1, has.sum(1, keepdims=True)))
+    mean = has[np.linspace(0, n - 1, min(n, GROUPS)).astype(np.int64)]
+    for _ in range(LIKE_ROUNDS):
+        group = np.argmax(has @ mean.T, 1)
+        mean = (group == np.arange(len(mean))[:, None]).astype(np.float32) @ has
+        mean /= np.maximum(1e-9, np.sqrt((mean * mean).sum(1, keepdims=True)))
+    return np.lexsort((length, group))
 
 
 def _shard(doc_ids: list[int], lengths: list[int], number: np.ndarray, words: _Words) -> pa.RecordBatch:
-    """One index row: documents by id, terms by hash, each term's postings by document."""
+    """One index row: documents by likeness, terms by hash, each term's postings by document."""
     doc_id, length = np.array(doc_ids, np.int64), np.array(lengths, np.int64)
     by_id = np.argsort(doc_id, kind="stable")
     place = np.empty(len(doc_id), np.int64)
     place[by_id] = np.arange(len(doc_id))
+    doc = np.repeat(place, length)
+    if len(number):
+        like = _by_likeness(number, doc, length[by_id])
+        place[by_id[like]] = np.arange(len(doc_id))
+        by_id, doc = by_id[like], np.repeat(place, length)
     terms, term = np.unique(np.array(words.hashes, np.uint64), return_inverse=True)
-    key = term[number] << 16 | np.repeat(place, length)
-    key, count = np.unique(key, return_counts=True)
+    key = term[number] << 16 | doc
+    key, tf = np.unique(key, return_counts=True)
     ends = np.searchsorted(key, np.arange(1, len(terms) + 1) << 16)
     values = (doc_id[by_id], length[by_id].astype("<i4"), terms, ends.astype("<i4"),
-              (key & 0xFFFF).astype("<u2"), count.astype("<u4"))
+              (key & 0xFFFF).astype("<u2"), tf.astype("<u4"))
     return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values],
                                       [c.split()[0] for c in SHARD.split(", ")])
 
@@ -171,6 +207,18 @@ def _runs(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(start - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
 
 
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of values, one after the other, as byte strings."""
+    offsets = np.r_[0, ends].astype(np.int64) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _bytes(lists: pa.Array, kind: type) -> np.ndarray:
+    """The values of all lists."""
+    size = np.frombuffer(lists.buffers()[1], np.int64)[lists.offset + len(lists)] // np.dtype(kind).itemsize
+    return np.frombuffer(lists.buffers()[2] or b"", kind, size)
+
+
 class Shard:
     """One index row, with BM25 scores by the global statistics."""
 
@@ -179,94 +227,149 @@ class Shard:
         self.terms, self.ends = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["ends"], "<i4")
         self.posts, self.counts = np.frombuffer(row["posts"], "<u2"), np.frombuffer(row["counts"], "<u4")
         self.norm = K1 * (1 - B + B * np.frombuffer(row["lengths"], "<i4") / max(mean, 1e-9))
-
-    def matched(self, q: "Queries") -> None:
-        """Scores of all postings of the queries' terms that occur here, list by list."""
-        at = np.minimum(np.searchsorted(self.terms, q.term), len(self.terms) - 1)
-        hit = np.flatnonzero(self.terms[at] == q.term)
-        lists, first, self.of = np.unique(at[hit], return_index=True, return_inverse=True)
-        start = np.where(lists > 0, self.ends[lists - 1], 0).astype(np.int64)
-        size = self.ends[lists] - start
-        self.cut = np.r_[0, np.cumsum(size)]
-        place = np.repeat(start - self.cut[:-1], size) + np.arange(self.cut[-1])
-        self.at, tf = self.posts[place].astype(np.int64), self.counts[place].astype(np.float64)
-        self.score = np.repeat(q.weight[hit[first]], size) * tf * (K1 + 1) / (tf + self.norm[self.at])
-        # The blocks: of every list, its postings in each range of RANGE documents, and the best of their scores.
         self.ranges = -(-len(self.docs) // RANGE)
-        block = np.repeat(np.arange(len(lists)) * self.ranges, size) + self.at // RANGE
-        self.block = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
-        self.block_end = np.r_[self.block[1:], len(block)].astype(np.int64)
-        self.top = np.maximum.reduceat(self.score, self.block) if len(block) else np.zeros(0)
-        self.range = block[self.block] % max(1, self.ranges)
-        self.block_cut = np.searchsorted(self.block, self.cut)
-        query = np.searchsorted(q.first, hit, "right") - 1
-        self.hit = hit
-        self.query_cut = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]) if len(hit) else np.zeros(1, int)
-        self.query = query[self.query_cut[:-1]]
+
+    def matched(self, q: Queries) -> None:
+        """The lists that the queries ask for, the scores of their postings, and the common lists as a matrix."""
+        n, at = len(self.docs), np.minimum(np.searchsorted(self.terms, q.vocabulary), len(self.terms) - 1)
+        there = self.terms[at] == q.vocabulary
+        weight = np.zeros(len(self.terms))
+        weight[at[there]] = q.idf[there]
+        self.start, size = np.r_[0, self.ends[:-1]].astype(np.int64), np.diff(self.ends, prepend=0)
+        self.score = np.repeat(weight * (K1 + 1), size)
+        self.score *= self.counts
+        self.score /= self.counts + self.norm[self.posts]
+        # The lists as bytes, so that many are copied at once.
+        self.post_bytes, self.score_bytes = _lists(self.posts, self.ends), _lists(self.score.astype(np.float32), self.ends)
+        # Each query's lists here, in the order of their terms: the same in every shard.
+        lists = np.where(there, at, -1).astype(np.int32)[q.word]
+        hit = np.flatnonzero(lists >= 0)
+        self.lists, cut = lists[hit], np.searchsorted(hit, np.r_[q.first, len(q.word)])
+        self.query = np.flatnonzero(np.diff(cut))
+        self.cut = np.r_[cut[self.query], len(hit)]
+        # The common lists, the most common first: a row of scores each, range by range, and the best in every part of a range.
+        common = np.flatnonzero((size > COMMON * n) & (weight > 0))
+        common = common[np.argsort(-size[common], kind="stable")[:min(COMMON_LISTS, COMMON_CELLS // (self.ranges * RANGE))]]
+        row = np.full(len(size), -1, np.int32)
+        row[common] = np.arange(len(common))
+        self.rows = np.zeros((self.ranges, len(common), RANGE), np.float32)
+        place = _runs(self.start[common], self.ends[common])
+        self.rows[self.posts[place] // RANGE, np.repeat(row[common], size[common]), self.posts[place] % RANGE] = self.score[place]
+        self.part = np.arange(PARTS) * RANGE // PARTS
+        self.top = np.maximum.reduceat(self.rows, self.part, 2).swapaxes(0, 1).reshape(len(common), self.ranges * PARTS)
+        # The rows that each query asks for, and its other lists.
+        row = row[self.lists]
+        self.asked, self.asked_cut = row[row >= 0], np.searchsorted(np.flatnonzero(row >= 0), self.cut)
+        self.other, self.other_cut = self.lists[row < 0], np.searchsorted(np.flatnonzero(row < 0), self.cut)
 
     def _blocks(self, i: int) -> np.ndarray:
-        """The blocks of all lists of the i-th query here, list by list."""
-        return _runs(*(self.block_cut[self.of[self.query_cut[i]:self.query_cut[i + 1]] + x] for x in (0, 1)))
+        """The places of all postings of the i-th query here, list by list."""
+        lists = self.lists[self.cut[i]:self.cut[i + 1]]
+        return _runs(self.start[lists], self.ends[lists])
 
-    def _score(self, blocks: np.ndarray, some: np.ndarray) -> np.ndarray:
-        """Scores of all documents from the blocks of ``some`` ranges (a mask); others have none."""
-        own = blocks[some[self.range[blocks]]]
-        place = _runs(self.block[own], self.block_end[own])
+    def _score(self, place: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Scores of the documents, by id, from postings in ``some`` ranges (a mask); others have none."""
+        place = place[some[self.posts[place] // RANGE]]
         # Adds in the order of the query's terms, whatever ranges are asked for.
-        return np.bincount(self.at[place], self.score[place], len(self.docs))
+        return np.bincount(self.posts[place], self.score[place], len(self.docs))[np.argsort(self.docs, kind="stable")]
 
     def _score_all(self, i: int) -> np.ndarray:
-        """``_score`` of all ranges: whole lists, without picking blocks."""
-        lists = [slice(self.cut[n], self.cut[n + 1]) for n in self.of[self.query_cut[i]:self.query_cut[i + 1]].tolist()]
-        return np.bincount(np.concatenate([self.at[x] for x in lists]), np.concatenate([self.score[x] for x in lists]), len(self.docs))
+        return self._score(self._blocks(i), np.ones(self.ranges, bool))
+
+    def _exact(self, query: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, documents, scores) of pairs in the queries' order: scores in double, added in the order of the query's terms."""
+        wanted = np.zeros(len(self.docs), bool)
+        wanted[doc] = True
+        place = np.flatnonzero(wanted[self.posts])
+        place = place[np.argsort(self.posts[place], kind="stable")]
+        start = np.searchsorted(self.posts[place], np.arange(len(self.docs) + 1))
+        lists, score = np.searchsorted(self.ends, place, "right"), self.score[place]
+        asked = np.zeros(len(self.terms), bool)
+        cut = np.flatnonzero(np.r_[True, query[1:] != query[:-1], True]).tolist()
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            own, docs = self.lists[self.cut[query[a]]:self.cut[query[a] + 1]], doc[a:b]
+            asked[own] = True
+            at = _runs(start[docs], start[docs + 1])
+            mine = asked[lists[at]]
+            asked[own] = False
+            number = np.repeat(np.arange(len(docs)), start[docs + 1] - start[docs])
+            yield int(query[a]), docs, np.bincount(number[mine], score[at[mine]], len(docs))
 
     def search(self, q: Queries, k: int, least: np.ndarray, opened: list | None = None) -> Iterator[tuple[int, float, int]]:
         """(query number, score, doc_id) of each query's top k here that score above its ``least``.
 
-        The bound of a range is the sum of its blocks' best scores. Ranges are opened from the highest bound
-        on, twice as many each time, until no bound is above the k-th score found; where more than half of them
-        are above it, all are opened at once. ``opened``: gets the numbers of ranges opened and of all ranges.
+        ``opened``: gets the numbers of ranges opened and of all ranges, query by query.
         """
-        for i, n in enumerate(self.query.tolist()):
-            blocks = self._blocks(i)
-            bound = np.bincount(self.range[blocks], self.top[blocks], self.ranges) * (1 + 1e-9)
-            floor, step, found, n_opened = float(least[n]), OPEN, [], 0
-            left = np.flatnonzero(bound > floor)
-            left = left[np.argsort(-bound[left], kind="stable")]
-            while len(left):
-                if floor > 0 and 2 * len(left) > self.ranges:
-                    score = self._score_all(i)
-                    found, n_opened, left = [], self.ranges, left[:0]
-                else:
-                    some = np.zeros(self.ranges, bool)
-                    some[left[:step]] = True
-                    n_opened += min(step, len(left))
-                    score, left = self._score(blocks, some), left[step:]
-                    step *= 2
-                found += self._best(i, score, np.flatnonzero(score > floor), k)
-                if len(found) >= k:
-                    found = sorted(found, key=lambda x: (-x[1], x[2]))[:k]
-                    floor = max(floor, float(np.nextafter(found[-1][1], 0.0)))  # equal scores may still win by their id
-                left = left[bound[left] > floor]
-            yield from found
-            if opened is not None:
-                opened.append((n_opened, self.ranges))
-
-    def _best(self, i: int, score: np.ndarray, at: np.ndarray, k: int) -> list[tuple[int, float, int]]:
-        """The k best of the documents ``at``; of equal scores the smaller id (documents are in their order)."""
-        if len(at) > k:
-            at = at[score[at] >= np.partition(score[at], -k)[-k]]
-        return [(int(self.query[i]), float(score[j]), int(self.docs[j])) for j in at[np.argsort(-score[at], kind="stable")[:k]].tolist()]
+        step = max(1, BATCH_CELLS // max(1, self.ranges * RANGE, self.rows.shape[1]))
+        found = [self._batch(range(i, min(i + step, len(self.query))), k, least, opened) for i in range(0, len(self.query), step)]
+        if not any(len(x) for x, _ in found):
+            return
+        for i, docs, score in self._exact(*map(np.concatenate, zip(*found, strict=True))):
+            docs, n = self.docs[docs], int(self.query[i])
+            best = [x for x in np.lexsort((docs, -score))[:k].tolist() if score[x] > least[n]]
+            yield from zip([n] * len(best), score[best].tolist(), docs[best].tolist(), strict=True)
+
+    def _batch(self, queries: range, k: int, least: np.ndarray, opened: list | None) -> tuple[np.ndarray, np.ndarray]:
+        """The queries and documents, in their order, that may be among the top k."""
+        n = len(self.docs)
+        score = np.zeros((len(queries), self.ranges * RANGE), np.float32)
+        for i in range(queries.start, queries.stop, SOME):  # the lists without a row, in full
+            cut = self.other_cut[i:min(i + SOME, queries.stop) + 1]
+            lists = self.other[cut[0]:cut[-1]]
+            upto = np.r_[0, np.cumsum(self.ends[lists] - self.start[lists])]
+            doc = _bytes(self.post_bytes.take(pa.array(lists)), np.uint16)
+            value = _bytes(self.score_bytes.take(pa.array(lists)), np.float32)
+            cut = upto[cut - cut[0]].tolist()
+            for j, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True), i - queries.start):
+                score[j, :n] = np.bincount(doc[a:b], value[a:b], n)
+        asks = np.zeros((len(queries), self.rows.shape[1]), np.float32)
+        cut = self.asked_cut[queries.start:queries.stop + 1]
+        asks[np.repeat(np.arange(len(queries)), np.diff(cut)), self.asked[cut[0]:cut[-1]]] = 1
+        # The best that a document of a range can reach: of its parts, the other lists' best sum and the common lists' maxima.
+        bound = np.maximum.reduceat(score.reshape(len(queries), self.ranges, RANGE), self.part, 2)
+        bound = (bound + (asks @ self.top).reshape(bound.shape)).max(2) * (1 + SLACK)
+        floor = least[self.query[queries.start:queries.stop]].copy()
+        done = np.zeros(bound.shape, bool)
+
+        def add(wanted: np.ndarray) -> None:
+            wanted = wanted & ~done
+            done[...] |= wanted
+            for r in np.flatnonzero(wanted.any(0)).tolist():
+                some = np.flatnonzero(wanted[:, r])
+                score[some, r * RANGE:(r + 1) * RANGE] += asks[some] @ self.rows[r]
+
+        def raised(some: np.ndarray) -> None:  # what is added so far is below the whole score
+            if n > k and len(some):
+                kth = np.partition(score[some, :n], n - k, 1)[:, n - k].astype(np.float64)
+                floor[some] = np.maximum(floor[some], np.nextafter(kth * (1 - SLACK), 0.0))
+
+        new = np.flatnonzero(floor <= 0)
+        if len(new):  # no threshold yet: the best ranges first
+            first = np.zeros(bound.shape, bool)
+            first[new[:, None], np.argsort(-bound[new], 1, kind="stable")[:, :OPEN]] = True
+            add(first & (bound > 0))
+            raised(new)
+        add(bound > floor[:, None])
+        found = score > (floor * (1 - SLACK))[:, None]
+        many = np.flatnonzero(found.sum(1) > 2 * k)
+        raised(many)
+        found[many] = score[many] > (floor[many] * (1 - SLACK))[:, None]
+        if opened is not None:
+            opened += [(x, self.ranges) for x in done.sum(1).tolist()]
+        j, doc = np.divmod(np.flatnonzero(found), found.shape[1])
+        return j + queries.start, doc
 
 
 class Queries:
-    """A block of queries as arrays: query i asks for the terms from first[i] on; its least score."""
+    """A block of queries as arrays: query i asks for the words from first[i] on, places in the vocabulary; its least score."""
 
     def __init__(self, rows: pa.Table, least: pa.Table | None):
-        query, term, weight, df = (rows[c].to_numpy() for c in ("query_id", "term", "weight", "df"))
+        query, term, weight = (rows[c].to_numpy() for c in ("query_id", "term", "weight"))
+        term = term.view(np.uint64)
         order = np.lexsort((term, query))
-        query, self.term, self.weight, df = query[order], term[order].view(np.uint64), weight[order], df[order]
-        self.names, self.first, size = np.unique(query, return_index=True, return_counts=True)
+        self.vocabulary, at, word = np.unique(term, return_index=True, return_inverse=True)
+        self.idf, self.word = weight[at], word[order].astype(np.int32)
+        self.names, self.first = np.unique(query[order], return_index=True)
         self.least = np.zeros(len(self.names))
         if least is not None:
             at = np.searchsorted(self.names, least["query_id"].to_numpy())

@@ -149,3 +149,46 @@ def test_empty_tables(spark):
     assert bm25.summary(empty).collect() == []
     index = bm25.build(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
     assert bm25.search(index, empty.withColumnRenamed("doc_id", "query_id")).collect() == []
+
+
+def mixed(n, seed=6):
+    """Documents of four languages in turn, short and long: words of their own by rank, a few in common."""
+    r = random.Random(seed)
+    words = [[f"l{g}w{i}" for i in range(400)] for g in range(4)]
+    weights = [1 / (i + 2) for i in range(400)]
+    return [" ".join(r.choices(words[i % 4], weights, k=r.randint(20, 120)) + r.choices("abc", k=2)) for i in range(n)]
+
+
+def test_ranges_hold_like_documents(monkeypatch):
+    monkeypatch.setattr(bm25, "RANGE", 32)
+    texts = mixed(2000)
+    shard, q = one_shard(texts, [*texts[::50], texts[7] + " " + texts[9]])
+    least = np.array([np.sort(all_scores(shard, i))[-10] for i in range(len(q.names))])
+    opened = []
+    got = {}
+    for n, score, doc in shard.search(q, 10, np.nextafter(least, 0.0), opened):
+        got.setdefault(n, []).append((-score, doc))
+    for i, n in enumerate(shard.query.tolist()):
+        assert sorted(got[n]) == sorted((-x, d) for d, x in enumerate(all_scores(shard, i).tolist()))[:10]
+    assert sum(x for x, _ in opened) < 0.5 * sum(x for _, x in opened)
+
+
+@pytest.mark.parametrize("common,lists,cells,batch,some,parts", [
+    (0.01, 4096, 1 << 24, 1 << 20, 8, 8), (0.01, 5, 1 << 24, 400, 3, 5), (2, 4096, 1 << 24, 1 << 20, 1, 1), (0.1, 4096, 9000, 1, 2, 64)])
+def test_common_lists_change_no_score(monkeypatch, common, lists, cells, batch, some, parts):
+    for name, value in (("RANGE", 16), ("COMMON", common), ("COMMON_LISTS", lists), ("COMMON_CELLS", cells), ("BATCH_CELLS", batch),
+                        ("SOME", some), ("PARTS", parts)):
+        monkeypatch.setattr(bm25, name, value)
+    texts = mixed(300) + mixed(40)  # copies: equal scores go by id
+    shard, q = one_shard(texts, texts[::9])
+    for least in (np.zeros(len(q.names)), np.array([np.nextafter(np.sort(all_scores(shard, i))[-4], 0.0) for i in range(len(q.names))])):
+        got = {}
+        for n, score, doc in shard.search(q, 4, least):
+            got.setdefault(n, []).append((-score, doc))
+        for i, n in enumerate(shard.query.tolist()):
+            assert sorted(got[n]) == sorted((-x, d) for d, x in enumerate(all_scores(shard, i).tolist()) if x > 0)[:4]
+
+
+def test_nothing_above_the_threshold():
+    shard, q = one_shard(mixed(200), mixed(5))
+    assert list(shard.search(q, 3, np.full(len(q.names), 1e9))) == []
