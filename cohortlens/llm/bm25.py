@@ -289,11 +289,11 @@ class Shard:
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             own, docs = self.lists[self.cut[query[a]]:self.cut[query[a] + 1]], doc[a:b]
             asked[own] = True
-            at = _runs(start[docs], start[docs + 1])
-            mine = asked[lists[at]]
+            runs = [slice(x, y) for x, y in zip(start[docs].tolist(), start[docs + 1].tolist(), strict=True)]
+            mine = np.flatnonzero(asked[np.concatenate([lists[x] for x in runs])])
             asked[own] = False
-            number = np.repeat(np.arange(len(docs)), start[docs + 1] - start[docs])
-            yield int(query[a]), docs, np.bincount(number[mine], score[at[mine]], len(docs))
+            number = np.searchsorted(np.cumsum(start[docs + 1] - start[docs]), mine, "right")
+            yield int(query[a]), docs, np.bincount(number, np.concatenate([score[x] for x in runs])[mine], len(docs))
 
     def search(self, q: Queries, k: int, least: np.ndarray, opened: list | None = None) -> Iterator[tuple[int, float, int]]:
         """(query number, score, doc_id) of each query's top k here that score above its ``least``.
